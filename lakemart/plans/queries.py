@@ -82,3 +82,6 @@ def tag_repeats(spark, d):
 def tag_top_titles(spark, d):
     out = tagops.most_tagged_titles(S.tags(spark, d), S.movies(spark, d), n=3)
     return out.select("title", "tag_count", F.array_join("tag_set", ",").alias("tag_set"))
+
+
+from . import q_lake, q_mart, q_apps  # noqa: E402,F401  (register the other groups)

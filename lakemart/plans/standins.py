@@ -117,8 +117,8 @@ def hero_info(spark, d) -> DataFrame:
             .select(F.col("c_name").alias("name"), _alignment().alias("alignment"),
                     F.when(F.col("c_custkey") % 2 == 0, "Male").otherwise("Female").alias("gender"),
                     F.col("n_name").alias("race"), F.col("r_name").alias("publisher"),
-                    F.round(F.col("c_acctbal") / 20, 2).alias("height"),
-                    F.round(F.col("c_acctbal") / 50, 2).alias("weight")))
+                    (F.col("c_acctbal") / 20).alias("height"),
+                    (F.col("c_acctbal") / 50).alias("weight")))
 
 
 def hero_powers(spark, d) -> DataFrame:

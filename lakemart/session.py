@@ -33,6 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     """Local session for tests and the bench (UI off: no listening port)."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "8g")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for key, value in {**DEFAULTS, **(extra or {})}.items():
