@@ -33,12 +33,13 @@ def _order_cols(order: Sequence) -> list[Column]:
 
 
 def global_index(df: DataFrame, order: Sequence, name: str = "rn",
-                 ranges: int | None = None) -> DataFrame:
+                 ranges: int | None = None, total_col: str | None = None) -> DataFrame:
     """Exact 1-based ``row_number`` over ``order`` (which must be a total order).
 
     ``repartitionByRange`` with an explicit count is not re-split by AQE, so the
     range ids seen by the size table and by the rows are the same shuffle
     (re-used exchange); the size table is bounded by ``ranges`` and broadcast.
+    ``total_col`` also attaches the total row count (from the same tiny table).
     """
     spark = df.sparkSession
     n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -49,7 +50,8 @@ def global_index(df: DataFrame, order: Sequence, name: str = "rn",
               .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_rng"), _POS_BITS)))
     sizes = ranged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    extra = [F.sum("_n").over(Window.partitionBy()).alias(total_col)] if total_col else []
+    offsets = sizes.select("_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), *extra)
     return (ranged.join(F.broadcast(offsets), "_rng")
             .withColumn(name, F.col("_off") + F.col("_pos") + 1)
             .drop("_mid", "_rng", "_pos", "_off"))

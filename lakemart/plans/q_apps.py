@@ -1,3 +1,175 @@
 """Queries of the applications: text tagging, rosters, tournament, grades, labels."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from . import standins as S
+from .q_mart import movies_whole
+from .queries import query, r4
+from ..functions.text import tokens
+from ..operators import grades as G, labels as LB, nested as N, ranking, roster as RO, text as TX
+from ..operators import tournament as TR
+from ..session import cut_lineage
+from . import nested_standins as NS
+
+# Parameters of the registered application queries.
+PUBLISHERS = ["AMERICA", "EUROPE"]
+TEAMS = dict(n_teams=8, size=5, seed=42)
+BRACKETS = dict(n=4, seed=7)
+LABEL_LIMIT = 100          # posters fetched in a test run
+SHARDS = 5                 # download processes
+SPLIT = dict(fraction=0.3, seed=7)
+
+
+# ---- text -------------------------------------------------------------------------
+
+@query("text_tokens")
+def text_tokens(spark, d):
+    t = S.news(spark, d).select("ArticleID", tokens("Text").alias("_t"))
+    return t.select("ArticleID", F.size("_t").alias("n_tokens"),
+                    F.size(F.filter("_t", lambda x: x != "")).alias("n_nonempty"))
+
+
+@query("text_keywords")
+def text_keywords(spark, d):
+    return TX.keywords(S.news(spark, d))
+
+
+# ---- heroes -------------------------------------------------------------------------
+
+@query("top_by_alignment")
+def top_by_alignment(spark, d):
+    return ranking.top_by_alignment(S.hero_stats(spark, d), S.hero_info(spark, d), PUBLISHERS, n=10)
+
+
+def _aligned(spark, d):
+    return RO.aligned_heroes(S.hero_stats(spark, d), S.hero_info(spark, d), S.hero_powers(spark, d))
+
+
+@query("roster_align")
+def roster_align(spark, d):
+    s, i, p = _aligned(spark, d)
+    return s.select("name", "total").join(i.select("name", "height"), "name").join(p, "name")
+
+
+@query("roster_draw")
+def roster_draw(spark, d):
+    s, _, _ = _aligned(spark, d)
+    return RO.draw_teams(s, **TEAMS).select("name", "team", "slot")
+
+
+def teams(spark, d):
+    s, i, p = _aligned(spark, d)
+    return RO.build_teams(s, i, p, **TEAMS)
+
+
+TEAM_COLS = ["team_name", "leader", "tank", "damage", "the_other_guy", "the_other_guy2"]
+
+
+@query("roster_teams")
+def roster_teams(spark, d):
+    t = teams(spark, d)
+    return t.select(*TEAM_COLS, r4("top_average_speed").alias("top_average_speed"),
+                    r4("top_average_height").alias("top_average_height"), "flight_count")
+
+
+# ---- tournament ----------------------------------------------------------------------
+
+def _bracketed(spark, d):
+    return TR.draw_brackets(teams(spark, d), **BRACKETS)
+
+
+@query("tour_brackets")
+def tour_brackets(spark, d):
+    return _bracketed(spark, d).select("team_name", "bracket")
+
+
+@query("tour_pairs")
+def tour_pairs(spark, d):
+    return TR.pairs(_bracketed(spark, d)).select("bracket", "team_a", "team_b")
+
+
+@query("tour_scores")
+def tour_scores(spark, d):
+    return TR.score(TR.pairs(_bracketed(spark, d)))
+
+
+@query("tour_bracket_winner")
+def tour_bracket_winner(spark, d):
+    return TR.play_round(_bracketed(spark, d))
+
+
+@query("tour_final")
+def tour_final(spark, d):
+    # the team table is small and re-read by every round: cut its lineage once
+    # (reliable checkpoint in the shared checkpoint folder)
+    t = cut_lineage(teams(spark, d))
+    return TR.tournament(t, **BRACKETS)
+
+
+# ---- grades ---------------------------------------------------------------------------
+
+@query("cogroup_grades")
+def cogroup_grades(spark, d):
+    return G.grade_report(S.grades(spark, d, "F"), S.grades(spark, d, "O"))
+
+
+# ---- labels ---------------------------------------------------------------------------
+
+def _genre_mart(spark, d):
+    ent = N.ENTITIES["genres"]
+    rows = N.explode_entities(movies_whole(spark, d), ent)
+    return movies_whole(spark, d), N.bridge(rows, ent), N.dimension(rows, ent)
+
+
+def _all_pairs(spark, d):
+    return LB.label_pairs(*_genre_mart(spark, d))
+
+
+@query("label_pairs")
+def label_pairs(spark, d):
+    return LB.label_pairs(*_genre_mart(spark, d), n=LABEL_LIMIT)
+
+
+@query("label_shards")
+def label_shards(spark, d):
+    return LB.assign_shards(_all_pairs(spark, d), SHARDS)
+
+
+@query("label_fetch_plan")
+def label_fetch_plan(spark, d):
+    return LB.fetch_plan(LB.assign_shards(_all_pairs(spark, d), SHARDS))
+
+
+@query("label_dictionary")
+def label_dictionary(spark, d):
+    return LB.label_dictionary(_all_pairs(spark, d), label="genre")
+
+
+def _split_embeddings(spark, d):
+    e = S.table(spark, d, "embeddings")
+    return LB.train_validation_split(e, label="label", key="vec_id", **SPLIT)
+
+
+@query("label_split")
+def label_split(spark, d):
+    return _split_embeddings(spark, d).select("vec_id", "label", "split")
+
+
+def _model(spark, d):
+    data = LB.to_features(_split_embeddings(spark, d))
+    model = LB.train_classifier(data.where(F.col("split") == "train"), max_iter=10)
+    return model, data
+
+
+@query("label_classifier")
+def label_classifier(spark, d):
+    model, data = _model(spark, d)
+    return LB.evaluate(model, data)
+
+
+@query("label_ranking")
+def label_ranking(spark, d):
+    model, data = _model(spark, d)
+    return LB.rank_labels(model, data.where(F.col("split") == "validation"), key="vec_id")
