@@ -58,10 +58,18 @@ def _split_points(df: DataFrame, names: list[str], ranges: int, per_range: int,
 
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "rn", ranges: int | None = None,
-                 total_col: str | None = None, per_range: int = 64, seed: int = 17) -> DataFrame:
+                 total_col: str | None = None, per_range: int = 64, seed: int = 17,
+                 materialize: bool = False) -> DataFrame:
     """Exact 1-based ``row_number`` over ascending ``order`` columns (which must
-    form a total order).  ``total_col`` also attaches the total row count."""
+    form a total order).  ``total_col`` also attaches the total row count.
+
+    The input is read four times (count, sample, rows, bucket sizes); with
+    ``materialize`` an expensive input plan (joins, aggregations) is cut once
+    with a reliable checkpoint instead of being recomputed."""
     spark = df.sparkSession
+    if materialize:
+        from ..session import cut_lineage
+        df = cut_lineage(df)
     n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     names = list(order)
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -80,12 +88,12 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "rn", ranges:
 
 
 def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "rn",
-                 ranges: int | None = None) -> DataFrame:
+                 ranges: int | None = None, materialize: bool = False) -> DataFrame:
     """Exact ``row_number() over (partition by group order by order)``, skew-safe."""
     g = list(group)
     if not g:
-        return global_index(df, order, name, ranges)
-    indexed = global_index(df, [*g, *order], "_gix", ranges)
+        return global_index(df, order, name, ranges, materialize=materialize)
+    indexed = global_index(df, [*g, *order], "_gix", ranges, materialize=materialize)
     firsts = indexed.groupBy(*g).agg(F.min("_gix").alias("_first"))
     return (indexed.join(firsts, g)
             .withColumn(name, F.col("_gix") - F.col("_first") + 1)

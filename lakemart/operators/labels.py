@@ -29,10 +29,11 @@ def label_pairs(movies: DataFrame, bridge: DataFrame, dim: DataFrame, n: int | N
     return out
 
 
-def assign_shards(pairs: DataFrame, parts: int, order=("imdb_id", "genre")) -> DataFrame:
+def assign_shards(pairs: DataFrame, parts: int, order=("imdb_id", "genre"),
+                  materialize: bool = False) -> DataFrame:
     """Cut the rows (in ``order``) into ``parts`` contiguous ranges whose sizes
     differ by at most one, larger first (``ntile`` without a one-task window)."""
-    indexed = global_index(pairs, list(order), "_rn", total_col="_total")
+    indexed = global_index(pairs, list(order), "_rn", total_col="_total", materialize=materialize)
     return (indexed.withColumn("shard", balanced_part(F.col("_rn"), F.col("_total"), parts))
             .drop("_rn", "_total"))
 

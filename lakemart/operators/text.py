@@ -35,7 +35,7 @@ def keywords(df: DataFrame, stop: DataFrame | None = None, min_len: int = 3, min
     ``min_freq`` times; the top k per document (ties: token).  Documents with
     no such token give no row."""
     stop = stop if stop is not None else stopword_frame(df.sparkSession)
-    toks = tokenize(df, text, mode, keep=[doc, category])
+    toks = df.select(doc, category, F.explode(tokens(text, mode)).alias("token"))
     toks = toks.where((F.length("token") >= min_len) & ~is_number("token"))
     toks = toks.join(F.broadcast(stop.select(F.col(stop.columns[0]).alias("token"))), "token", "left_anti")
     counts = toks.groupBy(doc, category, "token").agg(F.count(F.lit(1)).alias("Frequency"))

@@ -124,7 +124,9 @@ def _genre_mart(spark, d):
 
 
 def _all_pairs(spark, d):
-    return LB.label_pairs(*_genre_mart(spark, d))
+    # the pairs come out of a three-way join over the parsed metadata and are
+    # re-read by the distributed index: cut their lineage once
+    return cut_lineage(LB.label_pairs(*_genre_mart(spark, d)))
 
 
 @query("label_pairs")

@@ -77,10 +77,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/lakemart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss, unlike localCheckpoint)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and
+    return a scan of it.
+
+    Like a reliable ``checkpoint()`` it survives executor loss (never
+    ``localCheckpoint``), but later reads prune columns and push filters into
+    the scan, which an RDD checkpoint cannot."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def local_path(path: str) -> str:
