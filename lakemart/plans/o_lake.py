@@ -91,3 +91,5 @@ ORACLES["cat_lifecycle"] = """
 SELECT * FROM (VALUES ('create_database', true), ('describe_database', true), ('database_exists', true),
   ('create_table', true), ('create_external', true), ('drop_table', true), ('drop_database', true))
   v(step, ok)"""
+
+ORACLES["stream_conform_ratings"] = ORACLES["prj_conform_ratings"]

@@ -246,3 +246,18 @@ def cat_lifecycle(spark, d):
     C.drop_database(spark, db, cascade=True)
     steps.append(("drop_database", not C.database_exists(spark, db)))
     return spark.createDataFrame(steps, "step string, ok boolean")
+
+
+# ---- incremental (streaming) ingestion ----------------------------------------------
+
+@query("stream_conform_ratings")
+def stream_conform_ratings(spark, d):
+    """Landing ratings arrive as files; an availableNow stream types them into
+    a Parquet table (exactly-once, checkpointed); the table is read back."""
+    from ..streaming.ingest import ingest
+    landing = L.ratings_text(spark, d)
+    target = scratch_path(spark, "stream-ratings")
+    ingest(spark, landing, RATING_COLS, clean.conform_ratings, target,
+           scratch_path(spark, "stream-ratings-ckpt"), trailing_sep=True)
+    r = spark.read.parquet(target)
+    return r.select("user_id", "movie_id", "rating", _ts_text("created_at").alias("created_at"))
