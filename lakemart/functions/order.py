@@ -4,17 +4,20 @@
 key, which any SQL engine with ``md5`` can repeat.
 
 ``global_index`` gives an exact ``row_number`` over a total order without the
-single-partition window that ``row_number().over(Window.orderBy(..))`` plans.
-A bounded sample of the order keys (at most ``ranges * per_range`` rows reach
-the driver) fixes ``ranges - 1`` split points; every row's bucket is then a pure
-function of its key (a binary search written as nested ``CASE``), rows are
-numbered inside their bucket by a window partitioned on the bucket, and a
-tiny table of bucket sizes (one row per bucket, broadcast) turns local numbers
-into global ones.  Because buckets do not depend on how Spark re-samples or
-re-partitions, the size table and the rows always agree, also after task
-retries.  ``index_within`` puts the group columns first in the order, so a
-group that holds a third of all rows is spread over many buckets instead of
-landing in one window task.
+single-partition window that ``row_number().over(Window.orderBy(..))`` plans:
+
+1. ``repartitionByRange(n, order)`` cuts the rows into ``n`` contiguous key
+   ranges (Spark samples the split points);
+2. the range id is written *with the rows* as a Parquet table in the shared
+   checkpoint folder, so every later read sees the same ranges — re-sampling,
+   AQE re-planning or a lost executor cannot move a row to another range;
+3. a table of range sizes (``n`` rows, broadcast) gives each range its offset,
+   and a window partitioned by range id numbers the rows inside it.
+
+Work per task is about ``rows / n``; the driver only sees range boundaries.
+``index_within`` puts the group columns first in the order, so a group that
+holds a third of all rows is spread over many ranges instead of landing in one
+window task.
 """
 
 from __future__ import annotations
@@ -31,69 +34,33 @@ def draw_key(seed: int, *cols) -> Column:
     return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
 
 
-def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
-    """Index of the first bound >= key (0..len(bounds)), by binary search."""
-    def search(lo: int, hi: int) -> Column:  # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key <= bounds[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
-    return search(0, len(bounds))
-
-
-def _split_points(df: DataFrame, names: list[str], ranges: int, per_range: int, seed: int) -> list[tuple]:
-    keys = df.select(*names)
-    total = keys.count()
-    if total == 0 or ranges <= 1:
-        return []
-    want = ranges * per_range
-    frac = min(1.0, 2.0 * want / total)
-    sample = sorted(tuple(r) for r in keys.sample(False, frac, seed).limit(4 * want).collect()
-                    if None not in tuple(r))
-    if not sample:
-        return []
-    step = len(sample) / ranges
-    points = [sample[min(int(step * i), len(sample) - 1)] for i in range(1, ranges)]
-    return sorted(set(points))
-
-
 def global_index(df: DataFrame, order: Sequence[str], name: str = "rn", ranges: int | None = None,
-                 total_col: str | None = None, per_range: int = 64, seed: int = 17,
-                 materialize: bool = False) -> DataFrame:
+                 total_col: str | None = None) -> DataFrame:
     """Exact 1-based ``row_number`` over ascending ``order`` columns (which must
     form a total order).  ``total_col`` also attaches the total row count.
-
-    The input is read four times (count, sample, rows, bucket sizes); with
-    ``materialize`` an expensive input plan (joins, aggregations) is cut once
-    with a reliable checkpoint instead of being recomputed."""
+    The input plan is evaluated once (the map side of the range shuffle)."""
+    from ..session import cut_lineage
     spark = df.sparkSession
-    if materialize:
-        from ..session import cut_lineage
-        df = cut_lineage(df)
     n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     names = list(order)
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    points = _split_points(df, names, n, per_range, seed)
-    key = F.struct(*[F.col(c).alias(c) for c in names])
-    bounds = [F.struct(*[F.lit(v).cast(fields[c]).alias(c) for c, v in zip(names, p)]) for p in points]
-    b = df.withColumn("_b", _bucket_expr(key, bounds) if bounds else F.lit(0))
-    local = b.withColumn("_pos", F.row_number().over(Window.partitionBy("_b").orderBy(*names)))
-    sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    landed = cut_lineage(df.repartitionByRange(n, *names).withColumn("_r", F.spark_partition_id()), "index")
+    sizes = landed.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     extra = [F.sum("_n").over(Window.partitionBy()).alias(total_col)] if total_col else []
-    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), *extra)
-    return (local.join(F.broadcast(offsets), "_b")           # one row per bucket: bounded by ranges
+    offsets = sizes.select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"), *extra)
+    local = landed.withColumn("_pos", F.row_number().over(Window.partitionBy("_r").orderBy(*names)))
+    return (local.join(F.broadcast(offsets), "_r")           # one row per range: bounded by ranges
             .withColumn(name, F.col("_off") + F.col("_pos"))
-            .drop("_b", "_pos", "_off"))
+            .drop("_r", "_pos", "_off"))
 
 
 def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "rn",
-                 ranges: int | None = None, materialize: bool = False) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Exact ``row_number() over (partition by group order by order)``, skew-safe."""
     g = list(group)
     if not g:
-        return global_index(df, order, name, ranges, materialize=materialize)
-    indexed = global_index(df, [*g, *order], "_gix", ranges, materialize=materialize)
+        return global_index(df, order, name, ranges)
+    indexed = global_index(df, [*g, *order], "_gix", ranges)
     firsts = indexed.groupBy(*g).agg(F.min("_gix").alias("_first"))
     return (indexed.join(firsts, g)
             .withColumn(name, F.col("_gix") - F.col("_first") + 1)

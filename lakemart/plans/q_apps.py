@@ -117,21 +117,25 @@ def cogroup_grades(spark, d):
 
 # ---- labels ---------------------------------------------------------------------------
 
-def _genre_mart(spark, d):
+def _genre_mart(spark, d, land: bool = True):
+    # movies, bridge and dimension all derive from the same parsed metadata:
+    # land the three columns they need once instead of re-deriving it per branch
     ent = N.ENTITIES["genres"]
-    rows = N.explode_entities(movies_whole(spark, d), ent)
-    return movies_whole(spark, d), N.bridge(rows, ent), N.dimension(rows, ent)
+    meta = movies_whole(spark, d).select("id", "imdb_id", ent.column)
+    if land:
+        meta = cut_lineage(meta, "genre-meta")
+    rows = N.explode_entities(meta, ent)
+    return meta, N.bridge(rows, ent), N.dimension(rows, ent)
 
 
 def _all_pairs(spark, d):
-    # the pairs come out of a three-way join over the parsed metadata and are
-    # re-read by the distributed index: cut their lineage once
-    return cut_lineage(LB.label_pairs(*_genre_mart(spark, d)))
+    return LB.label_pairs(*_genre_mart(spark, d))
 
 
 @query("label_pairs")
 def label_pairs(spark, d):
-    return LB.label_pairs(*_genre_mart(spark, d), n=LABEL_LIMIT)
+    # a top-n over the join: one pass, nothing to land
+    return LB.label_pairs(*_genre_mart(spark, d, land=False), n=LABEL_LIMIT)
 
 
 @query("label_shards")
