@@ -112,10 +112,12 @@ def surrogate_key(names: DataFrame, name_col: str, key_col: str) -> DataFrame:
 
 
 def genre_ids(movies: DataFrame, genre_dim: DataFrame, genres: str = "genres",
-              key_col: str = "genre_id", name_col: str = "genre_name") -> DataFrame:
-    """Per (movie_id, title, movie_year) the sorted set of genre keys; movies
-    whose genres match no dimension row drop out."""
+              key_col: str = "genre_id", name_col: str = "genre_name", as_set: bool = True) -> DataFrame:
+    """Per (movie_id, title, movie_year) the sorted genre keys — a set
+    (``as_set``) or a list keeping repeats; movies whose genres match no
+    dimension row drop out."""
     exploded = movies.select("movie_id", "title", "movie_year", F.explode(genres).alias("_g"))
     joined = exploded.join(genre_dim, exploded._g == genre_dim[name_col])
+    collect = F.collect_set if as_set else F.collect_list
     return (joined.groupBy("movie_id", "title", "movie_year")
-            .agg(F.array_sort(F.collect_set(key_col)).alias("genre_ids")))
+            .agg(F.array_sort(collect(key_col)).alias("genre_ids")))

@@ -28,6 +28,16 @@ def ratings_text(spark, d) -> str:
     return path
 
 
+def tags_text(spark, d) -> str:
+    """Header-less tags CSV: user, movie, tag, MM/dd/yyyy HH:mm:ss."""
+    t = S.tags(spark, d)
+    out = t.select(F.col("user_id").cast("string"), F.col("movie_id").cast("string"), "tag",
+                   F.date_format("created_at", "MM/dd/yyyy HH:mm:ss"))
+    path = scratch_path(spark, "landing-tags")
+    out.write.option("header", False).csv(path)
+    return path
+
+
 def users_text(spark, d) -> str:
     """Header-less users CSV: birth date as M/d/yyyy, registration as MM/dd/yyyy."""
     u = S.users(spark, d)

@@ -25,6 +25,7 @@ from ..sources import sinks as K
 RATING_COLS = ["user_id", "movie_id", "rating", "created_at"]
 USER_COLS = ["user_id", "first_name", "last_name", "birth_date", "country", "registration_date"]
 MOVIE_COLS = ["movie_id", "title", "genres"]
+TAG_COLS = ["user_id", "movie_id", "tag", "created_at"]
 SCRATCH_DB = "lakemart_scratch"
 
 
@@ -187,7 +188,9 @@ TAG_LIST_SCHEMA = StructType([StructField("user_id", IntegerType()), StructField
 def snk_insert_into(spark, d):
     table = _scratch_table(spark, "tags_with_list")
     C.create_table(spark, table, TAG_LIST_SCHEMA)
-    lists = tagops.tag_lists(S.tags(spark, d))
+    # landing text -> typed tags -> list per (user, movie) -> positional insert
+    landed = clean.conform_tags(R.read_delimited(spark, L.tags_text(spark, d), TAG_COLS))
+    lists = tagops.tag_lists(landed)
     back = K.insert_into(lists.select(*TAG_LIST_SCHEMA.fieldNames()), table)
     return back.select("user_id", "movie_id", F.array_join("tags", ",").alias("tags"))
 

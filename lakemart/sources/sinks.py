@@ -18,13 +18,15 @@ def save_partitioned(df: DataFrame, path: str, table: str, keys: Sequence[str],
                      fmt: str = "parquet") -> DataFrame:
     """Dynamic-partition write by ``keys`` (they move to the end of the schema).
 
-    Rows are clustered by the keys first so that each writer task opens few
-    partition directories; with dynamic overwrite a re-run replaces only the
-    partitions present in ``df``.
+    Rows are clustered by the keys with a ``rebalance`` hint, so each writer
+    task opens few partition directories while AQE still splits a key that
+    holds a large share of the rows over several tasks (a plain
+    ``repartition(keys)`` would give such a key to one task).  With dynamic
+    overwrite a re-run replaces only the partitions present in ``df``.
     """
     keys = list(keys)
     ordered = df.select(*[c for c in df.columns if c not in keys], *keys)
-    (ordered.repartition(*keys).write.partitionBy(*keys).option("path", path)
+    (ordered.hint("rebalance", *keys).write.partitionBy(*keys).option("path", path)
      .mode("overwrite").saveAsTable(table, format=fmt))
     return df.sparkSession.table(table)
 
@@ -53,6 +55,8 @@ def export_parquet(spark: SparkSession, table: str, prefix: str) -> str:
 
 def write_csv(df: DataFrame, path: str, header: bool = True, keys: Sequence[str] | None = None) -> str:
     """CSV out; ``keys`` gives one directory per key value (e.g. good / bad)."""
+    if keys:
+        df = df.hint("rebalance", *keys)   # clustered by key, hot keys split by AQE
     w = df.write.mode("overwrite").option("header", header)
     if keys:
         w = w.partitionBy(*keys)
