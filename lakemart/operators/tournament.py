@@ -4,7 +4,8 @@ The team table is bounded by construction (``n_teams`` rows from the roster
 draw), so the bracket draw may order it in one window and the pair table of a
 bracket (n·(n−1)/2 pairs of at most ``ceil(n_teams/n_brackets)`` teams) is the
 operator's requested output, not a data-proportional blow-up.  Every round is
-the same lazy function applied to the winners of the previous one.
+the same function applied to the winners of the previous one, over a small
+landed bracket table.
 """
 
 from __future__ import annotations
@@ -63,18 +64,24 @@ def play_round(bracketed: DataFrame) -> DataFrame:
 
 def tournament(teams: DataFrame, n: int = 4, seed: int = 7) -> DataFrame:
     """Brackets -> winners; winners of brackets 2k and 2k+1 meet in the next
-    round until one bracket is left.  Rows: (round, bracket, winner, wins)."""
+    round until one bracket is left.  Rows: (round, bracket, winner, wins).
+
+    A round reads its bracket table three times (both pair sides and the
+    member list), so each round's input is landed as a small table (at most
+    ``n_teams`` rows) in the checkpoint folder: without the cut, round r would
+    nest 3^r copies of the first round's plan."""
+    from ..session import cut_lineage
     rounds = []
-    current = draw_brackets(teams, n, seed)
+    current = cut_lineage(draw_brackets(teams, n, seed), "bracket")
     width, rnd = n, 1
-    while True:  # a fixed number of rounds (log2 n), each a lazy plan over the previous
+    while True:  # ceil(log2 n) + 1 rounds, each over the landed winners of the previous one
         result = play_round(current)
         rounds.append(result.withColumn("round", F.lit(rnd)))
         if width <= 1:
             break
         nxt = result.select(F.floor(F.col("bracket") / 2).cast("int").alias("bracket"),
                             F.col("winner").alias("team_name"))
-        current = nxt.join(teams.select("team_name", *STATS), "team_name")
+        current = cut_lineage(nxt.join(teams.select("team_name", *STATS), "team_name"), "bracket")
         width, rnd = (width + 1) // 2, rnd + 1
     out = rounds[0]
     for r in rounds[1:]:

@@ -77,12 +77,14 @@ def roster_teams(spark, d):
 # ---- tournament ----------------------------------------------------------------------
 
 def _bracketed(spark, d):
-    return TR.draw_brackets(teams(spark, d), **BRACKETS)
+    # pairs read the bracket table twice and the winner step a third time: land
+    # it once (at most n_teams rows)
+    return cut_lineage(TR.draw_brackets(teams(spark, d), **BRACKETS), "bracket")
 
 
 @query("tour_brackets")
 def tour_brackets(spark, d):
-    return _bracketed(spark, d).select("team_name", "bracket")
+    return TR.draw_brackets(teams(spark, d), **BRACKETS).select("team_name", "bracket")
 
 
 @query("tour_pairs")
