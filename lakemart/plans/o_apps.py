@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.fixed import STOPWORDS, TOKEN_SPLIT_STRICT
-from .oracles import INFO, IMDB, ITEMS, KEPT, ORACLES, POWERS, STATS, TOP_HEROES, _with
+from .oracles import R4, INFO, IMDB, ITEMS, KEPT, ORACLES, POWERS, STATS, TOP_HEROES, _with
 from .q_apps import BRACKETS, LABEL_LIMIT, SHARDS, SPLIT, TEAMS
 
 
@@ -78,8 +78,9 @@ SELECT s.name, s.total, i.height, p.flight FROM s JOIN i USING (name) JOIN p USI
 ORACLES["roster_draw"] = _with(STATS, INFO, POWERS, ALIGNED, DRAWN) + "SELECT name, team, slot FROM drawn"
 
 ORACLES["roster_teams"] = TEAM_SQL + """
-SELECT team_name, leader, tank, damage, the_other_guy, the_other_guy2, round(top_average_speed, 4) AS top_average_speed,
-  round(top_average_height, 4) AS top_average_height, flight_count FROM teams"""
+SELECT team_name, leader, tank, damage, the_other_guy, the_other_guy2,
+  """ + R4("top_average_speed") + """ AS top_average_speed,
+  """ + R4("top_average_height") + """ AS top_average_height, flight_count FROM teams"""
 
 _N = BRACKETS["n"]
 B1 = f"""b1 AS (SELECT team_name, top_average_speed, top_average_height, flight_count,

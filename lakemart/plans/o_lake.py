@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracles import (INFO, ORACLES, POWERS, RATINGS_RAW, RAW_MOVIES, STATS, TAGS, TOP_HEROES, USERS,
+from .oracles import (R4, INFO, ORACLES, POWERS, RATINGS_RAW, RAW_MOVIES, STATS, TAGS, TOP_HEROES, USERS,
                       USERS_REPORT, _with, title_sql, year_sql)
 from .standins import SEGMENT_ALIGNMENT
 
@@ -83,7 +83,7 @@ ORACLES["snk_export"] = _with(USERS) + USERS_REPORT
 ORACLES["snk_insert_into"] = _with(TAGS) + """
 SELECT user_id, movie_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM tags GROUP BY user_id, movie_id"""
 ORACLES["snk_ctas"] = _with(RATINGS_RAW) + """
-SELECT movieId, round(avg(rating), 4) AS vote_average, CAST(count(rating) AS INTEGER) AS vote_count
+SELECT movieId, """ + R4("avg(rating)") + """ AS vote_average, CAST(count(rating) AS INTEGER) AS vote_count
 FROM ratings_raw GROUP BY movieId"""
 ORACLES["snk_csv"] = _with(STATS, INFO, TOP_HEROES) + "SELECT * FROM top_heroes"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracles import IMDB, ITEMS, KEPT, ORACLES, RATINGS_RAW, RAW_MOVIES, _with, title_sql, year_sql
+from .oracles import R4, IMDB, ITEMS, KEPT, ORACLES, RATINGS_RAW, RAW_MOVIES, _with, title_sql, year_sql
 
 # (dimension key, dimension name, bridge extras, deny-filtered source?)
 _ENTITY_SQL = {
@@ -30,7 +30,7 @@ SELECT CAST(o_orderkey AS INTEGER) AS id, {', '.join(
 FROM orders LEFT JOIN items ON l_orderkey = o_orderkey GROUP BY o_orderkey"""
 
 ORACLES["mart_votes"] = _with(RATINGS_RAW) + """
-SELECT movieId, round(avg(rating), 4) AS vote_average, CAST(count(rating) AS INTEGER) AS vote_count
+SELECT movieId, """ + R4("avg(rating)") + """ AS vote_average, CAST(count(rating) AS INTEGER) AS vote_count
 FROM ratings_raw GROUP BY movieId"""
 
 ORACLES["mart_ratings"] = _with(RATINGS_RAW) + "SELECT userId, movieId, rating FROM ratings_raw"
@@ -44,7 +44,7 @@ SELECT CAST(o_orderkey AS INTEGER) AS id, substring(imdb, 3) AS imdb_id,
   o_totalprice / 1000 AS popularity, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS release_date,
   CAST(floor(o_totalprice * 10000) AS BIGINT) AS revenue, 90.0 + o_totalprice % 60 AS runtime,
   o_orderstatus AS status, 'Movie ' || CAST(o_orderkey AS VARCHAR) AS title,
-  round(v.va, 4) AS vote_average, v.vc AS vote_count
+  {R4("v.va")} AS vote_average, v.vc AS vote_count
 FROM m LEFT JOIN votes v ON v.movieId = CAST(o_orderkey AS INTEGER)
 WHERE imdb NOT IN ('0', 'tt0113002', 'tt2423504', 'tt2622826')"""
 

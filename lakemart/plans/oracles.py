@@ -25,6 +25,11 @@ USERS = """users AS (SELECT CAST(c_custkey AS INTEGER) AS user_id,
     ON c_custkey = f.o_custkey)"""
 
 
+def R4(expr: str) -> str:
+    """Same report rounding as ``queries.r4``."""
+    return f"(floor(({expr}) * 10000 + 0.500001) / 10000)"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -36,14 +41,14 @@ ORACLES["fact_top_titles"] = _with(RATINGS, MOVIES, f"""t AS (
   WHERE created_at >= TIMESTAMP '{TOP_TITLES['y0']}-01-01' AND created_at < TIMESTAMP '{TOP_TITLES['y1'] + 1}-01-01'
   GROUP BY title HAVING avg(rating) >= {TOP_TITLES['min_avg']}
   ORDER BY s DESC, title LIMIT {TOP_TITLES['n']})""") + """
-SELECT title, s AS rating_sum, round(a, 4) AS average_rating FROM t"""
+SELECT title, s AS rating_sum, """ + R4("a") + """ AS average_rating FROM t"""
 
 ORACLES["fact_rating_by_year"] = _with(RATINGS) + """
-SELECT movie_id, CAST(year(created_at) AS INTEGER) AS movie_year, round(avg(rating), 4) AS average_rating
+SELECT movie_id, CAST(year(created_at) AS INTEGER) AS movie_year, """ + R4("avg(rating)") + """ AS average_rating
 FROM ratings GROUP BY movie_id, year(created_at)"""
 
 ORACLES["fact_popular_titles"] = _with(RATINGS, MOVIES) + f"""
-SELECT title, round(avg(rating), 4) AS average_rating, count(rating) AS rating_count
+SELECT title, {R4("avg(rating)")} AS average_rating, count(rating) AS rating_count
 FROM ratings JOIN movies USING (movie_id) GROUP BY title
 HAVING avg(rating) > {POPULAR['min_avg']} AND count(rating) >= {POPULAR['min_count']}"""
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import (ArrayType, IntegerType, StringType, StructField,
 from . import landing as L
 from . import nested_standins as NS
 from . import standins as S
-from .queries import query
+from .queries import query, r4
 from ..functions.fixed import DENY_IMDB_IDS
 from ..operators import clean, facts, tags as tagops
 from ..session import scratch_path
@@ -203,7 +203,7 @@ def snk_ctas(spark, d):
     back = K.create_table_as(spark, table, f"""
         SELECT movieId, avg(rating) AS vote_average, CAST(count(rating) AS INT) AS vote_count
         FROM {view} GROUP BY movieId""")
-    return back.select("movieId", F.round("vote_average", 4).alias("vote_average"), "vote_count")
+    return back.select("movieId", r4("vote_average").alias("vote_average"), "vote_count")
 
 
 @query("snk_export")

@@ -31,8 +31,17 @@ def query(name: str):
     return register
 
 
+# Report rounding to 4 places, written as plain IEEE arithmetic so that Spark
+# and the SQL oracle round identically: engines disagree on exact decimal ties
+# (Spark rounds the decimal representation half-up, others scale the binary
+# value), and a sum's last bit depends on the order of addition.  The 1e-10
+# nudge is far above that noise, so exact ties round up in every engine.
+ROUND_SCALE, ROUND_NUDGE = 10000, 0.500001
+
+
 def r4(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 4)
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c * ROUND_SCALE + ROUND_NUDGE) / ROUND_SCALE
 
 
 # ---- facts -----------------------------------------------------------------------
