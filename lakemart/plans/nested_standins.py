@@ -99,6 +99,13 @@ def metadata_text(spark, d) -> DataFrame:
                     F.lit(0).alias("vote_count"), "cast", "keywords"))
 
 
+def movies_whole(spark, d) -> DataFrame:
+    """Metadata with the deny list applied and the id prefix cut."""
+    from ..functions.fixed import DENY_IMDB_IDS
+    from ..operators.clean import deny_and_strip
+    return deny_and_strip(metadata_text(spark, d), "imdb_id", DENY_IMDB_IDS)
+
+
 def credits_text(spark, d) -> DataFrame:
     return metadata_text(spark, d).select("cast", F.lit(None).cast("string").alias("crew"), "id")
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import nested_standins as NS
 from . import standins as S
-from .q_mart import movies_whole
-from .queries import query, r4
+from .registry import query, r4
 from ..functions.text import tokens
 from ..operators import grades as G, labels as LB, nested as N, ranking, roster as RO, text as TX
 from ..operators import tournament as TR
 from ..session import cut_lineage
-from . import nested_standins as NS
 
 # Parameters of the registered application queries.
 PUBLISHERS = ["AMERICA", "EUROPE"]
@@ -123,7 +122,7 @@ def _genre_mart(spark, d, land: bool = True):
     # movies, bridge and dimension all derive from the same parsed metadata:
     # land the three columns they need once instead of re-deriving it per branch
     ent = N.ENTITIES["genres"]
-    meta = movies_whole(spark, d).select("id", "imdb_id", ent.column)
+    meta = NS.movies_whole(spark, d).select("id", "imdb_id", ent.column)
     if land:
         meta = cut_lineage(meta, "genre-meta")
     rows = N.explode_entities(meta, ent)

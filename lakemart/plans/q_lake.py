@@ -14,9 +14,9 @@ from pyspark.sql.types import (ArrayType, IntegerType, StringType, StructField,
 from . import landing as L
 from . import nested_standins as NS
 from . import standins as S
-from .queries import query, r4
+from .registry import query, r4
 from ..functions.fixed import DENY_IMDB_IDS
-from ..operators import clean, facts, tags as tagops
+from ..operators import clean, tags as tagops
 from ..session import scratch_path
 from ..sources import catalog as C
 from ..sources import readers as R

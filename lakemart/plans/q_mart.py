@@ -6,16 +6,13 @@ from pyspark.sql import functions as F
 
 from . import landing as L
 from . import nested_standins as NS
-from .queries import query, r4
-from ..functions.fixed import DENY_IMDB_IDS
+from .registry import query, r4
 from ..functions.nested import parse_array
 from ..operators import clean, facts, nested as N
 from ..sources import readers as R
 
 
-def movies_whole(spark, d):
-    """Metadata with the deny list applied and the id prefix cut."""
-    return clean.deny_and_strip(NS.metadata_text(spark, d), "imdb_id", DENY_IMDB_IDS)
+movies_whole = NS.movies_whole
 
 
 def _source(spark, d, ent: N.Entity):

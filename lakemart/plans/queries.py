@@ -8,42 +8,18 @@ oracle in ``oracles.py``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import standins as S
+from .registry import QUERIES, query, r4  # noqa: F401  (QUERIES is the public table)
 from ..operators import facts, tags as tagops
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
 # Parameters of the registered queries (the stand-in data has ratings 1-50 and
 # ship dates 1995-2001, so the reference's 4.0 / 2005-2015 become 25 / 1996-1999).
 TOP_TITLES = dict(y0=1996, y1=1999, min_avg=25.0, n=10)
 POPULAR = dict(min_avg=25.5, min_count=100)
 
 
-def query(name: str):
-    def register(fn):
-        QUERIES[name] = fn
-        return fn
-    return register
-
-
-# Report rounding to 4 places, written as plain IEEE arithmetic so that Spark
-# and the SQL oracle round identically: engines disagree on exact decimal ties
-# (Spark rounds the decimal representation half-up, others scale the binary
-# value), and a sum's last bit depends on the order of addition.  The 1e-10
-# nudge is far above that noise, so exact ties round up in every engine.
-ROUND_SCALE, ROUND_NUDGE = 10000, 0.500001
-
-
-def r4(c) -> F.Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c * ROUND_SCALE + ROUND_NUDGE) / ROUND_SCALE
-
-
 # ---- facts -----------------------------------------------------------------------
 
 @query("fact_top_titles")

@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lakemart.operators import clean
