@@ -39,8 +39,13 @@ def imdb_id(orderkey: Column, priority: Column, status: Column) -> Column:
 
 
 def _items(spark, d) -> DataFrame:
-    li = S.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                              "l_returnflag")
+    # Shuffle the narrow raw columns by order first: the per-order list
+    # aggregation needs exactly this partitioning (no second exchange), and the
+    # wide element strings are then built in parallel after the shuffle instead
+    # of being shuffled themselves.  Dimension joins are broadcast-side only.
+    li = (S.table(spark, d, "lineitem")
+          .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+          .repartition("l_orderkey"))
     p = S.table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size")
     s = S.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = S.table(spark, d, "nation")   # 25 rows by definition

@@ -9,6 +9,8 @@ from . import nested_standins as NS
 from .registry import query, r4
 from ..functions.nested import parse_array
 from ..operators import clean, facts, nested as N
+from ..functions.fixed import DENY_IMDB_IDS
+from ..session import cut_lineage
 from ..sources import readers as R
 
 
@@ -67,8 +69,13 @@ def mart_movies(spark, d):
 
 @query("mart_star_counts")
 def mart_star_counts(spark, d):
-    star = N.star_schema(movies_whole(spark, d), NS.credits_text(spark, d), NS.keywords_text(spark, d),
-                         NS.ratings_raw(spark, d))
+    # all 14 tables read the parsed metadata, each with its own column set:
+    # land it once (Parquet in the checkpoint folder) instead of rebuilding it
+    # per table
+    meta = cut_lineage(NS.metadata_text(spark, d), "metadata")
+    movies = clean.deny_and_strip(meta, "imdb_id", DENY_IMDB_IDS)
+    credits = meta.select("cast", F.lit(None).cast("string").alias("crew"), "id")
+    star = N.star_schema(movies, credits, meta.select("id", "keywords"), NS.ratings_raw(spark, d))
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
              for name, df in star.items()]
     out = parts[0]
