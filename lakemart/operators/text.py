@@ -1,9 +1,12 @@
 """Keyword tagging: the k most frequent tokens of each document.
 
-Documents are exploded to tokens first, so counting is one distributed
-aggregation on (document, token) with map-side combine — a 20,000-word
-document contributes one row per distinct token to the shuffle.  The stop
-list is a bounded lookup (a fixed list) and is broadcast into a left-anti join.
+Plan: one shuffle of the documents by id, then everything per document stays
+in its task — tokenize, filter, anti-join the broadcast stop list (a fixed,
+bounded list), count (document, token), keep the top k.  The hash partitioning
+on the document id satisfies both the (document, category, token) aggregation
+and the per-document window, so no per-token rows are shuffled at all (for
+natural text they are wider than the text itself) and the tokenizing work is
+spread over all tasks whatever the input file layout.
 """
 
 from __future__ import annotations
@@ -35,7 +38,8 @@ def keywords(df: DataFrame, stop: DataFrame | None = None, min_len: int = 3, min
     ``min_freq`` times; the top k per document (ties: token).  Documents with
     no such token give no row."""
     stop = stop if stop is not None else stopword_frame(df.sparkSession)
-    toks = df.select(doc, category, F.explode(tokens(text, mode)).alias("token"))
+    docs = df.select(doc, category, text).repartition(doc)
+    toks = docs.select(doc, category, F.explode(tokens(text, mode)).alias("token"))
     toks = toks.where((F.length("token") >= min_len) & ~is_number("token"))
     toks = toks.join(F.broadcast(stop.select(F.col(stop.columns[0]).alias("token"))), "token", "left_anti")
     counts = toks.groupBy(doc, category, "token").agg(F.count(F.lit(1)).alias("Frequency"))
