@@ -40,7 +40,7 @@ ORACLES["src_parquet"] = """
 SELECT o_orderstatus, count(*) AS orders, max(o_totalprice) AS max_totalprice FROM orders GROUP BY o_orderstatus"""
 
 ORACLES["src_labelled_files"] = """
-SELECT CAST(label AS VARCHAR) AS label, sum(length(CAST(vec_id AS VARCHAR)) + 1) AS n_bytes
+SELECT CAST(label AS VARCHAR) AS label, CAST(sum(length(CAST(vec_id AS VARCHAR)) + 1) AS BIGINT) AS n_bytes
 FROM embeddings GROUP BY label"""
 
 _CONFORMED = """SELECT CAST(l_suppkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS movie_id,
