@@ -76,6 +76,7 @@ def mart_star_counts(spark, d):
     movies = clean.deny_and_strip(meta, "imdb_id", DENY_IMDB_IDS)
     credits = meta.select("cast", F.lit(None).cast("string").alias("crew"), "id")
     star = N.star_schema(movies, credits, meta.select("id", "keywords"), NS.ratings_raw(spark, d))
+    # (sources.sinks.save_star_schema writes the same 14 tables as external tables)
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
              for name, df in star.items()]
     out = parts[0]

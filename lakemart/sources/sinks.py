@@ -66,3 +66,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True, keys: Sequence[str]
 
 def preview(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
+
+
+def save_star_schema(tables: dict[str, DataFrame], root: str, database: str) -> dict[str, DataFrame]:
+    """Write every mart table as an external Parquet table ``database.name`` at
+    ``root/name`` (one distributed write each) and return catalog scans."""
+    spark = next(iter(tables.values())).sparkSession
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`")
+    return {name: save_external(df, f"{root.rstrip('/')}/{name}", f"{database}.{name}")
+            for name, df in tables.items()}

@@ -108,3 +108,17 @@ def test_incremental_ingest_picks_up_only_new_files(spark):
     ingest(spark, landing, cols, clean.conform_ratings, target, ckpt, trailing_sep=True)
     rows = spark.read.parquet(target).orderBy("user_id").collect()
     assert [r.user_id for r in rows] == [1, 2, 3] and rows[1].rating is None
+
+
+def test_save_star_schema_writes_external_tables(spark):
+    from conftest import SF001
+    from lakemart.operators import nested as N
+    from lakemart.plans import nested_standins as NS
+    star = N.star_schema(NS.movies_whole(spark, SF001), NS.credits_text(spark, SF001),
+                         NS.keywords_text(spark, SF001), NS.ratings_raw(spark, SF001))
+    saved = K.save_star_schema(star, scratch_path(spark, "t-mart"), "t_mart")
+    assert len(saved) == 14
+    for name, df in star.items():
+        assert C.table_type(spark, f"t_mart.{name}") == "EXTERNAL"
+        assert saved[name].count() == df.count(), name
+    spark.sql("DROP SCHEMA t_mart CASCADE")
