@@ -123,3 +123,22 @@ def test_global_index_with_nulls_and_single_range(spark):
     got = sorted((r.k is None, r.k, r.rn) for r in global_index(df, ['k', 'i'], 'rn', ranges=3).collect())
     assert [x[2] for x in sorted(got, key=lambda t: t[2])] == [1, 2, 3, 4, 5]
     assert {r.k: r.rn for r in global_index(df.where('k is not null'), ['k'], 'rn', ranges=1).collect()} == {'a': 1, 'b': 2, 'c': 3}
+
+
+def test_global_index_empty_and_more_ranges_than_rows(spark):
+    empty = spark.createDataFrame([], "k string")
+    assert global_index(empty, ["k"], "rn", ranges=4).count() == 0
+    small = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
+    assert {r.k: r.rn for r in global_index(small, ["k"], "rn", ranges=16).collect()} == {"a": 1, "b": 2, "c": 3}
+
+
+def test_fewer_rows_than_shards(spark):
+    df = spark.createDataFrame([("x", "g"), ("y", "g")], "imdb_id string, genre string")
+    assert sorted(r.shard for r in labels.assign_shards(df, 5).collect()) == [0, 1]
+
+
+def test_tournament_with_one_team(spark):
+    t = spark.createDataFrame([("Solo", 1.0, 1.0, 1)],
+                              "team_name string, top_average_speed double, top_average_height double, flight_count int")
+    out = TR.tournament(t, n=4, seed=1).collect()
+    assert {r.winner for r in out} == {"Solo"} and len(out) == 3
