@@ -53,10 +53,14 @@ def export_parquet(spark: SparkSession, table: str, prefix: str) -> str:
     return path
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, keys: Sequence[str] | None = None) -> str:
-    """CSV out; ``keys`` gives one directory per key value (e.g. good / bad)."""
+def write_csv(df: DataFrame, path: str, header: bool = True, keys: Sequence[str] | None = None,
+              order: Sequence | None = None) -> str:
+    """CSV out; ``keys`` gives one directory per key value (e.g. good / bad);
+    ``order`` sorts the rows inside each written file."""
     if keys:
         df = df.hint("rebalance", *keys)   # clustered by key, hot keys split by AQE
+    if order:
+        df = df.sortWithinPartitions(*order)
     w = df.write.mode("overwrite").option("header", header)
     if keys:
         w = w.partitionBy(*keys)
