@@ -8,7 +8,6 @@ must materialise data (landing files, sinks, lineage cuts).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,15 +59,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) a private one is created.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="lakemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
@@ -93,8 +90,3 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so that Python-side helpers can list the path."""
     return path[5:] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
