@@ -15,17 +15,21 @@ def string_schema(names: Sequence[str]) -> StructType:
 
 
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] | StructType,
-                   sep: str = ",", trailing_sep: bool = False) -> DataFrame:
+                   sep: str = ",", trailing_sep: bool = False, quotes: bool = True) -> DataFrame:
     """Header-less delimited landing read, every column as text.
 
-    Quoted fields are honoured.  ``trailing_sep`` reads the empty field that a
-    separator at the end of each line produces and drops it.
+    Quoted fields are honoured; ``quotes=False`` splits on every separator like
+    a plain delimited text table (a quoted comma then shifts the columns).
+    ``trailing_sep`` reads the empty field that a separator at the end of each
+    line produces and drops it.
     """
     names = columns.fieldNames() if isinstance(columns, StructType) else list(columns)
     read_names = names + (["_trailing"] if trailing_sep else [])
-    df = (spark.read.schema(string_schema(read_names)).option("sep", sep)
-          .option("header", False).option("mode", "PERMISSIVE").csv(path))
-    return df.select(*names)
+    reader = (spark.read.schema(string_schema(read_names)).option("sep", sep)
+              .option("header", False).option("mode", "PERMISSIVE"))
+    if not quotes:
+        reader = reader.option("quote", "\u0000")
+    return reader.csv(path).select(*names)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:

@@ -29,6 +29,14 @@ def test_read_delimited_quotes_and_trailing_separator(spark):
     assert [r.rating for r in integral] == [3, 4]
 
 
+def test_read_delimited_without_quotes_splits_every_separator(spark):
+    p = _write(scratch_path(spark, "t-noquote"), "m.csv", '1,"Foo, The (1995)",Drama\n')
+    honoured = R.read_delimited(spark, p, ["movie_id", "title", "genres"]).collect()[0]
+    plain = R.read_delimited(spark, p, ["movie_id", "title", "genres"], quotes=False).collect()[0]
+    assert (honoured.title, honoured.genres) == ("Foo, The (1995)", "Drama")
+    assert (plain.title, plain.genres) == ('"Foo', ' The (1995)"')
+
+
 def test_conform_users_bad_dates_are_null(spark):
     p = _write(scratch_path(spark, "t-users"), "u.csv", "7,Ann,Lee,13/45/1990,GE,02/03/2015\nx,Bo,Li,,GE,bad\n")
     rows = clean.conform_users(R.read_delimited(spark, p, ["user_id", "first_name", "last_name", "birth_date",
