@@ -33,7 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", "8g")
+               .config("spark.driver.memory", "4g")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakemart-warehouse-")))
     for key, value in {**DEFAULTS, **(extra or {})}.items():
