@@ -60,9 +60,10 @@ def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name
     g = list(group)
     if not g:
         return global_index(df, order, name, ranges)
+    from .joins import join_null_safe
     indexed = global_index(df, [*g, *order], "_gix", ranges)
     firsts = indexed.groupBy(*g).agg(F.min("_gix").alias("_first"))
-    return (indexed.join(firsts, g)
+    return (join_null_safe(indexed, firsts, g)
             .withColumn(name, F.col("_gix") - F.col("_first") + 1)
             .drop("_gix", "_first"))
 

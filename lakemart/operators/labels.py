@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_null_safe
 from ..functions.order import balanced_part, draw_key, global_index, index_within
 
 
@@ -56,7 +57,7 @@ def fetch_plan(sharded: DataFrame, root: str = "images", ext: str = "jpg") -> Da
     def path(genre):
         return F.concat_ws("/", F.lit(root), genre, F.concat(F.col("imdb_id"), F.lit("." + ext)))
 
-    j = sharded.join(firsts, ["shard", "imdb_id"])
+    j = join_null_safe(sharded, firsts, ["shard", "imdb_id"])
     first = F.col("genre") == F.col("_first")
     return j.select("shard", "imdb_id", "genre",
                     F.when(first, F.lit("fetch")).otherwise(F.lit("copy")).alias("action"),
@@ -78,7 +79,7 @@ def train_validation_split(df: DataFrame, fraction: float = 0.3, label: str = "l
     keyed = df.withColumn("_draw", draw_key(seed, key))
     ranked = index_within(keyed, [label], ["_draw", key], "_rn")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    j = ranked.join(sizes, label)
+    j = join_null_safe(ranked, sizes, [label])
     val = F.col("_rn") <= F.floor(F.col("_n") * F.lit(fraction))
     return j.withColumn("split", F.when(val, "validation").otherwise("train")).drop("_draw", "_rn", "_n")
 

@@ -94,3 +94,17 @@ def test_clamp_and_fill(spark):
 def test_deny_and_strip_drops_null_ids(spark):
     df = spark.createDataFrame([("tt0113002",), ("tt0000001",), (None,), ("0",)], "imdb_id string")
     assert [r.imdb_id for r in clean.deny_and_strip(df, "imdb_id", ["0", "tt0113002"]).collect()] == ["0000001"]
+
+
+def test_null_group_keys_are_kept(spark):
+    from lakemart.functions.order import index_within
+    from lakemart.operators import labels
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, "a"), (5, "a")], "id long, label string")
+    got = {r.id: r.rn for r in index_within(df, ["label"], ["id"], "rn", ranges=3).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2, 5: 3}
+    split = labels.train_validation_split(df, 0.5, label="label", key="id").collect()
+    assert len(split) == 5
+    mid = spark.createDataFrame([(None, 80.0), ("A", 40.0)], "student string, grade double")
+    proj = spark.createDataFrame([(None, 60.0)], "student string, grade double")
+    rows = {r.student: r.avg_grade for r in grades.grade_report(mid, proj).collect()}
+    assert rows == {None: 70.0, "A": 20.0}
