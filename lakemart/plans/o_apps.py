@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.fixed import STOPWORDS, TOKEN_SPLIT_STRICT
+from ..functions.fixed import STOPWORDS, TOKEN_SPLIT_SPEC, TOKEN_SPLIT_STRICT
 from .oracles import R4, INFO, IMDB, ITEMS, KEPT, ORACLES, POWERS, STATS, TOP_HEROES, _with
 from .q_apps import BRACKETS, LABEL_LIMIT, SHARDS, SPLIT, TEAMS
 
@@ -19,8 +19,9 @@ SELECT doc_id AS ArticleID, CAST(len(string_split_regex(text, {SPLIT_RE})) AS IN
 FROM documents"""
 
 _stop = ", ".join(_lit(w) for w in dict.fromkeys(STOPWORDS))
-ORACLES["text_keywords"] = f"""
-WITH t AS (SELECT doc_id AS ArticleID, lang AS Category, unnest(string_split_regex(text, {SPLIT_RE})) AS token
+def _keywords_sql(pattern: str) -> str:
+    return f"""
+WITH t AS (SELECT doc_id AS ArticleID, lang AS Category, unnest(string_split_regex(text, {pattern})) AS token
            FROM documents),
 f AS (SELECT * FROM t WHERE length(token) >= 3 AND NOT regexp_matches(token, '^\\d+(\\.\\d+)?$')
       AND token NOT IN ({_stop})),
@@ -29,6 +30,10 @@ c AS (SELECT ArticleID, Category, token, count(*) AS Frequency FROM f GROUP BY A
 SELECT ArticleID, Category, token AS Tag, Frequency FROM (
   SELECT *, row_number() OVER (PARTITION BY ArticleID ORDER BY Frequency DESC, token) AS r FROM c) WHERE r <= 3"""
 
+
+ORACLES["text_keywords"] = _keywords_sql(SPLIT_RE)
+ORACLES["text_keywords_spec"] = _keywords_sql(_lit(TOKEN_SPLIT_SPEC))
+
 ORACLES["top_by_alignment"] = _with(STATS, INFO, TOP_HEROES) + "SELECT * FROM top_heroes"
 
 ALIGNED = """names AS (SELECT name FROM stats_t UNION SELECT name FROM info UNION SELECT name FROM powers),

@@ -35,6 +35,12 @@ def text_keywords(spark, d):
     return TX.keywords(S.news(spark, d))
 
 
+@query("text_keywords_spec")
+def text_keywords_spec(spark, d):
+    # the task statement's separators (whitespace , : ! ?) instead of the code's
+    return TX.keywords(S.news(spark, d), mode="spec")
+
+
 # ---- heroes -------------------------------------------------------------------------
 
 @query("top_by_alignment")
