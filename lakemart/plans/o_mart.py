@@ -62,8 +62,14 @@ genre_dim AS (SELECT CAST(row_number() OVER (ORDER BY genre_name) AS INTEGER) AS
 
 ORACLES["mart_genre_dim"] = _with(RAW_MOVIES, _GENRE_DIM) + "SELECT genre_id, genre_name FROM genre_dim"
 
-ORACLES["mart_genre_ids"] = _with(RAW_MOVIES, _GENRE_DIM) + f""",
+def _genre_ids_sql(distinct: bool) -> str:
+    agg = "list(DISTINCT genre_id)" if distinct else "list(genre_id)"
+    return _with(RAW_MOVIES, _GENRE_DIM) + f""",
 m AS (SELECT movie_id, {title_sql('t')} AS title, {year_sql('t')} AS movie_year,
         unnest(string_split(genres, '|')) AS g FROM raw_movies)
-SELECT movie_id, title, movie_year, array_to_string(list_sort(list(DISTINCT genre_id)), ',') AS genre_ids
+SELECT movie_id, title, movie_year, array_to_string(list_sort({agg}), ',') AS genre_ids
 FROM m JOIN genre_dim ON genre_dim.genre_name = m.g GROUP BY movie_id, title, movie_year"""
+
+
+ORACLES["mart_genre_ids"] = _genre_ids_sql(True)
+ORACLES["mart_genre_ids_list"] = _genre_ids_sql(False)

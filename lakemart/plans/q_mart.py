@@ -97,8 +97,17 @@ def mart_genre_dim(spark, d):
 
 @query("mart_genre_ids")
 def mart_genre_ids(spark, d):
+    return _genre_ids(spark, d, as_set=True)
+
+
+@query("mart_genre_ids_list")
+def mart_genre_ids_list(spark, d):
+    return _genre_ids(spark, d, as_set=False)
+
+
+def _genre_ids(spark, d, as_set: bool):
     m = _hql_movies(spark, d)
     dim = N.surrogate_key(m.select(F.explode("genres").alias("genre_name")), "genre_name", "genre_id")
-    out = N.genre_ids(m, dim)
+    out = N.genre_ids(m, dim, as_set=as_set)
     return out.select("movie_id", "title", "movie_year",
                       F.array_join(F.transform("genre_ids", lambda x: x.cast("string")), ",").alias("genre_ids"))
