@@ -130,3 +130,21 @@ def test_save_star_schema_writes_external_tables(spark):
         assert C.table_type(spark, f"t_mart.{name}") == "EXTERNAL"
         assert saved[name].count() == df.count(), name
     spark.sql("DROP SCHEMA t_mart CASCADE")
+
+
+def test_incremental_ingest_into_partitions(spark):
+    from pyspark.sql import functions as F
+    landing = scratch_path(spark, "t-landing-p")
+    target, ckpt = scratch_path(spark, "t-target-p"), scratch_path(spark, "t-ckpt-p")
+    cols = ["user_id", "movie_id", "rating", "created_at"]
+
+    def typed(df):
+        return clean.conform_ratings(df).withColumn("year", F.year("created_at"))
+
+    _write(landing, "a.csv", "1,10,3.5,01/05/2001 10:00:00,\n2,11,4,03/02/2002 10:00:00,\n")
+    ingest(spark, landing, cols, typed, target, ckpt, partition_by=["year"], trailing_sep=True)
+    _write(landing, "b.csv", "3,12,5,07/07/2001 10:00:00,\n")
+    ingest(spark, landing, cols, typed, target, ckpt, partition_by=["year"], trailing_sep=True)
+    assert {"year=2001", "year=2002"} <= set(os.listdir(local_path(target)))
+    got = sorted((r.year, r.user_id) for r in spark.read.parquet(target).collect())
+    assert got == [(2001, 1), (2001, 3), (2002, 2)]
