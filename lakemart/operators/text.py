@@ -36,12 +36,16 @@ def keywords(df: DataFrame, stop: DataFrame | None = None, min_len: int = 3, min
     """(ArticleID, Category, Tag, Frequency): tokens not in the stop list
     (case-sensitive), at least ``min_len`` long, not numbers, seen at least
     ``min_freq`` times; the top k per document (ties: token).  Documents with
-    no such token give no row."""
-    stop = stop if stop is not None else stopword_frame(df.sparkSession)
+    no such token give no row.  The built-in stop list is a fixed list and is
+    broadcast; a caller's list is joined as is (Spark and AQE check its size)."""
+    if stop is None:
+        stop_tokens = F.broadcast(stopword_frame(df.sparkSession))
+    else:
+        stop_tokens = stop.select(F.col(stop.columns[0]).alias("token"))
     docs = df.select(doc, category, text).repartition(doc)
     toks = docs.select(doc, category, F.explode(tokens(text, mode)).alias("token"))
     toks = toks.where((F.length("token") >= min_len) & ~is_number("token"))
-    toks = toks.join(F.broadcast(stop.select(F.col(stop.columns[0]).alias("token"))), "token", "left_anti")
+    toks = toks.join(stop_tokens, "token", "left_anti")
     counts = toks.groupBy(doc, category, "token").agg(F.count(F.lit(1)).alias("Frequency"))
     counts = counts.where(F.col("Frequency") >= min_freq)
     top = top_k_per_group(counts, [doc], [F.col("Frequency").desc(), F.col("token")], k)

@@ -108,3 +108,17 @@ def test_null_group_keys_are_kept(spark):
     proj = spark.createDataFrame([(None, 60.0)], "student string, grade double")
     rows = {r.student: r.avg_grade for r in grades.grade_report(mid, proj).collect()}
     assert rows == {None: 70.0, "A": 20.0}
+
+
+def test_keywords_with_a_word_list_read_from_files(spark):
+    import os
+    from lakemart.session import local_path, scratch_path
+    from lakemart.sources.readers import read_wordlist
+    d = scratch_path(spark, "t-stop")
+    os.makedirs(local_path(d))
+    with open(os.path.join(local_path(d), "stop.txt"), "w") as f:
+        f.write("Spark\n")
+    body = " ".join(["Spark"] * 12 + ["lake"] * 10)
+    df = spark.createDataFrame([(1, "tech", body)], "ArticleID long, Category string, Text string")
+    got = [(r.Tag, r.Frequency) for r in text.keywords(df, stop=read_wordlist(spark, d)).collect()]
+    assert got == [("lake", 10)]
