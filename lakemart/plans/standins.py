@@ -110,8 +110,8 @@ def hero_stats(spark, d) -> DataFrame:
 def hero_info(spark, d) -> DataFrame:
     """characters_info(name, alignment, gender, race, publisher, height, weight)."""
     c = table(spark, d, "customer").where(F.col("c_mktsegment") != INFO_MISSING)
-    n = table(spark, d, "nation")
-    r = table(spark, d, "region")
+    n = table(spark, d, "nation")  # 25 rows by definition
+    r = table(spark, d, "region")  # 5 rows by definition
     return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
             .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
             .select(F.col("c_name").alias("name"), _alignment().alias("alignment"),
