@@ -55,14 +55,16 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "rn", ranges:
 
 
 def index_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "rn",
-                 ranges: int | None = None) -> DataFrame:
-    """Exact ``row_number() over (partition by group order by order)``, skew-safe."""
+                 ranges: int | None = None, size_col: str | None = None) -> DataFrame:
+    """Exact ``row_number() over (partition by group order by order)``, skew-safe.
+    ``size_col`` also attaches the group's row count (same aggregate)."""
     g = list(group)
     if not g:
-        return global_index(df, order, name, ranges)
+        return global_index(df, order, name, ranges, total_col=size_col)
     from .joins import join_null_safe
     indexed = global_index(df, [*g, *order], "_gix", ranges)
-    firsts = indexed.groupBy(*g).agg(F.min("_gix").alias("_first"))
+    extra = [F.count(F.lit(1)).alias(size_col)] if size_col else []
+    firsts = indexed.groupBy(*g).agg(F.min("_gix").alias("_first"), *extra)
     return (join_null_safe(indexed, firsts, g)
             .withColumn(name, F.col("_gix") - F.col("_first") + 1)
             .drop("_gix", "_first"))

@@ -77,11 +77,9 @@ def train_validation_split(df: DataFrame, fraction: float = 0.3, label: str = "l
     """Adds ``split``: per label, the first floor(fraction * n) rows in seeded
     order are 'validation', the rest 'train' — disjoint and complete."""
     keyed = df.withColumn("_draw", draw_key(seed, key))
-    ranked = index_within(keyed, [label], ["_draw", key], "_rn")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    j = join_null_safe(ranked, sizes, [label])
+    ranked = index_within(keyed, [label], ["_draw", key], "_rn", size_col="_n")
     val = F.col("_rn") <= F.floor(F.col("_n") * F.lit(fraction))
-    return j.withColumn("split", F.when(val, "validation").otherwise("train")).drop("_draw", "_rn", "_n")
+    return ranked.withColumn("split", F.when(val, "validation").otherwise("train")).drop("_draw", "_rn", "_n")
 
 
 def train_classifier(train: DataFrame, features: str = "features", label: str = "label",
