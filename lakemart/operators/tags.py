@@ -13,12 +13,18 @@ from pyspark.sql import functions as F
 from ..functions.text import full_name
 
 
-def tag_lists(tags: DataFrame, keys=("user_id", "movie_id")) -> DataFrame:
-    """Sorted list of tags per (user, movie), duplicates kept, NULL tags skipped."""
+def tag_lists(tags: DataFrame, keys=("user_id", "movie_id"), expand: bool = True) -> DataFrame:
+    """Sorted list of tags per (user, movie), duplicates kept, NULL tags skipped.
+
+    ``expand=False`` returns the same list in compact form, ``tag_counts``:
+    sorted (tag, n) pairs, whose length is bounded by the distinct tags of the
+    group rather than by its row count."""
     keys = list(keys)
     counted = tags.groupBy(*keys, "tag").agg(F.count("tag").alias("n"))
     packed = counted.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("tag", "n")))).alias("_tn"))
+    if not expand:
+        return packed.select(*keys, F.col("_tn").alias("tag_counts"))
     expanded = F.flatten(F.transform("_tn", lambda x: F.array_repeat(x["tag"], x["n"].cast("int"))))
     return packed.select(*keys, expanded.alias("tags"))
 

@@ -122,3 +122,9 @@ def test_keywords_with_a_word_list_read_from_files(spark):
     df = spark.createDataFrame([(1, "tech", body)], "ArticleID long, Category string, Text string")
     got = [(r.Tag, r.Frequency) for r in text.keywords(df, stop=read_wordlist(spark, d)).collect()]
     assert got == [("lake", 10)]
+
+
+def test_tag_lists_compact_form(spark):
+    t = spark.createDataFrame([(1, 1, "b"), (1, 1, "a"), (1, 1, "b")], "user_id int, movie_id int, tag string")
+    r = tags.tag_lists(t, expand=False).collect()[0]
+    assert [(x.tag, x.n) for x in r.tag_counts] == [("a", 1), ("b", 2)]
