@@ -56,8 +56,9 @@ def _items(spark, d) -> DataFrame:
 
 
 def _as_list(elem: Column, alias: str) -> Column:
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("l_linenumber"), elem.alias("e"))))
-    return F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda x: x["e"]), ", "), F.lit("]")).alias(alias)
+    """'[e1, e2, ...]': the order's element texts, sorted (a deterministic
+    order whatever the arrival order after the shuffle)."""
+    return F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(elem)), ", "), F.lit("]")).alias(alias)
 
 
 def metadata_text(spark, d) -> DataFrame:
