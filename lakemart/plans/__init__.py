@@ -1,0 +1 @@
+"""Stand-in inputs, landing files, registered queries (q_*) and their SQL oracles (o_*)."""

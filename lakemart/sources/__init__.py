@@ -1,0 +1 @@
+"""Sources, sinks and catalog operations."""

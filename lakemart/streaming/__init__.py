@@ -1,0 +1 @@
+"""Incremental (Structured Streaming) ingestion."""
