@@ -10,7 +10,8 @@ Jobs: ``lake`` (landing text -> typed tables, partitioned users, tag lists,
 genre keys), ``star`` (metadata -> 14 external mart tables), ``heroes`` (top 10
 good / bad per publisher list, one CSV folder per alignment), ``keywords``
 (top-3 tags per article as CSV), ``teams`` (teams + tournament as CSV),
-``labels`` (genre pairs CSV, shard ranges and fetch plan).
+``labels`` (genre pairs CSV, shard ranges and fetch plan; from the star
+job's tables when given ``--db``).
 """
 
 from __future__ import annotations
@@ -60,13 +61,15 @@ def lake_job(spark: SparkSession, sf_dir: str, out: str, db: str = "movies") ->
     return _counts(saved)
 
 
-def star_job(spark: SparkSession, sf_dir: str, out: str, db: str = "movies") -> dict[str, int]:
-    """Movie metadata, credits, keywords and ratings -> 14 external mart tables."""
+def star_job(spark: SparkSession, sf_dir: str, out: str, db: str = "movies",
+             buckets: int | None = None) -> dict[str, int]:
+    """Movie metadata, credits, keywords and ratings -> 14 external mart tables
+    (movie table, ratings and bridges bucketed by movie when ``buckets``)."""
     meta = cut_lineage(NS.metadata_text(spark, sf_dir), "metadata")
     movies = clean.deny_and_strip(meta, "imdb_id", DENY_IMDB_IDS)
     credits = meta.select("cast", F.lit(None).cast("string").alias("crew"), "id")
     star = N.star_schema(movies, credits, meta.select("id", "keywords"), NS.ratings_raw(spark, sf_dir))
-    return _counts(K.save_star_schema(star, out, db))
+    return _counts(K.save_star_schema(star, out, db, buckets=buckets))
 
 
 def heroes_job(spark: SparkSession, sf_dir: str, out: str, publishers=("AMERICA", "EUROPE"),
@@ -96,13 +99,22 @@ def teams_job(spark: SparkSession, sf_dir: str, out: str, n_teams: int = 8, size
     return {"teams": teams.count(), "tournament": rounds.count()}
 
 
-def labels_job(spark: SparkSession, sf_dir: str, out: str, n: int | None = 100, parts: int = 5) -> dict[str, int]:
+def labels_job(spark: SparkSession, sf_dir: str, out: str, n: int | None = 100, parts: int = 5,
+               db: str | None = None) -> dict[str, int]:
     """(imdb_id, genre) pairs as header-less CSV, their shard ranges and the
-    fetch / copy plan."""
-    ent = N.ENTITIES["genres"]
-    meta = cut_lineage(NS.movies_whole(spark, sf_dir).select("id", "imdb_id", ent.column), "genre-meta")
-    rows = N.explode_entities(meta, ent)
-    pairs = cut_lineage(LB.label_pairs(meta, N.bridge(rows, ent), N.dimension(rows, ent), n), "label-pairs")
+    fetch / copy plan.  With ``db`` the pairs are read from the mart tables the
+    star job wrote there (movie table, genre bridge, genre dimension);
+    otherwise they are derived from the metadata directly."""
+    if db:
+        movies = R.read_table(spark, f"{db}.movies_table_ext")
+        bridge = R.read_table(spark, f"{db}.genres_movies_ext")
+        dim = R.read_table(spark, f"{db}.genres_ext")
+    else:
+        ent = N.ENTITIES["genres"]
+        movies = cut_lineage(NS.movies_whole(spark, sf_dir).select("id", "imdb_id", ent.column), "genre-meta")
+        rows = N.explode_entities(movies, ent)
+        bridge, dim = N.bridge(rows, ent), N.dimension(rows, ent)
+    pairs = cut_lineage(LB.label_pairs(movies, bridge, dim, n), "label-pairs")
     K.write_csv(pairs, f"{out}/movie_genres", header=False)
     plan = LB.fetch_plan(LB.assign_shards(pairs, parts))
     K.write_csv(plan, f"{out}/fetch_plan", header=True, keys=["shard"])
@@ -118,12 +130,16 @@ def main(argv=None) -> None:
     ap.add_argument("job", choices=sorted(JOBS))
     ap.add_argument("--sf", required=True, help="folder with the input tables")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    ap.add_argument("--db", default=None, help="catalog database for lake / star")
+    ap.add_argument("--db", default=None, help="catalog database for lake / star; labels: read the mart from it "
+                         "(needs the session catalog the star job wrote to, e.g. a shared metastore)")
+    ap.add_argument("--buckets", type=int, default=None, help="star: bucket movie-keyed tables into this many buckets")
     args = ap.parse_args(argv)
     from .session import apply_defaults
     spark = apply_defaults(SparkSession.builder.appName(f"lakemart-{args.job}")
                            .config("spark.ui.enabled", "false").getOrCreate())
-    kwargs = {"db": args.db} if args.db and args.job in ("lake", "star") else {}
+    kwargs = {"db": args.db} if args.db and args.job in ("lake", "star", "labels") else {}
+    if args.buckets and args.job == "star":
+        kwargs["buckets"] = args.buckets
     print(json.dumps(JOBS[args.job](spark, args.sf, args.out, **kwargs)))
 
 

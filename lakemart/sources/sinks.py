@@ -8,9 +8,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def save_external(df: DataFrame, path: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """Overwrite files at ``path`` and register them as external ``table``."""
-    df.write.option("path", path).mode("overwrite").saveAsTable(table, format=fmt)
+def save_external(df: DataFrame, path: str, table: str, fmt: str = "parquet",
+                  bucket_by: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """Overwrite files at ``path`` and register them as external ``table``.
+
+    With ``bucket_by`` the table is bucketed (and sorted) by those columns into
+    ``buckets`` files per task group, so later joins or aggregations on them
+    between tables bucketed the same way need no shuffle."""
+    w = df.write.option("path", path).mode("overwrite")
+    if bucket_by:
+        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        w = w.bucketBy(n, *bucket_by).sortBy(*bucket_by)
+    w.saveAsTable(table, format=fmt)
     return df.sparkSession.table(table)
 
 
@@ -72,10 +81,25 @@ def preview(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
-def save_star_schema(tables: dict[str, DataFrame], root: str, database: str) -> dict[str, DataFrame]:
+# Movie key of each mart table that is bucketed by movie (see save_star_schema).
+MOVIE_KEYS = {"movies_table_ext": "id", "ratings_ext": "movieId"}
+
+
+def save_star_schema(tables: dict[str, DataFrame], root: str, database: str,
+                     buckets: int | None = None) -> dict[str, DataFrame]:
     """Write every mart table as an external Parquet table ``database.name`` at
-    ``root/name`` (one distributed write each) and return catalog scans."""
+    ``root/name`` (one distributed write each) and return catalog scans.
+
+    With ``buckets`` the movie table, the ratings fact and every bridge are
+    bucketed by their movie key into the same number of buckets, so joins of a
+    bridge with the movie table (the label export) read co-located buckets
+    instead of shuffling both sides."""
     spark = next(iter(tables.values())).sparkSession
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`")
-    return {name: save_external(df, f"{root.rstrip('/')}/{name}", f"{database}.{name}")
-            for name, df in tables.items()}
+    out = {}
+    for name, df in tables.items():
+        key = MOVIE_KEYS.get(name, "movie_id" if name.endswith("_movies_ext") else None)
+        bucket = [key] if (buckets and key) else None
+        out[name] = save_external(df, f"{root.rstrip('/')}/{name}", f"{database}.{name}",
+                                  bucket_by=bucket, buckets=buckets)
+    return out

@@ -33,3 +33,28 @@ def test_keywords_job_matches_query(spark):
     assert counts["resultset"] == entry.queries()["text_keywords"](spark, SF001).count()
     back = spark.read.option("header", True).csv(f"{out}/resultset")
     assert back.columns == ["ArticleID", "Category", "Tag", "Frequency"]
+
+
+def test_labels_from_bucketed_mart_match_and_join_without_shuffle(spark):
+    import contextlib
+    import io
+    from lakemart.operators import labels as LB
+    from lakemart.sources import readers as R
+    db = "t_job_bucketed"
+    jobs.star_job(spark, SF001, scratch_path(spark, "job-star-b"), db=db, buckets=4)
+    from_mart = jobs.labels_job(spark, SF001, scratch_path(spark, "job-labels-m"), n=None, db=db)
+    direct = jobs.labels_job(spark, SF001, scratch_path(spark, "job-labels-d"), n=None)
+    assert from_mart == direct
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # force the sort-merge join
+    try:
+        movies, bridge = R.read_table(spark, f"{db}.movies_table_ext"), R.read_table(spark, f"{db}.genres_movies_ext")
+        joined = movies.select("id", "imdb_id").join(bridge, movies.id == bridge.movie_id)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            joined.explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP SCHEMA {db} CASCADE")
