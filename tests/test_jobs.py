@@ -58,3 +58,10 @@ def test_labels_from_bucketed_mart_match_and_join_without_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql(f"DROP SCHEMA {db} CASCADE")
+
+
+def test_cli_prints_counts(spark, capsys):
+    import json
+    out = scratch_path(spark, "job-cli")
+    jobs.main(["teams", "--sf", SF001, "--out", out])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"teams": 8, "tournament": 7}
