@@ -47,3 +47,18 @@ def test_title_parser_matches_rule(spark, base, sub, year, suffix):
         return
     r = spark.createDataFrame([(t,)], "t string").select(title_text("t").alias("a"), title_year("t").alias("y")).collect()[0]
     assert (r.a, r.y) == _title_rule(t), t
+
+
+@settings(max_examples=10, deadline=None)
+@given(labels=st.lists(st.one_of(st.none(), st.integers(0, 3)), min_size=1, max_size=60),
+       ranges=st.integers(1, 9))
+def test_index_within_equals_row_number(spark, labels, ranges):
+    from pyspark.sql import Window
+    from lakemart.functions.order import index_within
+    df = spark.createDataFrame([(i, lab, f"k{(i * 7919) % 101:03d}") for i, lab in enumerate(labels)],
+                               "id long, label int, k string")
+    got = {r.id: (r.rn, r.n) for r in index_within(df, ["label"], ["k", "id"], "rn", ranges, size_col="n").collect()}
+    w = Window.partitionBy("label").orderBy("k", "id")
+    want = {r.id: (r.rn, r.n) for r in df.select("id", F.row_number().over(w).alias("rn"),
+                                                 F.count(F.lit(1)).over(Window.partitionBy("label")).alias("n")).collect()}
+    assert got == want
