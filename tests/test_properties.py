@@ -62,3 +62,33 @@ def test_index_within_equals_row_number(spark, labels, ranges):
     want = {r.id: (r.rn, r.n) for r in df.select("id", F.row_number().over(w).alias("rn"),
                                                  F.count(F.lit(1)).over(Window.partitionBy("label")).alias("n")).collect()}
     assert got == want
+
+
+def _keywords_brute_force(docs, min_len=3, min_freq=10, k=3):
+    import re
+    from collections import Counter
+    from lakemart.functions.fixed import STOPWORDS, TOKEN_SPLIT_STRICT
+    stop = set(STOPWORDS)
+    out = set()
+    for doc_id, cat, txt in docs:
+        toks = [t for t in re.split(TOKEN_SPLIT_STRICT, txt)
+                if t not in stop and len(t) >= min_len and not re.fullmatch(r"\d+(\.\d+)?", t)]
+        counts = [(t, c) for t, c in Counter(toks).items() if c >= min_freq]
+        for t, c in sorted(counts, key=lambda x: (-x[1], x[0]))[:k]:
+            out.add((doc_id, cat, t, c))
+    return out
+
+
+vocab = st.sampled_from(["spark", "Spark", "lake", "the", "and", "12", "3.5", "ab", "data,", "data",
+                         "what?", "now!", "end.", "x:", "tok"])
+seps = st.sampled_from([" ", ", ", ": ", "! ", "? ", ". ", "\n", ",", "  "])
+
+
+@settings(max_examples=15, deadline=None)
+@given(docs=st.lists(st.lists(st.tuples(vocab, seps), min_size=0, max_size=80), min_size=1, max_size=4))
+def test_keywords_equal_brute_force(spark, docs):
+    from lakemart.operators import text
+    rows = [(i, "c", "".join(w + s for w, s in d)) for i, d in enumerate(docs)]
+    df = spark.createDataFrame(rows, "ArticleID long, Category string, Text string")
+    got = {(r.ArticleID, r.Category, r.Tag, r.Frequency) for r in text.keywords(df, min_freq=3).collect()}
+    assert got == _keywords_brute_force(rows, min_freq=3)
