@@ -92,3 +92,73 @@ def test_keywords_equal_brute_force(spark, docs):
     df = spark.createDataFrame(rows, "ArticleID long, Category string, Text string")
     got = {(r.ArticleID, r.Category, r.Tag, r.Frequency) for r in text.keywords(df, min_freq=3).collect()}
     assert got == _keywords_brute_force(rows, min_freq=3)
+
+
+ATTRS6 = ["intelligence", "strength", "speed", "durability", "power", "combat"]
+
+
+def _roles_brute_force(members):
+    """members: list of dicts with name + six attributes (one team)."""
+    def best(rows, score):
+        return min(rows, key=lambda r: (-score(r), r["name"]))["name"]
+    leader = best(members, lambda r: r["intelligence"])
+    rest = [r for r in members if r["name"] != leader]
+    tank = best(rest, lambda r: r["strength"] + r["durability"]) if rest else None
+    rest = [r for r in rest if r["name"] != tank]
+    damage = best(rest, lambda r: r["speed"] + r["power"] + r["combat"]) if rest else None
+    others = sorted(r["name"] for r in rest if r["name"] != damage)
+    strongest = best(members, lambda r: sum(r[a] for a in ATTRS6))
+    return leader, tank, damage, (others + [None, None])[0], (others + [None, None])[1], strongest
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 5), min_size=6, max_size=6), min_size=1, max_size=12))
+def test_roles_equal_brute_force(spark, attrs):
+    from lakemart.operators import roster
+    rows = [dict(name=f"h{i:02d}", team=i // 5, **dict(zip(ATTRS6, a))) for i, a in enumerate(attrs)]
+    df = spark.createDataFrame([tuple(r[c] for c in ["name", "team", *ATTRS6]) for r in rows],
+                               "name string, team int, " + ", ".join(f"{a} int" for a in ATTRS6))
+    got = {r.team: (r.leader, r.tank, r.damage, r.the_other_guy, r.the_other_guy2, r.strongest)
+           for r in roster.assign_roles(df).dropDuplicates(["team"]).collect()}
+    want = {t: _roles_brute_force([r for r in rows if r["team"] == t]) for t in {r["team"] for r in rows}}
+    assert got == want
+
+
+def _tournament_brute_force(teams, n, draw):
+    """teams: {name: (speed, height, flights)}; draw: names in bracket-draw order."""
+    size = max(len(draw) // n, 1)
+    bracket = {name: min((i // size), n - 1) for i, name in enumerate(draw)}
+    out, rnd, width = set(), 1, n
+    while True:
+        winners = {}
+        for b in sorted(set(bracket.values())):
+            members = sorted(t for t, x in bracket.items() if x == b)
+            wins = {m: 0 for m in members}
+            for i, a in enumerate(members):
+                for c in members[i + 1:]:
+                    sa, ha, fa = teams[a]
+                    sc, hc, fc = teams[c]
+                    pa = (sa > sc) + (ha > hc) + fa
+                    pc = (sc > sa) + (hc > ha) + fc
+                    wins[a if pa >= pc else c] += 1
+            w = min(members, key=lambda m: (-wins[m], m))
+            winners[b] = w
+            out.add((rnd, b, w, wins[w]))
+        if width <= 1:
+            return out
+        bracket = {w: b // 2 for b, w in winners.items()}
+        width, rnd = (width + 1) // 2, rnd + 1
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(0, 2)), min_size=1, max_size=12))
+def test_tournament_equals_brute_force(spark, stats):
+    import hashlib
+    from lakemart.operators import tournament
+    teams = {f"T{i:02d}": s for i, s in enumerate(stats)}
+    df = spark.createDataFrame([(k, float(v[0]), float(v[1]), v[2]) for k, v in teams.items()],
+                               "team_name string, top_average_speed double, top_average_height double, "
+                               "flight_count int")
+    draw = sorted(teams, key=lambda k: (hashlib.md5(f"5|{k}".encode()).hexdigest(), k))
+    got = {(r["round"], r.bracket, r.winner, r.wins) for r in tournament.tournament(df, n=4, seed=5).collect()}
+    assert got == _tournament_brute_force(teams, 4, draw)
