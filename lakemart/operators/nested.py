@@ -121,3 +121,19 @@ def genre_ids(movies: DataFrame, genre_dim: DataFrame, genres: str = "genres",
     collect = F.collect_set if as_set else F.collect_list
     return (joined.groupBy("movie_id", "title", "movie_year")
             .agg(F.array_sort(collect(key_col)).alias("genre_ids")))
+
+
+def parse_report(df: DataFrame, entities: dict[str, Entity] | None = None) -> DataFrame:
+    """Per list column: cells with text, and cells whose text the repair rule
+    could not turn into a list (they parse to NULL and lose all elements).
+    One aggregate pass over ``df`` (map-side partial counts)."""
+    ents = entities or {n: e for n, e in ENTITIES.items() if e.column in df.columns}
+    aggs = []
+    for name, e in ents.items():
+        parsed = parse_array(e.column, e.schema)
+        aggs += [F.count(e.column).alias(f"{name}__text"),
+                 F.count_if(F.col(e.column).isNotNull() & parsed.isNull()).alias(f"{name}__failed")]
+    wide = df.agg(*aggs)
+    rows = [F.struct(F.lit(name).alias("entity"), F.col(f"{name}__text").alias("text_cells"),
+                     F.col(f"{name}__failed").alias("failed_cells")) for name in ents]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -81,3 +81,12 @@ def test_assign_shards_matches_ntile(spark):
     df = spark.range(11).select(F.col("id").cast("string").alias("imdb_id"), F.lit("g").alias("genre"))
     sizes = sorted((r.shard, r["count"]) for r in labels.assign_shards(df, 3).groupBy("shard").count().collect())
     assert sizes == [(0, 4), (1, 4), (2, 3)]
+
+
+def test_parse_report_counts_cells_lost_to_the_repair_rule(spark):
+    from lakemart.operators import nested as N
+    cells = ["[{'id': 1, 'name': 'A'}]", "[{'id': 1, 'name': 'O\\'B'}]", None, "[]",
+             "[{'id': 2, 'name': 'B', 'x': True}]"]
+    df = rows(spark, [(c,) for c in cells], "genres string")
+    got = {r.entity: (r.text_cells, r.failed_cells) for r in N.parse_report(df).collect()}
+    assert got == {"genres": (4, 2)}
