@@ -69,7 +69,11 @@ def star_job(spark: SparkSession, sf_dir: str, out: str, db: str = "movies",
     movies = clean.deny_and_strip(meta, "imdb_id", DENY_IMDB_IDS)
     credits = meta.select("cast", F.lit(None).cast("string").alias("crew"), "id")
     star = N.star_schema(movies, credits, meta.select("id", "keywords"), NS.ratings_raw(spark, sf_dir))
-    return _counts(K.save_star_schema(star, out, db, buckets=buckets))
+    counts = _counts(K.save_star_schema(star, out, db, buckets=buckets))
+    # cells whose list text the repair rule could not parse lose all their elements: report them
+    for r in N.parse_report(meta).collect():          # one row per list column
+        counts[f"unparsed_{r.entity}"] = r.failed_cells
+    return counts
 
 
 def heroes_job(spark: SparkSession, sf_dir: str, out: str, publishers=("AMERICA", "EUROPE"),
