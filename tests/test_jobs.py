@@ -41,7 +41,6 @@ def test_keywords_job_matches_query(spark):
 def test_labels_from_bucketed_mart_match_and_join_without_shuffle(spark):
     import contextlib
     import io
-    from lakemart.operators import labels as LB
     from lakemart.sources import readers as R
     db = "t_job_bucketed"
     jobs.star_job(spark, SF001, scratch_path(spark, "job-star-b"), db=db, buckets=4)
