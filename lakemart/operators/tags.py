@@ -46,10 +46,14 @@ def repeated_tags(tags: DataFrame, users: DataFrame, movies: DataFrame) -> DataF
 
 
 def most_tagged_titles(tags: DataFrame, movies: DataFrame, n: int = 3) -> DataFrame:
-    """Distinct-tag count and sorted tag set per title; top n (ties: title)."""
+    """Distinct-tag count and sorted tag set per title; top n (ties: title).
+
+    (movie, tag) pairs are de-duplicated before the movie join (the join input
+    shrinks to distinct pairs); per title, ``collect_set`` de-duplicates again
+    map-side, so one shuffle by title carries at most the distinct tags of a
+    title per task and the count is the set's size."""
     per_movie = tags.where(F.col("tag").isNotNull()).select("movie_id", "tag").distinct()
     per_title = (per_movie.join(movies.select("movie_id", "title"), "movie_id")
-                 .select("title", "tag").distinct())
-    return (per_title.groupBy("title")
-            .agg(F.count("tag").alias("tag_count"), F.sort_array(F.collect_list("tag")).alias("tag_set"))
+                 .groupBy("title").agg(F.sort_array(F.collect_set("tag")).alias("tag_set")))
+    return (per_title.select("title", F.size("tag_set").cast("long").alias("tag_count"), "tag_set")
             .orderBy(F.col("tag_count").desc(), F.col("title")).limit(n))
