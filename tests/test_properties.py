@@ -162,3 +162,27 @@ def test_tournament_equals_brute_force(spark, stats):
     draw = sorted(teams, key=lambda k: (hashlib.md5(f"5|{k}".encode()).hexdigest(), k))
     got = {(r["round"], r.bracket, r.winner, r.wins) for r in tournament.tournament(df, n=4, seed=5).collect()}
     assert got == _tournament_brute_force(teams, 4, draw)
+
+
+def _grades_brute_force(mid, proj):
+    names = {n for n, _ in mid} | {n for n, _ in proj}
+    out = set()
+    for n in names:
+        m = min((g for k, g in mid if k == n), default=0.0)
+        p = min((g for k, g in proj if k == n), default=0.0)
+        out.add((n, m, p, (m + p) / 2.0, (m + p) / 2.0 >= 50.0))
+    return out
+
+
+grade_rows = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["A", "B", "C", "D"])),
+                                st.integers(0, 100).map(float)), max_size=10)
+
+
+@settings(max_examples=15, deadline=None)
+@given(mid=grade_rows, proj=grade_rows)
+def test_grade_report_equals_cogroup_brute_force(spark, mid, proj):
+    from lakemart.operators import grades
+    schema = "student string, grade double"
+    got = {(r.student, r.midterm, r.project, r.avg_grade, r.passed) for r in
+           grades.grade_report(spark.createDataFrame(mid, schema), spark.createDataFrame(proj, schema)).collect()}
+    assert got == _grades_brute_force(mid, proj)
