@@ -186,3 +186,23 @@ def test_grade_report_equals_cogroup_brute_force(spark, mid, proj):
     got = {(r.student, r.midterm, r.project, r.avg_grade, r.passed) for r in
            grades.grade_report(spark.createDataFrame(mid, schema), spark.createDataFrame(proj, schema)).collect()}
     assert got == _grades_brute_force(mid, proj)
+
+
+@settings(max_examples=12, deadline=None)
+@given(pairs=st.lists(st.tuples(st.sampled_from(["a1", "a2", "b7", "c3", "d9"]),
+                                st.sampled_from(["Drama", "Comedy", "Horror"])), min_size=1, max_size=25),
+       parts=st.integers(1, 6))
+def test_fetch_plan_equals_brute_force(spark, pairs, parts):
+    from lakemart.operators import labels
+    df = spark.createDataFrame(pairs, "imdb_id string, genre string")
+    got = sorted(tuple(r) for r in labels.fetch_plan(labels.assign_shards(df, parts)).collect())
+    ordered = sorted(pairs)
+    want = []
+    for shard, (lo, hi) in enumerate(labels.balanced_ranges(len(ordered), parts)):
+        chunk = ordered[lo:hi]
+        for imdb, genre in chunk:
+            first = min(g for i, g in chunk if i == imdb)
+            target = f"images/{genre}/{imdb}.jpg"
+            want.append((shard, imdb, genre, "fetch" if genre == first else "copy", target,
+                         None if genre == first else f"images/{first}/{imdb}.jpg"))
+    assert got == sorted(want)
