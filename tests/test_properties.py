@@ -206,3 +206,31 @@ def test_fetch_plan_equals_brute_force(spark, pairs, parts):
             want.append((shard, imdb, genre, "fetch" if genre == first else "copy", target,
                          None if genre == first else f"images/{first}/{imdb}.jpg"))
     assert got == sorted(want)
+
+
+tag_rows = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 2),
+                              st.one_of(st.none(), st.sampled_from(["x", "y", "z"]))), max_size=25)
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows=tag_rows)
+def test_tag_lists_and_repeats_equal_brute_force(spark, rows):
+    from collections import Counter
+    from lakemart.operators import tags
+    t = spark.createDataFrame(rows, "user_id int, movie_id int, tag string")
+    got_lists = {(r.user_id, r.movie_id): r.tags for r in tags.tag_lists(t).collect()}
+    want_lists = {}
+    for u, m, g in rows:
+        want_lists.setdefault((u, m), [])
+        if g is not None:
+            want_lists[(u, m)].append(g)
+    assert got_lists == {k: sorted(v) for k, v in want_lists.items()}
+    users = spark.createDataFrame([(0, "Ann", "Lee"), (1, "Bo", None)], "user_id int, first_name string, last_name string")
+    movies = spark.createDataFrame([(0, "M0"), (2, "M2")], "movie_id int, title string")
+    got = Counter(tuple(r) for r in tags.repeated_tags(t, users, movies).collect())
+    names, titles = {0: "Ann Lee", 1: "Bo"}, {0: "M0", 2: "M2"}
+    want = Counter()
+    for (u, m, g), c in Counter(rows).items():
+        if g is not None and c > 1 and u in names and m in titles:
+            want[(u, names[u], m, titles[m])] += 1
+    assert got == want
