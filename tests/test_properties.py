@@ -234,3 +234,27 @@ def test_tag_lists_and_repeats_equal_brute_force(spark, rows):
         if g is not None and c > 1 and u in names and m in titles:
             want[(u, names[u], m, titles[m])] += 1
     assert got == want
+
+
+rating_rows = st.lists(st.tuples(st.integers(0, 5), st.integers(1, 5), st.integers(2003, 2017)), min_size=1,
+                       max_size=40)
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows=rating_rows, n=st.integers(1, 4))
+def test_top_titles_equal_brute_force(spark, rows, n):
+    import datetime as dt
+    from lakemart.operators import facts
+    titles = {0: "A", 1: "B", 2: "A", 3: "C", 4: "D", 5: "E"}          # movies 0 and 2 share a title
+    r = spark.createDataFrame([(1, m, float(v), dt.datetime(y, 6, 1)) for m, v, y in rows],
+                              "user_id int, movie_id int, rating double, created_at timestamp")
+    mv = spark.createDataFrame(list(titles.items()), "movie_id int, title string")
+    got = [(x.title, x.rating_sum, x.average_rating) for x in facts.top_titles(r, mv, 2005, 2015, 3.0, n).collect()]
+    per = {}
+    for m, v, y in rows:
+        if 2005 <= y <= 2015:
+            s, c = per.get(titles[m], (0.0, 0))
+            per[titles[m]] = (s + v, c + 1)
+    kept = [(t, s, s / c) for t, (s, c) in per.items() if s / c >= 3.0]
+    top = sorted(kept, key=lambda x: (-x[1], x[0]))[:n]
+    assert got == sorted(top, key=lambda x: (-x[2], x[0]))
