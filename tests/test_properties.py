@@ -279,3 +279,18 @@ def test_repaired_python_literals_parse_like_python(spark, cells):
     got = {r.i: [tuple(e) for e in r.p] for r in df.select("i", parse_array("t", schema).alias("p")).collect()}
     want = {i: [(d["id"], d["name"]) for d in ast.literal_eval(t)] for i, t in enumerate(texts)}
     assert got == want
+
+
+name_sets = st.lists(st.sets(st.sampled_from(list("abcdefg")), max_size=7), min_size=3, max_size=3)
+
+
+@settings(max_examples=15, deadline=None)
+@given(sets=name_sets)
+def test_align_names_equals_set_union(spark, sets):
+    from lakemart.operators import roster
+    tables = [spark.createDataFrame([(n, i) for n in sorted(s)], "name string, v int") for i, s in enumerate(sets)]
+    union = set().union(*sets)
+    for i, aligned in enumerate(roster.align_names(*tables)):
+        got = {r.name: r.v for r in aligned.collect()}
+        assert got == {n: (i if n in sets[i] else None) for n in union}
+        assert aligned.count() == len(union)
