@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .fingerprint import fingerprint_documents
 from .near_dup import near_duplicates
 from .tables import query, table
 
@@ -26,3 +27,8 @@ SELECT n.doc_id, n.n_shingles, min(r.b) AS component_id, n.doc_id = min(r.b) AS
 FROM n JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n_shingles""")
 def op3_superminhash_dedup(spark, d):
     return near_duplicates(table(spark, d, "documents"))
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark, d):
+    return fingerprint_documents(table(spark, d, "documents"))
