@@ -19,9 +19,10 @@ an item with an empty name.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -249,10 +250,6 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_win
 
 
 def _erase_udf(n: int, shared):
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def erase(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         batches = (pa.RecordBatch.from_arrays([pa.array(s.tolist(), pa.string())], names=["t"]) for s in parts)

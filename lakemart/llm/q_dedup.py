@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .fingerprint import fingerprint_documents
 from .near_dup import near_duplicates
+from .paragraphs import repeated_paragraphs
 from .tables import query, table
 
 
@@ -32,3 +33,8 @@ def op3_superminhash_dedup(spark, d):
 @query("op8_fingerprints")
 def op8_fingerprints(spark, d):
     return fingerprint_documents(table(spark, d, "documents"))
+
+
+@query("op7_paragraph_dedup")
+def op7_paragraph_dedup(spark, d):
+    return repeated_paragraphs(table(spark, d, "documents"))

@@ -1,10 +1,11 @@
-"""Registered queries of the operators that learn, and of the mixture."""
+"""Registered queries of the operators that learn, of the mixture and of token files."""
 
 from __future__ import annotations
 
 from .langid import identify
 from .mixing import Mixture, mixture
 from .tables import fold, query, table
+from .token_files import token_table
 from .toxicity import toxicity
 
 
@@ -21,3 +22,8 @@ def op5_toxicity(spark, d):
 @query("op10_mixture")
 def op10_mixture(spark, d):
     return mixture(table(spark, d, "documents"), Mixture())
+
+
+@query("op6_token_files")
+def op6_token_files(spark, d):
+    return token_table(table(spark, d, "documents"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import contamination
+from .licenses import oracle, scan_licenses
 from .secrets import scan_documents
 from .tables import query, table
 
@@ -36,3 +37,8 @@ def op2_decontaminate(spark, d):
 @query("op9_secret_ledger")
 def op9_secret_ledger(spark, d):
     return scan_documents(table(spark, d, "documents"))
+
+
+@query("op4_license_scan", oracle=oracle())
+def op4_license_scan(spark, d):
+    return scan_licenses(table(spark, d, "documents"))

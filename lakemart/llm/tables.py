@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,13 +17,32 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            ship(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle:
             ORACLES[name] = oracle
         return fn
     return register
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package importable by Python workers: nothing to do if they start
+    in its folder or have it on PYTHONPATH, else its zip goes out with the job files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    if root in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) or sc.applicationId in _shipped:
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="lakemart-code-"), "lakemart")
+    sc.addPyFile(shutil.make_archive(base, "zip", root, "lakemart"))
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

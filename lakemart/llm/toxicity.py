@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,10 +155,7 @@ class Voters:
                 for v, c in hits.items():
                     out[i, v] = 1000.0 * c / n
             raw = len(t)
-            upper, lower = sum(map(str.isupper, t[:0])), 0
-            if t.upper() == t and t.lower() != t:
-                upper, lower = 1, 0
-            out[i, -4:] = (1000.0 * upper / max(1, upper + lower), min(1000.0, 1000.0 * t.count("!") / max(n, 1)),
+            out[i, -4:] = (1000.0 * (t.isupper()), min(1000.0, 1000.0 * t.count("!") / max(n, 1)),
                            min(1000.0, 1000.0 * sum(t.count(c) for c in "#$%&*") / max(raw, 1)),
                            self._repeats(words))
         return out, size
@@ -209,11 +208,15 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 25) -> tupl
 
 
 def _inputs(rates: np.ndarray, votes: np.ndarray) -> np.ndarray:
-    """Inputs of the linear classifier: damped rates and votes."""
-    return np.hstack([np.log1p(np.minimum(rates, 60.0)) / 3.0, votes.astype(np.float32)])
+    """Inputs of the linear classifier: damped rates, votes, and how much the
+    lexicons and the mined patterns say together."""
+    fixed = len(LEXICONS)
+    sums = np.stack([rates[:, :fixed].sum(axis=1), rates[:, fixed:-4].sum(axis=1),
+                     (votes[:, :-1] > 0).sum(axis=1)], axis=1)
+    return np.hstack([np.log1p(np.minimum(rates, 60.0)) / 3.0, votes.astype(np.float32), np.log1p(sums)])
 
 
-def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 400) -> np.ndarray:
+def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 1500) -> np.ndarray:
     """Logistic regression on soft labels; the last weight is the bias."""
     x1 = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w = np.zeros(x1.shape[1])
@@ -223,7 +226,7 @@ def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 400) -> np.ndarr
         ahead = w + (i / (i + 3)) * (w - last)
         p = 1 / (1 + np.exp(-np.clip(x1 @ ahead, -30, 30)))
         g = x1.T @ (p - target) / len(x1)
-        g[:-1] += 1e-3 * ahead[:-1]
+        g[:-1] += 2e-5 * ahead[:-1]
         last, w = w, ahead - step * g
     return w
 
@@ -324,9 +327,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
 
 def reject_toxic(docs: DataFrame, model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more (same columns)."""
-    from collections.abc import Iterator
-
-    import pandas as pd
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
