@@ -9,8 +9,9 @@ that carry, or ever carried, the blob.
 
 * content addresses are narrow: one text representative per blob (the smallest
   path) is scanned, so copies of one text are neither moved nor scanned twice;
-* texts join the list of unseen representatives on the unique path, with the
-  narrow side hashed, so no copy group meets in one task;
+* texts are filtered where they are read if the list of unseen representatives, or
+  the list of all other paths, is at most ``BROADCAST_ROWS`` long; else they join the
+  representatives on the unique path, so no copy group meets in one task;
 * appending a scan is one Parquet append; a failed append leaves no rows, and a
   blob appended twice by two concurrent runs is read once.
 
@@ -47,6 +48,8 @@ PRIVATE_KEY = re.compile(r"-----BEGIN (?:[A-Z0-9]+ ){0,4}PRIVATE KEY-----")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 SERVICE_TOKEN = re.compile(r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})")
 MIN_VALUE, MIN_ACCESS = 6, 20
+#: (path, blob) rows that may be broadcast (about 100 bytes each)
+BROADCAST_ROWS = 500_000
 
 
 def find_spans(text: str) -> list[tuple[int, int, int]]:
@@ -100,7 +103,7 @@ def read_ledger(spark: SparkSession, path: str, rules: str) -> DataFrame | None:
 
 
 def update_ledger(versions: DataFrame, path: str, rules: str = RULES_VERSION, path_col: str = "path",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Scan what the ledger at ``path`` lacks, append it, and return
     ``(path, blob)`` for every row of ``versions`` (an addressed listing)."""
     spark = versions.sparkSession
@@ -112,9 +115,20 @@ def update_ledger(versions: DataFrame, path: str, rules: str = RULES_VERSION, pa
     ledger = read_ledger(spark, path, rules)
     if ledger is not None:
         unseen = unseen.join(ledger.select("blob"), "blob", "left_anti")
+    unseen, _ = land(unseen, "unseen-blobs")
     first = unseen.select(F.col("path").alias("_path"), F.col("blob").alias("_blob"))
-    texts = (rows.join(first.hint("shuffle_hash"), F.col("path").eqNullSafe(F.col("_path")))
-             .where(blob == F.col("_blob")).select(F.col("_blob").alias("blob"), "text"))
+    same = F.col("path").eqNullSafe(F.col("_path")) & (F.col("blob") == F.col("_blob"))
+    other = listing.distinct().join(unseen.select(F.col("path").alias("p"), F.col("blob").alias("b")),
+                                    F.col("path").eqNullSafe(F.col("p")) & (F.col("blob") == F.col("b")), "left_anti")
+    other, _ = land(other.select(F.col("path").alias("_path"), F.col("blob").alias("_blob")), "seen-paths")
+    rows = rows.withColumn("blob", blob)
+    if unseen.count() <= broadcast_rows:            # little is new: texts are filtered where they are read
+        texts = rows.join(F.broadcast(first), same, "left_semi")
+    elif other.count() <= broadcast_rows:           # nearly all is new
+        texts = rows.join(F.broadcast(other), same, "left_anti")
+    else:
+        texts = rows.join(first.hint("shuffle_hash"), same, "left_semi")
+    texts = texts.select("blob", "text")
     found = texts.mapInArrow(_scan, LEDGER).withColumn("rules", F.lit(rules))
     found.write.partitionBy("rules").mode("append").parquet(path)
     return listing
