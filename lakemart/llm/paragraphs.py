@@ -10,10 +10,11 @@ that is pasted into different surroundings fall into the same units everywhere.
 2. paragraphs of ``NEAR_WORDS`` words or more get MinHash band keys over their
    distinct 5-word shingles.  ``BANDS`` bands of ``ROWS`` rows are tuned for recall: a pair
    of Jaccard similarity 0.8 misses all of them with probability 0.002.  In every
-   shared bucket each node is paired with the smallest one and with its neighbour
-   in node order;
+   shared bucket each node is paired with the smallest one;
 3. pairs are verified by exact Jaccard similarity of the full shingle sets, and
-   links are contracted to components;
+   links are contracted to components.  Nodes of buckets that still hold several
+   components are then joined exactly by their rarest shingles (prefix filter),
+   verified and contracted again, so a bucket never gives all its pairs;
 4. a component that occurs in two or more documents is repeated text.  In every
    document, adjacent repeated units join to runs; runs of ``RUN_WORDS`` words or more
    are reported, one row per unit, with the occurrence that stays marked ``kept``
@@ -156,20 +157,22 @@ def _node_sets(shared):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int, bound: int) -> DataFrame:
-    """Pairs (a, b) of nodes whose shingle sets reach ``percent`` Jaccard similarity."""
+def _sets_of(nodes: DataFrame, texts: DataFrame, bound: int) -> DataFrame:
+    """(node, set) of the given distinct nodes: their distinct shingles, read from the texts."""
     spark = texts.sparkSession
-    pairs, _ = land(pairs, "paragraph-pairs")
-    nodes, _ = land(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(),
-                    "paragraph-nodes")
+    nodes, _ = land(nodes, "paragraph-nodes")
     shape = "node bigint, set array<bigint>"
     if nodes.count() <= bound:                         # 8 bytes a node
         wanted = np.sort(nodes.toArrow().column("node").to_numpy().astype(np.int64))
         sets = texts.select("text").mapInArrow(_node_sets(spark.sparkContext.broadcast(wanted)), shape)
     else:
         sets = texts.select("text").mapInArrow(_node_sets(None), shape).join(nodes, "node", "left_semi")
-    sets, _ = land(sets.groupBy("node").agg(F.any_value("set").alias("set")), "paragraph-sets")
-    sets = sets.select("node", F.array_distinct("set").alias("set"))
+    sets, _ = land(sets.groupBy("node").agg(F.array_distinct(F.any_value("set")).alias("set")), "paragraph-sets")
+    return sets
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes whose shingle sets reach ``percent`` Jaccard similarity."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
@@ -177,6 +180,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, bound: int) -> D
             .where(F.col("c") * 100 >= (F.col("n") - F.col("c")) * percent).select("a", "b"))
 
 
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of nodes ``(node, c)`` of different components, by prefixes:
+    with shingles in one order, two sets of the similarity share one among the first
+    ``n - ceil(percent * n) + 1`` of each.  The order puts rare shingles first, so
+    nodes that only share a frequent passage meet nowhere."""
+    words = sets.join(nodes, "node").select("node", "c", F.size("set").alias("n"), F.explode("set").alias("s"))
+    words, _ = land(words, "paragraph-words")
+    ranked = (words.join(words.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "s")
+              .withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy("df", "s")))     # one unit's shingles
+              .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
+    ranked, _ = land(ranked.select("s", "node", "c", "n"), "paragraph-prefixes")
+    x = ranked.select("s", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
+    y = ranked.select("s", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
+    return (x.join(y, "s").where("a < b and ca <> cb")
+            .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b").distinct())
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                         bands: int = BANDS, rows: int = ROWS, run_words: int = RUN_WORDS,
                         broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
@@ -191,19 +211,18 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lead, _ = land(lead, "paragraph-buckets")
     members = entries.join(lead, "key").distinct()
     members, _ = land(members, "paragraph-members")
-    stars = members.where("node > a").select("a", F.col("node").alias("b"))
-    links, _ = land(_verified(stars.distinct(), texts, percent, broadcast_nodes), "paragraph-links")
+    stars, _ = land(members.where("node > a").select("a", F.col("node").alias("b")).distinct(), "paragraph-stars")
+    ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    sets = _sets_of(ends, texts, broadcast_nodes)
+    links, _ = land(_verified(stars, sets, percent), "paragraph-links")
     first = components(links)
     # nodes of one bucket that the stars left in different components
     labelled, _ = land(members.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")),
                        "paragraph-labels")
     mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    rest, _ = land(labelled.join(mixed, "key"), "paragraph-mixed")
-    x = rest.select("key", F.col("node").alias("a"), F.col("c").alias("ca"))
-    y = rest.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-    across = (x.join(y, "key").where("a < b and ca <> cb").select("a", "b").distinct()
-              .join(stars, ["a", "b"], "left_anti"))
-    links = links.unionByName(_verified(across, texts, percent, broadcast_nodes))
+    rest, _ = land(labelled.join(mixed, "key").select("node", "c").distinct(), "paragraph-mixed")
+    across = _prefix_pairs(rest, sets, percent).join(stars, ["a", "b"], "left_anti")
+    links = links.unionByName(_verified(across, sets, percent))
     groups, _ = land(components(links), "paragraph-components")
 
     # a node's own reach; nodes seen in one document only matter if they are linked
