@@ -15,10 +15,10 @@ Steps of ``near_duplicates``:
    copies never meet again), with map-side minima, so no group is collected;
 3. in every band bucket each node is paired with the bucket's smallest node;
    pairs are verified on the full shingle sets, and links are contracted;
-4. buckets that still hold several components give the pairs *between*
-   components, which are verified too: every candidate pair is therefore either
-   verified or already connected, and no link between different texts is lost
-   that the bands retrieve.
+4. nodes of buckets that still hold several components are joined exactly by their
+   rarest shingles (prefix filter) and verified too: every candidate pair is
+   therefore verified, excluded by the filter or already connected, and no link
+   between different texts is lost that the bands retrieve.
 
 With 42 bands of 6 rows a pair of similarity 0.8 misses all bands with
 probability 3e-6, one of 0.9 with 1e-14.  Texts that share one long passage
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .components import components
 from .scratch import land
+from .set_join import prefix_pairs, verified
 
 BANDS, ROWS = 42, 6
 #: one-bit components, and how many of them a candidate pair must share
@@ -140,26 +141,18 @@ def _sets(shingle: int):
                 offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(start, n), pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))],
-                    names=["id", "set"])
+                    names=["node", "set"])
     return run
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach ``percent`` Jaccard similarity.
-    Only texts of candidate nodes are read into sets."""
-    pairs, _ = land(pairs, "pairs")
-    nodes = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    nodes, _ = land(nodes, "nodes")
-    side = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes.hint("shuffle_hash")
+def _sets_of(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, set) of the given nodes; only their texts are read into sets."""
+    nodes, _ = land(nodes.distinct(), "nodes")
+    side = nodes.select(F.col("node").alias("id"))
+    side = F.broadcast(side) if nodes.count() <= BROADCAST_IDS else side.hint("shuffle_hash")
     sets = (texts.join(side, "id", "left_semi").select("id", "text")
-            .mapInArrow(_sets(shingle), "id bigint, set array<bigint>"))
-    sets, _ = land(sets, "sets")
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b"))
-    common = F.size(F.array_intersect("x", "y"))
-    return (both.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), common.alias("c"))
-            .where(F.col("c") * 100 >= (F.col("nx") + F.col("ny") - F.col("c")) * percent)
-            .select("a", "b").distinct())
+            .mapInArrow(_sets(shingle), "node bigint, set array<bigint>"))
+    return land(sets.where(F.size("set") > 0), "sets")[0]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -176,14 +169,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     entries = (linkable.join(classes, ["s1", "s2", "n"]).where("id = node")
                .select("node", F.col("n").cast("int").alias("n"), "g1", "g2", F.explode("keys").alias("key")))
     entries, _ = land(entries, "entries")
-    lead = F.min_by(F.struct("g1", "g2"), "node")
+    lead = F.min_by(F.struct("g1", "g2", "n"), "node")
     shared = (entries.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"), lead.alias("l"))
-              .where("leader < last").select("key", "leader", F.col("l.g1").alias("l1"), F.col("l.g2").alias("l2")))
+              .where("leader < last").select("key", "leader", F.col("l.g1").alias("l1"), F.col("l.g2").alias("l2"), F.col("l.n").alias("ln")))
     members, _ = land(entries.join(shared, "key").distinct(), "members")
 
     texts = texts.where("id is not null")
-    stars = members.where("node > leader").where(_agree("g1", "g2", "l1", "l2")).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links, _ = land(_verify(stars, texts, shingle, percent), "verified")
+    near = (_agree("g1", "g2", "l1", "l2")
+            & (F.least("n", "ln") * 100 >= F.greatest("n", "ln") * percent))
+    stars, _ = land(members.where("node > leader").where(near)
+                    .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node")))
+    links, _ = land(verified(stars, _sets_of(ends, texts, shingle), percent), "verified")
     first, _ = land(components(links), "components")
 
     # what the stars left apart: pairs of one bucket in different components
@@ -193,14 +190,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = (labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
              .where("lo < hi").select("key"))
     rest, _ = land(labelled.join(mixed, "key"), "mixed")
-    x = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"),
-                    F.col("g1").alias("a1"), F.col("g2").alias("a2"))
-    y = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"),
-                    F.col("g1").alias("b1"), F.col("g2").alias("b2"))
-    across = (x.join(y, "key").where("a < b and ca <> cb").where(_agree("a1", "a2", "b1", "b2"))
-              .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b").distinct())
-    across = across.join(stars, ["a", "b"], "left_anti")
-    more = _verify(across, texts, shingle, percent)
+    other = rest.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"),
+                        F.col("g1").alias("b1"), F.col("g2").alias("b2"))
+    # nodes with any partner in another component that the sketch leaves open
+    open_ = rest.join(other, (F.col("key") == F.col("k")) & (F.col("c") != F.col("cb")) & _agree("g1", "g2", "b1", "b2")
+                      & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent), "left_semi")
+    open_, _ = land(open_.select("node", "c").distinct(), "open")
+    sets = _sets_of(open_.select("node"), texts, shingle)
+    across = prefix_pairs(open_, sets, percent).join(stars, ["a", "b"], "left_anti")
+    more = verified(across, sets, percent)
     final, _ = land(components(links.unionByName(more)), "components")
 
     named = (classes.join(final, "node", "left")

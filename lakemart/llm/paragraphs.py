@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .components import components
 from .scratch import land
+from .set_join import prefix_pairs, verified
 
 MIN_WORDS, NEAR_WORDS, RUN_WORDS = 4, 12, 30
 BANDS, ROWS, SHINGLE = 6, 2, 5
@@ -118,6 +119,10 @@ def _band_entries(bands: int, rows: int):
                     continue
                 owner, h = u.sets(which)
                 starts = np.searchsorted(owner, np.arange(len(which)))
+                order = np.lexsort((h, owner))
+                fresh = np.ones(len(h), bool)
+                fresh[1:] = (h[order][1:] != h[order][:-1]) | (owner[1:] != owner[:-1])     # owner is sorted
+                n = pa.array(np.bincount(owner[fresh], minlength=len(which)).astype(np.int32))
                 with np.errstate(over="ignore"):
                     for b in range(bands):
                         key = np.zeros(len(which), U)
@@ -125,8 +130,8 @@ def _band_entries(bands: int, rows: int):
                             low = np.minimum.reduceat(W.mix(h ^ seeds[b * rows + r]), starts)
                             key = W.mix(key * U(31) + low)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(W.mix(key + U(b)).view(np.int64)), pa.array(u.hash[which].view(np.int64))],
-                            names=["key", "node"])
+                            [pa.array(W.mix(key + U(b)).view(np.int64)), pa.array(u.hash[which].view(np.int64)), n],
+                            names=["key", "node", "n"])
     return run
 
 
@@ -171,32 +176,6 @@ def _sets_of(nodes: DataFrame, texts: DataFrame, bound: int) -> DataFrame:
     return sets
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes whose shingle sets reach ``percent`` Jaccard similarity."""
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"))
-    common = F.size(F.array_intersect("x", "y"))
-    return (both.select("a", "b", (F.size("x") + F.size("y")).alias("n"), common.alias("c"))
-            .where(F.col("c") * 100 >= (F.col("n") - F.col("c")) * percent).select("a", "b"))
-
-
-def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of nodes ``(node, c)`` of different components, by prefixes:
-    with shingles in one order, two sets of the similarity share one among the first
-    ``n - ceil(percent * n) + 1`` of each.  The order puts rare shingles first, so
-    nodes that only share a frequent passage meet nowhere."""
-    words = sets.join(nodes, "node").select("node", "c", F.size("set").alias("n"), F.explode("set").alias("s"))
-    words, _ = land(words, "paragraph-words")
-    ranked = (words.join(words.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "s")
-              .withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy("df", "s")))     # one unit's shingles
-              .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
-    ranked, _ = land(ranked.select("s", "node", "c", "n"), "paragraph-prefixes")
-    x = ranked.select("s", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    y = ranked.select("s", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
-    return (x.join(y, "s").where("a < b and ca <> cb")
-            .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b").distinct())
-
-
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                         bands: int = BANDS, rows: int = ROWS, run_words: int = RUN_WORDS,
                         broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
@@ -206,23 +185,26 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")))
     units, _ = land(texts.mapInArrow(_units, "id bigint, unit int, first int, words int, node bigint"), "paragraphs")
 
-    entries, _ = land(texts.select("text").mapInArrow(_band_entries(bands, rows), "key bigint, node bigint"), "paragraph-keys")
-    lead = entries.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("key", "a")
+    entries, _ = land(texts.select("text").mapInArrow(_band_entries(bands, rows), "key bigint, node bigint, n int"),
+                      "paragraph-keys")
+    lead = (entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("l"), F.max("node").alias("z"))
+            .where("l.node < z").select("key", F.col("l.node").alias("a"), F.col("l.n").alias("na")))
     lead, _ = land(lead, "paragraph-buckets")
-    members = entries.join(lead, "key").distinct()
-    members, _ = land(members, "paragraph-members")
-    stars, _ = land(members.where("node > a").select("a", F.col("node").alias("b")).distinct(), "paragraph-stars")
+    members, _ = land(entries.join(lead, "key").distinct(), "paragraph-members")
+    close = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
+    stars, _ = land(members.where("node > a").where(close).select("a", F.col("node").alias("b")).distinct(), "paragraph-stars")
     ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     sets = _sets_of(ends, texts, broadcast_nodes)
-    links, _ = land(_verified(stars, sets, percent), "paragraph-links")
+    links, _ = land(verified(stars, sets, percent), "paragraph-links")
     first = components(links)
     # nodes of one bucket that the stars left in different components
     labelled, _ = land(members.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")),
                        "paragraph-labels")
     mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     rest, _ = land(labelled.join(mixed, "key").select("node", "c").distinct(), "paragraph-mixed")
-    across = _prefix_pairs(rest, sets, percent).join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(_verified(across, sets, percent))
+    sets = _sets_of(rest.select("node"), texts, broadcast_nodes)
+    across = prefix_pairs(rest, sets, percent).join(stars, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(across, sets, percent))
     groups, _ = land(components(links), "paragraph-components")
 
     # a node's own reach; nodes seen in one document only matter if they are linked
