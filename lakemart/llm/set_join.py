@@ -13,13 +13,17 @@ from pyspark.sql import functions as F
 from .scratch import land
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose full sets reach ``percent`` Jaccard similarity."""
+def common_counts(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, nx, ny, c): sizes of the two full sets of every pair and of what they share."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"))
-    common = F.size(F.array_intersect("x", "y"))
-    return (both.select("a", "b", (F.size("x") + F.size("y")).alias("n"), common.alias("c"))
-            .where(F.col("c") * 100 >= (F.col("n") - F.col("c")) * percent).select("a", "b").distinct())
+    return both.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("c"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) whose full sets reach ``percent`` Jaccard similarity."""
+    return (common_counts(pairs, sets).where(F.col("c") * 100 >= (F.col("nx") + F.col("ny") - F.col("c")) * percent)
+            .select("a", "b").distinct())
 
 
 def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
