@@ -17,8 +17,9 @@ Steps of ``near_duplicates``:
    pairs are verified on the full shingle sets, and links are contracted;
 4. in buckets that still hold several components, pairs *between* components are
    verified too, unless the counts that both share with the bucket's smallest node
-   already rule the similarity out (an exact bound).  Every candidate pair is
-   therefore verified, excluded or already connected, and no link between different
+   already rule the similarity out (an exact bound).  The full sets are compared
+   inside the join, so a bucket gives only its links and never its pairs.  Every
+   candidate pair is therefore verified, excluded or already connected, and no link between different
    texts is lost that the bands retrieve.
 
 With 42 bands of 6 rows a pair of similarity 0.8 misses all bands with
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .components import components
 from .scratch import land
-from .set_join import common_counts, verified
+from .set_join import common_counts
 
 BANDS, ROWS = 42, 6
 #: one-bit components, and how many of them a candidate pair must share
@@ -201,12 +202,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # what two sets can share at most, from what each shares with the bucket's smallest node
     most = F.coalesce(F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")), F.least("na", "nb"))
     most = F.when(F.col("ia").isNull() | F.col("ib").isNull(), F.least("na", "nb")).otherwise(F.least(most, "na", "nb"))
-    across = (x.join(y, "key").where("a < b and ca <> cb").where(_agree("a1", "a2", "b1", "b2"))
-              .where(most * 100 >= (F.col("na") + F.col("nb") - most) * percent).select("a", "b").distinct()
-              .join(stars, ["a", "b"], "left_anti"))
-    across, _ = land(across, "across")
-    ends = across.select(F.col("a").alias("node")).unionByName(across.select(F.col("b").alias("node")))
-    more = verified(across, _sets_of(ends, texts, shingle), percent)
+    open_pair = ((F.col("ca") != F.col("cb")) & _agree("a1", "a2", "b1", "b2")
+                 & (most * 100 >= (F.col("na") + F.col("nb") - most) * percent))
+    y = y.withColumnRenamed("key", "k")
+    open_, _ = land(x.join(y, (F.col("key") == F.col("k")) & open_pair, "left_semi"), "open")
+    sets = _sets_of(open_.select(F.col("a").alias("node")), texts, shingle)
+    full = open_.join(sets.withColumnRenamed("node", "a"), "a")
+    full, _ = land(full.withColumnRenamed("set", "sa"), "open-sets")
+    other = full.select(F.col("key").alias("k"), *[F.col(f"{c}a").alias(f"{c}b") for c in ("n", "c", "i")], F.col("a").alias("b"),
+                        F.col("a1").alias("b1"), F.col("a2").alias("b2"), F.col("sa").alias("sb"))
+    shared = F.size(F.array_intersect("sa", "sb"))
+    # the exact test is the join's last condition: only links leave a bucket, never its pairs
+    more = full.join(other, (F.col("key") == F.col("k")) & (F.col("a") < F.col("b")) & open_pair
+                     & (shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent)).select("a", "b").distinct()
     final, _ = land(components(links.unionByName(more)), "components")
 
     named = (classes.join(final, "node", "left")
