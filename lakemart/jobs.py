@@ -103,7 +103,7 @@ def teams_job(spark: SparkSession, sf_dir: str, out: str, n_teams: int = 8, size
     return {"teams": teams.count(), "tournament": rounds.count()}
 
 
-def labels_job(spark: SparkSession, sf_dir: str, out: str, n: int | None = 100, parts: int = 5,
+def labels_job(spark: SparkSession, sf_dir: str, out: str, n: int | None = None, parts: int = 5,
                db: str | None = None) -> dict[str, int]:
     """(imdb_id, genre) pairs as header-less CSV, their shard ranges and the
     fetch / copy plan.  With ``db`` the pairs are read from the mart tables the
@@ -137,6 +137,7 @@ def main(argv=None) -> None:
     ap.add_argument("--db", default=None, help="catalog database for lake / star; labels: read the mart from it "
                          "(needs the session catalog the star job wrote to, e.g. a shared metastore)")
     ap.add_argument("--buckets", type=int, default=None, help="star: bucket movie-keyed tables into this many buckets")
+    ap.add_argument("--limit", type=int, default=None, help="labels: export this many pairs only (default: all)")
     args = ap.parse_args(argv)
     from .session import apply_defaults
     spark = apply_defaults(SparkSession.builder.appName(f"lakemart-{args.job}")
@@ -144,6 +145,8 @@ def main(argv=None) -> None:
     kwargs = {"db": args.db} if args.db and args.job in ("lake", "star", "labels") else {}
     if args.buckets and args.job == "star":
         kwargs["buckets"] = args.buckets
+    if args.limit and args.job == "labels":
+        kwargs["n"] = args.limit
     print(json.dumps(JOBS[args.job](spark, args.sf, args.out, **kwargs)))
 
 

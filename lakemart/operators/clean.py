@@ -34,7 +34,7 @@ def conform_ratings(df: DataFrame, integral: bool = False) -> DataFrame:
     parsed from ``MM/dd/yyyy HH:mm:ss``.  Bad text -> NULL."""
     rating = F.col("rating").try_cast("double")
     if integral:
-        rating = rating.cast("int")
+        rating = rating.try_cast("int")     # NULL beyond the int range and for NaN
     return df.select(F.col("user_id").try_cast("int").alias("user_id"),
                      F.col("movie_id").try_cast("int").alias("movie_id"),
                      rating.alias("rating"),
@@ -66,7 +66,7 @@ def deny_and_strip(df: DataFrame, col: str, deny: Sequence[str], prefix_len: int
     then cut the first ``prefix_len`` characters.  The deny list is a literal
     IN-set, evaluated in the scan's filter — no join."""
     kept = df.where(~F.col(col).isin(list(deny)))
-    return kept.withColumn(col, F.substring(F.col(col), prefix_len + 1, 1 << 30))
+    return kept.withColumn(col, F.col(col).substr(F.lit(prefix_len + 1), F.length(col)))
 
 
 def clamp_negative(df: DataFrame, cols: Sequence[str]) -> DataFrame:

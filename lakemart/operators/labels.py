@@ -10,10 +10,9 @@ is Spark ML's multinomial logistic regression over feature vectors.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import join_null_safe
 from ..functions.order import balanced_part, draw_key, global_index, index_within
 
 
@@ -50,19 +49,24 @@ def balanced_ranges(total: int, parts: int) -> list[tuple[int, int]]:
 
 
 def fetch_plan(sharded: DataFrame, root: str = "images", ext: str = "jpg") -> DataFrame:
-    """Per shard and id: the first genre (by name) is fetched, every later
-    genre copies that file.  (shard, imdb_id, genre, action, target, source)."""
-    firsts = sharded.groupBy("shard", "imdb_id").agg(F.min("genre").alias("_first"))
+    """Per shard and id: the first row (by genre) is fetched, every later genre
+    copies that file, and a row that repeats a target is ``present`` already.
+    (shard, imdb_id, genre, action, target, source)."""
+    one_id = Window.partitionBy("shard", "imdb_id")
+    by_genre = one_id.orderBy(F.asc_nulls_last("genre"))
+    same = Window.partitionBy("shard", "imdb_id", "genre").orderBy("genre")
 
     def path(genre):
         return F.concat_ws("/", F.lit(root), genre, F.concat(F.col("imdb_id"), F.lit("." + ext)))
 
-    j = join_null_safe(sharded, firsts, ["shard", "imdb_id"])
-    first = F.col("genre") == F.col("_first")
+    j = (sharded.withColumn("_first", F.min("genre").over(one_id)).withColumn("_nth", F.row_number().over(by_genre))
+         .withColumn("_again", F.row_number().over(same)))
+    fetch = F.col("_nth") == 1
+    again = ~fetch & (F.col("genre").eqNullSafe(F.col("_first")) | (F.col("_again") > 1))
     return j.select("shard", "imdb_id", "genre",
-                    F.when(first, F.lit("fetch")).otherwise(F.lit("copy")).alias("action"),
+                    F.when(fetch, F.lit("fetch")).when(again, F.lit("present")).otherwise(F.lit("copy")).alias("action"),
                     path(F.col("genre")).alias("target"),
-                    F.when(~first, path(F.col("_first"))).alias("source"))
+                    F.when(~fetch & ~again, path(F.col("_first"))).alias("source"))
 
 
 def label_dictionary(df: DataFrame, label: str = "label") -> DataFrame:
@@ -107,10 +111,12 @@ def evaluate(model, df: DataFrame, label: str = "label", group: str = "split") -
 def rank_labels(model, df: DataFrame, key: str = "id", labels: DataFrame | None = None) -> DataFrame:
     """Per item every label with its probability, ranked (1 = predicted)."""
     from pyspark.ml.functions import vector_to_array
-    from .ranking import top_k_per_group
-    pred = model.transform(df).select(key, F.posexplode(vector_to_array("probability")).alias("label_index", "probability"))
-    ranked = top_k_per_group(pred, [key], [F.col("probability").desc(), F.col("label_index")],
-                             k=1 << 30, rank_col="rank")
+    # sorted inside the row: no exchange
+    ordered = F.array_sort(F.transform(vector_to_array("probability"),
+                                       lambda p, i: F.struct((-p).alias("p"), i.alias("i"))))
+    ranked = (model.transform(df).select(key, F.posexplode(ordered).alias("_r", "_s"))
+              .select(key, F.col("_s.i").alias("label_index"), (-F.col("_s.p")).alias("probability"),
+                      (F.col("_r") + 1).alias("rank")))
     if labels is not None:
         ranked = ranked.join(labels, "label_index", "left")
     return ranked

@@ -145,10 +145,13 @@ SHARDED = f"""sharded AS (SELECT imdb_id, genre,
 ORACLES["label_pairs"] = _with(ITEMS, KEPT, PAIRS) + f"SELECT imdb_id, genre FROM pairs ORDER BY imdb_id, genre LIMIT {LABEL_LIMIT}"
 ORACLES["label_shards"] = _with(ITEMS, KEPT, PAIRS, SHARDED) + "SELECT imdb_id, genre, shard FROM sharded"
 ORACLES["label_fetch_plan"] = _with(ITEMS, KEPT, PAIRS, SHARDED) + """
-SELECT shard, imdb_id, genre, CASE WHEN genre = f THEN 'fetch' ELSE 'copy' END AS action,
+SELECT shard, imdb_id, genre, CASE WHEN nth = 1 THEN 'fetch' WHEN genre = f OR again > 1 THEN 'present' ELSE 'copy' END AS action,
   'images/' || genre || '/' || imdb_id || '.jpg' AS target,
-  CASE WHEN genre <> f THEN 'images/' || f || '/' || imdb_id || '.jpg' END AS source
-FROM (SELECT *, min(genre) OVER (PARTITION BY shard, imdb_id) AS f FROM sharded)"""
+  CASE WHEN nth > 1 AND again = 1 AND genre <> f THEN 'images/' || f || '/' || imdb_id || '.jpg' END AS source
+FROM (SELECT *, min(genre) OVER (PARTITION BY shard, imdb_id) AS f,
+  row_number() OVER (PARTITION BY shard, imdb_id ORDER BY genre) AS nth,
+  row_number() OVER (PARTITION BY shard, imdb_id, genre) AS again FROM sharded)"""
+ORACLES["label_pairs_all"] = _with(ITEMS, KEPT, PAIRS) + "SELECT imdb_id, genre FROM pairs"
 ORACLES["label_dictionary"] = _with(ITEMS, KEPT, PAIRS) + """
 SELECT genre, CAST(row_number() OVER (ORDER BY genre) - 1 AS INTEGER) AS label_index, n_items
 FROM (SELECT genre, count(*) AS n_items FROM pairs GROUP BY genre)"""

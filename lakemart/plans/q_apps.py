@@ -145,6 +145,12 @@ def label_pairs(spark, d):
     return LB.label_pairs(*_genre_mart(spark, d, land=False), n=LABEL_LIMIT)
 
 
+@query("label_pairs_all")
+def label_pairs_all(spark, d):
+    # without the limit: every pair
+    return LB.label_pairs(*_genre_mart(spark, d, land=False), n=None)
+
+
 @query("label_shards")
 def label_shards(spark, d):
     return LB.assign_shards(_all_pairs(spark, d), SHARDS)

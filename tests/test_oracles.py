@@ -7,8 +7,10 @@ from check_oracles import compare, duck
 from conftest import SF01
 from plan_report import plan_text, summarize
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from lakemart.plans.oracles import ORACLES
+from lakemart.plans.queries import QUERIES as OWN
+
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")

@@ -200,12 +200,18 @@ def test_fetch_plan_equals_brute_force(spark, pairs, parts):
     want = []
     for shard, (lo, hi) in enumerate(labels.balanced_ranges(len(ordered), parts)):
         chunk = ordered[lo:hi]
+        fetched, there = {}, set()      # a process fetches an id once and copies that file later
         for imdb, genre in chunk:
-            first = min(g for i, g in chunk if i == imdb)
             target = f"images/{genre}/{imdb}.jpg"
-            want.append((shard, imdb, genre, "fetch" if genre == first else "copy", target,
-                         None if genre == first else f"images/{first}/{imdb}.jpg"))
-    assert got == sorted(want)
+            if imdb not in fetched:
+                fetched[imdb] = target
+                want.append((shard, imdb, genre, "fetch", target, None))
+            elif target in there:
+                want.append((shard, imdb, genre, "present", target, None))
+            else:
+                want.append((shard, imdb, genre, "copy", target, fetched[imdb]))
+            there.add(target)
+    assert sorted(map(str, got)) == sorted(map(str, want))
 
 
 tag_rows = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 2),
