@@ -40,8 +40,12 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ranked = (words.join(words.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "s")
               .withColumn("r", F.row_number().over(one_set))
               .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
-    ranked, _ = land(ranked.select("s", "node", "c", "n"), "set-prefixes")
-    x = ranked.select("s", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    y = ranked.select("s", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
+    ranked, _ = land(ranked.select("s", "node", "c", "n", "r"), "set-prefixes")
+    x = ranked.select("s", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"),
+                      F.col("r").alias("ra"))
+    y = ranked.select("s", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"),
+                      F.col("r").alias("rb"))
+    # behind their first common shingle two sets share at most what is left of the shorter rest
+    most = F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb")) + 1
     return (x.join(y, "s").where("a < b and ca <> cb")
-            .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b").distinct())
+            .where(most * 100 >= (F.col("na") + F.col("nb") - most) * percent).select("a", "b").distinct())
