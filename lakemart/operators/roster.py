@@ -23,10 +23,12 @@ ATTRS = ["intelligence", "strength", "speed", "durability", "power", "combat"]
 
 def align_names(*tables: DataFrame, key: str = "name") -> list[DataFrame]:
     """Every key present in any table appears in all of them (new rows carry
-    NULLs).  One distinct union of keys and one left join per table — same
-    rows as the pairwise anti-join + union form."""
-    names = reduce(DataFrame.union, [t.select(key) for t in tables]).distinct()
-    return [names.join(t, key, "left") for t in tables]
+    NULLs); a table's own rows stay as they are, also those without a key.  One
+    tagged union grouped by key says which tables hold it; no join."""
+    tagged = reduce(DataFrame.unionByName, [t.select(key, F.lit(1 << i).alias("_in")) for i, t in enumerate(tables)])
+    holders = tagged.groupBy(key).agg(F.bit_or("_in").alias("_in"))
+    return [t.unionByName(holders.where(F.col("_in").bitwiseAND(1 << i) == 0).select(key), allowMissingColumns=True)
+            for i, t in enumerate(tables)]
 
 
 def draw_teams(heroes: DataFrame, n_teams: int = 8, size: int = 5, seed: int = 42,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.fixed import STOPWORDS, TOKEN_SPLIT_SPEC, TOKEN_SPLIT_STRICT
-from .oracles import R4, INFO, IMDB, ITEMS, KEPT, ORACLES, POWERS, STATS, TOP_HEROES, _with
+from .oracles import R4, INFO, INFO_ALL, IMDB, ITEMS, KEPT, ORACLES, POWERS, STATS, STATS_ALL, TOP_HEROES, _with
 from .q_apps import BRACKETS, LABEL_LIMIT, SHARDS, SPLIT, TEAMS
 
 
@@ -18,6 +18,12 @@ SELECT doc_id AS ArticleID, CAST(len(string_split_regex(text, {SPLIT_RE})) AS IN
   CAST(len(list_filter(string_split_regex(text, {SPLIT_RE}), lambda x: x <> '')) AS INTEGER) AS n_nonempty
 FROM documents"""
 
+ORACLES["text_token_counts"] = f"""
+WITH t AS (SELECT doc_id AS ArticleID, string_split_regex(text, {SPLIT_RE}) AS ts FROM documents),
+p AS (SELECT ArticleID, unnest(ts) AS token, unnest(range(len(ts))) AS pos FROM t)
+SELECT ArticleID, token, count(*) AS n, CAST(min(pos) AS INTEGER) AS first_pos, CAST(max(pos) AS INTEGER) AS last_pos
+FROM p GROUP BY ArticleID, token"""
+
 _stop = ", ".join(_lit(w) for w in dict.fromkeys(STOPWORDS))
 def _keywords_sql(pattern: str) -> str:
     return f"""
@@ -34,7 +40,7 @@ SELECT ArticleID, Category, token AS Tag, Frequency FROM (
 ORACLES["text_keywords"] = _keywords_sql(SPLIT_RE)
 ORACLES["text_keywords_spec"] = _keywords_sql(_lit(TOKEN_SPLIT_SPEC))
 
-ORACLES["top_by_alignment"] = _with(STATS, INFO, TOP_HEROES) + "SELECT * FROM top_heroes"
+ORACLES["top_by_alignment"] = _with(STATS_ALL, INFO_ALL, TOP_HEROES) + "SELECT * FROM top_heroes"
 
 ALIGNED = """names AS (SELECT name FROM stats_t UNION SELECT name FROM info UNION SELECT name FROM powers),
 s AS (SELECT n.name, coalesce(intelligence, 0) AS intelligence, coalesce(strength, 0) AS strength,
@@ -124,9 +130,9 @@ SELECT 3, bracket, winner, wins FROM win3"""
 
 ORACLES["cogroup_grades"] = """
 WITH mid AS (SELECT 'Student' || CAST(o_custkey AS VARCHAR) AS student, CAST(floor(o_totalprice) % 101 AS DOUBLE) AS g
-             FROM orders WHERE o_orderstatus = 'F'),
+             FROM orders WHERE o_orderstatus = 'F' OR (o_orderstatus <> 'O' AND o_orderkey % 2 = 0)),
 proj AS (SELECT 'Student' || CAST(o_custkey AS VARCHAR) AS student, CAST(floor(o_totalprice) % 101 AS DOUBLE) AS g
-         FROM orders WHERE o_orderstatus = 'O'),
+         FROM orders WHERE o_orderstatus = 'O' OR (o_orderstatus <> 'F' AND o_orderkey % 2 = 1)),
 m AS (SELECT student, min(g) AS g FROM mid GROUP BY student),
 p AS (SELECT student, min(g) AS g FROM proj GROUP BY student),
 j AS (SELECT coalesce(m.student, p.student) AS student, coalesce(m.g, 0.0) AS midterm, coalesce(p.g, 0.0) AS project
@@ -160,3 +166,6 @@ SELECT vec_id, label, CASE WHEN rn <= floor(n * {SPLIT['fraction']}) THEN 'valid
 FROM (SELECT vec_id, label,
   row_number() OVER (PARTITION BY label ORDER BY md5('{SPLIT['seed']}|' || CAST(vec_id AS VARCHAR)), vec_id) AS rn,
   count(*) OVER (PARTITION BY label) AS n FROM embeddings)"""
+ORACLES["label_ranking_check"] = """
+SELECT vec_id, (SELECT CAST(max(label) + 1 AS BIGINT) FROM embeddings) AS n_labels, true AS ranks_ok,
+  true AS sums_to_one, true AS best_first, true AS first_is_prediction FROM embeddings"""

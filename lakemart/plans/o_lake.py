@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracles import (R4, INFO, ORACLES, POWERS, RATINGS_RAW, RAW_MOVIES, STATS, TAGS, TOP_HEROES, USERS,
+from .oracles import (R4, INFO_ALL, ORACLES, POWERS, RATINGS_RAW, RAW_MOVIES, STATS, STATS_ALL, TAGS, TOP_HEROES, USERS,
                       USERS_REPORT, _with, title_sql, year_sql)
 from .standins import SEGMENT_ALIGNMENT
 
@@ -12,7 +12,7 @@ ORACLES["src_delimited"] = f"""
 SELECT CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
   {RATING_TEXT} AS rating, strftime(l_shipdate, '%m/%d/%Y %H:%M:%S') AS created_at FROM lineitem"""
 
-ORACLES["src_csv_inferred"] = _with(STATS) + """
+ORACLES["src_csv_inferred"] = _with(STATS_ALL) + """
 SELECT name AS "Name", alignment AS "Alignment", intelligence AS "Intelligence", strength AS "Strength",
   speed AS "Speed", durability AS "Durability", power AS "Power", combat AS "Combat", total AS "Total"
 FROM stats_t"""
@@ -66,7 +66,7 @@ SELECT id, substring(imdb, 3) AS imdb_id FROM (
          ELSE 'tt' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') END AS imdb FROM orders)
 WHERE imdb NOT IN ('0', 'tt0113002', 'tt2423504', 'tt2622826')"""
 
-ORACLES["prj_clamp"] = _with(INFO) + """
+ORACLES["prj_clamp"] = _with(INFO_ALL) + """
 SELECT name, CASE WHEN height > 0 THEN height ELSE 0 END AS height,
   CASE WHEN weight > 0 THEN weight ELSE 0 END AS weight FROM info"""
 
@@ -85,7 +85,7 @@ SELECT user_id, movie_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM tags GR
 ORACLES["snk_ctas"] = _with(RATINGS_RAW) + """
 SELECT movieId, """ + R4("avg(rating)") + """ AS vote_average, CAST(count(rating) AS INTEGER) AS vote_count
 FROM ratings_raw GROUP BY movieId"""
-ORACLES["snk_csv"] = _with(STATS, INFO, TOP_HEROES) + "SELECT * FROM top_heroes"
+ORACLES["snk_csv"] = _with(STATS_ALL, INFO_ALL, TOP_HEROES) + "SELECT * FROM top_heroes"
 
 ORACLES["cat_lifecycle"] = """
 SELECT * FROM (VALUES ('create_database', true), ('describe_database', true), ('database_exists', true),

@@ -94,6 +94,8 @@ INFO = """info AS (SELECT c_name AS name,
     n_name AS race, r_name AS publisher, c_acctbal / 20 AS height, c_acctbal / 50 AS weight
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   WHERE c_mktsegment <> 'MACHINERY')"""
+STATS_ALL = STATS.replace(" WHERE c_mktsegment <> 'HOUSEHOLD'", "")
+INFO_ALL = INFO.replace("\n  WHERE c_mktsegment <> 'MACHINERY'", "")
 POWERS = """powers AS (SELECT c_name AS name, c_nationkey % 3 = 0 AS flight FROM customer
   WHERE c_mktsegment <> 'FURNITURE')"""
 RAW_MOVIES = """raw_movies AS (SELECT CAST(p_partkey AS INTEGER) AS movie_id,

@@ -30,6 +30,14 @@ def text_tokens(spark, d):
                     F.size(F.filter("_t", lambda x: x != "")).alias("n_nonempty"))
 
 
+@query("text_token_counts")
+def text_token_counts(spark, d):
+    # every token of every document with its number and first and last position
+    t = TX.tokenize(S.news(spark, d), keep=["ArticleID"])
+    return t.groupBy("ArticleID", "token").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"),
+                                               F.max("pos").alias("last_pos"))
+
+
 @query("text_keywords")
 def text_keywords(spark, d):
     return TX.keywords(S.news(spark, d))
@@ -45,7 +53,7 @@ def text_keywords_spec(spark, d):
 
 @query("top_by_alignment")
 def top_by_alignment(spark, d):
-    return ranking.top_by_alignment(S.hero_stats(spark, d), S.hero_info(spark, d), PUBLISHERS, n=10)
+    return ranking.top_by_alignment(S.hero_stats(spark, d, whole=True), S.hero_info(spark, d, whole=True), PUBLISHERS, n=10)
 
 
 def _aligned(spark, d):
@@ -191,4 +199,19 @@ def label_classifier(spark, d):
 @query("label_ranking")
 def label_ranking(spark, d):
     model, data = _model(spark, d)
-    return LB.rank_labels(model, data.where(F.col("split") == "validation"), key="vec_id")
+    return LB.rank_labels(model, data, key="vec_id")
+
+
+@query("label_ranking_check")
+def label_ranking_check(spark, d):
+    # what any ranking must satisfy, per item
+    model, data = _model(spark, d)
+    picked = model.transform(data).select("vec_id", F.col("prediction").cast("int").alias("picked"))
+    each = (LB.rank_labels(model, data, key="vec_id").groupBy("vec_id")
+            .agg(F.count(F.lit(1)).alias("n_labels"), F.sum("rank").alias("rank_sum"), F.sum("probability").alias("p"),
+                 F.max(F.struct("probability", -F.col("rank"), "label_index")).alias("top"),
+                 F.min_by("label_index", "rank").alias("first")))
+    return each.join(picked, "vec_id").select(
+        "vec_id", "n_labels", (F.col("rank_sum") * 2 == F.col("n_labels") * (F.col("n_labels") + 1)).alias("ranks_ok"),
+        (F.abs(F.col("p") - 1) < 1e-9).alias("sums_to_one"), (F.col("top.label_index") == F.col("first")).alias("best_first"),
+        (F.col("first") == F.col("picked")).alias("first_is_prediction"))

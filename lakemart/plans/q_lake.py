@@ -58,7 +58,7 @@ def src_csv_inferred(spark, d):
 
 @query("src_csv_multiline")
 def src_csv_multiline(spark, d):
-    m = R.read_csv_multiline(spark, L.metadata_csv(spark, d), L.METADATA_SCHEMA)
+    m = L.metadata_read(spark, d)
     return m.select("id", "imdb_id", "overview", "revenue", F.col("release_date").cast("string").alias("release_date"),
                     "popularity", "adult")
 
@@ -100,7 +100,7 @@ def src_labelled_files(spark, d):
     root = scratch_path(spark, "labelled")
     e = S.table(spark, d, "embeddings")
     (e.select(F.col("label").cast("string").alias("label"), F.col("vec_id").cast("string").alias("value"))
-     .repartition("label").write.partitionBy("label").text(root))
+     .hint("rebalance", "label").write.partitionBy("label").text(root))
     files = R.scan_labelled_files(spark, root)
     return files.groupBy("label").agg(F.sum("length").alias("n_bytes"))
 
@@ -149,7 +149,7 @@ def prj_deny_strip(spark, d):
 
 @query("prj_clamp")
 def prj_clamp(spark, d):
-    return clean.clamp_negative(S.hero_info(spark, d), ["height", "weight"]).select("name", "height", "weight")
+    return clean.clamp_negative(S.hero_info(spark, d, whole=True), ["height", "weight"]).select("name", "height", "weight")
 
 
 @query("prj_fill")
@@ -218,7 +218,7 @@ def snk_export(spark, d):
 @query("snk_csv")
 def snk_csv(spark, d):
     from ..operators.ranking import top_by_alignment
-    top = top_by_alignment(S.hero_stats(spark, d), S.hero_info(spark, d),
+    top = top_by_alignment(S.hero_stats(spark, d, whole=True), S.hero_info(spark, d, whole=True),
                            publishers=["AMERICA", "EUROPE"], n=10)
     path = K.write_csv(top, scratch_path(spark, "top_heroes"), header=True, keys=["alignment"])
     back = spark.read.option("header", True).option("inferSchema", True).csv(path)
@@ -236,7 +236,7 @@ def cat_lifecycle(spark, d):
     C.describe_database(spark, db, "movies mart")
     steps.append(("describe_database", (C.database_comment(spark, db) or "") == "movies mart"))
     steps.append(("database_exists", C.database_exists(spark, db) and not C.database_exists(spark, db + "_no")))
-    stats = S.hero_stats(spark, d)
+    stats = S.hero_stats(spark, d, whole=True)
     C.create_table(spark, f"{db}.stats", stats.schema)
     steps.append(("create_table", spark.table(f"{db}.stats").count() == 0
                   and spark.table(f"{db}.stats").columns == stats.columns))
