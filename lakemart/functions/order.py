@@ -38,11 +38,13 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "rn", ranges:
                  total_col: str | None = None) -> DataFrame:
     """Exact 1-based ``row_number`` over ascending ``order`` columns (which must
     form a total order).  ``total_col`` also attaches the total row count.
-    The input plan is evaluated once (the map side of the range shuffle)."""
+    The input is landed first, so that finding the split points and writing the
+    ranges read a table and do not evaluate the input plan twice."""
     from ..session import cut_lineage
     spark = df.sparkSession
     n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     names = list(order)
+    df = cut_lineage(df, "index-input")
     landed = cut_lineage(df.repartitionByRange(n, *names).withColumn("_r", F.spark_partition_id()), "index")
     sizes = landed.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)

@@ -22,7 +22,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.fixed import DENY_IMDB_IDS
 from .operators import clean, labels as LB, nested as N, ranking, roster as RO, tags, text
 from .operators import tournament as TR
 from .plans import landing as L, nested_standins as NS, standins as S
@@ -65,21 +64,20 @@ def star_job(spark: SparkSession, sf_dir: str, out: str, db: str = "movies",
              buckets: int | None = None) -> dict[str, int]:
     """Movie metadata, credits, keywords and ratings -> 14 external mart tables
     (movie table, ratings and bridges bucketed by movie when ``buckets``)."""
-    meta = cut_lineage(NS.metadata_text(spark, sf_dir), "metadata")
-    movies = clean.deny_and_strip(meta, "imdb_id", DENY_IMDB_IDS)
-    credits = meta.select("cast", F.lit(None).cast("string").alias("crew"), "id")
-    star = N.star_schema(movies, credits, meta.select("id", "keywords"), NS.ratings_raw(spark, sf_dir))
+    sources = NS.landed_sources(spark, sf_dir)
+    star = N.star_schema(*sources)
     counts = _counts(K.save_star_schema(star, out, db, buckets=buckets))
     # cells whose list text the repair rule could not parse lose all their elements: report them
-    for r in N.parse_report(meta).collect():          # one row per list column
-        counts[f"unparsed_{r.entity}"] = r.failed_cells
+    for source in sources[:3]:
+        for r in N.parse_report(source).collect():    # one row per list column
+            counts[f"unparsed_{r.entity}"] = r.failed_cells
     return counts
 
 
 def heroes_job(spark: SparkSession, sf_dir: str, out: str, publishers=("AMERICA", "EUROPE"),
                n: int = 10) -> dict[str, int]:
     """Top n heroes by total per alignment (good / bad), one CSV folder each."""
-    top = ranking.top_by_alignment(S.hero_stats(spark, sf_dir), S.hero_info(spark, sf_dir), list(publishers), n)
+    top = ranking.top_by_alignment(S.hero_stats(spark, sf_dir, whole=True), S.hero_info(spark, sf_dir, whole=True), list(publishers), n)
     K.write_csv(top, f"{out}/top_heroes", header=True, keys=["alignment"], order=[F.desc("score"), "name"])
     return {f"top_{r.alignment}": r["count"] for r in top.groupBy("alignment").count().collect()}
 

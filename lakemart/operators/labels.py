@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_null_safe
 from ..functions.order import balanced_part, draw_key, global_index, index_within
 
 
@@ -79,11 +80,17 @@ def label_dictionary(df: DataFrame, label: str = "label") -> DataFrame:
 def train_validation_split(df: DataFrame, fraction: float = 0.3, label: str = "label", key: str = "id",
                            seed: int = 7) -> DataFrame:
     """Adds ``split``: per label, the first floor(fraction * n) rows in seeded
-    order are 'validation', the rest 'train' — disjoint and complete."""
+    order are 'validation', the rest 'train' — disjoint and complete.
+
+    Only (label, key, draw) is indexed, for the draw of each label's last
+    validation row; the wide rows are compared with it and never shuffled for the
+    index.  Rows that repeat a key within a label fall on the same side."""
     keyed = df.withColumn("_draw", draw_key(seed, key))
-    ranked = index_within(keyed, [label], ["_draw", key], "_rn", size_col="_n")
-    val = F.col("_rn") <= F.floor(F.col("_n") * F.lit(fraction))
-    return ranked.withColumn("split", F.when(val, "validation").otherwise("train")).drop("_draw", "_rn", "_n")
+    ranked = index_within(keyed.select(label, key, "_draw"), [label], ["_draw", key], "_rn", size_col="_n")
+    cuts = (ranked.where(F.col("_rn") == F.floor(F.col("_n") * F.lit(fraction)))
+            .select(label, F.col("_draw").alias("_cut")))
+    out = join_null_safe(keyed, cuts, [label], "left")
+    return out.select(*df.columns, F.when(F.col("_draw") <= F.col("_cut"), "validation").otherwise("train").alias("split"))
 
 
 def train_classifier(train: DataFrame, features: str = "features", label: str = "label",

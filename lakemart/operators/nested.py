@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from ..functions.nested import parse_array
 from ..functions.order import global_index
+from ..session import cut_lineage
 from . import facts
 
 
@@ -89,12 +90,13 @@ def ratings_fact(ratings: DataFrame) -> DataFrame:
 
 def star_schema(metadata: DataFrame, credits: DataFrame, keywords: DataFrame,
                 ratings: DataFrame) -> dict[str, DataFrame]:
-    """The 14 mart tables, lazily.  ``metadata`` must already be deny-filtered;
-    callers that write them should persist the parsed entity tables once."""
+    """The 14 mart tables.  ``metadata`` must already be deny-filtered.  Each list
+    column is parsed once: its exploded rows are landed, and dimension and bridge
+    read them."""
     sources = {"metadata": metadata, "credits": credits, "keywords": keywords}
     out: dict[str, DataFrame] = {}
     for name, ent in ENTITIES.items():
-        rows = explode_entities(sources[ent.source], ent)
+        rows = cut_lineage(explode_entities(sources[ent.source], ent), f"entities-{name}")
         out[f"{name}_ext"] = dimension(rows, ent)
         out[f"{name}_movies_ext"] = bridge(rows, ent)
     fact = ratings_fact(ratings)

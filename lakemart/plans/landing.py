@@ -57,7 +57,7 @@ def movies_text(spark, d) -> str:
 
 def hero_stats_csv(spark, d) -> str:
     """character_stats.csv layout: header, capitalised names."""
-    st = S.hero_stats(spark, d)
+    st = S.hero_stats(spark, d, whole=True)
     names = ["Name", "Alignment", "Intelligence", "Strength", "Speed", "Durability", "Power",
              "Combat", "Total"]
     path = scratch_path(spark, "landing-stats")
@@ -65,29 +65,45 @@ def hero_stats_csv(spark, d) -> str:
     return path
 
 
-# Schema of the movie metadata file (the columns the stand-in fills).
+# Schema of the movie metadata file.
 METADATA_SCHEMA = StructType([
-    StructField("adult", BooleanType()), StructField("budget", IntegerType()),
+    StructField("adult", BooleanType()), StructField("belongs_to_collection", StringType()),
+    StructField("budget", IntegerType()),
     StructField("genres", StringType()), StructField("homepage", StringType()),
     StructField("id", IntegerType()), StructField("imdb_id", StringType()),
     StructField("original_language", StringType()), StructField("original_title", StringType()),
     StructField("overview", StringType()), StructField("popularity", DoubleType()),
+    StructField("poster_path", StringType()),
     StructField("production_companies", StringType()), StructField("production_countries", StringType()),
     StructField("release_date", DateType()), StructField("revenue", IntegerType()),
     StructField("runtime", DoubleType()), StructField("spoken_languages", StringType()),
-    StructField("status", StringType()), StructField("title", StringType()),
+    StructField("status", StringType()), StructField("tagline", StringType()), StructField("title", StringType()),
     StructField("video", BooleanType()), StructField("vote_average", DoubleType()),
     StructField("vote_count", IntegerType()),
 ])
 
 
-def metadata_csv(spark, d, parts: int = 4) -> str:
+def metadata_csv(spark, d, rows_per_file: int = 250_000) -> str:
     """The movie metadata file as a directory of part files: header, quoted
-    fields with embedded newlines, quotes and commas; revenue can exceed int."""
+    fields with embedded newlines, quotes and commas; revenue can exceed int.  A
+    multi-line file is read by one task, so files are kept small."""
     from .nested_standins import metadata_text
     m = metadata_text(spark, d)
     text = m.select(*[F.col(f.name).cast("string").alias(f.name) for f in METADATA_SCHEMA.fields])
     path = scratch_path(spark, "landing-metadata")
-    (text.repartition(parts).write.option("header", True).option("quote", '"')
+    (text.write.option("maxRecordsPerFile", rows_per_file).option("header", True).option("quote", '"')
      .option("escape", '"').option("quoteAll", True).csv(path))
     return path
+
+
+def metadata_read(spark, d):
+    """The metadata file read with its schema: a field its type cannot hold is NULL."""
+    from ..sources.readers import read_csv_multiline
+    return read_csv_multiline(spark, metadata_csv(spark, d), METADATA_SCHEMA)
+
+
+def movies_read(spark, d):
+    """The file read, deny-listed and with the id prefix cut."""
+    from ..functions.fixed import DENY_IMDB_IDS
+    from ..operators.clean import deny_and_strip
+    return deny_and_strip(metadata_read(spark, d), "imdb_id", DENY_IMDB_IDS)

@@ -85,7 +85,8 @@ def metadata_text(spark, d) -> DataFrame:
     o = S.table(spark, d, "orders")
     k = F.col("o_orderkey")
     return (o.join(lists, k == F.col("l_orderkey"), "left")
-            .select(F.lit(False).alias("adult"), F.floor("o_totalprice").cast("int").alias("budget"),
+            .select(F.lit(False).alias("adult"), F.lit(None).cast("string").alias("belongs_to_collection"),
+                    F.floor("o_totalprice").cast("int").alias("budget"),
                     "genres", F.concat(F.lit("site/"), k.cast("string")).alias("homepage"),
                     k.cast("int").alias("id"),
                     imdb_id(k, F.col("o_orderpriority"), F.col("o_orderstatus")).alias("imdb_id"),
@@ -94,12 +95,13 @@ def metadata_text(spark, d) -> DataFrame:
                     F.concat(F.col("o_orderpriority"), F.lit('\n"'), F.col("o_orderstatus"),
                              F.lit('", said '), F.col("o_custkey").cast("string")).alias("overview"),
                     (F.col("o_totalprice") / 1000).alias("popularity"),
+                    F.concat(F.lit("/"), k.cast("string"), F.lit(".jpg")).alias("poster_path"),
                     "production_companies", "production_countries",
                     F.to_date("o_orderdate").alias("release_date"),
                     F.floor(F.col("o_totalprice") * 10000).cast("bigint").alias("revenue"),
                     (F.lit(90.0) + F.col("o_totalprice") % 60).alias("runtime"),
                     "spoken_languages",
-                    F.col("o_orderstatus").alias("status"),
+                    F.col("o_orderstatus").alias("status"), F.lit(None).cast("string").alias("tagline"),
                     F.concat(F.lit("Movie "), k.cast("string")).alias("title"),
                     F.lit(False).alias("video"), F.lit(0.0).alias("vote_average"),
                     F.lit(0).alias("vote_count"), "cast", "keywords"))
@@ -120,6 +122,20 @@ def keywords_text(spark, d) -> DataFrame:
     return metadata_text(spark, d).select("id", "keywords")
 
 
+def landed_sources(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(movies, credits, keywords, ratings) of the star schema.  The metadata file is
+    read once (a multi-line file is one task's) and landed with its typed columns,
+    the two other files' list columns likewise."""
+    from ..functions.fixed import DENY_IMDB_IDS
+    from ..operators.clean import deny_and_strip
+    from ..session import cut_lineage
+    from .landing import metadata_read
+    lists = cut_lineage(metadata_text(spark, d).select("id", "cast", "keywords"), "lists")
+    movies = deny_and_strip(cut_lineage(metadata_read(spark, d), "metadata"), "imdb_id", DENY_IMDB_IDS)
+    return (movies, lists.select("cast", F.lit(None).cast("string").alias("crew"), "id"), lists.select("id", "keywords"),
+            ratings_raw(spark, d))
+
+
 def ratings_raw(spark, d) -> DataFrame:
     """ratings file shape: userId, movieId, rating (0.1-5.0), timestamp (epoch s)."""
     li = S.table(spark, d, "lineitem")

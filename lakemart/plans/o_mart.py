@@ -29,6 +29,12 @@ SELECT CAST(o_orderkey AS INTEGER) AS id, {', '.join(
     for n in _ENTITY_SQL)}
 FROM orders LEFT JOIN items ON l_orderkey = o_orderkey GROUP BY o_orderkey"""
 
+# a backslash goes and the cell parses; an escaped apostrophe or a bare True loses the whole cell
+ORACLES["nest_repair_values"] = _with(ITEMS) + """
+SELECT CAST(l_orderkey AS INTEGER) AS id, CASE WHEN l_orderkey % 4 < 2 THEN string_agg(
+    p_size || ':' || p_type, ',' ORDER BY p_size || ':' || p_type) END AS keywords
+FROM items GROUP BY l_orderkey"""
+
 ORACLES["mart_votes"] = _with(RATINGS_RAW) + """
 SELECT movieId, """ + R4("avg(rating)") + """ AS vote_average, CAST(count(rating) AS INTEGER) AS vote_count
 FROM ratings_raw GROUP BY movieId"""
@@ -42,7 +48,7 @@ SELECT CAST(o_orderkey AS INTEGER) AS id, substring(imdb, 3) AS imdb_id,
   'site/' || CAST(o_orderkey AS VARCHAR) AS homepage, 'Order ' || CAST(o_orderkey AS VARCHAR) AS original_title,
   o_orderpriority || chr(10) || '"' || o_orderstatus || '", said ' || CAST(o_custkey AS VARCHAR) AS overview,
   o_totalprice / 1000 AS popularity, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS release_date,
-  CAST(floor(o_totalprice * 10000) AS BIGINT) AS revenue, 90.0 + o_totalprice % 60 AS runtime,
+  CASE WHEN floor(o_totalprice * 10000) <= 2147483647 THEN CAST(floor(o_totalprice * 10000) AS INTEGER) END AS revenue, 90.0 + o_totalprice % 60 AS runtime,
   o_orderstatus AS status, 'Movie ' || CAST(o_orderkey AS VARCHAR) AS title,
   {R4("v.va")} AS vote_average, v.vc AS vote_count
 FROM m LEFT JOIN votes v ON v.movieId = CAST(o_orderkey AS INTEGER)

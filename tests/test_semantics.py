@@ -128,3 +128,37 @@ def test_tag_lists_compact_form(spark):
     t = spark.createDataFrame([(1, 1, "b"), (1, 1, "a"), (1, 1, "b")], "user_id int, movie_id int, tag string")
     r = tags.tag_lists(t, expand=False).collect()[0]
     assert [(x.tag, x.n) for x in r.tag_counts] == [("a", 1), ("b", 2)]
+
+
+def test_align_names_keeps_a_row_without_a_name(spark):
+    from lakemart.operators import roster
+    a = spark.createDataFrame([(None, 50), ("x", 1)], "name string, total int")
+    b = spark.createDataFrame([("y", 2.0)], "name string, height double")
+    left, right = roster.align_names(a, b)
+    assert sorted(map(tuple, left.collect()), key=str) == [("x", 1), ("y", None), (None, 50)]
+    assert sorted(map(tuple, right.collect()), key=str) == [("x", None), ("y", 2.0), (None, None)]
+
+
+def test_global_index_evaluates_its_input_once(spark):
+    from pyspark.sql import functions as F
+    from lakemart.functions.order import global_index
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(x):
+        seen.add(1)
+        return x
+    df = spark.range(1000, numPartitions=3).select(counted.asNondeterministic()("id").alias("id"))
+    assert global_index(df, ["id"]).where("rn <> id + 1").count() == 0
+    assert seen.value == 1000
+
+
+def test_split_keeps_null_labels_and_repeated_keys_together(spark):
+    from lakemart.operators import labels
+    rows = [(i // 2, "a" if i < 12 else None) for i in range(20)]
+    df = spark.createDataFrame(rows, "id int, label string")
+    got = labels.train_validation_split(df, 0.5, label="label", key="id").collect()
+    assert len(got) == 20 and {r.label for r in got} == {"a", None}
+    side = {}
+    for r in got:
+        assert side.setdefault((r.id, r.label), r.split) == r.split
