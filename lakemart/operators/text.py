@@ -1,19 +1,17 @@
 """Keyword tagging: the k most frequent tokens of each document.
 
-Plan: one shuffle of the documents by id, then everything per document stays
-in its task — tokenize, filter, anti-join the broadcast stop list (a fixed,
-bounded list), count (document, token), keep the top k.  The hash partitioning
-on the document id satisfies both the (document, category, token) aggregation
-and the per-document window, so no per-token rows are shuffled at all (for
-natural text they are wider than the text itself) and the tokenizing work is
-spread over all tasks whatever the input file layout.
+Plan with the built-in stop list: everything happens inside the row.  The
+filtered tokens of a text are sorted, run lengths come from the positions where
+the token changes, and the first k runs are kept: no exchange, and neither texts
+nor tokens are shuffled.  A caller's stop list is a table of any size: then
+(document, category, token) counts are joined against it and ranked per document.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import STOPWORDS
@@ -30,23 +28,35 @@ def stopword_frame(spark: SparkSession, words: Sequence[str] = STOPWORDS) -> Dat
     return spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "token string")
 
 
+def _row_keywords(tokens_col: Column, words: Sequence[str], min_len: int, min_freq: int, k: int) -> list[tuple[str, Column]]:
+    """Steps ``(column, expression)`` from a token array to its top k ``(-count, token)`` structs."""
+    plain = F.sort_array(F.filter(tokens_col, lambda t: (F.length(t) >= min_len) & ~is_number(t) & ~t.isin(*words)))
+    n = F.size("_s")
+    opens = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    runs = F.transform("_o", lambda p, j: F.struct((p - F.coalesce(F.get("_o", j + 1), n)).alias("c"), F.get("_s", p).alias("t")))
+    return [("_s", plain),
+            ("_o", F.when(n > 0, opens)),
+            ("_r", F.slice(F.sort_array(F.filter(runs, lambda r: r["c"] <= -min_freq)), 1, k))]
+
+
 def keywords(df: DataFrame, stop: DataFrame | None = None, min_len: int = 3, min_freq: int = 10,
              k: int = 3, doc: str = "ArticleID", category: str = "Category", text: str = "Text",
              mode: str = "strict") -> DataFrame:
     """(ArticleID, Category, Tag, Frequency): tokens not in the stop list
     (case-sensitive), at least ``min_len`` long, not numbers, seen at least
     ``min_freq`` times; the top k per document (ties: token).  Documents with
-    no such token give no row.  The built-in stop list is a fixed list and is
-    broadcast; a caller's list is joined as is (Spark and AQE check its size)."""
+    no such token give no row, nor does a null text.  A row is a document; with a
+    caller's stop list, rows of one id are counted together."""
     if stop is None:
-        stop_tokens = F.broadcast(stopword_frame(df.sparkSession))
-    else:
-        stop_tokens = stop.select(F.col(stop.columns[0]).alias("token"))
-    docs = df.select(doc, category, text).repartition(doc)
-    toks = docs.select(doc, category, F.explode(tokens(text, mode)).alias("token"))
-    toks = toks.where((F.length("token") >= min_len) & ~is_number("token"))
-    toks = toks.join(stop_tokens, "token", "left_anti")
-    counts = toks.groupBy(doc, category, "token").agg(F.count(F.lit(1)).alias("Frequency"))
-    counts = counts.where(F.col("Frequency") >= min_freq)
+        rows = df.select(doc, category, tokens(text, mode).alias("_t"))
+        for name, step in _row_keywords(F.col("_t"), list(dict.fromkeys(STOPWORDS)), min_len, min_freq, k):
+            rows = rows.withColumn(name, step)
+        # the outer form: a filter on the list would be pushed down and evaluate every step again for each element
+        return (rows.select(doc, category, F.explode_outer("_r").alias("r")).where("r is not null")
+                .select(doc, category, F.col("r.t").alias("Tag"), (-F.col("r.c")).cast("bigint").alias("Frequency")))
+    counts = (df.select(doc, category, F.explode(tokens(text, mode)).alias("token"))
+              .where((F.length("token") >= min_len) & ~is_number("token"))
+              .groupBy(doc, category, "token").agg(F.count(F.lit(1)).alias("Frequency")).where(F.col("Frequency") >= min_freq))
+    counts = counts.join(stop.select(F.col(stop.columns[0]).alias("token")), "token", "left_anti")
     top = top_k_per_group(counts, [doc], [F.col("Frequency").desc(), F.col("token")], k)
     return top.select(doc, category, F.col("token").alias("Tag"), "Frequency")
