@@ -18,7 +18,13 @@ that is pasted into different surroundings fall into the same units everywhere.
 4. a component that occurs in two or more documents is repeated text.  In every
    document, adjacent repeated units join to runs; runs of ``RUN_WORDS`` words or more
    are reported, one row per unit, with the occurrence that stays marked ``kept``
-   (the smallest document and unit).
+   (the smallest document and unit);
+5. *passages* need no unit: every window of ``PASSAGE`` words that occurs in two or more
+   documents is found.  Of the ``SEED``-word windows inside it the one of the smallest
+   hash is a mark of its text (winnowing), so equal windows have an equal mark.  Windows
+   around marks that two documents share are hashed at every word and compared; touching
+   windows join to passages.  Words that no unit row already reports give rows without
+   a ``unit``.  A word is a repeat to cut if any row that is not ``kept`` holds it.
 
 Hot paragraphs are one narrow row per occurrence; counts and minima are taken with
 map-side aggregation, and joins back to occurrences are on a unique key, which the
@@ -37,13 +43,16 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .scratch import land
+from .scratch import drop, land
 from .set_join import prefix_pairs, verified
 
 MIN_WORDS, NEAR_WORDS, RUN_WORDS = 4, 12, 30
+PASSAGE, SEED = 51, 25          # a passage window is two seeds and a word
 BANDS, ROWS, SHINGLE = 6, 2, 5
 PERCENT = 80
 BROADCAST_NODES = 2_000_000
+#: marked places (4 bytes each) are broadcast up to this many, joined by shuffle beyond
+BROADCAST_PLACES = 2_000_000
 U = np.uint64
 _STOPS = np.zeros(256, bool)
 _STOPS[[0x2E, 0x21, 0x3F]] = True
@@ -162,6 +171,122 @@ def _node_sets(shared):
     return run
 
 
+def _slide(values: np.ndarray, n: int, best) -> np.ndarray:
+    """``best`` (np.minimum or np.maximum) of every ``n`` neighbours."""
+    width = 1
+    while width * 2 <= n:
+        values, width = best(values[:-width], values[width:]), width * 2
+    return best(values[:len(values) - (n - width)], values[n - width:])
+
+
+def _marks(batches):
+    span = PASSAGE - SEED + 1
+    for batch in batches:
+        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        for start, part in W.chunks(texts):
+            words = W.Words(part, W.BY_ALNUM)
+            at, h = words.windows(SEED)
+            if len(at) < span:
+                continue
+            low = _slide(h, span, np.minimum)
+            doc = words.doc[at]
+            low[doc[:len(low)] != doc[span - 1:]] = 0               # crosses a text's end
+            edge = np.zeros(span - 1, U)
+            use = np.flatnonzero(_slide(np.concatenate((edge, low, edge)), span, np.maximum) == h)
+            doc = doc[use]
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(start, len(part)).take(pa.array(doc)), pa.array((at[use] - words.first[doc]).astype(np.int32)),
+                 pa.array(h[use].view(np.int64))], names=["id", "first", "mark"])
+
+
+def _passage_windows(batches):
+    for batch in batches:
+        ids, texts, marks = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
+        for start, part in W.chunks(texts):
+            words = W.Words(part, W.BY_ALNUM)
+            mine = marks.slice(start, len(part))
+            p = mine.flatten().to_numpy().astype(np.int64)
+            t = np.repeat(np.arange(len(part)), mine.value_lengths().to_numpy())
+            t, p = t[p < words.count[t]], p[p < words.count[t]]     # of another text of the id
+            n = len(words) + 1
+            opens = np.bincount(words.first[t] + np.maximum(p - (PASSAGE - SEED), 0), minlength=n)
+            near = np.cumsum(opens - np.bincount(words.first[t] + p + 1, minlength=n))[:-1] > 0
+            i = np.flatnonzero(near[:max(len(words) - PASSAGE + 1, 0)])
+            i = i[words.doc[i] == words.doc[i + PASSAGE - 1]]
+            if not len(i):
+                continue
+            at, h = words.windows(SEED)
+            seed = np.zeros(len(words), U)
+            seed[at] = h
+            weight = W.stream(51, 3) | U(1)
+            with np.errstate(over="ignore"):
+                node = W.mix(seed[i] * weight[0] + seed[i + SEED] * weight[1] + words.hash[i + 2 * SEED] * weight[2])
+            doc = words.doc[i]
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(start, len(part)).take(pa.array(doc)), pa.array((i - words.first[doc]).astype(np.int32)),
+                 pa.array(node.view(np.int64))], names=["id", "first", "node"])
+
+
+def _less(a: int, b: int, taken: list) -> list:
+    """What the ranges ``taken`` leave of ``a..b``."""
+    out = []
+    for x, y in sorted(taken):
+        if y > a and x < b:
+            if x > a:
+                out.append((a, x))
+            a = max(a, y)
+    return [*out, (a, b)] if a < b else out
+
+
+def _uncovered(batches):
+    for batch in batches:
+        out = []
+        for i, runs, units in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            units = units or []
+            gone = [(u["a"], u["b"]) for u in units if not u["kept"]]
+            stays = [(u["a"], u["b"]) for u in units if u["kept"]]
+            for r in sorted(runs, key=lambda r: (r["kept"], r["a"], r["b"], r["c"])):
+                for a, b in _less(r["a"], r["b"], gone + stays if r["kept"] else gone):
+                    out.append((i, a, b - a, r["c"], r["docs"], r["b"] - r["a"], r["kept"]))
+                (stays if r["kept"] else gone).append((r["a"], r["b"]))
+        cols = list(zip(*out)) or [()] * 7
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                         names=["id", "first", "words", "c", "docs", "run_words", "kept"])
+
+
+def _passages(texts: DataFrame) -> DataFrame:
+    """(id, a, b, c, docs, kept): word ranges of the passages of every document."""
+    spark = texts.sparkSession
+    marks, marks_path = land(texts.mapInArrow(_marks, "id bigint, first int, mark bigint"), "passage-marks")
+    twice = marks.groupBy("mark").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("mark")
+    places = marks.join(twice, "mark").groupBy("id").agg(F.collect_set("first").alias("marks"))   # at most a text's words
+    places, places_path = land(places, "passage-places")
+    few = places.agg(F.coalesce(F.sum(F.size("marks") + 4), F.lit(0))).first()[0] <= BROADCAST_PLACES
+    windows = texts.join(F.broadcast(places) if few else places, "id").select("id", "text", "marks").mapInArrow(_passage_windows, "id bigint, first int, node bigint")
+    windows, windows_path = land(windows, "passage-windows")
+    for path in (marks_path, places_path):
+        drop(spark, path)
+    heads = (windows.groupBy("node").agg(F.min(F.struct("id", "first")).alias("head"), F.max("id").alias("last"))
+             .where(F.col("head.id") < F.col("last")).select("node", F.col("head.id").alias("hid"), F.col("head.first").alias("hat")))
+    # a passage is named by where its first window starts in the smallest document
+    order = Window.partitionBy("hid").orderBy("hat", "node")
+    begins = F.when(F.col("hat") - F.lag("hat", 1, -2).over(order) > 1, F.col("hat"))
+    heads = heads.withColumn("new", begins).withColumn("c", F.xxhash64("hid", F.last("new", True).over(order))).drop("new")
+    heads, heads_path = land(heads, "passage-heads")
+    found = (windows.join(heads, "node").select("id", "first", "c", ((F.col("id") == F.col("hid")) & (F.col("first") == F.col("hat")))
+                                                .alias("kept")))
+    order = Window.partitionBy("id", "c", "kept").orderBy("first")
+    runs = (found.withColumn("new", (F.col("first") - F.lag("first", 1, -2).over(order) > 1).cast("int"))
+            .withColumn("run", F.sum("new").over(order)).groupBy("id", "c", "kept", "run")
+            .agg(F.min("first").alias("a"), (F.max("first") + PASSAGE).alias("b")))
+    runs, _ = land(runs, "passages")
+    for path in (windows_path, heads_path):
+        drop(spark, path)
+    size = runs.select("c", "id").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
+    return runs.join(size, "c").select("id", "a", "b", "c", "docs", "kept")
+
+
 def _sets_of(nodes: DataFrame, texts: DataFrame, bound: int) -> DataFrame:
     """(node, set) of the given distinct nodes: their distinct shingles, read from the texts."""
     spark = texts.sparkSession
@@ -179,18 +304,20 @@ def _sets_of(nodes: DataFrame, texts: DataFrame, bound: int) -> DataFrame:
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                         bands: int = BANDS, rows: int = ROWS, run_words: int = RUN_WORDS,
                         broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
-    """One row per unit of a repeated run: ``id, unit, first_word, n_words, cluster_id,
-    n_docs, run_words, kept``.  Documents without repeated text have no row."""
+    """One row per unit of a repeated run and per rest of a passage outside such units
+    (``unit`` is null): ``id, unit, first_word, n_words, cluster_id, n_docs, run_words,
+    kept``.  Documents without repeated text have no row."""
     texts = (docs.where(F.col(id_col).isNotNull())
              .select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")))
     units, _ = land(texts.mapInArrow(_units, "id bigint, unit int, first int, words int, node bigint"), "paragraphs")
 
-    entries, _ = land(texts.select("text").mapInArrow(_band_entries(bands, rows), "key bigint, node bigint, n int"),
+    entries, entries_path = land(texts.select("text").mapInArrow(_band_entries(bands, rows), "key bigint, node bigint, n int"),
                       "paragraph-keys")
     lead = (entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("l"), F.max("node").alias("z"))
             .where("l.node < z").select("key", F.col("l.node").alias("a"), F.col("l.n").alias("na")))
     lead, _ = land(lead, "paragraph-buckets")
-    members, _ = land(entries.join(lead, "key").distinct(), "paragraph-members")
+    members, members_path = land(entries.join(lead, "key").distinct(), "paragraph-members")
+    drop(texts.sparkSession, entries_path)
     close = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
     stars, _ = land(members.where("node > a").where(close).select("a", F.col("node").alias("b")).distinct(), "paragraph-stars")
     ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
@@ -198,10 +325,12 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links, _ = land(verified(stars, sets, percent), "paragraph-links")
     first = components(links)
     # nodes of one bucket that the stars left in different components
-    labelled, _ = land(members.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")),
+    labelled, labelled_path = land(members.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")),
                        "paragraph-labels")
     mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     rest, _ = land(labelled.join(mixed, "key").select("node", "c").distinct(), "paragraph-mixed")
+    for path in (members_path, labelled_path):
+        drop(texts.sparkSession, path)
     sets = _sets_of(rest.select("node"), texts, broadcast_nodes)
     across = prefix_pairs(rest, sets, percent).join(stars, ["a", "b"], "left_anti")
     links = links.unionByName(verified(across, sets, percent))
@@ -222,11 +351,20 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     runs = (hits.withColumn("new", (F.col("unit") - F.lag("unit", 1, -2).over(order) > 1).cast("int"))
             .withColumn("run", F.sum("new").over(order)))
     whole = Window.partitionBy("id", "run")
-    return (runs.withColumn("run_words", (F.max(F.col("first") + F.col("words")).over(whole) - F.min("first").over(whole)))
-            .where(F.col("run_words") >= run_words)
-            .select(F.col("id").alias(id_col), "unit", F.col("first").alias("first_word"), F.col("words").alias("n_words"),
-                    F.col("c").alias("cluster_id"), F.col("docs").alias("n_docs"), F.col("run_words").cast("int").alias("run_words"),
-                    ((F.col("head.id") == F.col("id")) & (F.col("head.unit") == F.col("unit"))).alias("kept")))
+    units = (runs.withColumn("run_words", (F.max(F.col("first") + F.col("words")).over(whole) - F.min("first").over(whole)))
+             .where(F.col("run_words") >= run_words)
+             .select("id", "unit", "first", "words", "c", "docs", F.col("run_words").cast("int").alias("run_words"),
+                     ((F.col("head.id") == F.col("id")) & (F.col("head.unit") == F.col("unit"))).alias("kept")))
+    units, _ = land(units, "paragraph-rows")
+    taken = (units.select("id", F.struct(F.col("first").alias("a"), (F.col("first") + F.col("words")).alias("b"), "kept").alias("u"))
+             .groupBy("id").agg(F.collect_set("u").alias("units")))
+    passages = _passages(texts).groupBy("id").agg(F.collect_list(F.struct("a", "b", "c", "docs", "kept")).alias("runs"))
+    rest = (passages.join(taken, "id", "left").select("id", "runs", "units")
+            .mapInArrow(_uncovered, "id bigint, first int, words int, c bigint, docs bigint, run_words int, kept boolean"))
+    rest = rest.withColumn("unit", F.lit(None).cast("int"))
+    return units.unionByName(rest).select(
+        F.col("id").alias(id_col), "unit", F.col("first").alias("first_word"), F.col("words").alias("n_words"),
+        F.col("c").alias("cluster_id"), F.col("docs").alias("n_docs"), "run_words", "kept")
 
 
 def _cut(batches):
@@ -245,7 +383,7 @@ def _cut(batches):
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``id, text`` with every repeated unit cut out but the occurrence that is kept.
+    """``id, text`` with every repeated unit and passage cut out but the occurrence that is kept.
     A repeated id is expected to repeat its text."""
     gone = (repeated_paragraphs(docs, id_col, text_col, **options).where("not kept").groupBy(id_col)
             .agg(F.collect_list("first_word").alias("_f"), F.collect_list("n_words").alias("_n")))
