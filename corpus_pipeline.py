@@ -7,15 +7,18 @@ the columns of ``documents``.
 1. toxicity: a model is trained on the stage's own documents with the ``labels``
    table, outside the held-out fold (crc32 of the id modulo 3 is 1); documents that
    score 0.7 or more go.
-2. near_dedup: documents linked at 80 % Jaccard similarity of 5-word shingles form
-   groups; the smallest id of each group stays, and of rows that repeat an id with
-   equal texts one stays.
-3. decontaminate: documents in which a benchmark window occurs go.
+2. near_dedup: rows linked at 80 % Jaccard similarity of 5-word shingles form
+   groups; one row of each group stays, of the smallest id (a null id counts as the
+   largest).  Of word-less rows that repeat an id with equal texts one stays.
+3. decontaminate: rows in which a benchmark window occurs go.
 4. mix: sources are mixed by temperature; every document is read at least once and
    rare sources are repeated, four times at most.
 5. tokens: the mixture's token files are written and read back, one row per document
    copy.
 
+Stages 2 and 3 decide for every row by a landed row number, never by its id: rows that
+repeat an id, or have none, are judged by their own text.
+
 A null text stays until the last stage, where it is a document of one end id.
 """
 
@@ -43,23 +46,32 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return reject_toxic(docs, train(docs, labels)).select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` landed with a number of their own (``row``) for every row."""
+    return land(docs.withColumn("row", F.monotonically_increasing_id()), name)[0]
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    gone = near_duplicates(docs, shingle=5).where("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    # a second row of a kept id with the same text is a copy of the first
-    twice = kept.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    twice, _ = land(twice, "repeated-ids")
-    single = kept.join(twice, "doc_id", "left_anti")
-    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(again).select(*COLUMNS)
+    docs = _keyed(docs.select(*COLUMNS), "near-dedup-rows")
+    groups = near_duplicates(docs, id_col="row", shingle=5).select("row", "component_id")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
+    stays = groups.join(docs.select("row", "doc_id"), "row").groupBy("component_id").agg(best).select("best.row")
+    kept = docs.join(stays, "row", "left_semi")
+    # texts without words link with nothing: of a repeated id's equal ones one stays
+    plain = kept.where("doc_id is not null and (text is null or not text rlike '[^ \\t-\\r]')")
+    again = (plain.groupBy("doc_id", "text").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+             .where("first < last").select(F.col("doc_id").alias("i"), F.col("text").alias("t"), "first"))
+    copies = (plain.join(again, (F.col("doc_id") == F.col("i")) & F.col("text").eqNullSafe(F.col("t")))
+              .where("row > first").select("row"))
+    return kept.join(copies, "row", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    hit = (contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated and doc_id is not null")
-           .select("doc_id").distinct())
-    return docs.join(hit, "doc_id", "left_anti").select(*COLUMNS)
+    docs = _keyed(docs.select(*COLUMNS), "decontaminate-rows")
+    hit = (contamination(docs, table(spark, sf_dir, "benchmark"), id_col="row").where("contaminated").select("row"))
+    return docs.join(hit, "row", "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
