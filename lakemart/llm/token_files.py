@@ -63,7 +63,8 @@ class Ids:
 
     The byte-level pre-tokenizer always starts a piece at a single space between
     two characters that are no white space, and pieces are encoded on their own, so
-    a text's ids are the ids of the pieces cut there.  The cache holds the pieces
+    a text's ids are the ids of the pieces cut there.  The vocabulary's special tokens hold
+    no space and take none beside them, so no cut changes one.  The cache holds the pieces
     that follow such a space, by their text behind it."""
 
     EDGE = re.compile(r"\s | \s|^ | $")
@@ -73,7 +74,6 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)      # ids that begin with a space
         for token, i in self.tokenizer.get_vocab().items():
             self.spaced[i] = token.startswith("\u0120")
