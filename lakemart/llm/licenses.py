@@ -12,7 +12,12 @@ most ``W / 2`` words is looked for in windows of ``W`` words that start every
    value.  The number of bands is set per group so that a window at the threshold
    misses all bands with probability below ``MISS``;
 4. retrieved pairs are verified by exact containment: the share of the template's
-   distinct shingles that the window holds.
+   distinct shingles that the window holds;
+5. templates that overlap are told apart.  Where another template holds the threshold
+   of a template's shingles, a window must hold half of those it lacks (a version, say);
+   if it lacks none (BSD-2 in BSD-3), a finding of the longer one covers the shorter at
+   that place.  Notices of one name (up to ``-header``, ``-text``, ``-title``) do not
+   cover each other.  The SQL knows containment only, and so would name both.
 
 Everything is row-local up to the retrieved pairs, which are few; templates are
 literals, so nothing that grows with the data is broadcast.
@@ -58,7 +63,8 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
+    "GPL-2.0": "GNU General Public License, version 2",
+    "GPL-3.0": "GNU General Public License, version 3",
     "GPL-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
@@ -77,6 +83,35 @@ TEMPLATES = {
         "substantial portions of the Software."),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
                 "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    # a title of up to four shingles misses the threshold as soon as one word differs
+    "AGPL-3.0": "Affero General Public License, version 3",
+    "Apache-2.0-title": "Apache License Version 2.0, January 2004",
+    "BSD-2-Clause": "BSD 2-Clause License",
+    "BSD-3-Clause": "BSD 3-Clause License",
+    "CC0-1.0": "CC0 1.0 Universal",
+    "EPL-1.0": "Eclipse Public License v 1.0",
+    "EPL-1.0-title": "Eclipse Public License, version 1.0",
+    "EPL-2.0": "Eclipse Public License v 2.0",
+    "EPL-2.0-title": "Eclipse Public License, version 2.0",
+    "LGPL-2.0": "Library General Public License, version 2",
+    "LGPL-2.1": "Lesser General Public License, version 2.1",
+    "LGPL-3.0": "Lesser General Public License, version 3",
+    "MPL-2.0-title": "Mozilla Public License Version 2.0",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "BSD-2-Clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution."),
+}
+#: the other GNU headers are the one above with other words
+_GNU = TEMPLATES["GPL-header"]
+TEMPLATES |= {
+    "GPL-2.0-header": _GNU.replace("version 3", "version 2"),
+    "LGPL-2.1-header": _GNU.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1"),
+    "LGPL-3.0-header": _GNU.replace("GNU General", "GNU Lesser General"),
+    "AGPL-3.0-header": _GNU.replace("GNU General", "GNU Affero General"),
 }
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -143,6 +178,27 @@ def _template_table(spark, templates: Mapping[str, str], threshold: float):
             .withColumn("set", F.array_distinct(shingles(F.split("text", " ")))).drop("text"))
 
 
+def family(name: str) -> str:
+    return re.sub("-(header|text|title)$", "", name)
+
+
+def siblings(sets: Mapping[str, list], threshold: float) -> tuple[dict[str, list[list]], list[tuple[str, str]]]:
+    """(shingles that tell a template from each close one, (shorter, longer) pairs of
+    which the longer holds the whole shorter)."""
+    marks: dict[str, list[list]] = {n: [] for n in sets}
+    inside = []
+    for n, s in sets.items():
+        for other, o in sets.items():
+            lacks = sorted(set(s) - set(o))
+            if other == n or len(s) - len(lacks) < threshold * len(s):
+                continue
+            if lacks:
+                marks[n].append(lacks)
+            elif len(o) > len(s) and family(n) != family(other):
+                inside.append((n, other))
+    return marks, inside
+
+
 def license_hits(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, start, window, name, containment``: windows (first word, size) that hold
@@ -151,6 +207,7 @@ def license_hits(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, thre
     known = _template_table(spark, templates, threshold).cache()
     sets = {r["name"]: (r["window"], r["bands"], r["set"]) for r in known.collect()}   # the template list
     known.unpersist()
+    marks, inside = siblings({n: s for n, (_, _, s) in sets.items()}, threshold)
     every = sorted({h for _, _, s in sets.values() for h in s})
 
     def literal(values):
@@ -168,14 +225,26 @@ def license_hits(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, thre
                    .select("id", "start", F.array_distinct(F.slice("h", F.col("start") + 1, size - SHINGLE + 1)).alias("w"))
                    .where(F.arrays_overlap("w", literal(sorted({h for s in mine.values() for h in s})))))
         keyed = windows.select("id", "start", "w", F.posexplode(minhashes(F.col("w"), bands)).alias("band", "value"))
-        wanted = (spark.createDataFrame([(n, s) for n, s in mine.items()], "name string, set array<bigint>")
-                  .select("name", "set", F.posexplode(minhashes(F.col("set"), bands)).alias("band", "value")))
+        wanted = (spark.createDataFrame([(n, s, marks[n]) for n, s in mine.items()],
+                                        "name string, set array<bigint>, marks array<array<bigint>>")
+                  .select("name", "set", "marks", F.posexplode(minhashes(F.col("set"), bands)).alias("band", "value")))
+        told = F.forall("marks", lambda m: F.size(F.array_intersect("w", m)) * 2 >= F.size(m))
         near = (keyed.join(F.broadcast(wanted), ["band", "value"])          # bands x templates rows
+                .where(told)
                 .select("id", "start", F.lit(size).alias("window"), "name",
                         (F.size(F.array_intersect("w", "set")) / F.size("set")).alias("containment"))
                 .where(F.col("containment") >= threshold))
         found = near if found is None else found.unionByName(near)
-    return found.distinct()
+    found = found.distinct()
+    if not inside:
+        return found
+    found, _ = land(found, "license-hits")
+    pairs = spark.createDataFrame(inside, "name string, other string")
+    longer = (found.select(F.col("id").alias("i"), F.col("start").alias("s"), F.col("window").alias("n"), F.col("name").alias("other"))
+              .join(F.broadcast(pairs.withColumnRenamed("name", "short")), "other").select("i", "s", "n", "short").distinct())
+    covered = (F.col("id").eqNullSafe(F.col("i")) & (F.col("name") == F.col("short"))
+               & (F.col("start") < F.col("s") + F.col("n")) & (F.col("s") < F.col("start") + F.col("window")))
+    return found.join(longer, covered, "left_anti")
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
