@@ -11,9 +11,11 @@ codewords are close.
 Up to seven languages get the exhaustive code, more get the random code with the
 largest minimum distance of a fixed number of draws.
 
-Training reads a bounded sample of the labelled rows: about ``SAMPLE`` texts,
-evenly split over the languages (at most ``MAX_LANGUAGES``, the most frequent
-ones), chosen by a hash of the id.  Prediction reads every whole text.
+Training reads a sample of the labelled rows: about ``SAMPLE`` texts, evenly split
+over all languages and chosen by a hash of the id, but of every language at least the
+``LEAST`` rows of the smallest hashes (or all it has).  The driver holds 32 KB a
+sampled row, so its memory grows with the number of languages.  Prediction reads
+every whole text.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter,
 and for all texts if nothing could be learned.  Rows that repeat an id are
@@ -27,14 +29,14 @@ import math
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
 
 DIM = 1 << 13
 ORDERS = (2, 3, 4)
-SAMPLE, MAX_LANGUAGES = 2400, 500
+SAMPLE, LEAST = 2400, 8
 CHUNK = 512 << 10
 AMBIGUOUS = 0.6
 LETTER = regex.compile(r"\p{L}")
@@ -93,9 +95,10 @@ def _fit_bits(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 15
 
 
 def losses(margins: np.ndarray, code: np.ndarray, bit_weight: np.ndarray) -> np.ndarray:
-    """(n, languages) weighted logistic losses."""
-    z = np.clip(margins[:, None, :] * code[None], -30, 30)
-    return (np.log1p(np.exp(-z)) * bit_weight).sum(axis=2) / bit_weight.sum()
+    """(n, languages) weighted logistic losses; a bit's loss depends on its sign alone."""
+    m = np.clip(margins, -30, 30)
+    loss = (np.log1p(np.exp(-m)) * bit_weight) @ (code > 0).T + (np.log1p(np.exp(m)) * bit_weight) @ (code < 0).T
+    return loss / bit_weight.sum()
 
 
 class Model:
@@ -157,17 +160,19 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           sample: int = SAMPLE) -> Model | None:
     """Fit on about ``sample`` of the labelled ``rows`` (null labels and ids ignored)."""
     known = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    counts = (known.groupBy(F.col(lang_col).cast("string").alias("_l")).count()
-              .orderBy(F.desc("count"), "_l").limit(MAX_LANGUAGES).collect())
+    spread = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")), F.lit(1 << 30))
+    narrow = known.select(F.col(lang_col).cast("string").alias("_l"), spread.alias("_h"))
+    first = (narrow.withColumn("_r", F.row_number().over(Window.partitionBy("_l").orderBy("_h")))
+             .where(F.col("_r") <= LEAST).groupBy("_l").agg(F.max("_h").alias("least")))     # LEAST rows a task and language
+    counts = narrow.groupBy("_l").count().join(first, "_l").orderBy("_l").collect()          # the class list
     if not counts:
         return None
-    each = max(4.0, sample / len(counts))
+    each = max(float(LEAST), sample / len(counts))
     rate = known.sparkSession.createDataFrame(
-        [(r["_l"], int(min(1.0, each / r["count"]) * (1 << 30))) for r in counts], "_l string, _t bigint")
+        [(r["_l"], max(int(min(1.0, each / r["count"]) * (1 << 30)), r["least"] + 1)) for r in counts], "_l string, _t bigint")
     picked = (known.select(F.col(lang_col).cast("string").alias("_l"), F.col(text_col).cast("string").alias("_x"),
-                           F.col(id_col).alias("_i"))
-              .join(F.broadcast(rate), "_l")                  # at most MAX_LANGUAGES rows
-              .where(F.pmod(F.xxhash64(F.col("_i").cast("string"), F.lit("langid")), F.lit(1 << 30)) < F.col("_t")))
+                           spread.alias("_h"))
+              .join(F.broadcast(rate), "_l").where("_h < _t"))   # one row a language
     got = picked.select("_l", "_x").mapInArrow(_sample_features, "lang string, cell array<smallint>, "
                                                "value array<float>").toArrow()
     if not got.num_rows:
