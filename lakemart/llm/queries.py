@@ -1,4 +1,4 @@
 """All queries of the subpackage (importing the modules registers them)."""
 
-from . import q_dedup, q_models, q_scans  # noqa: F401
+from . import q_dedup, q_models, q_scans, q_search  # noqa: F401
 from .tables import ORACLES, QUERIES  # noqa: F401
