@@ -10,8 +10,10 @@ those with at least ``support`` occurrences in their language.
    ``n_i`` of the language's ``n`` words has the local support ``ceil(support * n_i / n)``:
    a phrase below it in every shard has fewer than ``support`` occurrences in all.
    Each shard is mined completely, level by level: pairs of frequent words, then runs
-   of three and four whose pairs are locally frequent in some shard.  A shard is a
-   key and not a task, so its size is not bounded by a worker's memory.
+   of three and four whose pairs are locally frequent in some shard.  A shard is not
+   a task: its runs are counted per chunk, cut by the leading bits of their hash into
+   parts of about ``PART_RUNS`` and added up part by part, so memory stays the same
+   whatever a shard's size, and a hot language or phrase is one entry a chunk.
 3. *Union.*  Phrases that are frequent in some shard set one bit each of a bitmap of
    ``2 ** BITS`` bits (8 MB, whatever the data); equal hashes only add candidates.
 4. *Count.*  A second pass over the whole texts counts every phrase whose bit is set,
@@ -44,7 +46,10 @@ from .words import LEN_TABLE, U, WORD_TABLE, Words, byte_classes, chunks, mix, s
 
 SUPPORT, MAX_WORDS, INSIDE, TOP = 30, 4, 80, 2000
 SHARDS, BITS = 8, 26
-CHUNK_BYTES, HELD_BYTES = 4 << 20, 32 << 20
+#: bytes tokenised at a time and held per task, words of a landed row, strings held
+CHUNK_BYTES, HELD_BYTES, ROW_WORDS, HELD_STRINGS = 1 << 20, 16 << 20, 1 << 20, 1 << 18
+#: runs added up at a time
+PART_RUNS = 1 << 20
 ENDS = b".,;:!?\n\x0b\x0c\r"
 #: words are runs of anything but blank, tab and the characters that end a piece
 CLASSES = byte_classes([0x20, 0x09, *ENDS])
@@ -131,9 +136,41 @@ def _by_language(batches):
     yield from ((x, part) for x, texts in held.items() for _, part in chunks(texts, CHUNK_BYTES))
 
 
+class Tally:
+    """Counts of strings, merged when more than ``HELD_STRINGS`` are held."""
+
+    def __init__(self):
+        self.words, self.counts, self.held, self.merged = [], [], 0, 0
+
+    def add(self, words, counts):
+        self.words.append(words)
+        self.counts.append(pa.array(counts, pa.int64()))
+        self.held += len(words)
+        if self.held > 2 * max(self.merged, HELD_STRINGS):
+            self.merge()
+
+    def merge(self):
+        t = pa.table({"w": pa.chunked_array(self.words, pa.string()), "c": pa.chunked_array(self.counts, pa.int64())})
+        t = t.group_by("w").aggregate([("c", "sum")])
+        self.words, self.counts = [t["w"].combine_chunks()], [t["c_sum"].combine_chunks()]
+        self.held = self.merged = len(t)
+        return self.words[0], self.counts[0]
+
+
 def _words(shards):
     def run(batches):
         shard = TaskContext.get().partitionId() % shards
+        held: dict[str, list] = {}
+
+        def flush(lang):
+            parts, tally, n = held.pop(lang)
+            words, counts = tally.merge()
+            ends = pa.array([0, len(words)], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang]), pa.array([shard], pa.int32()), pa.array([n], pa.int64()),
+                 pa.array([b"".join(parts)], pa.binary()), pa.ListArray.from_arrays(ends, words),
+                 pa.ListArray.from_arrays(ends, counts)], names=["lang", "shard", "n", "codes", "words", "counts"])
+
         for lang, texts in _by_language(batches):
             c = Chunk(lang, texts)
             if not len(c.code):
@@ -141,13 +178,15 @@ def _words(shards):
             at = np.arange(len(c.code)) + np.cumsum(c.start)
             code = np.zeros(at[-1] + 1, np.uint32)                  # 0: a new piece
             code[at] = c.code
-            count = np.bincount(c.word, minlength=len(c.spelled))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang]), pa.array([shard], pa.int32()), pa.array([len(c.code)], pa.int64()),
-                 pa.array([code.tobytes()], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array([0, len(count)], pa.int32()), c.spelled),
-                 pa.ListArray.from_arrays(pa.array([0, len(count)], pa.int32()), pa.array(count, pa.int64()))],
-                names=["lang", "shard", "n", "codes", "words", "counts"])
+            row = held.setdefault(lang, [[], Tally(), 0])
+            row[0].append(code.tobytes())
+            row[1].add(c.spelled, np.bincount(c.word, minlength=len(c.spelled)))
+            row[2] += len(c.code)
+            if row[2] >= ROW_WORDS:
+                yield flush(lang)
+            elif sum(x[2] for x in held.values()) >= 4 * ROW_WORDS:  # many languages side by side
+                yield from [flush(x) for x in list(held)]
+        yield from [flush(x) for x in list(held)]
     return run
 
 
@@ -165,35 +204,64 @@ def _word_hashes(batches):
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
 
-def _mine(single, pairs):
-    """Counts of a chunk's pairs of frequent words; with ``pairs``, of the runs of
-    three and more words all of whose pairs are in it."""
+def _mine(single, pairs, bits):
+    """Counts of a row's pairs of frequent words; with ``pairs``, of the runs of
+    three and more words all of whose pairs are in it.  One row per part, the leading
+    ``bits`` bits of the hash, with packed hashes and counts."""
     def run(batches):
         one = single.value
         two = pairs.value if pairs is not None else None
         for batch in batches:
-            for lang, shard, need, raw in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                code = np.frombuffer(raw, np.uint32)
-                h = hashes(code, lang)
+            for lang, shard, need, raw in zip(*[batch.column(i) for i in range(4)]):
+                code = np.frombuffer(raw.as_buffer(), np.uint32)
+                h = hashes(code, lang.as_py())
                 ok = (code != 0) & has(one, h)
                 if two is None:
                     found = [runs(h, 2)[both(ok, 2)]]
                 else:
                     near = both(ok, 2) & has(two, runs(h, 2))
                     found = [runs(h, k)[both(near, k - 1)] for k in range(3, MAX_WORDS + 1)]
-                for x in found:
-                    x, count = np.unique(x, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), shard, np.int32)), pa.array(x.view(np.int64)),
-                         pa.array(count, pa.int64()), pa.array(np.full(len(x), need, np.int64))],
-                        names=["shard", "h", "c", "need"])
+                del h, ok
+                x, count = np.unique(np.concatenate(found), return_counts=True)
+                part = (x >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(x), np.int64)
+                here, first = np.unique(part, return_index=True)
+                ends = [*first[1:].tolist(), len(x)]
+                count = count.astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang.as_py()] * len(here), pa.string()), pa.array([shard.as_py()] * len(here), pa.int32()),
+                     pa.array([need.as_py()] * len(here), pa.int64()), pa.array(here, pa.int32()),
+                     pa.array([x[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                     pa.array([count[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
+                    names=["lang", "shard", "need", "part", "hashes", "counts"])
     return run
 
 
+COUNTED = "lang string, shard int, need bigint, part int, hashes binary, counts binary"
+
+
+def _locally_frequent(table: pa.Table) -> pa.Table:
+    """Hashes of one part of a shard that reach its local support."""
+    x = np.concatenate([np.frombuffer(v.as_buffer(), U) for v in table["hashes"]])
+    c = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in table["counts"]]).astype(np.int64)
+    order = np.argsort(x, kind="stable")
+    x, c = x[order], c[order]
+    first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+    total = np.add.reduceat(c, first)
+    return pa.table({"h": pa.array(x[first[total >= table["need"][0].as_py()]].view(np.int64))})
+
+
 def _count(single, pairs, longer):
     """Occurrences of every phrase whose bit is set, by its words."""
     def run(batches):
         one, two, more = single.value, pairs.value, longer.value
+        held: dict[str, Tally] = {}
+
+        def flush():
+            for lang, tally in held.items():
+                words, counts = tally.merge()
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(words)), words, counts], names=["lang", "phrase", "f"])
+            held.clear()
+
         for lang, texts in _by_language(batches):
             c = Chunk(lang, texts)
             n, word = len(c.code), c.word.astype(np.int64)
@@ -211,9 +279,10 @@ def _count(single, pairs, longer):
                     key = np.unique(key * len(c.spelled) + word[at + j], return_inverse=True)[1]
                 first, count = np.unique(key, return_index=True, return_counts=True)[1:]
                 spelled = [c.spelled.take(pa.array(word[at[first] + j])) for j in range(k)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(first), pa.string()), pc.binary_join_element_wise(*spelled, " "),
-                     pa.array(count, pa.int64())], names=["lang", "phrase", "f"])
+                held.setdefault(lang, Tally()).add(pc.binary_join_element_wise(*spelled, " "), count)
+            if sum(t.held for t in held.values()) > 4 * HELD_STRINGS:
+                yield from flush()
+        yield from flush()
     return run
 
 
@@ -274,10 +343,12 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     mined = chunk.join(need, ["lang", "shard"]).select("lang", "shard", "need", "codes")
     single = sc.broadcast(bitmap(frequent.select("lang", "phrase").mapInArrow(_word_hashes, "h bigint")))
 
+    words = sizes.agg(F.sum("n")).first()[0] or 0
+    bits = max(0, min(24, (words // (shards * PART_RUNS)).bit_length()))
+
     def locally(pairs):
-        counts = mined.mapInArrow(_mine(single, pairs), "shard int, h bigint, c bigint, need bigint")
-        sums = counts.groupBy("shard", "h").agg(F.sum("c").alias("c"), F.max("need").alias("need"))
-        return sc.broadcast(bitmap(sums.where(F.col("c") >= F.col("need")).select("h")))
+        counts = mined.mapInArrow(_mine(single, pairs, bits), COUNTED)
+        return sc.broadcast(bitmap(counts.groupBy("lang", "shard", "part").applyInArrow(_locally_frequent, "h bigint")))
 
     pairs = locally(None)
     longer = locally(pairs)
