@@ -64,9 +64,10 @@ def star_job(spark: SparkSession, sf_dir: str, out: str, db: str = "movies",
              buckets: int | None = None) -> dict[str, int]:
     """Movie metadata, credits, keywords and ratings -> 14 external mart tables
     (movie table, ratings and bridges bucketed by movie when ``buckets``)."""
-    sources = NS.landed_sources(spark, sf_dir)
+    sources = NS.file_sources(spark, sf_dir)
     star = N.star_schema(*sources)
     counts = _counts(K.save_star_schema(star, out, db, buckets=buckets))
+    star.release()
     # cells whose list text the repair rule could not parse lose all their elements: report them
     for source in sources[:3]:
         for r in N.parse_report(source).collect():    # one row per list column

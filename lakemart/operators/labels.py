@@ -10,11 +10,12 @@ is Spark ML's multinomial logistic regression over feature vectors.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_null_safe
-from ..functions.order import balanced_part, draw_key, global_index, index_within
+from ..functions.order import draw_key, global_index
+from ..functions.select import group_cuts, join_cuts, place
 
 
 def label_pairs(movies: DataFrame, bridge: DataFrame, dim: DataFrame, n: int | None = None,
@@ -32,10 +33,13 @@ def label_pairs(movies: DataFrame, bridge: DataFrame, dim: DataFrame, n: int | N
 
 def assign_shards(pairs: DataFrame, parts: int, order=("imdb_id", "genre")) -> DataFrame:
     """Cut the rows (in ``order``) into ``parts`` contiguous ranges whose sizes
-    differ by at most one, larger first (``ntile`` without a one-task window)."""
-    indexed = global_index(pairs, list(order), "_rn", total_col="_total")
-    return (indexed.withColumn("shard", balanced_part(F.col("_rn"), F.col("_total"), parts))
-            .drop("_rn", "_total"))
+    differ by at most one, larger first (``ntile`` without a window or a sort): the
+    rows at the range ends are found by counting, and every row compares itself with
+    them.  Nothing is landed; see ``functions.select.cuts`` for how often ``pairs`` is
+    evaluated while the plan is built."""
+    total = pairs.count()
+    ends = [end for _, end in balanced_ranges(total, parts)[:-1]]
+    return place(pairs, list(order), ends, "shard", total)
 
 
 def balanced_ranges(total: int, parts: int) -> list[tuple[int, int]]:
@@ -52,20 +56,24 @@ def balanced_ranges(total: int, parts: int) -> list[tuple[int, int]]:
 def fetch_plan(sharded: DataFrame, root: str = "images", ext: str = "jpg") -> DataFrame:
     """Per shard and id: the first row (by genre) is fetched, every later genre
     copies that file, and a row that repeats a target is ``present`` already.
-    (shard, imdb_id, genre, action, target, source)."""
-    one_id = Window.partitionBy("shard", "imdb_id")
-    by_genre = one_id.orderBy(F.asc_nulls_last("genre"))
-    same = Window.partitionBy("shard", "imdb_id", "genre").orderBy("genre")
+    (shard, imdb_id, genre, action, target, source).
 
+    Equal rows are counted where they are read; the smallest genre of each (shard,
+    id) is a map-side minimum joined back on that key, which is unique, and the counts
+    are unfolded last.  So an id with a third of all rows is as many rows as it has
+    genres wherever rows are moved."""
     def path(genre):
         return F.concat_ws("/", F.lit(root), genre, F.concat(F.col("imdb_id"), F.lit("." + ext)))
 
-    j = (sharded.withColumn("_first", F.min("genre").over(one_id)).withColumn("_nth", F.row_number().over(by_genre))
-         .withColumn("_again", F.row_number().over(same)))
-    fetch = F.col("_nth") == 1
-    again = ~fetch & (F.col("genre").eqNullSafe(F.col("_first")) | (F.col("_again") > 1))
+    rows = sharded.groupBy("shard", "imdb_id", "genre").agg(F.count(F.lit(1)).alias("_n"))
+    # min ignores NULL, so NULL is first only where there is nothing else
+    first = rows.groupBy("shard", "imdb_id").agg(F.min("genre").alias("_first"))
+    j = join_null_safe(rows, first, ["shard", "imdb_id"])
+    fetch = F.col("genre").eqNullSafe(F.col("_first"))
+    j = j.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    again = F.col("_nth") > 1
     return j.select("shard", "imdb_id", "genre",
-                    F.when(fetch, F.lit("fetch")).when(again, F.lit("present")).otherwise(F.lit("copy")).alias("action"),
+                    F.when(again, F.lit("present")).when(fetch, F.lit("fetch")).otherwise(F.lit("copy")).alias("action"),
                     path(F.col("genre")).alias("target"),
                     F.when(~fetch & ~again, path(F.col("_first"))).alias("source"))
 
@@ -82,26 +90,74 @@ def train_validation_split(df: DataFrame, fraction: float = 0.3, label: str = "l
     """Adds ``split``: per label, the first floor(fraction * n) rows in seeded
     order are 'validation', the rest 'train' — disjoint and complete.
 
-    Only (label, key, draw) is indexed, for the draw of each label's last
-    validation row; the wide rows are compared with it and never shuffled for the
-    index.  Rows that repeat a key within a label fall on the same side."""
+    The draw at that rank is selected per label by a radix histogram
+    (``functions.select.group_cuts``): no sort, no index, nothing landed, one lazy plan.
+    Rows that repeat a key within a label fall on the same side."""
     keyed = df.withColumn("_draw", draw_key(seed, key))
-    ranked = index_within(keyed.select(label, key, "_draw"), [label], ["_draw", key], "_rn", size_col="_n")
-    cuts = (ranked.where(F.col("_rn") == F.floor(F.col("_n") * F.lit(fraction)))
-            .select(label, F.col("_draw").alias("_cut")))
-    out = join_null_safe(keyed, cuts, [label], "left")
-    return out.select(*df.columns, F.when(F.col("_draw") <= F.col("_cut"), "validation").otherwise("train").alias("split"))
+    cuts = group_cuts(keyed, label, "_draw", F.floor(F.col("n") * F.lit(fraction)))
+    out = join_cuts(keyed, cuts, label, "_draw")
+    return out.select(*df.columns, F.when(F.col("_draw") <= F.col("cut"), "validation").otherwise("train").alias("split"))
 
 
 def train_classifier(train: DataFrame, features: str = "features", label: str = "label",
-                     max_iter: int = 10, reg: float = 0.0):
-    """Multinomial logistic regression (softmax) with an iteration limit."""
+                     max_iter: int = 10, reg: float = 0.0, tol: float = 1e-6, standardize: bool = True):
+    """Multinomial logistic regression (softmax) with an iteration limit; ``reg`` is
+    the ridge term's weight (on the features as they are if not ``standardize``)."""
     from pyspark.ml.classification import LogisticRegression
     lr = LogisticRegression(featuresCol=features, labelCol=label, family="multinomial",
-                            maxIter=max_iter, regParam=reg)
+                            maxIter=max_iter, regParam=reg, tol=tol, standardization=standardize)
     return lr.fit(train)
 
 
+def fit_certificate(model, df: DataFrame, features: str = "features", label: str = "label", reg: float = 0.0,
+                    shift: float = 1e-2) -> DataFrame:
+    """One row that says how good a fit of ``train_classifier(standardize=False)`` is,
+    from sums over the rows and not from the optimiser's own report:
+
+    * ``rows``, ``labels``: rows summed, distinct labels among them;
+    * ``objective``: mean loss (minus log of the label's probability) plus the ridge
+      term; ``null_loss``: that of the best model without features (the entropy
+      of the label shares), which any fit must beat;
+    * ``gradient_norm``: length of the objective's gradient in all weights and
+      intercepts; the objective is convex, so a fit is optimal where it is zero, and
+      with a ridge term no better one exists beyond gradient_norm^2 / (2 * reg) below;
+    * ``shifted_objective``: the objective after a step of ``shift`` along the gradient.
+
+    Two aggregates over ``df`` with map-side sums; a row's gradient is the outer
+    product of (probabilities - label) and its features, built inside the row."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    scored = model.transform(df).select(F.col(label).cast("int").alias("y"), vector_to_array(features).alias("x"),
+                                        vector_to_array("probability").alias("p"))
+    off = F.transform("p", lambda p, i: p - (F.col("y") == i).cast("double"))
+    outer = F.flatten(F.transform(off, lambda e: F.transform(F.concat("x", F.array(F.lit(1.0))), lambda v: e * v)))
+    loss = -F.log(F.element_at("p", F.col("y") + 1))
+    sums = scored.select(array_to_vector(outer).alias("g"), loss.alias("loss"), "y").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("y").alias("labels"), F.avg("loss").alias("loss"))
+    mean = scored.select(array_to_vector(outer).alias("g")).agg(Summarizer.mean(F.col("g")).alias("g")).first()["g"]
+    weights = model.coefficientMatrix.toArray()
+    k, w = weights.shape
+    ridge = 0.5 * reg * float((weights ** 2).sum())
+    gradient = mean.toArray().reshape(k, w + 1).copy()
+    gradient[:, :w] += reg * weights
+    norm = float((gradient ** 2).sum() ** 0.5)
+    moved = weights - shift * gradient[:, :w] / max(norm, 1e-300)
+    offset = model.interceptVector.toArray() - shift * gradient[:, w] / max(norm, 1e-300)
+    logits = F.array(*[F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in row]), lambda a, b: a * b),
+                                   F.lit(float(b)), lambda s, v: s + v) for row, b in zip(moved, offset)])
+    top = F.array_max("z")
+    shifted = scored.select("y", logits.alias("z")).select(
+        (F.log(F.aggregate(F.transform("z", lambda v: F.exp(v - top)), F.lit(0.0), lambda s, v: s + v))
+         + top - F.element_at("z", F.col("y") + 1)).alias("loss")).agg(F.avg("loss").alias("shifted"))
+    shares = scored.groupBy("y").count()
+    total = F.sum("count")
+    entropy = shares.agg((F.log(total) - F.sum(F.col("count") * F.log("count")) / total).alias("null_loss"))
+    shifted_loss = shifted.first()["shifted"] + 0.5 * reg * float((moved ** 2).sum())
+    return sums.select("rows", "labels", (F.col("loss") + F.lit(ridge)).alias("objective"),
+                       F.lit(entropy.first()["null_loss"]).alias("null_loss"), F.lit(norm).alias("gradient_norm"),
+                       F.lit(shifted_loss).alias("shifted_objective"))
+
+
 def to_features(df: DataFrame, array_col: str = "embedding", out: str = "features") -> DataFrame:
     from pyspark.ml.functions import array_to_vector
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))

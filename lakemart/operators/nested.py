@@ -15,7 +15,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from ..functions.nested import parse_array
 from ..functions.order import global_index
-from ..session import cut_lineage
+from ..session import landed, remove
 from . import facts
 
 
@@ -88,29 +88,86 @@ def ratings_fact(ratings: DataFrame) -> DataFrame:
     return ratings.select("userId", "movieId", "rating")
 
 
+def tagged_entities(df: DataFrame, entities: dict[str, Entity], movie: str = "id") -> DataFrame:
+    """All list columns of a source in one pass: (entity, movie, key, name, extra),
+    one row per list element; keys as text, extras as an array in the entity's order."""
+    def tagged(name: str, e: Entity):
+        def row(x):
+            extra = F.array(*[x[src].cast("string") for src, _ in e.extra]).cast("array<string>")
+            return F.struct(F.lit(name).alias("entity"), x[e.key[0]].cast("string").alias("key"),
+                            x[e.name[0]].alias("name"), extra.alias("extra"))
+        return F.coalesce(F.transform(parse_array(e.column, e.schema), row), F.array())
+    every = F.concat(*[tagged(name, e) for name, e in entities.items()])
+    return df.select(movie, F.explode(every).alias("_e")).select("_e.entity", movie, "_e.key", "_e.name", "_e.extra")
+
+
+def entity_rows(tagged: DataFrame, name: str, entity: Entity, movie: str = "id") -> DataFrame:
+    """``explode_entities`` of one entity read back from the tagged table."""
+    types = {f.name: f.dataType for f in entity.schema.elementType.fields}
+    return tagged.where(F.col("entity") == name).select(
+        movie, F.col("key").cast(types[entity.key[0]]).alias(entity.key[1]), F.col("name").alias(entity.name[1]),
+        *[F.col("extra")[i].cast(types[src]).alias(dst) for i, (src, dst) in enumerate(entity.extra)])
+
+
+class StarSchema(dict):
+    """The mart tables by name, and the landed folders they read; ``release`` drops
+    the folders once the tables are written elsewhere (or no longer needed)."""
+
+    def __init__(self, spark):
+        super().__init__()
+        self.spark, self.folders = spark, []
+
+    def land(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        out, path = landed(df, name, by)
+        self.folders.append(path)
+        return out
+
+    def release(self) -> None:
+        while self.folders:
+            remove(self.spark, self.folders.pop())
+
+
 def star_schema(metadata: DataFrame, credits: DataFrame, keywords: DataFrame,
-                ratings: DataFrame) -> dict[str, DataFrame]:
-    """The 14 mart tables.  ``metadata`` must already be deny-filtered.  Each list
-    column is parsed once: its exploded rows are landed, and dimension and bridge
-    read them."""
-    sources = {"metadata": metadata, "credits": credits, "keywords": keywords}
-    out: dict[str, DataFrame] = {}
-    for name, ent in ENTITIES.items():
-        rows = cut_lineage(explode_entities(sources[ent.source], ent), f"entities-{name}")
-        out[f"{name}_ext"] = dimension(rows, ent)
-        out[f"{name}_movies_ext"] = bridge(rows, ent)
+                ratings: DataFrame) -> StarSchema:
+    """The 14 mart tables.  ``metadata`` must already be deny-filtered.
+
+    Per source one write: all its list columns are parsed in one pass into one tagged
+    table partitioned by entity, and the dimension and bridge of an entity read its
+    partition alone.  The movie columns of the metadata are landed beside it, so that
+    its files are parsed once."""
+    out = StarSchema(metadata.sparkSession)
+    lists = [e.column for e in ENTITIES.values() if e.source == "metadata"]
+    metadata = out.land(metadata.select(*dict.fromkeys([*MOVIE_COLUMNS, *lists])), "metadata")
+    for source, rows in {"metadata": metadata, "credits": credits, "keywords": keywords}.items():
+        entities = {name: e for name, e in ENTITIES.items() if e.source == source}
+        tagged = out.land(tagged_entities(rows, entities), f"entities-{source}", by="entity")
+        for name, ent in entities.items():
+            rows_of = entity_rows(tagged, name, ent)
+            out[f"{name}_ext"] = dimension(rows_of, ent)
+            out[f"{name}_movies_ext"] = bridge(rows_of, ent)
     fact = ratings_fact(ratings)
     out["ratings_ext"] = fact
     out["movies_table_ext"] = movies_mart(metadata, facts.votes(fact))
     return out
 
 
-def surrogate_key(names: DataFrame, name_col: str, key_col: str) -> DataFrame:
-    """Dimension with a repeatable, unique, dense key: the name's rank in sort order.
+def surrogate_key(names: DataFrame, name_col: str, key_col: str, existing: DataFrame | None = None) -> DataFrame:
+    """Dimension with repeatable, unique, dense int keys.
 
+    Without ``existing`` a key is the name's rank in sort order.  With the dimension
+    of an earlier load (``key_col``, ``name_col``) every old row keeps its key, also
+    when its name is gone, and only names it lacks are numbered, in sort order above
+    its highest key: facts loaded earlier stay valid whatever names a refresh adds.
     Ranked with a distributed range index, not a single-partition window."""
     distinct = names.select(name_col).where(F.col(name_col).isNotNull()).distinct()
-    return global_index(distinct, [name_col], key_col).select(F.col(key_col).cast("int").alias(key_col), name_col)
+    high = 0
+    if existing is not None:
+        existing = existing.select(F.col(key_col).cast("int").alias(key_col), name_col)
+        distinct = distinct.join(existing, name_col, "left_anti")
+        high = existing.agg(F.max(key_col)).first()[0] or 0
+    new = global_index(distinct, [name_col], key_col).select(
+        (F.col(key_col) + F.lit(high)).cast("int").alias(key_col), name_col)
+    return new if existing is None else existing.unionByName(new)
 
 
 def genre_ids(movies: DataFrame, genre_dim: DataFrame, genres: str = "genres",

@@ -18,9 +18,13 @@ from ..session import scratch_path
 
 
 def ratings_text(spark, d) -> str:
-    """user,movie,rating,MM/dd/yyyy HH:mm:ss,   (rating 'n/a' for returned items)."""
+    """user,movie,rating,MM/dd/yyyy HH:mm:ss,   (returned items have the ratings a
+    typed column cannot hold: 'n/a', blank, NaN, or 1e12, which only a double can)."""
     li = S.table(spark, d, "lineitem")
-    rating = F.when(F.col("l_returnflag") == "R", F.lit("n/a")).otherwise((F.col("l_quantity") / 4).cast("string"))
+    line = F.col("l_linenumber")
+    odd = (F.when(line == 1, F.lit("n/a")).when(line == 2, F.lit("")).when(line == 3, F.lit("NaN"))
+           .when(line == 4, F.lit("1e12")).otherwise(F.lit("-1e12")))
+    rating = F.when(F.col("l_returnflag") == "R", odd).otherwise((F.col("l_quantity") / 4).cast("string"))
     line = F.concat_ws(",", F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"), rating,
                        F.date_format("l_shipdate", "MM/dd/yyyy HH:mm:ss"), F.lit(""))
     path = scratch_path(spark, "landing-ratings")
@@ -83,19 +87,28 @@ METADATA_SCHEMA = StructType([
 ])
 
 
-def metadata_csv(spark, d, rows_per_file: int = 250_000) -> str:
-    """The movie metadata file as a directory of part files: header, quoted
-    fields with embedded newlines, quotes and commas; revenue can exceed int.  A
-    multi-line file is read by one task, so files are kept small."""
-    from .nested_standins import metadata_text
-    m = metadata_text(spark, d)
-    text = m.select(*[F.col(f.name).cast("string").alias(f.name) for f in METADATA_SCHEMA.fields])
-    path = scratch_path(spark, "landing-metadata")
-    (text.write.option("maxRecordsPerFile", rows_per_file).option("header", True).option("quote", '"')
-     .option("escape", '"').option("quoteAll", True).csv(path))
+# Schemas of the two files with further list columns.
+CREDITS_SCHEMA = StructType([StructField("cast", StringType()), StructField("crew", StringType()),
+                             StructField("id", IntegerType())])
+KEYWORDS_SCHEMA = StructType([StructField("id", IntegerType()), StructField("keywords", StringType())])
+
+
+def _one_csv(df, schema: StructType, name: str) -> str:
+    """One CSV file, as the original sources are: header, every field quoted."""
+    text = df.select(*[F.col(f.name).cast("string").alias(f.name) for f in schema.fields])
+    path = scratch_path(df.sparkSession, f"landing-{name}")
+    (text.repartition(1).write.option("header", True).option("quote", '"').option("escape", '"')
+     .option("quoteAll", True).csv(path))
     return path
 
 
+def metadata_csv(spark, d) -> str:
+    """The movie metadata file: quoted fields with embedded newlines, quotes and
+    commas; revenue can exceed int."""
+    from .nested_standins import metadata_text
+    return _one_csv(metadata_text(spark, d), METADATA_SCHEMA, "metadata")
+
+
 def metadata_read(spark, d):
     """The metadata file read with its schema: a field its type cannot hold is NULL."""
     from ..sources.readers import read_csv_multiline
@@ -107,3 +120,18 @@ def movies_read(spark, d):
     from ..functions.fixed import DENY_IMDB_IDS
     from ..operators.clean import deny_and_strip
     return deny_and_strip(metadata_read(spark, d), "imdb_id", DENY_IMDB_IDS)
+
+
+def movie_files(spark, d):
+    """(movies, credits, keywords): the three files written, each one file, and read;
+    the fixture's rows are derived once for all three."""
+    from .nested_standins import metadata_text
+    from ..functions.fixed import DENY_IMDB_IDS
+    from ..operators.clean import deny_and_strip
+    from ..session import cut_lineage
+    from ..sources.readers import read_csv_multiline
+    rows = cut_lineage(metadata_text(spark, d), "metadata-rows").withColumn("crew", F.lit(None).cast("string"))
+    movies, credits, keywords = (
+        read_csv_multiline(spark, _one_csv(rows, schema, name), schema)
+        for schema, name in ((METADATA_SCHEMA, "metadata"), (CREDITS_SCHEMA, "credits"), (KEYWORDS_SCHEMA, "keywords")))
+    return deny_and_strip(movies, "imdb_id", DENY_IMDB_IDS), credits, keywords

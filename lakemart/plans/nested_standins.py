@@ -122,18 +122,11 @@ def keywords_text(spark, d) -> DataFrame:
     return metadata_text(spark, d).select("id", "keywords")
 
 
-def landed_sources(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(movies, credits, keywords, ratings) of the star schema.  The metadata file is
-    read once (a multi-line file is one task's) and landed with its typed columns,
-    the two other files' list columns likewise."""
-    from ..functions.fixed import DENY_IMDB_IDS
-    from ..operators.clean import deny_and_strip
-    from ..session import cut_lineage
-    from .landing import metadata_read
-    lists = cut_lineage(metadata_text(spark, d).select("id", "cast", "keywords"), "lists")
-    movies = deny_and_strip(cut_lineage(metadata_read(spark, d), "metadata"), "imdb_id", DENY_IMDB_IDS)
-    return (movies, lists.select("cast", F.lit(None).cast("string").alias("crew"), "id"), lists.select("id", "keywords"),
-            ratings_raw(spark, d))
+def file_sources(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(movies, credits, keywords, ratings) of the star schema, the first three read
+    from their files."""
+    from .landing import movie_files
+    return (*movie_files(spark, d), ratings_raw(spark, d))
 
 
 def ratings_raw(spark, d) -> DataFrame:

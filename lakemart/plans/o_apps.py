@@ -169,3 +169,7 @@ FROM (SELECT vec_id, label,
 ORACLES["label_ranking_check"] = """
 SELECT vec_id, (SELECT CAST(max(label) + 1 AS BIGINT) FROM embeddings) AS n_labels, true AS ranks_ok,
   true AS sums_to_one, true AS best_first, true AS first_is_prediction FROM embeddings"""
+
+ORACLES["label_classifier_check"] = """
+SELECT count(*) AS "rows", count(DISTINCT label) AS labels, true AS converged, true AS better_than_null, true AS locally_best
+FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL"""

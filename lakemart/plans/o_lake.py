@@ -6,7 +6,8 @@ from .oracles import (R4, INFO_ALL, ORACLES, POWERS, RATINGS_RAW, RAW_MOVIES, ST
                       USERS_REPORT, _with, title_sql, year_sql)
 from .standins import SEGMENT_ALIGNMENT
 
-RATING_TEXT = "CASE WHEN l_returnflag = 'R' THEN 'n/a' ELSE CAST(l_quantity / 4 AS VARCHAR) END"
+RATING_TEXT = """CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity / 4 AS VARCHAR) WHEN l_linenumber = 1 THEN 'n/a'
+  WHEN l_linenumber = 2 THEN NULL WHEN l_linenumber = 3 THEN 'NaN' WHEN l_linenumber = 4 THEN '1e12' ELSE '-1e12' END"""
 
 ORACLES["src_delimited"] = f"""
 SELECT CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id,
@@ -46,7 +47,8 @@ FROM embeddings GROUP BY label"""
 _CONFORMED = """SELECT CAST(l_suppkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS movie_id,
   {rating} AS rating, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS created_at FROM lineitem"""
 ORACLES["prj_conform_ratings"] = _CONFORMED.format(
-    rating="CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity / 4 END")
+    rating="CASE WHEN l_returnflag <> 'R' THEN l_quantity / 4 WHEN l_linenumber = 3 THEN CAST('NaN' AS DOUBLE) "
+           "WHEN l_linenumber = 4 THEN 1e12 WHEN l_linenumber > 4 THEN -1e12 END")
 ORACLES["prj_conform_ratings_integral"] = _CONFORMED.format(
     rating="CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(trunc(l_quantity / 4) AS INTEGER) END")
 
@@ -87,6 +89,9 @@ SELECT movieId, """ + R4("avg(rating)") + """ AS vote_average, CAST(count(rating
 FROM ratings_raw GROUP BY movieId"""
 ORACLES["snk_csv"] = _with(STATS_ALL, INFO_ALL, TOP_HEROES) + "SELECT * FROM top_heroes"
 
+ORACLES["snk_preview"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer ORDER BY customer.c_custkey LIMIT 20"""
+
 ORACLES["cat_lifecycle"] = """
 SELECT * FROM (VALUES ('create_database', true), ('describe_database', true), ('database_exists', true),
   ('create_table', true), ('create_external', true), ('drop_table', true), ('drop_database', true))

@@ -68,6 +68,16 @@ genre_dim AS (SELECT CAST(row_number() OVER (ORDER BY genre_name) AS INTEGER) AS
 
 ORACLES["mart_genre_dim"] = _with(RAW_MOVIES, _GENRE_DIM) + "SELECT genre_id, genre_name FROM genre_dim"
 
+ORACLES["mart_genre_refresh"] = _with(RAW_MOVIES) + """
+, one AS (SELECT CAST(row_number() OVER (ORDER BY g) AS INTEGER) AS genre_id, g AS genre_name
+  FROM (SELECT DISTINCT split_part(genres, '|', 1) AS g FROM raw_movies)),
+new AS (SELECT DISTINCT unnest(string_split(genres, '|')) AS g FROM raw_movies),
+two AS (SELECT * FROM one UNION ALL
+  SELECT CAST((SELECT max(genre_id) FROM one) + row_number() OVER (ORDER BY g) AS INTEGER), g FROM new
+  WHERE g NOT IN (SELECT genre_name FROM one))
+SELECT genre_id, genre_name, 1 AS load FROM one UNION ALL SELECT genre_id, genre_name, 2 FROM two"""
+
+
 def _genre_ids_sql(distinct: bool) -> str:
     agg = "list(DISTINCT genre_id)" if distinct else "list(genre_id)"
     return _with(RAW_MOVIES, _GENRE_DIM) + f""",

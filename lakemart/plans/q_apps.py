@@ -19,6 +19,7 @@ BRACKETS = dict(n=4, seed=7)
 LABEL_LIMIT = 100          # posters fetched in a test run
 SHARDS = 5                 # download processes
 SPLIT = dict(fraction=0.3, seed=7)
+CERTIFICATE = dict(reg=0.01, gradient=1e-4)
 
 
 # ---- text -------------------------------------------------------------------------
@@ -117,10 +118,7 @@ def tour_bracket_winner(spark, d):
 
 @query("tour_final")
 def tour_final(spark, d):
-    # the team table is small and re-read by every round: cut its lineage once
-    # (reliable checkpoint in the shared checkpoint folder)
-    t = cut_lineage(teams(spark, d))
-    return TR.tournament(t, **BRACKETS)
+    return TR.tournament(teams(spark, d), **BRACKETS)
 
 
 # ---- grades ---------------------------------------------------------------------------
@@ -196,6 +194,17 @@ def label_classifier(spark, d):
     return LB.evaluate(model, data)
 
 
+@query("label_classifier_check")
+def label_classifier_check(spark, d):
+    # run to convergence with a ridge term: at the optimum the gradient vanishes
+    data = LB.to_features(S.table(spark, d, "embeddings").where("embedding is not null and label is not null"))
+    model = LB.train_classifier(data, max_iter=500, reg=CERTIFICATE["reg"], tol=1e-8, standardize=False)
+    c = LB.fit_certificate(model, data, reg=CERTIFICATE["reg"])
+    return c.select("rows", "labels", (F.col("gradient_norm") < CERTIFICATE["gradient"]).alias("converged"),
+                    (F.col("objective") < F.col("null_loss")).alias("better_than_null"),
+                    (F.col("objective") <= F.col("shifted_objective")).alias("locally_best"))
+
+
 @query("label_ranking")
 def label_ranking(spark, d):
     model, data = _model(spark, d)

@@ -225,6 +225,12 @@ def snk_csv(spark, d):
     return back.select("alignment", "name", "score", "gender", "race", "universe")
 
 
+@query("snk_preview")
+def snk_preview(spark, d):
+    c = S.table(spark, d, "customer").orderBy("c_custkey").select("c_custkey", "c_name", "c_mktsegment")
+    return K.preview_rows(c, 20)
+
+
 # ---- catalog ----------------------------------------------------------------------
 
 @query("cat_lifecycle")

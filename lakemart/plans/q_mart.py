@@ -81,7 +81,7 @@ def mart_movies(spark, d):
 
 @query("mart_star_counts")
 def mart_star_counts(spark, d):
-    star = N.star_schema(*NS.landed_sources(spark, d))
+    star = N.star_schema(*NS.file_sources(spark, d))
     # (sources.sinks.save_star_schema writes the same 14 tables as external tables)
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
              for name, df in star.items()]
@@ -101,6 +101,17 @@ def mart_genre_dim(spark, d):
     return N.surrogate_key(m.select(F.explode("genres").alias("genre_name")), "genre_name", "genre_id")
 
 
+@query("mart_genre_refresh")
+def mart_genre_refresh(spark, d):
+    # two loads: the first file lists part types only, the refresh brands as well,
+    # whose names sort before and between the old ones
+    old = _hql_movies(spark, d).select(F.element_at("genres", 1).alias("genre_name"))
+    first = N.surrogate_key(old, "genre_name", "genre_id")
+    names = _hql_movies(spark, d).select(F.explode("genres").alias("genre_name"))
+    second = N.surrogate_key(names, "genre_name", "genre_id", existing=first)
+    return first.withColumn("load", F.lit(1)).unionByName(second.withColumn("load", F.lit(2)))
+
+
 @query("mart_genre_ids")
 def mart_genre_ids(spark, d):
     return _genre_ids(spark, d, as_set=True)

@@ -8,10 +8,13 @@ must materialise data (landing files, sinks, lineage cuts).
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 # Settings every session of the library gets.  AQE re-plans joins from measured
 # shuffle sizes (runtime broadcast below the threshold, skew-join splitting) and
@@ -72,10 +75,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_owned: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never re-used location below the checkpoint root."""
+    """A fresh, never re-used location below the checkpoint root, in a folder that
+    belongs to this application and is removed when its driver exits."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/lakemart/{name}-{uuid.uuid4().hex[:12]}"
+    app = spark.sparkContext.applicationId
+    if app not in _owned:
+        _owned[app] = f"{root}/lakemart/{app}-{uuid.uuid4().hex[:8]}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_owned[app])
+        atexit.register(_remove_at_exit, folder, spark._jsc.hadoopConfiguration())
+    return f"{_owned[app]}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove_at_exit(folder, conf) -> None:
+    try:
+        folder.getFileSystem(conf).delete(folder, True)
+    except (Py4JError, OSError):  # the JVM has ended before its driver program: nothing can be removed any more
+        pass
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder early, once no later plan reads it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
@@ -85,9 +110,17 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     Like a reliable ``checkpoint()`` it survives executor loss (never
     ``localCheckpoint``), but later reads prune columns and push filters into
     the scan, which an RDD checkpoint cannot."""
+    return landed(df, name)[0]
+
+
+def landed(df: DataFrame, name: str = "cut", by: str | None = None) -> tuple[DataFrame, str]:
+    """``cut_lineage`` that also gives the folder, for owners that drop it early;
+    ``by`` partitions the table by a column.  Column order is kept."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    schema = StructType([StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    return df.sparkSession.read.schema(schema).parquet(path).select(*[f"`{c}`" for c in df.columns]), path
 
 
 def local_path(path: str) -> str:

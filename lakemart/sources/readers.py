@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .multiline import read_split_csv
+
 
 def string_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
@@ -37,12 +39,16 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_csv_multiline(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv_multiline(spark: SparkSession, path: str, schema: StructType, split: bool = True) -> DataFrame:
     """CSV with header and explicit schema whose quoted fields may hold newlines;
-    a quote inside a field is doubled.  ``path`` may be a directory of part
+    a quote inside a field is doubled.  ``path`` may be a file or a directory of part
     files.  A field that does not fit its type becomes NULL on its own.
-    (Such files cannot be split: each file is one task, so land them once to
-    Parquet and read that downstream.)"""
+
+    A file is read by many tasks (``sources.multiline``).  ``split=False`` reads each
+    file in one task with Spark's own multi-line parser, which also takes files with
+    lone quotes inside unquoted fields."""
+    if split:
+        return read_split_csv(spark, path, schema)
     return (spark.read.schema(schema).option("header", True).option("multiLine", True)
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
             .csv(path))

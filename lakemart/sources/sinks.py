@@ -6,18 +6,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def save_external(df: DataFrame, path: str, table: str, fmt: str = "parquet",
                   bucket_by: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Overwrite files at ``path`` and register them as external ``table``.
 
-    With ``bucket_by`` the table is bucketed (and sorted) by those columns into
-    ``buckets`` files per task group, so later joins or aggregations on them
-    between tables bucketed the same way need no shuffle."""
-    w = df.write.option("path", path).mode("overwrite")
+    With ``bucket_by`` the table is bucketed (and sorted) by those columns, so later
+    joins or aggregations on them between tables bucketed the same way need no
+    shuffle.  Rows are clustered by bucket first, so that a bucket is one file and
+    not one per writing task."""
     if bucket_by:
         n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, *bucket_by)       # the bucket's own hash and modulus
+    w = df.write.option("path", path).mode("overwrite")
+    if bucket_by:
         w = w.bucketBy(n, *bucket_by).sortBy(*bucket_by)
     w.saveAsTable(table, format=fmt)
     return df.sparkSession.table(table)
@@ -77,8 +81,15 @@ def write_csv(df: DataFrame, path: str, header: bool = True, keys: Sequence[str]
     return path
 
 
+def preview_rows(df: DataFrame, n: int = 20) -> DataFrame:
+    """The rows a preview prints: the first ``n``, every value as the text shown
+    (NULL as ``NULL``)."""
+    shown = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NULL")).alias(c) for c in df.columns]
+    return df.limit(n).select(*shown)
+
+
 def preview(df: DataFrame, n: int = 20) -> None:
-    df.show(n, truncate=False)
+    preview_rows(df, n).show(n, truncate=False)
 
 
 # Movie key of each mart table that is bucketed by movie (see save_star_schema).

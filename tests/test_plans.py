@@ -28,9 +28,9 @@ def test_year_range_reaches_the_scan(plans):
     assert s["topk"]
 
 
-def test_keywords_shuffle_documents_once(plans):
+def test_keywords_move_neither_texts_nor_tokens(plans):
     text, s = plans["text_keywords"]
-    assert s["shuffles"] == 1 and "WindowGroupLimit" in text
+    assert s["shuffles"] == 0 and "Python" not in text and "Arrow" not in text
 
 
 def test_aggregations_are_partial_before_shuffles(plans):
