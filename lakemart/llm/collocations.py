@@ -10,12 +10,14 @@ those with at least ``support`` occurrences in their language.
    ``n_i`` of the language's ``n`` words has the local support ``ceil(support * n_i / n)``:
    a phrase below it in every shard has fewer than ``support`` occurrences in all.
    Each shard is mined completely, level by level: pairs of frequent words, then runs
-   of three and four whose pairs are locally frequent in some shard.  A shard is not
+   of three and four all of whose pairs are candidates.  A shard is not
    a task: its runs are counted per chunk, cut by the leading bits of their hash into
    parts of about ``PART_RUNS`` and added up part by part, so memory stays the same
    whatever a shard's size, and a hot language or phrase is one entry a chunk.
-3. *Union.*  Phrases that are frequent in some shard set one bit each of a bitmap of
-   ``2 ** BITS`` bits (8 MB, whatever the data); equal hashes only add candidates.
+3. *Union.*  A phrase that is frequent in some shards has its counts there and less
+   than the local support in each other shard; if that sum can reach ``support``, it sets
+   one bit of a bitmap of ``2 ** BITS`` bits (8 MB, whatever the data).  Equal hashes
+   only add candidates.
 4. *Count.*  A second pass over the whole texts counts every phrase whose bit is set,
    by its words; sums below ``support`` are left out.  So counts are exact.
 5. *Score.*  Every cut of a candidate joins the counts of its two parts (each part is
@@ -47,9 +49,11 @@ from .words import LEN_TABLE, U, WORD_TABLE, Words, byte_classes, chunks, mix, s
 SUPPORT, MAX_WORDS, INSIDE, TOP = 30, 4, 80, 2000
 SHARDS, BITS = 8, 26
 #: bytes tokenised at a time and held per task, words of a landed row, strings held
-CHUNK_BYTES, HELD_BYTES, ROW_WORDS, HELD_STRINGS = 1 << 20, 16 << 20, 1 << 20, 1 << 18
+CHUNK_BYTES, HELD_BYTES, ROW_WORDS, HELD_STRINGS = 1 << 20, 8 << 20, 1 << 19, 1 << 17
 #: runs added up at a time
 PART_RUNS = 1 << 20
+#: (language, shard) rows that may be broadcast (about 100 bytes each)
+BROADCAST_SHARDS = 100_000
 ENDS = b".,;:!?\n\x0b\x0c\r"
 #: words are runs of anything but blank, tab and the characters that end a piece
 CLASSES = byte_classes([0x20, 0x09, *ENDS])
@@ -212,7 +216,7 @@ def _mine(single, pairs, bits):
         one = single.value
         two = pairs.value if pairs is not None else None
         for batch in batches:
-            for lang, shard, need, raw in zip(*[batch.column(i) for i in range(4)]):
+            for lang, shard, need, slack, raw in zip(*[batch.column(i) for i in range(5)]):
                 code = np.frombuffer(raw.as_buffer(), np.uint32)
                 h = hashes(code, lang.as_py())
                 ok = (code != 0) & has(one, h)
@@ -229,25 +233,30 @@ def _mine(single, pairs, bits):
                 count = count.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang.as_py()] * len(here), pa.string()), pa.array([shard.as_py()] * len(here), pa.int32()),
-                     pa.array([need.as_py()] * len(here), pa.int64()), pa.array(here, pa.int32()),
+                     pa.array([need.as_py()] * len(here), pa.int64()), pa.array([slack.as_py()] * len(here), pa.int64()),
+                     pa.array(here, pa.int32()),
                      pa.array([x[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
                      pa.array([count[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
-                    names=["lang", "shard", "need", "part", "hashes", "counts"])
+                    names=["lang", "shard", "need", "slack", "part", "hashes", "counts"])
     return run
 
 
-COUNTED = "lang string, shard int, need bigint, part int, hashes binary, counts binary"
+COUNTED = "lang string, shard int, need bigint, slack bigint, part int, hashes binary, counts binary"
 
 
 def _locally_frequent(table: pa.Table) -> pa.Table:
-    """Hashes of one part of a shard that reach its local support."""
+    """Hashes of one part of a shard that reach its local support: what each has beyond
+    the most that an infrequent one can have, and the sum of the latter over all shards."""
     x = np.concatenate([np.frombuffer(v.as_buffer(), U) for v in table["hashes"]])
     c = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in table["counts"]]).astype(np.int64)
     order = np.argsort(x, kind="stable")
     x, c = x[order], c[order]
     first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-    total = np.add.reduceat(c, first)
-    return pa.table({"h": pa.array(x[first[total >= table["need"][0].as_py()]].view(np.int64))})
+    total, need = np.add.reduceat(c, first), table["need"][0].as_py()
+    often = total >= need
+    x, beyond = x[first[often]], total[often] - (need - 1)
+    return pa.table({"h": pa.array(x.view(np.int64)), "beyond": pa.array(beyond),
+                     "slack": pa.array(np.full(len(x), table["slack"][0].as_py()), pa.int64())})
 
 
 def _count(single, pairs, longer):
@@ -336,11 +345,14 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                 .groupBy("lang", F.col("x.words").alias("phrase")).agg(F.sum("x.counts").alias("f"))
                 .where(F.col("f") >= support))
     frequent, _ = land(frequent, "phrase-frequent-words")
-    local = chunk.groupBy("lang", "shard").agg(F.sum("n").alias("n_i"))
+    local, _ = land(chunk.groupBy("lang", "shard").agg(F.sum("n").alias("n_i")), "phrase-shards")
     sizes = local.groupBy("lang").agg(F.sum("n_i").alias("n"))
     need = local.join(sizes, "lang").select("lang", "shard", F.expr(
         f"(cast({support} as decimal(38,0)) * n_i + n - 1) div n").alias("need"))
-    mined = chunk.join(need, ["lang", "shard"]).select("lang", "shard", "need", "codes")
+    need = need.join(need.groupBy("lang").agg(F.sum(F.col("need") - 1).alias("slack")), "lang")
+    if local.count() <= BROADCAST_SHARDS:                           # else Spark's own choice
+        need = F.broadcast(need)
+    mined = chunk.join(need, ["lang", "shard"]).select("lang", "shard", "need", "slack", "codes")
     single = sc.broadcast(bitmap(frequent.select("lang", "phrase").mapInArrow(_word_hashes, "h bigint")))
 
     words = sizes.agg(F.sum("n")).first()[0] or 0
@@ -348,7 +360,10 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
 
     def locally(pairs):
         counts = mined.mapInArrow(_mine(single, pairs, bits), COUNTED)
-        return sc.broadcast(bitmap(counts.groupBy("lang", "shard", "part").applyInArrow(_locally_frequent, "h bigint")))
+        often = counts.groupBy("lang", "shard", "part").applyInArrow(_locally_frequent, "h bigint, beyond bigint, slack bigint")
+        # counts where frequent, and at most need - 1 in every other shard
+        bound = often.groupBy("h").agg(F.sum("beyond").alias("beyond"), F.max("slack").alias("slack"))
+        return sc.broadcast(bitmap(bound.where(F.col("beyond") + F.col("slack") >= support).select("h")))
 
     pairs = locally(None)
     longer = locally(pairs)
