@@ -48,10 +48,13 @@ from .words import LEN_TABLE, U, WORD_TABLE, Words, byte_classes, chunks, mix, s
 
 SUPPORT, MAX_WORDS, INSIDE, TOP = 30, 4, 80, 2000
 SHARDS, BITS = 8, 26
-#: bytes tokenised at a time and held per task, words of a landed row, strings held
-CHUNK_BYTES, HELD_BYTES, ROW_WORDS, HELD_STRINGS = 1 << 20, 8 << 20, 1 << 19, 1 << 17
-#: runs added up at a time
-PART_RUNS = 1 << 20
+#: bytes tokenised at a time and held per task, words whose runs are counted at a time,
+#: strings held
+CHUNK_BYTES, HELD_BYTES, ROW_WORDS, HELD_STRINGS = 1 << 20, 8 << 20, 1 << 20, 1 << 17
+#: codes of a landed row (4 bytes each): small enough to be no outsized object of the JVM
+BLOB_CODES = 1 << 16
+#: runs added up at a time, and the least number of leading bits that parts are cut by
+PART_RUNS, LEAST_BITS = 1 << 21, 4
 #: (language, shard) rows that may be broadcast (about 100 bytes each)
 BROADCAST_SHARDS = 100_000
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -168,12 +171,22 @@ def _words(shards):
 
         def flush(lang):
             parts, tally, n = held.pop(lang)
+            code = np.concatenate(parts)
+            ends = np.append(np.arange(BLOB_CODES, len(code), BLOB_CODES), len(code))
+            # a blob ends where a piece does, so that no run crosses it
+            breaks = np.flatnonzero(code == 0)
+            ends = np.unique(np.append(breaks[np.maximum(np.searchsorted(breaks, ends, "right") - 1, 0)][:-1], len(code)))
+            blobs = [code[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            blobs = [x for x in blobs if len(x)]
             words, counts = tally.merge()
-            ends = pa.array([0, len(words)], pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([lang]), pa.array([shard], pa.int32()), pa.array([n], pa.int64()),
-                 pa.array([b"".join(parts)], pa.binary()), pa.ListArray.from_arrays(ends, words),
-                 pa.ListArray.from_arrays(ends, counts)], names=["lang", "shard", "n", "codes", "words", "counts"])
+            k, m = len(blobs), len(words)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * k, pa.string()), pa.array([shard] * k, pa.int32()),
+                 pa.array([int(np.count_nonzero(x)) for x in blobs], pa.int64()),
+                 pa.array([x.tobytes() for x in blobs], pa.binary()), pa.nulls(k, pa.string()), pa.nulls(k, pa.int64())], names=NAMES)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * m, pa.string()), pa.array([shard] * m, pa.int32()), pa.nulls(m, pa.int64()),
+                 pa.nulls(m, pa.binary()), words, counts], names=NAMES)
 
         for lang, texts in _by_language(batches):
             c = Chunk(lang, texts)
@@ -183,18 +196,22 @@ def _words(shards):
             code = np.zeros(at[-1] + 1, np.uint32)                  # 0: a new piece
             code[at] = c.code
             row = held.setdefault(lang, [[], Tally(), 0])
-            row[0].append(code.tobytes())
+            row[0].append(code)
             row[1].add(c.spelled, np.bincount(c.word, minlength=len(c.spelled)))
             row[2] += len(c.code)
             if row[2] >= ROW_WORDS:
-                yield flush(lang)
+                yield from flush(lang)
             elif sum(x[2] for x in held.values()) >= 4 * ROW_WORDS:  # many languages side by side
-                yield from [flush(x) for x in list(held)]
-        yield from [flush(x) for x in list(held)]
+                for x in list(held):
+                    yield from flush(x)
+        for x in list(held):
+            yield from flush(x)
     return run
 
 
-WORDS = "lang string, shard int, n bigint, codes binary, words array<string>, counts array<bigint>"
+#: a row has either codes and their number of words ``n``, or a word and its count
+WORDS = "lang string, shard int, n bigint, codes binary, word string, f bigint"
+NAMES = ["lang", "shard", "n", "codes", "word", "f"]
 
 
 def _word_hashes(batches):
@@ -209,35 +226,47 @@ def _word_hashes(batches):
 
 
 def _mine(single, pairs, bits):
-    """Counts of a row's pairs of frequent words; with ``pairs``, of the runs of
-    three and more words all of whose pairs are in it.  One row per part, the leading
-    ``bits`` bits of the hash, with packed hashes and counts."""
+    """Counts of the pairs of frequent words; with ``pairs``, of the runs of three and
+    more words all of whose pairs are in it.  One row per part, the leading ``bits``
+    bits of the hash, with packed hashes and counts."""
     def run(batches):
         one = single.value
         two = pairs.value if pairs is not None else None
+        held: dict[tuple, list] = {}
+        size = 0
+
+        def flush(key):
+            lang, shard, need, slack = key
+            code = np.concatenate(held.pop(key))
+            h = hashes(code, lang)
+            ok = (code != 0) & has(one, h)
+            if two is None:
+                found = runs(h, 2)[both(ok, 2)]
+            else:
+                near = both(ok, 2) & has(two, runs(h, 2))
+                found = np.concatenate([runs(h, k)[both(near, k - 1)] for k in range(3, MAX_WORDS + 1)])
+            x, count = np.unique(found, return_counts=True)
+            here, first = np.unique((x >> U(64 - bits)).astype(np.int64), return_index=True)
+            ends = [*first[1:].tolist(), len(x)]
+            count, k = count.astype(np.uint32), len(here)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang] * k, pa.string()), pa.array([shard] * k, pa.int32()), pa.array([need] * k, pa.int64()),
+                 pa.array([slack] * k, pa.int64()), pa.array(here, pa.int32()),
+                 pa.array([x[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                 pa.array([count[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
+                names=["lang", "shard", "need", "slack", "part", "hashes", "counts"])
+
         for batch in batches:
-            for lang, shard, need, slack, raw in zip(*[batch.column(i) for i in range(5)]):
-                code = np.frombuffer(raw.as_buffer(), np.uint32)
-                h = hashes(code, lang.as_py())
-                ok = (code != 0) & has(one, h)
-                if two is None:
-                    found = [runs(h, 2)[both(ok, 2)]]
-                else:
-                    near = both(ok, 2) & has(two, runs(h, 2))
-                    found = [runs(h, k)[both(near, k - 1)] for k in range(3, MAX_WORDS + 1)]
-                del h, ok
-                x, count = np.unique(np.concatenate(found), return_counts=True)
-                part = (x >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(x), np.int64)
-                here, first = np.unique(part, return_index=True)
-                ends = [*first[1:].tolist(), len(x)]
-                count = count.astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang.as_py()] * len(here), pa.string()), pa.array([shard.as_py()] * len(here), pa.int32()),
-                     pa.array([need.as_py()] * len(here), pa.int64()), pa.array([slack.as_py()] * len(here), pa.int64()),
-                     pa.array(here, pa.int32()),
-                     pa.array([x[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
-                     pa.array([count[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
-                    names=["lang", "shard", "need", "slack", "part", "hashes", "counts"])
+            for *key, raw in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+                key = tuple(key)
+                held.setdefault(key, []).append(np.frombuffer(raw, np.uint32))
+                size += len(raw) // 4
+                if sum(map(len, held[key])) >= ROW_WORDS or size >= 4 * ROW_WORDS:
+                    for k in [key] if size < 4 * ROW_WORDS else list(held):
+                        size -= sum(map(len, held[k]))
+                        yield flush(k)
+        for key in list(held):
+            yield flush(key)
     return run
 
 
@@ -341,10 +370,10 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.col(text_col).cast("string").alias("text"))
     chunk, chunk_at = land(texts.mapInArrow(_words(shards), WORDS), "phrase-words")
-    frequent = (chunk.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x"))
-                .groupBy("lang", F.col("x.words").alias("phrase")).agg(F.sum("x.counts").alias("f"))
-                .where(F.col("f") >= support))
+    frequent = (chunk.where("word is not null").groupBy("lang", F.col("word").alias("phrase"))
+                .agg(F.sum("f").alias("f")).where(F.col("f") >= support))
     frequent, _ = land(frequent, "phrase-frequent-words")
+    chunk = chunk.where("codes is not null")
     local, _ = land(chunk.groupBy("lang", "shard").agg(F.sum("n").alias("n_i")), "phrase-shards")
     sizes = local.groupBy("lang").agg(F.sum("n_i").alias("n"))
     need = local.join(sizes, "lang").select("lang", "shard", F.expr(
@@ -356,7 +385,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     single = sc.broadcast(bitmap(frequent.select("lang", "phrase").mapInArrow(_word_hashes, "h bigint")))
 
     words = sizes.agg(F.sum("n")).first()[0] or 0
-    bits = max(0, min(24, (words // (shards * PART_RUNS)).bit_length()))
+    bits = max(LEAST_BITS, min(24, (words // (shards * PART_RUNS)).bit_length()))
 
     def locally(pairs):
         counts = mined.mapInArrow(_mine(single, pairs, bits), COUNTED)
