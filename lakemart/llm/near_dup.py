@@ -18,7 +18,8 @@ Steps of ``near_duplicates``:
 4. in buckets that still hold several components, pairs *between* components are
    verified too, unless the counts that both share with the bucket's smallest node
    already rule the similarity out (an exact bound).  The full sets are compared
-   inside the join, so a bucket gives only its links and never its pairs.  Every
+   inside the join, so a bucket gives only its links and never its pairs, and a bucket
+   of more than ``BLOCK`` nodes is dealt over triangle cells, which are the join key.  Every
    candidate pair is therefore verified, excluded or already connected, and no link between different
    texts is lost that the bands retrieve.
 
@@ -40,10 +41,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from . import words as W
 from .components import components
-from .scratch import land
+from .scratch import drop, land, written
 from .set_join import common_counts
 
 BANDS, ROWS = 42, 6
@@ -52,6 +54,8 @@ BITS, AGREE = 128, 98
 PERCENT = 80
 #: candidate ids are broadcast up to this many (16 bytes each), joined by shuffle beyond
 BROADCAST_IDS = 1_000_000
+#: members of a bucket that are compared in one task with as many others
+BLOCK = 512
 U = np.uint64
 
 
@@ -166,22 +170,34 @@ def _sets_of(nodes: DataFrame, texts: DataFrame, classes: DataFrame, shingle: in
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: ``id, n_shingles, component_id, kept`` (see the
-    module docstring).  ``kept`` marks the row whose id is its component's."""
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    profile, _ = land(texts.mapInArrow(_profiles(shingle, bands, rows),
-                                       "id bigint, n bigint, s1 bigint, s2 bigint, "
-                                       "g1 bigint, g2 bigint, keys array<bigint>"), "profiles")
+    module docstring).  ``kept`` marks the row whose id is its component's.  What the
+    steps write is dropped, but for the two tables the result reads."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    with written() as paths:
+        out, needed = _near_duplicates(texts, shingle, percent, bands, rows)
+        for path in [p for p in paths if p not in needed]:
+            drop(spark, path)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"), "kept")
+
+
+def _near_duplicates(texts: DataFrame, shingle: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, list[str]]:
+    spark = texts.sparkSession
+    profile, _ = land(texts.mapInArrow(_profiles(shingle, bands, rows), StructType(
+        [StructField("id", texts.schema["id"].dataType), *[StructField(c, LongType()) for c in ("n", "s1", "s2", "g1", "g2")],
+         StructField("keys", ArrayType(LongType()))])), "profiles")
     linkable = profile.where("n > 0 and id is not null")
     classes, _ = land(linkable.groupBy("s1", "s2", "n").agg(F.min("id").alias("first"))
-                      .withColumn("node", F.xxhash64("s1", "s2", "n")), "classes")
+                                 .withColumn("node", F.xxhash64("s1", "s2", "n")), "classes")
 
-    entries = (linkable.join(classes, ["s1", "s2", "n"]).where("id = first")
-               .select("node", F.col("n").cast("int").alias("n"), "g1", "g2", F.explode("keys").alias("key")))
-    entries, _ = land(entries, "entries")
+    # one row per node with its keys; a smallest id may repeat its set
+    nodes, _ = land(linkable.join(classes, ["s1", "s2", "n"]).where("id = first")
+                    .select("node", F.col("n").cast("int").alias("n"), "g1", "g2", "keys").dropDuplicates(["node"]), "node-keys")
+    entries = nodes.select("node", "n", "g1", "g2", F.explode("keys").alias("key"))
     lead = F.min_by(F.struct("g1", "g2", "n"), "node")
     shared = (entries.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"), lead.alias("l"))
               .where("leader < last").select("key", "leader", F.col("l.g1").alias("l1"), F.col("l.g2").alias("l2"), F.col("l.n").alias("ln")))
-    members, _ = land(entries.join(shared, "key").distinct(), "members")
+    members, members_path = land(entries.join(shared, "key"), "members")
 
     texts = texts.where("id is not null")
     near = (_agree("g1", "g2", "l1", "l2")
@@ -197,38 +213,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivot = measured.groupBy(F.col("a").alias("leader"), F.col("b").alias("node")).agg(F.max("c").alias("i"))
     labelled = (members.join(first.select("node", "component"), "node", "left").join(pivot, ["leader", "node"], "left")
                 .select("key", "node", "n", "g1", "g2", F.coalesce("component", "node").alias("c"),
-                        F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.col("i")).alias("i")))
-    labelled, _ = land(labelled, "labelled")
-    mixed = (labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-             .where("lo < hi").select("key"))
+                        F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.col("i")).alias("met")))
+    labelled, labelled_path = land(labelled, "labelled")
+    drop(spark, members_path)
+    mixed = (labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size"))
+             .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
     rest, _ = land(labelled.join(mixed, "key"), "mixed")
-    x = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"),
-                    F.col("i").alias("ia"), F.col("g1").alias("a1"), F.col("g2").alias("a2"))
-    y = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"),
-                    F.col("i").alias("ib"), F.col("g1").alias("b1"), F.col("g2").alias("b2"))
+    drop(spark, labelled_path)
     # what two sets can share at most, from what each shares with the bucket's smallest node
     most = F.coalesce(F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")), F.least("na", "nb"))
     most = F.when(F.col("ia").isNull() | F.col("ib").isNull(), F.least("na", "nb")).otherwise(F.least(most, "na", "nb"))
     open_pair = ((F.col("ca") != F.col("cb")) & _agree("a1", "a2", "b1", "b2")
                  & (most * 100 >= (F.col("na") + F.col("nb") - most) * percent))
-    y = y.withColumnRenamed("key", "k")
-    open_, _ = land(x.join(y, (F.col("key") == F.col("k")) & open_pair, "left_semi"), "open")
-    sets = _sets_of(open_.select(F.col("a").alias("node")), texts, classes, shingle)
-    full = open_.join(sets.withColumnRenamed("node", "a"), "a")
-    full, _ = land(full.withColumnRenamed("set", "sa"), "open-sets")
-    other = full.select(F.col("key").alias("k"), *[F.col(f"{c}a").alias(f"{c}b") for c in ("n", "c", "i")], F.col("a").alias("b"),
-                        F.col("a1").alias("b1"), F.col("a2").alias("b2"), F.col("sa").alias("sb"))
-    shared = F.size(F.array_intersect("sa", "sb"))
+    meet = (F.col("key") == F.col("k")) & (F.col("x") == F.col("i")) & (F.col("y") == F.col("j"))
+    every = "sequence(0, blocks - 1)"
+    open_, open_path = land(_cells(rest, "a", every).join(_cells(rest, "b", every), meet & (F.col("a") != F.col("b")) & open_pair, "left_semi")
+                            .select("key", F.col("a").alias("node")).distinct(), "open")
+    sets = _sets_of(open_.select("node"), texts, classes, shingle)
+    full, full_path = land(rest.join(open_, ["key", "node"]).join(sets, "node"), "open-sets")
+    drop(spark, open_path)
+    shared = F.size(F.array_intersect("seta", "setb"))
     # the exact test is the join's last condition: only links leave a bucket, never its pairs
-    more = full.join(other, (F.col("key") == F.col("k")) & (F.col("a") < F.col("b")) & open_pair
-                     & (shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent)).select("a", "b").distinct()
-    final, _ = land(components(links.unionByName(more)), "components")
+    more = _cells(full, "a", "sequence(own, blocks - 1)", "set").join(
+        _cells(full, "b", "sequence(0, own)", "set"), meet & ((F.col("x") < F.col("y")) | (F.col("a") < F.col("b"))) & open_pair
+        & (shared * 100 >= (F.size("seta") + F.size("setb") - shared) * percent)).select("a", "b").distinct()
+    # the components so far stand for their links
+    known = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    final, _ = land(components(known.unionByName(more)), "components")
 
     named, _ = land(classes.join(final, "node", "left")
                     .select("s1", "s2", "n", "first", F.coalesce("component", "node").alias("g")), "named")
-    named = named.join(named.groupBy("g").agg(F.min("first").alias("c")), "g").select("s1", "s2", "n", "c")
-    rows_ = profile.join(named, ["s1", "s2", "n"], "left")
-    return rows_.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id"),
+    named, named_path = land(named.join(named.groupBy("g").agg(F.min("first").alias("c")), "g").select("s1", "s2", "n", "c"), "names")
+    slim, slim_path = land(profile.select("id", "n", "s1", "s2"), "rows")
+    out = slim.join(named, ["s1", "s2", "n"], "left").select(
+        "id", "n", F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("c"),
         F.coalesce(F.coalesce("c", "id") == F.col("id"), F.lit(True)).alias("kept"))
+    return out, [named_path, slim_path]
+
+
+def _cells(rows: DataFrame, end: str, others: str, *more: str) -> DataFrame:
+    """Members of the buckets as the ``a`` or ``b`` end of pairs, once per cell of their
+    block with the blocks of ``others``.  A bucket of up to ``BLOCK`` members is one
+    cell; a larger one spreads over its cells, which are the join key."""
+    own = rows.withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    own = own.withColumn("other", F.explode(F.expr(others)))
+    x, y = ("own", "other") if end == "a" else ("other", "own")
+    names = ("key", "x", "y") if end == "a" else ("k", "i", "j")
+    return own.select(F.col("key").alias(names[0]), F.col(x).alias(names[1]), F.col(y).alias(names[2]), F.col("node").alias(end),
+                      F.col("n").alias(f"n{end}"), F.col("c").alias(f"c{end}"), F.col("met").alias(f"i{end}"),
+                      F.col("g1").alias(f"{end}1"), F.col("g2").alias(f"{end}2"), *[F.col(m).alias(f"{m}{end}") for m in more])
