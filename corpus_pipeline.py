@@ -20,17 +20,22 @@ Stages 2 and 3 decide for every row by a landed row number, never by its id: row
 repeat an id, or have none, are judged by their own text.
 
 A null text stays until the last stage, where it is a document of one end id.
+
+What a stage writes on its way is dropped when the next stage is called in the
+session, so its result must be written by then.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.decontaminate import contamination
 from lakemart.llm.mixing import Mixture, mixed
 from lakemart.llm.near_dup import near_duplicates
-from lakemart.llm.scratch import land
+from lakemart.llm.scratch import drop, drop_unread, land, written
 from lakemart.llm.tables import fold, ship, table
 from lakemart.llm.token_files import token_table
 from lakemart.llm.toxicity import reject_toxic, train
@@ -40,8 +45,25 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
+_left: list[str] = []
+
+
+def _stage(fn):
+    """A stage that first drops what earlier stages wrote on their way (their results
+    are written tables by then, and folders that ``docs`` itself reads stay)."""
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        _left[:] = drop_unread(spark, _left, docs)
+        with written() as paths:
+            out = fn(spark, docs, sf_dir)
+            _left.extend(paths)
+        return out
+    return run_stage
+
+
+@_stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
     return reject_toxic(docs, train(docs, labels)).select(*COLUMNS)
 
@@ -51,15 +73,15 @@ def _keyed(docs: DataFrame, name: str) -> DataFrame:
     return land(docs.withColumn("row", F.monotonically_increasing_id()), name)[0]
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     docs = _keyed(docs.select(*COLUMNS), "near-dedup-rows")
     groups = near_duplicates(docs, id_col="row", shingle=5).select("row", "component_id")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
     stays = groups.join(docs.select("row", "doc_id"), "row").groupBy("component_id").agg(best).select("best.row")
     kept = docs.join(stays, "row", "left_semi")
     # texts without words link with nothing: of a repeated id's equal ones one stays
-    plain = kept.where("doc_id is not null and (text is null or not text rlike '[^ \\t-\\r]')")
+    plain = kept.where("doc_id is not null and (text is null or not text rlike '[^ \t-\r]')")
     again = (plain.groupBy("doc_id", "text").agg(F.min("row").alias("first"), F.max("row").alias("last"))
              .where("first < last").select(F.col("doc_id").alias("i"), F.col("text").alias("t"), "first"))
     copies = (plain.join(again, (F.col("doc_id") == F.col("i")) & F.col("text").eqNullSafe(F.col("t")))
@@ -67,20 +89,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.join(copies, "row", "left_anti").select(*COLUMNS)
 
 
+@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     docs = _keyed(docs.select(*COLUMNS), "decontaminate-rows")
     hit = (contamination(docs, table(spark, sf_dir, "benchmark"), id_col="row").where("contaminated").select("row"))
     return docs.join(hit, "row", "left_anti").select(*COLUMNS)
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     return mixed(docs, Mixture()).select(*COLUMNS)
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     return token_table(docs)
 
 
@@ -89,8 +111,12 @@ STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontaminate",
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage's result is a written table."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; every stage's result is a written table, dropped
+    once the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = land(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = land(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            drop(spark, before)
+        before = path
     return docs
