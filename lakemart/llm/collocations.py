@@ -19,7 +19,8 @@ those with at least ``support`` occurrences in their language.
    one bit of a bitmap of ``2 ** BITS`` bits (8 MB, whatever the data).  Equal hashes
    only add candidates.
 4. *Count.*  A second pass over the whole texts counts every phrase whose bit is set,
-   by its words; sums below ``support`` are left out.  So counts are exact.
+   by its words; counts leave a task packed by part of the hash and are summed part by
+   part, and sums below ``support`` are left out.  So counts are exact.
 5. *Score.*  Every cut of a candidate joins the counts of its two parts (each part is
    a frequent word or a candidate itself); candidates inside a longer one that has
    ``inside`` percent of their occurrences go.  Arithmetic is decimal, hence exact.
@@ -144,24 +145,23 @@ def _by_language(batches):
 
 
 class Tally:
-    """Counts of strings, merged when more than ``HELD_STRINGS`` are held."""
+    """Counts (and hashes) of strings, merged when more than ``HELD_STRINGS`` are held."""
 
     def __init__(self):
-        self.words, self.counts, self.held, self.merged = [], [], 0, 0
+        self.parts, self.held, self.merged = [], 0, 0
 
-    def add(self, words, counts):
-        self.words.append(words)
-        self.counts.append(pa.array(counts, pa.int64()))
+    def add(self, words, counts, hashes_=None):
+        h = pa.nulls(len(words), pa.uint64()) if hashes_ is None else pa.array(hashes_, pa.uint64())
+        self.parts.append(pa.table({"w": words, "c": pa.array(counts, pa.int64()), "h": h}))
         self.held += len(words)
         if self.held > 2 * max(self.merged, HELD_STRINGS):
             self.merge()
 
-    def merge(self):
-        t = pa.table({"w": pa.chunked_array(self.words, pa.string()), "c": pa.chunked_array(self.counts, pa.int64())})
-        t = t.group_by("w").aggregate([("c", "sum")])
-        self.words, self.counts = [t["w"].combine_chunks()], [t["c_sum"].combine_chunks()]
-        self.held = self.merged = len(t)
-        return self.words[0], self.counts[0]
+    def merge(self) -> pa.Table:
+        t = pa.concat_tables(self.parts).group_by("w").aggregate([("c", "sum"), ("h", "min")])
+        t = pa.table({"w": t["w"], "c": t["c_sum"], "h": t["h_min"]}).combine_chunks()
+        self.parts, self.held, self.merged = [t], len(t), len(t)
+        return t
 
 
 def _words(shards):
@@ -178,7 +178,8 @@ def _words(shards):
             ends = np.unique(np.append(breaks[np.maximum(np.searchsorted(breaks, ends, "right") - 1, 0)][:-1], len(code)))
             blobs = [code[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist())]
             blobs = [x for x in blobs if len(x)]
-            words, counts = tally.merge()
+            tally = tally.merge()
+            words, counts = (tally[x].combine_chunks() for x in "wc")
             k, m = len(blobs), len(words)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * k, pa.string()), pa.array([shard] * k, pa.int32()),
@@ -288,16 +289,26 @@ def _locally_frequent(table: pa.Table) -> pa.Table:
                      "slack": pa.array(np.full(len(x), table["slack"][0].as_py()), pa.int64())})
 
 
-def _count(single, pairs, longer):
-    """Occurrences of every phrase whose bit is set, by its words."""
+def _count(single, pairs, longer, bits):
+    """Occurrences of every phrase whose bit is set, by its words: one row per part, the
+    leading ``bits`` bits of the hash, with the phrases as lines and their counts."""
     def run(batches):
         one, two, more = single.value, pairs.value, longer.value
         held: dict[str, Tally] = {}
 
         def flush():
             for lang, tally in held.items():
-                words, counts = tally.merge()
-                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(words)), words, counts], names=["lang", "phrase", "f"])
+                t = tally.merge()
+                part = (t["h"].to_numpy() >> U(64 - bits)).astype(np.int32)
+                t = t.append_column("part", pa.array(part)).sort_by([("part", "ascending"), ("w", "ascending")])
+                here, first = np.unique(np.sort(part), return_index=True)
+                words, counts = t["w"].to_pylist(), t["c"].to_numpy()
+                ends, k = [*first[1:].tolist(), len(words)], len(here)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * k, pa.string()), pa.array(here, pa.int32()),
+                     pa.array(["\n".join(words[a:b]).encode() for a, b in zip(first, ends)], pa.binary()),
+                     pa.array([counts[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
+                    names=["lang", "part", "phrases", "counts"])
             held.clear()
 
         for lang, texts in _by_language(batches):
@@ -309,7 +320,9 @@ def _count(single, pairs, longer):
                 if n < k:
                     break
                 at = np.flatnonzero(both(ok, k) & both(join, k - 1))
-                at = at[has(two if k == 2 else more, runs(c.hash, k)[at])]
+                h = runs(c.hash, k)[at]
+                use = has(two if k == 2 else more, h)
+                at, h = at[use], h[use]
                 if not len(at):
                     continue
                 key = word[at]
@@ -317,13 +330,27 @@ def _count(single, pairs, longer):
                     key = np.unique(key * len(c.spelled) + word[at + j], return_inverse=True)[1]
                 first, count = np.unique(key, return_index=True, return_counts=True)[1:]
                 spelled = [c.spelled.take(pa.array(word[at[first] + j])) for j in range(k)]
-                held.setdefault(lang, Tally()).add(pc.binary_join_element_wise(*spelled, " "), count)
+                held.setdefault(lang, Tally()).add(pc.binary_join_element_wise(*spelled, " "), count, h[first])
             if sum(t.held for t in held.values()) > 4 * HELD_STRINGS:
                 yield from flush()
         yield from flush()
     return run
 
 
+PHRASES = "lang string, part int, phrases binary, counts binary"
+
+
+def _add_up(support):
+    def run(table: pa.Table) -> pa.Table:
+        """Phrases of one part of a language with at least ``support`` occurrences."""
+        words = pa.array(b"\n".join(table["phrases"].to_pylist()).split(b"\n"), pa.binary()).cast(pa.string())
+        counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.int64)
+        t = pa.table({"phrase": words, "f": counts}).group_by("phrase").aggregate([("f", "sum")])
+        t = t.filter(pc.greater_equal(t["f_sum"], support))
+        return pa.table({"lang": pa.array([table["lang"][0].as_py()] * len(t), pa.string()), "phrase": t["phrase"], "f": t["f_sum"]})
+    return run
+
+
 def bitmap(hashed: DataFrame) -> np.ndarray:
     """Bits of the low ``BITS`` bits of column ``h``: a fixed size for any input."""
     at = F.col("h").bitwiseAND(F.lit((1 << BITS) - 1))
@@ -396,8 +423,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
 
     pairs = locally(None)
     longer = locally(pairs)
-    counted = texts.mapInArrow(_count(single, pairs, longer), "lang string, phrase string, f bigint")
-    counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+    counted = (texts.mapInArrow(_count(single, pairs, longer, bits + 2), PHRASES)
+               .groupBy("lang", "part").applyInArrow(_add_up(support), "lang string, phrase string, f bigint"))
     candidates, _ = land(counted, "phrase-candidates")
     sizes, _ = land(sizes, "phrase-sizes")
     drop(spark, chunk_at)
