@@ -17,14 +17,14 @@ most ``W / 2`` words is looked for in windows of ``W`` words that start every
    of a template's shingles, a window must hold half of those it lacks (a version, say);
    if it lacks none (BSD-2 in BSD-3), a finding of the longer one covers the shorter at
    that place.  Notices of one name (up to ``-header``, ``-text``, ``-title``) do not
-   cover each other.  The SQL knows containment only, and so would name both.
+   cover each other.  The SQL states the same rules without bands.
 
 Everything is row-local up to the retrieved pairs, which are few; templates are
 literals, so nothing that grows with the data is broadcast.
 
 Defined results: a null or short text holds no license; a template of fewer than
-three words is refused; rows that repeat an id share their findings, and so do rows
-with a null id.
+three words is refused; every row is judged by its own text, whether its id repeats,
+is null, or neither: findings are joined by a landed row number.
 """
 
 from __future__ import annotations
@@ -199,10 +199,9 @@ def siblings(sets: Mapping[str, list], threshold: float) -> tuple[dict[str, list
     return marks, inside
 
 
-def license_hits(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, start, window, name, containment``: windows (first word, size) that hold
-    ``threshold`` or more of a template."""
+def _hits(docs: DataFrame, templates: Mapping[str, str], threshold: float, id_col: str,
+          text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(row and id of every input row, findings by row)."""
     spark = docs.sparkSession
     known = _template_table(spark, templates, threshold).cache()
     sets = {r["name"]: (r["window"], r["bands"], r["set"]) for r in known.collect()}   # the template list
@@ -212,76 +211,104 @@ def license_hits(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, thre
 
     def literal(values):
         return F.array(*[F.lit(v) for v in values]).cast("array<bigint>")
-    text = docs.select(F.col(id_col).alias("id"), shingles(words(F.col(text_col).cast("string"))).alias("h"))
-    # the few texts that are left are read once per window size
-    text, _ = land(text.where(F.arrays_overlap("h", literal(every))), "license-texts")
+    text = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+                       shingles(words(F.col(text_col).cast("string"))).alias("h"))
+    # all rows are numbered; the shingles of the few texts that are left are read once per window size
+    rows, _ = land(text.select("row", "id", F.when(F.arrays_overlap("h", literal(every)), F.col("h")).alias("h")), "license-texts")
+    text = rows.where("h is not null").select("row", "h")
     found = None
     for size in sorted({w for w, _, _ in sets.values()}):
         mine = {n: s for n, (w, _, s) in sets.items() if w == size}
         bands = max(b for w, b, _ in sets.values() if w == size)
         step = size // 2
-        windows = (text.select("id", "h", F.explode(F.sequence(
+        windows = (text.select("row", "h", F.explode(F.sequence(
                        F.lit(0), F.greatest(F.size("h") - 1, F.lit(0)), F.lit(step))).alias("start"))
-                   .select("id", "start", F.array_distinct(F.slice("h", F.col("start") + 1, size - SHINGLE + 1)).alias("w"))
+                   .select("row", "start", F.array_distinct(F.slice("h", F.col("start") + 1, size - SHINGLE + 1)).alias("w"))
                    .where(F.arrays_overlap("w", literal(sorted({h for s in mine.values() for h in s})))))
-        keyed = windows.select("id", "start", "w", F.posexplode(minhashes(F.col("w"), bands)).alias("band", "value"))
+        keyed = windows.select("row", "start", "w", F.posexplode(minhashes(F.col("w"), bands)).alias("band", "value"))
         wanted = (spark.createDataFrame([(n, s, marks[n]) for n, s in mine.items()],
                                         "name string, set array<bigint>, marks array<array<bigint>>")
                   .select("name", "set", "marks", F.posexplode(minhashes(F.col("set"), bands)).alias("band", "value")))
         told = F.forall("marks", lambda m: F.size(F.array_intersect("w", m)) * 2 >= F.size(m))
         near = (keyed.join(F.broadcast(wanted), ["band", "value"])          # bands x templates rows
                 .where(told)
-                .select("id", "start", F.lit(size).alias("window"), "name",
+                .select("row", "start", F.lit(size).alias("window"), "name",
                         (F.size(F.array_intersect("w", "set")) / F.size("set")).alias("containment"))
                 .where(F.col("containment") >= threshold))
         found = near if found is None else found.unionByName(near)
+    rows = rows.select("row", "id")
     found = found.distinct()
     if not inside:
-        return found
+        return rows, found
     found, _ = land(found, "license-hits")
     pairs = spark.createDataFrame(inside, "name string, other string")
-    longer = (found.select(F.col("id").alias("i"), F.col("start").alias("s"), F.col("window").alias("n"), F.col("name").alias("other"))
+    longer = (found.select(F.col("row").alias("i"), F.col("start").alias("s"), F.col("window").alias("n"), F.col("name").alias("other"))
               .join(F.broadcast(pairs.withColumnRenamed("name", "short")), "other").select("i", "s", "n", "short").distinct())
-    covered = (F.col("id").eqNullSafe(F.col("i")) & (F.col("name") == F.col("short"))
+    covered = ((F.col("row") == F.col("i")) & (F.col("name") == F.col("short"))
                & (F.col("start") < F.col("s") + F.col("n")) & (F.col("s") < F.col("start") + F.col("window")))
-    return found.join(longer, covered, "left_anti")
+    return rows, found.join(longer, covered, "left_anti")
+
+
+def license_hits(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, row, start, window, name, containment``: windows (first word, size) that
+    hold ``threshold`` or more of a template; ``row`` tells rows of one id apart."""
+    rows, found = _hits(docs, templates, threshold, id_col, text_col)
+    return rows.join(found, "row").select(F.col("id").alias(id_col), "row", "start", "window", "name", "containment")
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id, n_licenses, licenses`` (sorted, comma-joined) and
     ``containment`` (of the best, 0 without one)."""
-    hits = (license_hits(docs, templates, threshold, id_col, text_col).groupBy("id")
-            .agg(F.sort_array(F.collect_set("name")).alias("names"), F.max("containment").alias("best")))
-    left = docs.select(F.col(id_col))
-    joined = left.join(hits, left[id_col].eqNullSafe(hits["id"]), "left")
-    return joined.select(
-        left[id_col], F.coalesce(F.size("names"), F.lit(0)).cast("bigint").alias("n_licenses"),
+    rows, found = _hits(docs, templates, threshold, id_col, text_col)
+    hits = found.groupBy("row").agg(F.sort_array(F.collect_set("name")).alias("names"), F.max("containment").alias("best"))
+    return rows.join(hits, "row", "left").select(
+        F.col("id").alias(id_col), F.coalesce(F.size("names"), F.lit(0)).cast("bigint").alias("n_licenses"),
         F.coalesce(F.array_join("names", ","), F.lit("")).alias("licenses"),
         F.coalesce("best", F.lit(0.0)).alias("containment"))
 
 
 def oracle(templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The same answer as SQL: every window's containment, without bands."""
-    rows = []
+    """The same answer as SQL: every window's containment, without bands; a window must
+    hold half of each list of marks, and a longer template covers a shorter one."""
+    rows, sets = [], {}
     for size, (names, _) in groups(templates, threshold).items():
-        rows += [f"('{n}', {size}, '{' '.join(template_words(templates[n]))}')" for n in names]
+        for n in names:
+            ws = template_words(templates[n])
+            rows.append(f"('{n}', {size}, '{' '.join(ws)}')")
+            sets[n] = sorted({" ".join(ws[i:i + SHINGLE]) for i in range(len(ws) - SHINGLE + 1)})
+    marks, inside = siblings(sets, threshold)
+    marked = [f"('{n}', {k}, '{g}')" for n, lists in marks.items() for k, m in enumerate(lists) for g in m] or ["('', 0, '')"]
+    pairs = [f"('{a}', '{b}')" for a, b in inside] or ["('', '')"]
     return f"""
 WITH t AS (SELECT name, size, string_split(txt, ' ') AS ws FROM (VALUES {', '.join(rows)}) v(name, size, txt)),
 ts AS (SELECT DISTINCT name, size, array_to_string(ws[i:i + 2], ' ') AS g
        FROM (SELECT name, size, ws, unnest(range(1, len(ws) - 1)) AS i FROM t)),
 tn AS (SELECT name, count(*) AS n FROM ts GROUP BY name),
-w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SEPARATORS}'), lambda x: x <> '') AS ws
+mk AS (SELECT * FROM (VALUES {', '.join(marked)}) v(name, k, g)),
+mn AS (SELECT name, k, count(*) AS n FROM mk GROUP BY name, k),
+cv AS (SELECT * FROM (VALUES {', '.join(pairs)}) v(name, other)),
+w AS (SELECT row_number() OVER () AS r, doc_id,
+        list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SEPARATORS}'), lambda x: x <> '') AS ws
       FROM documents),
-d AS (SELECT doc_id, i - 1 AS p, array_to_string(ws[i:i + 2], ' ') AS g
-      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
-m AS (SELECT doc_id, p, d.g, name, size FROM d JOIN ts ON ts.g = d.g),
-h AS (SELECT doc_id, name, s, count(DISTINCT g) AS c
-      FROM (SELECT doc_id, name, g, p, size,
-                   unnest([p // (size // 2) * (size // 2), p // (size // 2) * (size // 2) - size // 2]) AS s FROM m)
-      WHERE s >= 0 AND p <= s + size - 3 GROUP BY doc_id, name, s),
-f AS (SELECT doc_id, h.name, max(c / n) AS best FROM h JOIN tn ON tn.name = h.name
-      WHERE c / n >= {threshold} GROUP BY doc_id, h.name),
-a AS (SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS l, max(best) AS b FROM f GROUP BY doc_id)
+d AS (SELECT r, i - 1 AS p, array_to_string(ws[i:i + 2], ' ') AS g
+      FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+m AS (SELECT r, p, d.g, name, size FROM d JOIN ts ON ts.g = d.g),
+h0 AS (SELECT DISTINCT r, name, size, s, g
+       FROM (SELECT r, name, g, p, size,
+                    unnest([p // (size // 2) * (size // 2), p // (size // 2) * (size // 2) - size // 2]) AS s FROM m)
+       WHERE s >= 0 AND p <= s + size - 3),
+h1 AS (SELECT r, h0.name, size, s, count(*) / max(n) AS best FROM h0 JOIN tn ON tn.name = h0.name
+       GROUP BY r, h0.name, size, s HAVING count(*) / max(n) >= {threshold}),
+hm AS (SELECT h0.r, h0.name, h0.s, mk.k, count(*) AS c FROM h0 JOIN mk ON mk.name = h0.name AND mk.g = h0.g GROUP BY ALL),
+bad AS (SELECT DISTINCT h1.r, h1.name, h1.s FROM h1 JOIN mn ON mn.name = h1.name
+        LEFT JOIN hm ON hm.r = h1.r AND hm.name = h1.name AND hm.s = h1.s AND hm.k = mn.k
+        WHERE 2 * coalesce(hm.c, 0) < mn.n),
+h2 AS (SELECT * FROM h1 ANTI JOIN bad ON bad.r = h1.r AND bad.name = h1.name AND bad.s = h1.s),
+lo AS (SELECT h2.r, cv.name, h2.s, h2.size FROM h2 JOIN cv ON cv.other = h2.name),
+h AS (SELECT * FROM h2 ANTI JOIN lo ON lo.r = h2.r AND lo.name = h2.name AND h2.s < lo.s + lo.size AND lo.s < h2.s + h2.size),
+f AS (SELECT r, name, max(best) AS best FROM h GROUP BY r, name),
+a AS (SELECT r, count(*) AS n, string_agg(name, ',' ORDER BY name) AS l, max(best) AS b FROM f GROUP BY r)
 SELECT w.doc_id, coalesce(n, 0) AS n_licenses, coalesce(l, '') AS licenses, coalesce(b, 0.0::DOUBLE) AS containment
-FROM w LEFT JOIN a ON a.doc_id = w.doc_id"""
+FROM w LEFT JOIN a ON a.r = w.r"""
