@@ -25,6 +25,7 @@ predicted each on its own; a null id is never trained on and not held out.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ from . import words as W
 DIM = 1 << 13
 ORDERS = (2, 3, 4)
 SAMPLE, LEAST = 2400, 8
-CHUNK = 512 << 10
+#: bytes and texts whose feature rows (32 KB each) are made at a time
+CHUNK, TEXTS = 512 << 10, 512
 AMBIGUOUS = 0.6
 LETTER = regex.compile(r"\p{L}")
 #: ASCII characters that are no letters become a space
@@ -45,6 +47,13 @@ LETTERS = W.byte_classes([c for c in range(128) if not chr(c).isalpha()])
 U = np.uint64
 
 
+def pieces(texts: list) -> Iterator[tuple[int, list[bytes]]]:
+    """Groups of texts bounded by bytes and by number."""
+    for start, part in W.chunks(texts, CHUNK):
+        for i in range(0, len(part), TEXTS):
+            yield start + i, part[i:i + TEXTS]
+
+
 def features(part: list[bytes]) -> np.ndarray:
     """(n, DIM) unit rows: square roots of hashed byte n-gram counts."""
     n = len(part)
@@ -147,7 +156,7 @@ def _clean(texts: list) -> list[str]:
 def _sample_features(batches):
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), _clean(batch.column(1).to_pylist())
-        for start, part in W.chunks(texts, CHUNK):
+        for start, part in pieces(texts):
             x = features(part)
             cells = [np.flatnonzero(r) for r in x]
             yield pa.RecordBatch.from_arrays(
@@ -158,11 +167,14 @@ def _sample_features(batches):
 
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample: int = SAMPLE) -> Model | None:
-    """Fit on about ``sample`` of the labelled ``rows`` (null labels and ids ignored)."""
+    """Fit on about ``sample`` of the labelled ``rows`` (null labels and ids ignored).
+
+    Rows are drawn by a hash of id and text, and rows of one draw count once: neither
+    an id nor a text that repeats without bound brings more than its share."""
     known = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    spread = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")), F.lit(1 << 30))
+    spread = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit("langid")), F.lit(1 << 30))
     narrow = known.select(F.col(lang_col).cast("string").alias("_l"), spread.alias("_h"))
-    first = (narrow.withColumn("_r", F.row_number().over(Window.partitionBy("_l").orderBy("_h")))
+    first = (narrow.withColumn("_r", F.dense_rank().over(Window.partitionBy("_l").orderBy("_h")))
              .where(F.col("_r") <= LEAST).groupBy("_l").agg(F.max("_h").alias("least")))     # LEAST rows a task and language
     counts = narrow.groupBy("_l").count().join(first, "_l").orderBy("_l").collect()          # the class list
     if not counts:
@@ -173,6 +185,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     picked = (known.select(F.col(lang_col).cast("string").alias("_l"), F.col(text_col).cast("string").alias("_x"),
                            spread.alias("_h"))
               .join(F.broadcast(rate), "_l").where("_h < _t"))   # one row a language
+    picked = picked.groupBy("_l", "_h").agg(F.min("_x").alias("_x"))                          # the rows of one draw
     got = picked.select("_l", "_x").mapInArrow(_sample_features, "lang string, cell array<smallint>, "
                                                "value array<float>").toArrow()
     if not got.num_rows:
@@ -195,7 +208,7 @@ def _predict(shared):
             texts = _clean(batch.column(1).to_pylist())
             lang: list[str] = []
             score, unsure = [], []
-            for _, part in W.chunks(texts, CHUNK):
+            for _, part in pieces(texts):
                 at = len(lang)
                 has = [LETTER.search(t) is not None for t in texts[at:at + len(part)]]
                 if model is None:
