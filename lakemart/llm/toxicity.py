@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 # Insult lexicons (lower case, whole words).
 LEXICONS = {
@@ -271,15 +272,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "toxic", sample: int = SAMPLE):
     """Fit on a bounded sample of the labelled documents."""
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-             .groupBy(F.col(id_col).cast("bigint").alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("_y")))
+             .groupBy(F.col(id_col).cast("string").alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("_y")))
     count = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     if not count.get(0) or not count.get(1):
         return LexiconModel()
     rate = {y: int(min(1.0, sample / c) * (1 << 30)) for y, c in count.items()}
-    draw = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("toxic")), F.lit(1 << 30))
+    draw = F.pmod(F.xxhash64("_id", F.lit("toxic")), F.lit(1 << 30))
     picked = known.where(draw < F.when(F.col("_y") == 1, rate[1]).otherwise(rate[0]))
-    texts = (docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_x"))
-             .join(F.broadcast(picked), "_id")               # about 2 * sample ids
+    # about 2 * sample ids, and one text of each, however many rows repeat the id
+    texts = (docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).cast("string").alias("_x"))
+             .join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min_by("_x", F.xxhash64("_x")).alias("_x"))
              .select("_y", "_x"))
     from .scratch import land
     texts, _ = land(texts, "toxic-sample")
@@ -311,8 +313,9 @@ def _score(shared):
 def score_documents(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return (docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(_score(shared), "id bigint, score double").withColumnRenamed("id", id_col))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    shape = StructType([rows.schema["id"], StructField("score", DoubleType())])
+    return rows.mapInArrow(_score(shared), shape).withColumnRenamed("id", id_col)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
