@@ -6,9 +6,10 @@ characters.  An item gives every window of ``n`` consecutive words; an item of
 fewer words, but not none, is one window of its own length.
 
 The hash set is broadcast only while it holds at most ``max_windows`` windows
-(about 100 bytes each).  A larger benchmark is scanned by a shuffle join instead:
-window hashes of documents meet window hashes of items by key, with the same
-verification, so the result does not depend on the size.
+(about 700 bytes each in a worker, so 210 MB).  A larger benchmark is scanned by a
+shuffle join instead: window hashes of documents meet window hashes of items by key,
+with the same verification, so neither the findings nor the removal of spans depends
+on the size.
 
 Defined results: a null or word-less text has no words and no hits; a null or
 word-less item never occurs.  Repeated items count once by ``item_id``; rows that
@@ -19,18 +20,18 @@ an item with an empty name.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from . import words as W
 
 WINDOW = 10
-MAX_WINDOWS = 2_000_000
+MAX_WINDOWS = 300_000
 FILTER_BITS = 20
 
 
@@ -84,21 +85,21 @@ def window_text(words: W.Words, i: int, k: int) -> bytes:
     return b" ".join(words.data[words.begin[i]:words.end[i + k - 1]].split())
 
 
-def _row(words: W.Words, t: int, spans: list[tuple[int, int]], items: set[str]):
-    """Digest of one text: words, hit words, items, their checksum, merged spans."""
-    covered, merged = 0, []
+def _digest(spans: Iterable[tuple[int, int]], items: set[str]):
+    """(hit words, items, their checksum, merged spans) of one text, by a sorted walk."""
+    merged: list[list[int]] = []
     for a, b in sorted(spans):
         if merged and a <= merged[-1][1]:
             merged[-1][1] = max(merged[-1][1], b)
         else:
             merged.append([a, b])
-    covered = sum(b - a for a, b in merged)
     digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-    return int(words.count[t]), covered, len(items), digest, [f"{a}:{b}" for a, b in merged]
+    return sum(b - a for a, b in merged), len(items), digest, [f"{a}:{b}" for a, b in merged]
 
 
-SCHEMA = ("id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
-          "spans array<string>")
+def _schema(docs: DataFrame) -> StructType:
+    return StructType([docs.schema["id"], *[StructField(c, LongType()) for c in ("n_words", "n_hit", "n_items")],
+                       StructField("items_sha256", StringType()), StructField("spans", ArrayType(StringType()))])
 
 
 def _scan(broadcast):
@@ -115,7 +116,7 @@ def _scan(broadcast):
                     a = i - int(words.first[t])
                     spans.setdefault(t, []).append((a, a + k))
                     items.setdefault(t, set()).update(known.items[w])
-                rows = [_row(words, t, spans.get(t, ()), items.get(t, set())) for t in range(len(part))]
+                rows = [(int(words.count[t]), *_digest(spans.get(t, ()), items.get(t, set()))) for t in range(len(part))]
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(start, len(part)), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
@@ -159,34 +160,43 @@ def _count(batches):
 def _scan_by_join(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
     """The same digest without a broadcast (for benchmarks beyond the bound)."""
     from .scratch import land
-    docs = docs.withColumn("row", F.monotonically_increasing_id())
-    docs, _ = land(docs, "decontaminate")       # fixes the row numbers
+    docs, _ = land(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate")    # fixes the row numbers
     texts = docs.select("row", "text")
     shape = "first int, k int, h bigint, w binary"
     lengths = list(range(1, n + 1))
     known = (items.select("item", "text")
              .mapInArrow(_windows(lengths, n, True), f"row string, {shape}")
-             .select("k", "h", "w", F.col("row").alias("item")).distinct())
+             .groupBy("k", "h", "w").agg(F.collect_set("row").alias("its")))     # a window many items share is one row
+    known, _ = land(known, "decontaminate-windows")
     used = [r.k for r in known.select("k").distinct().collect()]     # at most n lengths
     if not used:
         used = [n]
     found = (texts.mapInArrow(_windows(used, n, False), f"row bigint, {shape}")
-             .join(known, ["k", "h", "w"]).select("row", "first", "k", "item"))
-    hit = (found.select("row", F.explode(F.sequence("first", F.expr("first + k - 1"))).alias("p")).distinct()
-           .groupBy("row").agg(F.count(F.lit(1)).alias("n_hit"), F.sort_array(F.collect_list("p")).alias("ps")))
-    named = (found.select("row", "item").distinct().groupBy("row")
-             .agg(F.count(F.lit(1)).alias("n_items"), F.sort_array(F.collect_list("item")).alias("its")))
-    starts = F.filter("ps", lambda x: ~F.array_contains("ps", x - 1))
-    ends = F.filter("ps", lambda x: ~F.array_contains("ps", x + 1))
-    spans = F.zip_with(starts, ends, lambda a, b: F.concat_ws(":", a.cast("string"), (b + 1).cast("string")))
+             .join(known, ["k", "h", "w"]).select("row", "first", "k", "its"))
+    digests = found.groupBy("row").agg(F.collect_list(F.struct("first", "k", "its")).alias("hits")).mapInArrow(
+        _digests, "row bigint, n_hit bigint, n_items bigint, items_sha256 string, spans array<string>")
+    nothing = F.lit(hashlib.sha256(b"").hexdigest())
     return (docs.select("row", "id")
             .join(texts.mapInArrow(_count, "row bigint, n_words bigint"), "row")
-            .join(hit, "row", "left").join(named, "row", "left")
+            .join(digests, "row", "left")
             .select("id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
                     F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
-                    F.sha2(F.concat_ws(",", F.coalesce("its", F.array().cast("array<string>"))), 256)
-                    .alias("items_sha256"),
-                    F.coalesce(spans, F.array().cast("array<string>")).alias("spans")))
+                    F.coalesce("items_sha256", nothing).alias("items_sha256"),
+                    F.coalesce("spans", F.array().cast("array<string>")).alias("spans"), "row"))
+
+
+def _digests(batches):
+    """A row's hits (at most as many as the text has words, times window lengths)."""
+    for batch in batches:
+        rows = []
+        for hits in batch.column(1).to_pylist():
+            spans = [(x["first"], x["first"] + x["k"]) for x in hits]
+            named = {i for x in hits for i in x["its"]}
+            rows.append(_digest(spans, named))
+        cols = list(zip(*rows)) or [()] * 4
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
+             pa.array(cols[3], pa.list_(pa.string()))], names=["row", "n_hit", "n_items", "items_sha256", "spans"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_windows: int = MAX_WINDOWS,
@@ -194,7 +204,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_wi
                   item_text: str = "text") -> DataFrame:
     """One row per document row: ``id, n_words, n_hit, n_items, items_sha256,
     contaminated, spans`` (word ranges ``first:end`` of the hit runs)."""
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                              F.col(item_text).cast("string").alias("text"))
     # an upper bound of the number of windows, from the lengths alone
@@ -202,57 +212,45 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_wi
     if size <= max_windows:
         known = WindowSet([(r.item, r.text) for r in items.toLocalIterator()], n)
         shared = docs.sparkSession.sparkContext.broadcast(known)
-        out = texts.mapInArrow(_scan(shared), SCHEMA)
+        out = texts.mapInArrow(_scan(shared), _schema(texts))
     else:
-        out = _scan_by_join(texts, items, n)
+        out = _scan_by_join(texts, items, n).drop("row")
     return out.select(F.col("id").alias(id_col), "n_words", "n_hit", "n_items", "items_sha256",
                       (F.col("n_hit") > 0).alias("contaminated"), "spans")
 
 
-def _erase(n: int, broadcast):
-    def run(batches):
-        known = broadcast.value
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            out: list[str | None] = []
-            for start, part in W.chunks(texts):
-                words = W.Words(part, W.BY_ALNUM)
-                cuts: dict[int, list] = {}
-                for i, k, _ in known.hits(words):
-                    t = int(words.doc[i])
-                    o = int(words.offset[t])
-                    cuts.setdefault(t, []).append((int(words.begin[i]) - o, int(words.end[i + k - 1]) - o))
-                for t, raw in enumerate(part):
-                    if t not in cuts:
-                        out.append(texts[start + t])
-                        continue
-                    kept, at = [], 0
-                    for a, b in sorted(cuts[t]):
-                        kept.append(raw[at:max(at, a)])
-                        at = max(at, b)
-                    out.append((b"".join(kept) + raw[at:]).decode("utf-8"))
-            yield pa.array(out, pa.string())
-    return run
+def _erase(batches):
+    """(row columns, text, spans) -> text without the words of its spans."""
+    for batch in batches:
+        texts, out = batch.column(0).to_pylist(), []
+        for text, spans in zip(texts, batch.column(1).to_pylist()):
+            if not spans:
+                out.append(text)
+                continue
+            raw = text.encode("utf-8", "replace")
+            words = W.Words([raw], W.BY_ALNUM)
+            kept, at = [], 0
+            for a, b in (map(int, s.split(":")) for s in spans):
+                kept.append(raw[at:words.begin[a]])
+                at = int(words.end[b - 1])
+            out.append((b"".join(kept) + raw[at:]).decode("utf-8"))
+        yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(out, pa.string())], names=["row", "cut"])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_windows: int = MAX_WINDOWS,
                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``docs`` with every hit run cut out of the text (other columns unchanged).
-    Needs a benchmark within the broadcast bound."""
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
-                             F.col(item_text).cast("string").alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.length("text") + 1), F.lit(0))).first()[0] // 2
-    if size > max_windows:
-        raise ValueError("the benchmark is beyond max_windows; drop whole documents by contamination() instead")
-    shared = docs.sparkSession.sparkContext.broadcast(
-        WindowSet([(r.item, r.text) for r in items.toLocalIterator()], n))
-    return docs.withColumn(text_col, _erase_udf(n, shared)(F.col(text_col)))
-
-
-def _erase_udf(n: int, shared):
-    @F.pandas_udf("string")
-    def erase(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        batches = (pa.RecordBatch.from_arrays([pa.array(s.tolist(), pa.string())], names=["t"]) for s in parts)
-        for out in _erase(n, shared)(batches):
-            yield pd.Series(out.to_pylist(), dtype=object)
-    return erase
+    """``docs`` with every hit run cut out of the text (other columns and their order
+    unchanged), for a benchmark of any size.  Rows are numbered in a landed table, and
+    only rows with a hit are joined with their spans and rewritten."""
+    from .scratch import land
+    # the input's columns go along as one value, whatever their names
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), F.monotonically_increasing_id().alias("row"))
+    rows, _ = land(kept, "decontaminate-rows")
+    texts = rows.select("row", F.col("all").getField(text_col).cast("string").alias("text"))
+    hit = (contamination(texts, benchmark, n, max_windows, "row", "text", item_col, item_text)
+           .where("contaminated").select("row", "spans"))
+    cut = texts.join(hit, "row").select("text", "spans", "row").mapInArrow(_erase, "row bigint, cut string")
+    kind = docs.schema[text_col].dataType
+    joined = rows.join(cut, "row", "left")
+    return joined.select(*[F.coalesce(F.col("cut").cast(kind), F.col("all").getField(c)).alias(c) if c == text_col
+                           else F.col("all").getField(c).alias(c) for c in docs.columns])
