@@ -114,7 +114,7 @@ def plan(docs: DataFrame, mix: Mixture = Mixture(), id_col: str = "doc_id", text
     Sources: ``s, tokens, weight, budget, rounds, end_block, end_doc, end_id`` where the last
     three name the first place of the permutation that the last round leaves out
     (null: all places).  Documents: ``id, s, n, block, place``."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), _source(source_col).alias("s"),
+    rows = docs.select(F.col(id_col).alias("id"), _source(source_col).alias("s"),
                        n_tokens(F.col(text_col).cast("string")).alias("n"))
     rows, _ = land(rows, "mix-rows")
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -182,7 +182,7 @@ def mixed(docs: DataFrame, mix: Mixture = Mixture(), id_col: str = "doc_id", tex
     """``docs`` with every row repeated as often as the mixture reads it (same columns)."""
     sources, _ = plan(docs, mix, id_col, text_col, source_col)
     block, place = _keys(mix, F.col("id"), F.col("s"), F.col("tokens"))
-    row = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).cast("bigint").alias("id"),
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("id"),
                       _source(source_col).alias("s"))
     out = _with_source(row, sources).withColumn("block", block).withColumn("place", place)
     return (out.where(_copies() > 0).select("_row", F.explode(F.array_repeat(F.lit(0), _copies().cast("int"))))

@@ -96,7 +96,8 @@ def read_ledger(spark: SparkSession, path: str, rules: str) -> DataFrame | None:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+    scanned = jvm.org.apache.hadoop.fs.Path(p, f"rules={rules}")        # written by the first scan under the version
+    if not fs.exists(scanned):
         return None
     return (spark.read.schema(f"{LEDGER}, rules string").parquet(path)
             .where(F.col("rules") == rules).drop("rules").dropDuplicates(["blob"]))
