@@ -9,8 +9,9 @@ that is pasted into different surroundings fall into the same units everywhere.
    unit's normalised words, so equal paragraphs are one node from here on;
 2. paragraphs of ``NEAR_WORDS`` words or more get MinHash band keys over their
    distinct 5-word shingles.  ``BANDS`` bands of ``ROWS`` rows are tuned for recall: a pair
-   of Jaccard similarity 0.8 misses all of them with probability 0.002.  In every
-   shared bucket each node is paired with the smallest one;
+   of Jaccard similarity 0.8 misses all of them with probability 4e-5.  One pass finds the
+   keys that two nodes have (``_shared_keys``), a second lands the entries of those keys
+   alone.  In every shared bucket each node is paired with the smallest one;
 3. pairs are verified by exact Jaccard similarity of the full shingle sets, and
    links are contracted to components.  Nodes of buckets that still hold several
    components are then joined exactly by their rarest shingles (prefix filter),
@@ -26,12 +27,22 @@ that is pasted into different surroundings fall into the same units everywhere.
    windows join to passages.  Words that no unit row already reports give rows without
    a ``unit``.  A word is a repeat to cut if any row that is not ``kept`` holds it.
 
+What two nodes or documents share (keys, marks) is found by packed 8-byte entries, at
+most two per key and 2^20 entries of a task, so a hot key stays small; it comes back as
+a bitmap of fixed size, where an equal hash only adds a candidate that a later exact
+step drops.
+
 Hot paragraphs are one narrow row per occurrence; counts and minima are taken with
 map-side aggregation, and joins back to occurrences are on a unique key, which the
 adaptive skew join splits.
 
-Defined results: null and empty texts have no units; rows that repeat an id count
-as one document (their units are numbered alike and merge); null ids are ignored.
+A document is a distinct (id, text): ``d`` and ``h``, the id and a hash of the text whose
+last bit says that the id is null.  (An id that is no integer goes into ``h`` as well.)
+
+Defined results: null and empty texts have no units; rows that repeat id and text count
+as one document, rows of one id with other texts as others, and so do rows with a null
+id; ``n_docs`` is the exact number of documents that hold the component or passage; ids
+keep their type; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,19 +51,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from . import words as W
+from .collocations import bitmap, has
 from .components import components
-from .scratch import drop, land
+from .scratch import drop, land, written
 from .set_join import prefix_pairs, verified
 
 MIN_WORDS, NEAR_WORDS, RUN_WORDS = 4, 12, 30
 PASSAGE, SEED = 51, 25          # a passage window is two seeds and a word
-BANDS, ROWS, SHINGLE = 6, 2, 5
+BANDS, ROWS, SHINGLE = 10, 2, 5
 PERCENT = 80
-BROADCAST_NODES = 2_000_000
-#: marked places (4 bytes each) are broadcast up to this many, joined by shuffle beyond
-BROADCAST_PLACES = 2_000_000
+#: packed entries of a task and of a part, and the least number of bits parts are cut by
+TASK_ENTRIES, PART_ENTRIES, LEAST_BITS = 1 << 20, 1 << 21, 4
 U = np.uint64
 _STOPS = np.zeros(256, bool)
 _STOPS[[0x2E, 0x21, 0x3F]] = True
@@ -106,67 +118,144 @@ class Units:
 
 def _units(batches):
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for start, part in W.chunks(texts):
+        for start, part in W.chunks(batch.column(2).to_pylist()):
             u = Units(part)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(start, len(part)).take(pa.array(u.doc)), pa.array(u.unit.astype(np.int32)),
+                [*_owners(batch, start, u.doc), pa.array(u.unit.astype(np.int32)),
                  pa.array(u.first.astype(np.int32)), pa.array(u.size.astype(np.int32)), pa.array(u.hash.view(np.int64))],
-                names=["id", "unit", "first", "words", "node"])
+                names=["d", "h", "unit", "first", "words", "node"])
+
+
+def _owners(batch, start: int, doc: np.ndarray) -> list:
+    """``d`` and ``h`` of the chunk's texts that begins at ``start``, by number."""
+    at = pa.array(start + doc)
+    return [batch.column(0).take(at), batch.column(1).take(at)]
+
+
+def _bands(u: Units, bands: int, rows: int, seeds: np.ndarray):
+    """(keys by band, node, distinct shingles) of the distinct paragraphs of a chunk."""
+    _, once = np.unique(u.hash, return_index=True)
+    which = np.sort(once[u.size[once] >= NEAR_WORDS])
+    if not len(which):
+        return np.zeros((bands, 0), U), np.zeros(0, U), np.zeros(0, np.int32)
+    owner, h = u.sets(which)
+    starts = np.searchsorted(owner, np.arange(len(which)))
+    order = np.lexsort((h, owner))
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[order][1:] != h[order][:-1]) | (owner[1:] != owner[:-1])     # owner is sorted
+    n = np.bincount(owner[fresh], minlength=len(which)).astype(np.int32)
+    keys = np.zeros((bands, len(which)), U)
+    with np.errstate(over="ignore"):
+        for b in range(bands):
+            for r in range(rows):
+                low = np.minimum.reduceat(W.mix(h ^ seeds[b * rows + r]), starts)
+                keys[b] = W.mix(keys[b] * U(31) + low)
+            keys[b] = W.mix(keys[b] + U(b))
+    return keys, u.hash[which], n
+
+
+def short(key: np.ndarray, bits: int) -> np.ndarray:
+    """The 32 bits of a key behind its part's ``bits``."""
+    return (key << U(bits)) >> U(32)
+
+
+def _two_each(key: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted (key, code) with the smallest and, if another, the largest code of each
+    key, and which keys have two."""
+    order = np.lexsort((code, key))
+    key, code = key[order], code[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    last = np.append(first[1:], len(key))[:len(first)] - 1
+    two = code[first] != code[last]
+    at = np.sort(np.concatenate((first, last[two])))
+    return key[at], code[at], key[first[two]]
+
+
+class Packed:
+    """Entries (64-bit key, 32-bit code of its holder) of a task, packed by part."""
+
+    def __init__(self, bits: int):
+        self.bits, self.keys, self.codes, self.held = bits, [], [], 0
+
+    def add(self, key: np.ndarray, code: np.ndarray):
+        self.keys.append(key)
+        self.codes.append(code)
+        self.held += len(key)
+        if self.held >= TASK_ENTRIES:
+            yield from self.flush()
+
+    def flush(self):
+        if not self.held:
+            return
+        key, code, _ = _two_each(np.concatenate(self.keys), np.concatenate(self.codes))
+        here, first = np.unique((key >> U(64 - self.bits)).astype(np.int32), return_index=True)
+        ends, k = [*first[1:].tolist(), len(key)], short(key, self.bits).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(here, pa.int32()), pa.array([k[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+             pa.array([code[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())], names=["part", "keys", "codes"])
+        self.keys, self.codes, self.held = [], [], 0
+
+
+def _shared_in_part(table: pa.Table) -> pa.Table:
+    """Keys of one part that two holders have."""
+    key, code = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint32) for c in ("keys", "codes"))
+    return pa.table({"h": pa.array(_two_each(key, code)[2].astype(np.int64))})
+
+
+def _shared_keys(entries: DataFrame):
+    """Broadcast bitmap of the keys that two holders have (tested by ``short``)."""
+    found = entries.groupBy("part").applyInArrow(_shared_in_part, "h bigint")
+    return entries.sparkSession.sparkContext.broadcast(bitmap(found))
+
+
+def _code(x: np.ndarray) -> np.ndarray:
+    return (W.mix(x) >> U(32)).astype(np.uint32)
+
+
+def _band_keys(bands: int, rows: int, bits: int):
+    seeds = W.stream(404, bands * rows)
+
+    def run(batches):
+        packed = Packed(bits)
+        for batch in batches:
+            for _, part in W.chunks(batch.column(0).to_pylist()):
+                keys, node, _ = _bands(Units(part), bands, rows, seeds)
+                yield from packed.add(keys.ravel(), np.tile(_code(node), bands))
+        yield from packed.flush()
+    return run
 
 
-def _band_entries(bands: int, rows: int):
+def _band_entries(bands: int, rows: int, bits: int, shared):
     seeds = W.stream(404, bands * rows)
 
     def run(batches):
         for batch in batches:
             for _, part in W.chunks(batch.column(0).to_pylist()):
-                u = Units(part)
-                _, once = np.unique(u.hash, return_index=True)
-                which = np.sort(once[u.size[once] >= NEAR_WORDS])
-                if not len(which):
-                    continue
-                owner, h = u.sets(which)
-                starts = np.searchsorted(owner, np.arange(len(which)))
-                order = np.lexsort((h, owner))
-                fresh = np.ones(len(h), bool)
-                fresh[1:] = (h[order][1:] != h[order][:-1]) | (owner[1:] != owner[:-1])     # owner is sorted
-                n = pa.array(np.bincount(owner[fresh], minlength=len(which)).astype(np.int32))
-                with np.errstate(over="ignore"):
-                    for b in range(bands):
-                        key = np.zeros(len(which), U)
-                        for r in range(rows):
-                            low = np.minimum.reduceat(W.mix(h ^ seeds[b * rows + r]), starts)
-                            key = W.mix(key * U(31) + low)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(W.mix(key + U(b)).view(np.int64)), pa.array(u.hash[which].view(np.int64)), n],
-                            names=["key", "node", "n"])
+                keys, node, n = _bands(Units(part), bands, rows, seeds)
+                band, at = np.nonzero(has(shared.value, short(keys, bits)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[band, at].view(np.int64)), pa.array(node[at].view(np.int64)), pa.array(n[at])],
+                    names=["key", "node", "n"])
     return run
 
 
-def _node_sets(shared):
+def _node_sets(wanted):
     def run(batches):
-        wanted = shared.value if shared is not None else None
-        seen: set[int] = set()          # of this task: bounded by the wanted nodes
+        seen: set[int] = set()          # of this task: at most the nodes of its texts
         for batch in batches:
             for _, part in W.chunks(batch.column(0).to_pylist()):
                 u = Units(part)
-                h, once = np.unique(u.hash.view(np.int64), return_index=True)
-                use = u.size[once] >= NEAR_WORDS
-                if wanted is not None and len(wanted):
-                    use &= wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
-                elif wanted is not None:
-                    use[:] = False
-                if shared is not None:
-                    use &= np.array([x not in seen for x in h.tolist()], bool)
-                    seen.update(h[use].tolist())
+                h, once = np.unique(u.hash, return_index=True)
+                use = (u.size[once] >= NEAR_WORDS) & has(wanted.value, h)
+                use &= np.array([x not in seen for x in h.tolist()], bool)
+                seen.update(h[use].tolist())
                 which = once[use]
                 if not len(which):
                     continue
                 owner, s = u.sets(which)
                 starts = np.searchsorted(owner, np.arange(len(which) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[use]), pa.ListArray.from_arrays(pa.array(starts), pa.array(s.view(np.int64)))],
+                    [pa.array(h[use].view(np.int64)), pa.ListArray.from_arrays(pa.array(starts), pa.array(s.view(np.int64)))],
                     names=["node", "set"])
     return run
 
@@ -179,52 +268,62 @@ def _slide(values: np.ndarray, n: int, best) -> np.ndarray:
     return best(values[:len(values) - (n - width)], values[n - width:])
 
 
-def _marks(batches):
+def marks(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the marks of a chunk's texts: in every run of
+    ``PASSAGE`` words the ``SEED``-word window of the smallest hash."""
     span = PASSAGE - SEED + 1
-    for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for start, part in W.chunks(texts):
-            words = W.Words(part, W.BY_ALNUM)
-            at, h = words.windows(SEED)
-            if len(at) < span:
-                continue
-            low = _slide(h, span, np.minimum)
-            doc = words.doc[at]
-            low[doc[:len(low)] != doc[span - 1:]] = 0               # crosses a text's end
-            edge = np.zeros(span - 1, U)
-            use = np.flatnonzero(_slide(np.concatenate((edge, low, edge)), span, np.maximum) == h)
-            doc = doc[use]
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(start, len(part)).take(pa.array(doc)), pa.array((at[use] - words.first[doc]).astype(np.int32)),
-                 pa.array(h[use].view(np.int64))], names=["id", "first", "mark"])
+    at, h = words.windows(SEED)
+    if len(at) < span:
+        return np.zeros(0, np.int64), np.zeros(0, U)
+    low = _slide(h, span, np.minimum)
+    doc = words.doc[at]
+    low[doc[:len(low)] != doc[span - 1:]] = 0               # crosses a text's end
+    edge = np.zeros(span - 1, U)
+    use = np.flatnonzero(_slide(np.concatenate((edge, low, edge)), span, np.maximum) == h)
+    return at[use], h[use]
+
+
+def _mark_keys(bits: int):
+    def run(batches):
+        packed = Packed(bits)
+        for batch in batches:
+            with np.errstate(over="ignore"):
+                code = _code(W.mix(batch.column(0).to_numpy().view(U)) * U(31) + batch.column(1).to_numpy().view(U))
+            for start, part in W.chunks(batch.column(2).to_pylist()):
+                words = W.Words(part, W.BY_ALNUM)
+                at, h = marks(words)
+                yield from packed.add(h, code[start + words.doc[at]])
+        yield from packed.flush()
+    return run
 
 
-def _passage_windows(batches):
-    for batch in batches:
-        ids, texts, marks = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
-        for start, part in W.chunks(texts):
-            words = W.Words(part, W.BY_ALNUM)
-            mine = marks.slice(start, len(part))
-            p = mine.flatten().to_numpy().astype(np.int64)
-            t = np.repeat(np.arange(len(part)), mine.value_lengths().to_numpy())
-            t, p = t[p < words.count[t]], p[p < words.count[t]]     # of another text of the id
-            n = len(words) + 1
-            opens = np.bincount(words.first[t] + np.maximum(p - (PASSAGE - SEED), 0), minlength=n)
-            near = np.cumsum(opens - np.bincount(words.first[t] + p + 1, minlength=n))[:-1] > 0
-            i = np.flatnonzero(near[:max(len(words) - PASSAGE + 1, 0)])
-            i = i[words.doc[i] == words.doc[i + PASSAGE - 1]]
-            if not len(i):
-                continue
-            at, h = words.windows(SEED)
-            seed = np.zeros(len(words), U)
-            seed[at] = h
-            weight = W.stream(51, 3) | U(1)
-            with np.errstate(over="ignore"):
-                node = W.mix(seed[i] * weight[0] + seed[i + SEED] * weight[1] + words.hash[i + 2 * SEED] * weight[2])
-            doc = words.doc[i]
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(start, len(part)).take(pa.array(doc)), pa.array((i - words.first[doc]).astype(np.int32)),
-                 pa.array(node.view(np.int64))], names=["id", "first", "node"])
+def _passage_windows(bits: int, shared):
+    def run(batches):
+        for batch in batches:
+            for start, part in W.chunks(batch.column(2).to_pylist()):
+                words = W.Words(part, W.BY_ALNUM)
+                p, h = marks(words)
+                p = p[has(shared.value, short(h, bits))]
+                if not len(p):
+                    continue
+                n = len(words) + 1
+                opens = np.bincount(np.maximum(p - (PASSAGE - SEED), words.first[words.doc[p]]), minlength=n)
+                near = np.cumsum(opens - np.bincount(p + 1, minlength=n))[:-1] > 0
+                i = np.flatnonzero(near[:max(len(words) - PASSAGE + 1, 0)])
+                i = i[words.doc[i] == words.doc[i + PASSAGE - 1]]
+                if not len(i):
+                    continue
+                at, h = words.windows(SEED)
+                seed = np.zeros(len(words), U)
+                seed[at] = h
+                weight = W.stream(51, 3) | U(1)
+                with np.errstate(over="ignore"):
+                    node = W.mix(seed[i] * weight[0] + seed[i + SEED] * weight[1] + words.hash[i + 2 * SEED] * weight[2])
+                doc = words.doc[i]
+                yield pa.RecordBatch.from_arrays(
+                    [*_owners(batch, start, doc), pa.array((i - words.first[doc]).astype(np.int32)),
+                     pa.array(node.view(np.int64))], names=["d", "h", "first", "node"])
+    return run
 
 
 def _less(a: int, b: int, taken: list) -> list:
@@ -241,155 +340,186 @@ def _less(a: int, b: int, taken: list) -> list:
 def _uncovered(batches):
     for batch in batches:
         out = []
-        for i, runs, units in zip(*(batch.column(c).to_pylist() for c in range(3))):
+        for *key, runs, units in zip(*(batch.column(c).to_pylist() for c in range(4))):
             units = units or []
             gone = [(u["a"], u["b"]) for u in units if not u["kept"]]
             stays = [(u["a"], u["b"]) for u in units if u["kept"]]
             for r in sorted(runs, key=lambda r: (r["kept"], r["a"], r["b"], r["c"])):
                 for a, b in _less(r["a"], r["b"], gone + stays if r["kept"] else gone):
-                    out.append((i, a, b - a, r["c"], r["docs"], r["b"] - r["a"], r["kept"]))
+                    out.append((*key, a, b - a, r["c"], r["docs"], r["b"] - r["a"], r["kept"]))
                 (stays if r["kept"] else gone).append((r["a"], r["b"]))
-        cols = list(zip(*out)) or [()] * 7
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        cols = list(zip(*out)) or [()] * 8
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                         names=["id", "first", "words", "c", "docs", "run_words", "kept"])
+                                         names=["d", "h", "first", "words", "c", "docs", "run_words", "kept"])
 
 
-def _passages(texts: DataFrame) -> DataFrame:
-    """(id, a, b, c, docs, kept): word ranges of the passages of every document."""
+def _passages(texts: DataFrame, bits: int) -> DataFrame:
+    """(d, h, a, b, c, docs, kept): word ranges of the passages of every document."""
     spark = texts.sparkSession
-    marks, marks_path = land(texts.mapInArrow(_marks, "id bigint, first int, mark bigint"), "passage-marks")
-    twice = marks.groupBy("mark").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("mark")
-    places = marks.join(twice, "mark").groupBy("id").agg(F.collect_set("first").alias("marks"))   # at most a text's words
-    places, places_path = land(places, "passage-places")
-    few = places.agg(F.coalesce(F.sum(F.size("marks") + 4), F.lit(0))).first()[0] <= BROADCAST_PLACES
-    windows = texts.join(F.broadcast(places) if few else places, "id").select("id", "text", "marks").mapInArrow(_passage_windows, "id bigint, first int, node bigint")
-    windows, windows_path = land(windows, "passage-windows")
-    for path in (marks_path, places_path):
-        drop(spark, path)
-    heads = (windows.groupBy("node").agg(F.min(F.struct("id", "first")).alias("head"), F.max("id").alias("last"))
-             .where(F.col("head.id") < F.col("last")).select("node", F.col("head.id").alias("hid"), F.col("head.first").alias("hat")))
+    shared = _shared_keys(texts.mapInArrow(_mark_keys(bits), PACKED))
+    windows, windows_path = land(texts.mapInArrow(_passage_windows(bits, shared), "d bigint, h bigint, first int, node bigint"),
+                                 "passage-windows")
+    heads = (windows.groupBy("node").agg(F.min(F.struct("d", "h", "first")).alias("head"), F.max(F.struct("d", "h")).alias("last"))
+             .where(F.struct("head.d", "head.h") < F.col("last"))
+             .select("node", F.col("head.d").alias("hd"), F.col("head.h").alias("hh"), F.col("head.first").alias("hat")))
     # a passage is named by where its first window starts in the smallest document
-    order = Window.partitionBy("hid").orderBy("hat", "node")
+    order = Window.partitionBy("hd", "hh").orderBy("hat", "node")
     begins = F.when(F.col("hat") - F.lag("hat", 1, -2).over(order) > 1, F.col("hat"))
-    heads = heads.withColumn("new", begins).withColumn("c", F.xxhash64("hid", F.last("new", True).over(order))).drop("new")
+    heads = heads.withColumn("new", begins).withColumn("c", F.xxhash64("hd", "hh", F.last("new", True).over(order))).drop("new")
     heads, heads_path = land(heads, "passage-heads")
-    found = (windows.join(heads, "node").select("id", "first", "c", ((F.col("id") == F.col("hid")) & (F.col("first") == F.col("hat")))
-                                                .alias("kept")))
-    order = Window.partitionBy("id", "c", "kept").orderBy("first")
+    kept = (F.col("d") == F.col("hd")) & (F.col("h") == F.col("hh")) & (F.col("first") == F.col("hat"))
+    found = windows.join(heads, "node").select("d", "h", "first", "c", kept.alias("kept"))
+    order = Window.partitionBy("d", "h", "c", "kept").orderBy("first")
     runs = (found.withColumn("new", (F.col("first") - F.lag("first", 1, -2).over(order) > 1).cast("int"))
-            .withColumn("run", F.sum("new").over(order)).groupBy("id", "c", "kept", "run")
+            .withColumn("run", F.sum("new").over(order)).groupBy("d", "h", "c", "kept", "run")
             .agg(F.min("first").alias("a"), (F.max("first") + PASSAGE).alias("b")))
     runs, _ = land(runs, "passages")
     for path in (windows_path, heads_path):
         drop(spark, path)
-    size = runs.select("c", "id").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
-    return runs.join(size, "c").select("id", "a", "b", "c", "docs", "kept")
+    size = runs.select("c", "d", "h").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
+    return runs.join(size, "c").select("d", "h", "a", "b", "c", "docs", "kept")
 
 
-def _sets_of(nodes: DataFrame, texts: DataFrame, bound: int) -> DataFrame:
+PACKED = "part int, keys binary, codes binary"
+
+
+def _sets_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, set) of the given distinct nodes: their distinct shingles, read from the texts."""
-    spark = texts.sparkSession
-    nodes, _ = land(nodes, "paragraph-nodes")
-    shape = "node bigint, set array<bigint>"
-    if nodes.count() <= bound:                         # 8 bytes a node
-        wanted = np.sort(nodes.toArrow().column("node").to_numpy().astype(np.int64))
-        sets = texts.select("text").mapInArrow(_node_sets(spark.sparkContext.broadcast(wanted)), shape)
-    else:
-        sets = texts.select("text").mapInArrow(_node_sets(None), shape).join(nodes, "node", "left_semi")
+    nodes, nodes_path = land(nodes, "paragraph-nodes")
+    wanted = texts.sparkSession.sparkContext.broadcast(bitmap(nodes.select(F.col("node").alias("h"))))
+    sets = (texts.select("text").mapInArrow(_node_sets(wanted), "node bigint, set array<bigint>")
+            .join(nodes, "node", "left_semi"))
     sets, _ = land(sets.groupBy("node").agg(F.array_distinct(F.any_value("set")).alias("set")), "paragraph-sets")
+    drop(texts.sparkSession, nodes_path)
     return sets
 
 
+def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(d, h, id, text) of every row; see the module docstring."""
+    id_, text = F.col(id_col), F.col(text_col).cast("string")
+    whole = isinstance(docs.schema[id_col].dataType, IntegralType)
+    h = F.xxhash64(text) if whole else F.xxhash64(id_.cast("string"), text)
+    h = F.shiftleft(F.shiftright(h, 1), 1).bitwiseOR(F.when(id_.isNull(), 1).otherwise(0).cast("bigint"))
+    return docs.select((F.coalesce(id_.cast("bigint"), F.lit(0).cast("bigint")) if whole else F.lit(0).cast("bigint")).alias("d"),
+                       h.alias("h"), id_.alias("id"), text.alias("text"))
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                        bands: int = BANDS, rows: int = ROWS, run_words: int = RUN_WORDS,
-                        broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
+                        bands: int = BANDS, rows: int = ROWS, run_words: int = RUN_WORDS) -> DataFrame:
     """One row per unit of a repeated run and per rest of a passage outside such units
     (``unit`` is null): ``id, unit, first_word, n_words, cluster_id, n_docs, run_words,
     kept``.  Documents without repeated text have no row."""
-    texts = (docs.where(F.col(id_col).isNotNull())
-             .select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")))
-    units, _ = land(texts.mapInArrow(_units, "id bigint, unit int, first int, words int, node bigint"), "paragraphs")
+    found = _repeats(docs, id_col, text_col, percent, bands, rows, run_words)
+    kind = docs.schema[id_col].dataType
+    if isinstance(kind, IntegralType):
+        found = found.withColumn("id", F.when(F.col("h").bitwiseAND(F.lit(1)) == 0, F.col("d")).cast(kind))
+    else:
+        found = found.join(_documents(docs, id_col, text_col).select("d", "h", "id").distinct(), ["d", "h"])
+    return found.select(
+        F.col("id").alias(id_col), "unit", F.col("first").alias("first_word"), F.col("words").alias("n_words"),
+        F.col("c").alias("cluster_id"), F.col("docs").alias("n_docs"), "run_words", "kept")
+
+
+def _repeats(docs: DataFrame, id_col: str, text_col: str, percent: int, bands: int, rows: int, run_words: int) -> DataFrame:
+    """The same by document: ``d, h, unit, first, words, c, docs, run_words, kept``.
+    What the steps write is dropped, but for the tables the result reads."""
+    texts = _documents(docs, id_col, text_col).select("d", "h", "text")
+    with written() as paths:
+        units, rest = _find(texts, percent, bands, rows, run_words)
+        units, units_path = land(units, "paragraph-rows")
+        rest, rest_path = land(rest(units), "passage-rows")
+        for path in [p for p in paths if p not in (units_path, rest_path)]:
+            drop(docs.sparkSession, path)
+    return units.unionByName(rest)
+
 
-    entries, entries_path = land(texts.select("text").mapInArrow(_band_entries(bands, rows), "key bigint, node bigint, n int"),
-                      "paragraph-keys")
+def _find(texts: DataFrame, percent: int, bands: int, rows: int, run_words: int):
+    spark = texts.sparkSession
+    units, units_path = land(texts.mapInArrow(_units, "d bigint, h bigint, unit int, first int, words int, node bigint"), "paragraphs")
+    n_words = units.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    bits = max(LEAST_BITS, min(24, (n_words // PART_ENTRIES).bit_length()))
+
+    only = texts.select("text")
+    shared = _shared_keys(only.mapInArrow(_band_keys(bands, rows, bits), PACKED))
+    entries, entries_path = land(only.mapInArrow(_band_entries(bands, rows, bits, shared), "key bigint, node bigint, n int"), "paragraph-keys")
     lead = (entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("l"), F.max("node").alias("z"))
             .where("l.node < z").select("key", F.col("l.node").alias("a"), F.col("l.n").alias("na")))
-    lead, _ = land(lead, "paragraph-buckets")
     members, members_path = land(entries.join(lead, "key").distinct(), "paragraph-members")
-    drop(texts.sparkSession, entries_path)
+    drop(spark, entries_path)
     close = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
     stars, _ = land(members.where("node > a").where(close).select("a", F.col("node").alias("b")).distinct(), "paragraph-stars")
     ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    sets = _sets_of(ends, texts, broadcast_nodes)
-    links, _ = land(verified(stars, sets, percent), "paragraph-links")
+    links, _ = land(verified(stars, _sets_of(ends, texts), percent), "paragraph-links")
     first = components(links)
     # nodes of one bucket that the stars left in different components
     labelled, labelled_path = land(members.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")),
-                       "paragraph-labels")
+                                   "paragraph-labels")
+    drop(spark, members_path)
     mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     rest, _ = land(labelled.join(mixed, "key").select("node", "c").distinct(), "paragraph-mixed")
-    for path in (members_path, labelled_path):
-        drop(texts.sparkSession, path)
-    sets = _sets_of(rest.select("node"), texts, broadcast_nodes)
+    drop(spark, labelled_path)
+    sets = _sets_of(rest.select("node"), texts)
     across = prefix_pairs(rest, sets, percent).join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(across, sets, percent))
-    groups, _ = land(components(links), "paragraph-components")
+    known = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    groups, _ = land(components(known.unionByName(verified(across, sets, percent))), "paragraph-components")
 
     # a node's own reach; nodes seen in one document only matter if they are linked
-    reach, _ = land(units.groupBy("node").agg(F.min(F.struct("id", "unit")).alias("head"), F.max("id").alias("last"),
-                                              F.approx_count_distinct("id").alias("docs")), "paragraph-reach")
-    alone = reach.join(groups, "node", "left_anti").where(F.col("head.id") < F.col("last"))
-    joined = reach.join(groups, "node")
-    size = (joined.groupBy("component").agg(F.min("head").alias("head"), F.max("last").alias("last"), F.sum("docs").alias("docs"))
-            .where(F.col("head.id") < F.col("last")))
-    repeated = (alone.select("node", F.col("node").alias("c"), "head", "docs")
-                .unionByName(groups.join(size, "component").select("node", F.col("component").alias("c"), "head", "docs")))
-    repeated, _ = land(repeated, "paragraph-repeated")
-    hits = units.join(repeated, "node").distinct()
-    order = Window.partitionBy("id").orderBy("unit")
+    reach, reach_path = land(units.groupBy("node").agg(F.min(F.struct("d", "h", "unit")).alias("head"),
+                                                       F.max(F.struct("d", "h")).alias("last")), "paragraph-reach")
+    twice = F.struct("head.d", "head.h") < F.col("last")
+    alone = reach.join(groups, "node", "left_anti").where(twice)
+    size = (reach.join(groups, "node").groupBy("component").agg(F.min("head").alias("head"), F.max("last").alias("last"))
+            .where(twice))
+    repeated = (alone.select("node", F.col("node").alias("c"), "head")
+                .unionByName(groups.join(size, "component").select("node", F.col("component").alias("c"), "head")))
+    hits, _ = land(units.join(repeated, "node").distinct(), "paragraph-repeated")
+    for path in (units_path, reach_path):
+        drop(spark, path)
+    docs = hits.select("c", "d", "h").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
+    order = Window.partitionBy("d", "h").orderBy("unit")
     runs = (hits.withColumn("new", (F.col("unit") - F.lag("unit", 1, -2).over(order) > 1).cast("int"))
             .withColumn("run", F.sum("new").over(order)))
-    whole = Window.partitionBy("id", "run")
-    units = (runs.withColumn("run_words", (F.max(F.col("first") + F.col("words")).over(whole) - F.min("first").over(whole)))
-             .where(F.col("run_words") >= run_words)
-             .select("id", "unit", "first", "words", "c", "docs", F.col("run_words").cast("int").alias("run_words"),
-                     ((F.col("head.id") == F.col("id")) & (F.col("head.unit") == F.col("unit"))).alias("kept")))
-    units, _ = land(units, "paragraph-rows")
-    taken = (units.select("id", F.struct(F.col("first").alias("a"), (F.col("first") + F.col("words")).alias("b"), "kept").alias("u"))
-             .groupBy("id").agg(F.collect_set("u").alias("units")))
-    passages = _passages(texts).groupBy("id").agg(F.collect_list(F.struct("a", "b", "c", "docs", "kept")).alias("runs"))
-    rest = (passages.join(taken, "id", "left").select("id", "runs", "units")
-            .mapInArrow(_uncovered, "id bigint, first int, words int, c bigint, docs bigint, run_words int, kept boolean"))
-    rest = rest.withColumn("unit", F.lit(None).cast("int"))
-    return units.unionByName(rest).select(
-        F.col("id").alias(id_col), "unit", F.col("first").alias("first_word"), F.col("words").alias("n_words"),
-        F.col("c").alias("cluster_id"), F.col("docs").alias("n_docs"), "run_words", "kept")
+    whole = Window.partitionBy("d", "h", "run")
+    found = (runs.withColumn("run_words", (F.max(F.col("first") + F.col("words")).over(whole) - F.min("first").over(whole)))
+             .where(F.col("run_words") >= run_words).join(docs, "c")
+             .select("d", "h", "unit", "first", "words", "c", "docs", F.col("run_words").cast("int").alias("run_words"),
+                     ((F.col("head.d") == F.col("d")) & (F.col("head.h") == F.col("h")) & (F.col("head.unit") == F.col("unit"))).alias("kept")))
+
+    def rest_of(units: DataFrame) -> DataFrame:
+        taken = (units.select("d", "h", F.struct(F.col("first").alias("a"), (F.col("first") + F.col("words")).alias("b"), "kept").alias("u"))
+                 .groupBy("d", "h").agg(F.collect_set("u").alias("units")))
+        passages = _passages(texts, bits).groupBy("d", "h").agg(F.collect_list(F.struct("a", "b", "c", "docs", "kept")).alias("runs"))
+        out = (passages.join(taken, ["d", "h"], "left").select("d", "h", "runs", "units")
+               .mapInArrow(_uncovered, "d bigint, h bigint, first int, words int, c bigint, docs bigint, run_words int, kept boolean"))
+        return out.withColumn("unit", F.lit(None).cast("int"))
+    return found, rest_of
 
 
 def _cut(batches):
     for batch in batches:
         out = []
-        for text, firsts, sizes in zip(*(batch.column(c).to_pylist() for c in range(1, 4))):
+        for text, spans in zip(*(batch.column(c).to_pylist() for c in range(1, 3))):
             raw = (text or "").encode("utf-8", "replace")
             words = W.Words([raw], W.BY_ALNUM)
             at, kept = 0, []
-            for f, n in sorted(zip(firsts, sizes)):
+            for f, n in sorted((x["first"], x["words"]) for x in spans):
                 stop = words.begin[f + n] if f + n < len(words) else len(raw)
-                kept.append(raw[at:words.begin[f]])
-                at = int(stop)
+                kept.append(raw[at:max(at, int(words.begin[f]))])
+                at = max(at, int(stop))
             out.append((b"".join(kept) + raw[at:]).decode("utf-8"))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["id", "text"])
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``id, text`` with every repeated unit and passage cut out but the occurrence that is kept.
-    A repeated id is expected to repeat its text."""
-    gone = (repeated_paragraphs(docs, id_col, text_col, **options).where("not kept").groupBy(id_col)
-            .agg(F.collect_list("first_word").alias("_f"), F.collect_list("n_words").alias("_n")))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    gone = gone.withColumnRenamed(id_col, "id")
-    joined = rows.join(gone, "id", "left")
-    cut = joined.where("_f is not null").select("id", "text", "_f", "_n").mapInArrow(_cut, "id bigint, text string")
-    return (joined.where("_f is null").select("id", "text").unionByName(cut)
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+                    bands: int = BANDS, rows: int = ROWS, run_words: int = RUN_WORDS) -> DataFrame:
+    """``id, text`` with every repeated unit and passage cut out but the occurrence that is
+    kept.  Every row is cut by its own text's findings; rows that repeat id and text are
+    one document and stay alike."""
+    gone = (_repeats(docs, id_col, text_col, percent, bands, rows, run_words).where("not kept").groupBy("d", "h")
+            .agg(F.collect_list(F.struct("first", "words")).alias("spans")))
+    joined = _documents(docs, id_col, text_col).join(gone, ["d", "h"], "left")
+    shape = StructType([StructField("id", docs.schema[id_col].dataType), StructField("text", StringType())])
+    cut = joined.where("spans is not null").select("id", "text", "spans").mapInArrow(_cut, shape)
+    return (joined.where("spans is null").select("id", "text").unionByName(cut)
             .select(F.col("id").alias(id_col), F.col("text").alias(text_col)))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import land
+from .scratch import drop, land
 
 
 def common_counts(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -35,12 +35,13 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     similarity, meet nowhere."""
     words = (sets.join(nodes, "node")
              .select("node", "c", F.xxhash64("set").alias("k"), F.size("set").alias("n"), F.explode("set").alias("s")))
-    words, _ = land(words, "set-words")
+    words, words_path = land(words, "set-words")
     one_set = Window.partitionBy("node", "k").orderBy("df", "s")
     ranked = (words.join(words.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "s")
               .withColumn("r", F.row_number().over(one_set))
               .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
     ranked, _ = land(ranked.select("s", "node", "c", "n", "r"), "set-prefixes")
+    drop(nodes.sparkSession, words_path)
     x = ranked.select("s", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"),
                       F.col("r").alias("ra"))
     y = ranked.select("s", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"),
