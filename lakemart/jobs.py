@@ -93,9 +93,8 @@ def keywords_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, int]:
 def teams_job(spark: SparkSession, sf_dir: str, out: str, n_teams: int = 8, size: int = 5,
               seed: int = 42, brackets: int = 4) -> dict[str, int]:
     """Teams with roles and profile, then the tournament rounds."""
-    s, i, p = RO.aligned_heroes(S.hero_stats(spark, sf_dir), S.hero_info(spark, sf_dir),
-                                S.hero_powers(spark, sf_dir))
-    teams = cut_lineage(RO.build_teams(s, i, p, n_teams, size, seed).drop("team"), "teams")
+    teams = cut_lineage(RO.draft_teams(S.hero_stats(spark, sf_dir), S.hero_info(spark, sf_dir),
+                                       S.hero_powers(spark, sf_dir), n_teams, size, seed).drop("team"), "teams")
     K.write_csv(teams, f"{out}/teams", header=True)
     rounds = TR.tournament(teams, brackets, seed)
     K.write_csv(rounds, f"{out}/tournament", header=True)

@@ -101,12 +101,42 @@ def build_teams(stats: DataFrame, info: DataFrame, powers: DataFrame, n_teams: i
     return team_profile(roles, info, powers)
 
 
+def _fill_stats(s: DataFrame) -> DataFrame:
+    from .clean import fill_defaults
+    return fill_defaults(s, numeric=[*ATTRS, "total"], boolean=False)
+
+
+def _fill_info(i: DataFrame, clamp: Sequence[str]) -> DataFrame:
+    from .clean import clamp_negative, fill_defaults
+    return clamp_negative(fill_defaults(i, numeric=list(clamp), boolean=False), list(clamp))
+
+
+def _fill_powers(p: DataFrame) -> DataFrame:
+    from .clean import fill_defaults
+    return fill_defaults(p, boolean=True)
+
+
+def draft_teams(stats: DataFrame, info: DataFrame, powers: DataFrame, n_teams: int = 8, size: int = 5,
+                seed: int = 42) -> DataFrame:
+    """``build_teams`` of the aligned tables, from the raw ones: the same team table
+    without aligning what is not drawn.
+
+    Heroes are drawn from the stats with the names that only the other tables hold;
+    only the drawn names (at most ``n_teams * size``, broadcast) are looked up in the
+    raw info and powers where those are read, and only those rows are filled and
+    clamped.  No hero table is shuffled by name but for the set of names itself."""
+    drawn = draw_teams(_fill_stats(align_names(stats, info, powers)[0]), n_teams, size, seed)
+    names = drawn.select("name").distinct()
+
+    def looked_up(t: DataFrame, column: str) -> DataFrame:
+        few = t.select("name", column).join(F.broadcast(names), "name", "left_semi")
+        return names.join(few, "name", "left")
+    return team_profile(assign_roles(drawn), _fill_info(looked_up(info, "height"), ["height"]),
+                        _fill_powers(looked_up(powers, "flight")))
+
+
 def aligned_heroes(stats: DataFrame, info: DataFrame, powers: DataFrame,
                    clamp: Sequence[str] = ("height", "weight")) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three hero tables aligned on name, NULLs filled, negatives clamped."""
-    from .clean import clamp_negative, fill_defaults
     s, i, p = align_names(stats, info, powers)
-    s = fill_defaults(s, numeric=[*ATTRS, "total"], boolean=False)
-    i = clamp_negative(fill_defaults(i, numeric=list(clamp), boolean=False), list(clamp))
-    p = fill_defaults(p, boolean=True)
-    return s, i, p
+    return _fill_stats(s), _fill_info(i, clamp), _fill_powers(p)

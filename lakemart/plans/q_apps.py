@@ -74,8 +74,7 @@ def roster_draw(spark, d):
 
 
 def teams(spark, d):
-    s, i, p = _aligned(spark, d)
-    return RO.build_teams(s, i, p, **TEAMS)
+    return RO.draft_teams(S.hero_stats(spark, d), S.hero_info(spark, d), S.hero_powers(spark, d), **TEAMS)
 
 
 TEAM_COLS = ["team_name", "leader", "tank", "damage", "the_other_guy", "the_other_guy2"]

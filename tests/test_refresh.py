@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SF001
 from lakemart import session
-from lakemart.operators import labels as LB, nested as N, tournament as TR
-from lakemart.plans import nested_standins as NS
+from lakemart.operators import labels as LB, nested as N, roster as RO, tournament as TR
+from lakemart.plans import nested_standins as NS, standins as ST
 from lakemart.sources import sinks as K
 from plan_report import plan_text, summarize
 
@@ -153,3 +153,16 @@ def test_integral_ratings_of_the_landing_file_hold_no_impossible_value(spark):
               F.count_if(F.col("rating").isNull()).alias("none")).first()
     whole = entry.queries()["prj_conform_ratings_integral"](spark, SF001)
     assert min(n) > 0 and whole.where(F.col("rating").isNull()).count() == sum(n)
+
+
+def test_draft_from_raw_tables_equals_teams_of_the_aligned_ones(spark):
+    raw = [f(spark, SF001) for f in (ST.hero_stats, ST.hero_info, ST.hero_powers)]
+    nobody = spark.createDataFrame([(None,), ("only powers",)], "name string")
+    raw[2] = raw[2].unionByName(nobody, allowMissingColumns=True)
+    for n_teams, size, seed in ((8, 5, 42), (3, 4, 1), (40, 5, 9)):
+        want = RO.build_teams(*RO.aligned_heroes(*raw), n_teams, size, seed)
+        got = RO.draft_teams(*raw, n_teams, size, seed)
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    empty = [t.limit(0) for t in raw]
+    assert RO.draft_teams(*empty).collect() == []
