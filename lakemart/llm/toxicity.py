@@ -23,11 +23,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -328,12 +326,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def _reject(shared, threshold):
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            score = model.scores(batch.column(1).to_pylist()) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(score < threshold, pa.bool_()))], names=["all"])
+    return run
+
+
 def reject_toxic(docs: DataFrame, model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more (same columns)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in parts:
-            yield pd.Series(shared.value.scores(s.tolist()))
-    return docs.where(score(F.col(text_col).cast("string")) < threshold)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"))
+    kept = rows.mapInArrow(_reject(shared, threshold), StructType([rows.schema["all"]]))
+    return kept.select("all.*")
