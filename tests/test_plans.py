@@ -46,7 +46,7 @@ def test_grade_join_is_co_partitioned(plans):
 
 def test_tournament_plan_stays_small(plans):
     _, s = plans["tour_final"]
-    assert s["shuffles"] <= 8
+    assert s["shuffles"] <= 12      # the draft of the teams and all rounds, in one lazy plan
 
 
 def test_top_k_uses_group_limit(plans):
