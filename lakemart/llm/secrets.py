@@ -140,6 +140,8 @@ def scan(versions: DataFrame, ledger: str, rules: str = RULES_VERSION, path_col:
     """Findings of every path: one row per row of ``versions`` with its blob."""
     listing = update_ledger(versions, ledger, rules, path_col, text_col)
     known = read_ledger(versions.sparkSession, ledger, rules)
+    if known is None:                                # nothing to scan, so nothing was written
+        known = versions.sparkSession.createDataFrame([], LEDGER)
     return (listing.join(known, "blob", "left")
             .select(F.col("path").alias(path_col), "blob", "n_assign", "n_access", "n_hex", "base_sha256", "spans"))
 
