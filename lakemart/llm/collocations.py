@@ -226,6 +226,18 @@ def _word_hashes(batches):
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
 
+def low5(x: np.ndarray) -> bytes:
+    """The low 40 bits of hashes, packed.  With a part's leading bits they tell a shard's
+    runs apart; runs that still fall together only add candidates."""
+    return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def from5(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel().astype(U)
+
+
 def _mine(single, pairs, bits):
     """Counts of the pairs of frequent words; with ``pairs``, of the runs of three and
     more words all of whose pairs are in it.  One row per part, the leading ``bits``
@@ -253,7 +265,7 @@ def _mine(single, pairs, bits):
             return pa.RecordBatch.from_arrays(
                 [pa.array([lang] * k, pa.string()), pa.array([shard] * k, pa.int32()), pa.array([need] * k, pa.int64()),
                  pa.array([slack] * k, pa.int64()), pa.array(here, pa.int32()),
-                 pa.array([x[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                 pa.array([low5(x[a:b]) for a, b in zip(first, ends)], pa.binary()),
                  pa.array([count[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())],
                 names=["lang", "shard", "need", "slack", "part", "hashes", "counts"])
 
@@ -277,7 +289,7 @@ COUNTED = "lang string, shard int, need bigint, slack bigint, part int, hashes b
 def _locally_frequent(table: pa.Table) -> pa.Table:
     """Hashes of one part of a shard that reach its local support: what each has beyond
     the most that an infrequent one can have, and the sum of the latter over all shards."""
-    x = np.concatenate([np.frombuffer(v.as_buffer(), U) for v in table["hashes"]])
+    x = from5(b"".join(table["hashes"].to_pylist()))
     c = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in table["counts"]]).astype(np.int64)
     order = np.argsort(x, kind="stable")
     x, c = x[order], c[order]
