@@ -29,11 +29,17 @@ def query(name: str, oracle: str | None = None):
 
 
 _shipped: set[str] = set()
+#: rows of an Arrow batch, in place of Spark's default of 10,000: whole texts are long
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def ship(spark: SparkSession) -> None:
-    """Make the package importable by Python workers: nothing to do if they start
-    in its folder or have it on PYTHONPATH, else its zip goes out with the job files."""
+    """Prepare a session for the subpackage's tasks: batches of ``BATCH_ROWS`` rows,
+    unless the session has a number of its own, and the package importable by Python
+    workers (nothing to do if they start in its folder or have it on PYTHONPATH, else
+    its zip goes out with the job files)."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
     if root in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) or sc.applicationId in _shipped:

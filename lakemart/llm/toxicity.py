@@ -326,19 +326,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def _reject(shared, threshold):
+def _reject(shared, at, threshold):
     def run(batches):
         model = shared.value
         for batch in batches:
-            score = model.scores(batch.column(1).to_pylist()) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(score < threshold, pa.bool_()))], names=["all"])
+            texts = batch.column(at).cast(pa.string()).to_pylist()
+            yield batch.filter(pa.array(model.scores(texts) < threshold, pa.bool_())) if texts else batch
     return run
 
 
 def reject_toxic(docs: DataFrame, model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more (same columns)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"),
-                       F.col(f"`{text_col}`").cast("string").alias("text"))
-    kept = rows.mapInArrow(_reject(shared, threshold), StructType([rows.schema["all"]]))
-    return kept.select("all.*")
+    return docs.mapInArrow(_reject(shared, docs.columns.index(text_col), threshold), docs.schema)
