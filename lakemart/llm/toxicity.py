@@ -338,4 +338,5 @@ def _reject(shared, at, threshold):
 def reject_toxic(docs: DataFrame, model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more (same columns)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_reject(shared, docs.columns.index(text_col), threshold), docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])         # whatever the names
+    return plain.mapInArrow(_reject(shared, docs.columns.index(text_col), threshold), plain.schema).toDF(*docs.columns)
