@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,7 +56,7 @@ def cuts(df: DataFrame, order: Sequence[str], ranks: Sequence[int], total: int |
     between 1 and the number of rows.
 
     Eager.  ``df`` is evaluated once for the count (unless ``total`` is given), twice
-    per round (sample, counts) and once to fetch; a round cuts every open range by
+    per round and large range (sample, counts) and once to fetch all small ranges; a round cuts every open range by
     about ``SPLITTERS``, so ``n`` rows take ``log(n / FETCH) / log(SPLITTERS)`` rounds
     (none up to ``FETCH`` rows, one up to a million, three up to ten billion).  The
     driver sees at most ``2 * SAMPLED`` sampled keys a round and range, and the distinct
@@ -73,16 +75,21 @@ def cuts(df: DataFrame, order: Sequence[str], ranks: Sequence[int], total: int |
     while open_ranges:
         small = [r for r in open_ranges if r[3] <= FETCH]
         large = [r for r in open_ranges if r[3] > FETCH]
-        for low, high, below, _, wanted in small:
-            at = below
-            for row in _within(keys, low, high, types).groupBy("k").count().orderBy("k").collect():
-                for r in wanted:
-                    if at < r <= at + row["count"]:
-                        found[r] = Cut(tuple(row["k"]), at, row["count"])
-                at += row["count"]
+        if small:                                       # all of them in one pass, in key order
+            small.sort(key=lambda r: r[2])
+            within = keys.where(reduce(or_, [_inside(low, high, types) for low, high, *_ in small]))
+            fetched = iter(within.groupBy("k").count().orderBy("k").collect())
+            for _, _, below, rows, wanted in small:
+                at = below
+                while at < below + rows:
+                    row = next(fetched)
+                    for r in wanted:
+                        if at < r <= at + row["count"]:
+                            found[r] = Cut(tuple(row["k"]), at, row["count"])
+                    at += row["count"]
         open_ranges = []
         for low, high, below, rows, wanted in large:
-            inside = _within(keys, low, high, types)
+            inside = keys.where(_inside(low, high, types))
             sample = inside.where(F.rand(seed) < SAMPLED / rows).limit(2 * SAMPLED).groupBy("k").count().orderBy("k").collect()
             seen, step, points = 0, max(1, sum(r["count"] for r in sample) // (SPLITTERS + 1)), []
             for i, row in enumerate(sample):
@@ -114,12 +121,14 @@ def cuts(df: DataFrame, order: Sequence[str], ranks: Sequence[int], total: int |
     return [found[r] for r in ranks]
 
 
-def _within(keys: DataFrame, low, high, types) -> DataFrame:
+def _inside(low, high, types) -> Column:
+    key = F.col("k")
+    out = F.lit(True)
     if low is not None:
-        keys = keys.where(F.col("k") >= _literal(low, types))
+        out = out & (key >= _literal(low, types))
     if high is not None:
-        keys = keys.where(F.col("k") < _literal(high, types))
-    return keys
+        out = out & (key < _literal(high, types))
+    return out
 
 
 def place(df: DataFrame, order: Sequence[str], ends: Sequence[int], name: str, total: int | None = None) -> DataFrame:
