@@ -39,87 +39,127 @@ def imdb_id(orderkey: Column, priority: Column, status: Column) -> Column:
 
 
 def _items(spark, d) -> DataFrame:
-    # Shuffle the narrow raw columns by order first: the per-order list
-    # aggregation needs exactly this partitioning (no second exchange), and the
-    # wide element strings are then built in parallel after the shuffle instead
-    # of being shuffled themselves.  Dimension joins are broadcast-side only.
-    li = (S.table(spark, d, "lineitem")
-          .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-          .repartition("l_orderkey"))
+    li = S.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     p = S.table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size")
     s = S.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = S.table(spark, d, "nation")   # 25 rows by definition
     r = S.table(spark, d, "region")   # 5 rows by definition
-    return (li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
+    # the narrower side table first: where part is too large to broadcast, its names move once less
+    return (li.join(s, li.l_suppkey == s.s_suppkey)
             .join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-            .join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
+            .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+            .join(p, li.l_partkey == p.p_partkey))
 
 
-def _as_list(elem: Column, alias: str) -> Column:
-    """'[e1, e2, ...]': the order's element texts, sorted (a deterministic
-    order whatever the arrival order after the shuffle)."""
-    return F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(elem)), ", "), F.lit("]")).alias(alias)
+# List column -> the line item columns that its elements are built from.
+LISTS = {
+    "genres": ("p_partkey", "p_name"),
+    "production_companies": ("s_name", "s_suppkey"),
+    "production_countries": ("n_nationkey", "n_name"),
+    "spoken_languages": ("r_regionkey", "r_name"),
+    "cast": ("l_linenumber", "l_returnflag", "s_suppkey", "s_name"),
+    "keywords": ("p_size", "p_type"),
+}
 
 
-def metadata_text(spark, d) -> DataFrame:
-    """movies_metadata-shaped rows (one per order) with literal-list text columns."""
-    it = _items(spark, d)
+def _element(name: str, x: Column) -> Column:
+    """Literal text of one list element, from its line item ``x``."""
+    def text(c: str) -> Column:
+        return x[c].cast("string")
+
     null = F.lit("None")
-    lists = it.groupBy("l_orderkey").agg(
-        _as_list(_dict(("id", F.col("p_partkey").cast("string")), ("name", _q(F.col("p_name")))), "genres"),
-        _as_list(_dict(("name", _q(F.col("s_name"))), ("id", F.col("s_suppkey").cast("string"))),
-                 "production_companies"),
-        _as_list(_dict(("iso_3166_1", _q(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))),
-                       ("name", _q(F.col("n_name")))), "production_countries"),
-        _as_list(_dict(("iso_639_1", _q(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")))),
-                       ("name", _q(F.col("r_name")))), "spoken_languages"),
-        _as_list(_dict(("cast_id", F.col("l_linenumber").cast("string")),
-                       ("character", _q(character(F.col("l_returnflag"), F.col("l_linenumber")))),
-                       ("credit_id", _q(F.concat_ws("_", F.lit("c"), F.col("l_orderkey").cast("string"),
-                                                     F.col("l_linenumber").cast("string")))),
-                       ("gender", null),
-                       ("id", F.col("s_suppkey").cast("string")), ("name", _q(F.col("s_name"))),
-                       ("order", F.col("l_linenumber").cast("string")), ("profile_path", null)), "cast"),
-        _as_list(_dict(("id", F.col("p_size").cast("string")), ("name", _q(F.col("p_type")))), "keywords"),
-    )
+    if name == "genres":
+        return _dict(("id", text("p_partkey")), ("name", _q(x["p_name"])))
+    if name == "production_companies":
+        return _dict(("name", _q(x["s_name"])), ("id", text("s_suppkey")))
+    if name == "production_countries":
+        return _dict(("iso_3166_1", _q(F.concat(F.lit("N"), text("n_nationkey")))), ("name", _q(x["n_name"])))
+    if name == "spoken_languages":
+        return _dict(("iso_639_1", _q(F.concat(F.lit("r"), text("r_regionkey")))), ("name", _q(x["r_name"])))
+    if name == "cast":
+        return _dict(("cast_id", text("l_linenumber")),
+                     ("character", _q(character(x["l_returnflag"], x["l_linenumber"]))),
+                     ("credit_id", _q(F.concat_ws("_", F.lit("c"), F.col("_o.o_orderkey").cast("string"), text("l_linenumber")))),
+                     ("gender", null), ("id", text("s_suppkey")), ("name", _q(x["s_name"])),
+                     ("order", text("l_linenumber")), ("profile_path", null))
+    return _dict(("id", text("p_size")), ("name", _q(x["p_type"])))
+
+
+def _as_list(name: str) -> Column:
+    """'[e1, e2, ...]': the order's element texts, sorted (a deterministic order
+    whatever the arrival order after the shuffle); NULL for an order without items."""
+    elements = F.array_sort(F.transform("_items", lambda x: _element(name, x)))
+    return F.when(F.size("_items") > 0, F.concat(F.lit("["), F.array_join(elements, ", "), F.lit("]"))).alias(name)
+
+
+def order_items(spark, d, lists=tuple(LISTS)) -> DataFrame:
+    """(_o, _items): every order with its line items, as far as ``lists`` need them.
+
+    Orders and items meet in one exchange by order key and are grouped there as narrow
+    values: the texts, several times as wide, are built after it row by row, so that no
+    exchange, join or sort has them.  Orders without a key have no items and stay out
+    of the exchange."""
+    needed = list(dict.fromkeys(c for name in lists for c in LISTS[name]))
     o = S.table(spark, d, "orders")
-    k = F.col("o_orderkey")
-    return (o.join(lists, k == F.col("l_orderkey"), "left")
-            .select(F.lit(False).alias("adult"), F.lit(None).cast("string").alias("belongs_to_collection"),
-                    F.floor("o_totalprice").cast("int").alias("budget"),
-                    "genres", F.concat(F.lit("site/"), k.cast("string")).alias("homepage"),
-                    k.cast("int").alias("id"),
-                    imdb_id(k, F.col("o_orderpriority"), F.col("o_orderstatus")).alias("imdb_id"),
-                    F.lit("en").alias("original_language"),
-                    F.concat(F.lit("Order "), k.cast("string")).alias("original_title"),
-                    F.concat(F.col("o_orderpriority"), F.lit('\n"'), F.col("o_orderstatus"),
-                             F.lit('", said '), F.col("o_custkey").cast("string")).alias("overview"),
-                    (F.col("o_totalprice") / 1000).alias("popularity"),
-                    F.concat(F.lit("/"), k.cast("string"), F.lit(".jpg")).alias("poster_path"),
-                    "production_companies", "production_countries",
-                    F.to_date("o_orderdate").alias("release_date"),
-                    F.floor(F.col("o_totalprice") * 10000).cast("bigint").alias("revenue"),
-                    (F.lit(90.0) + F.col("o_totalprice") % 60).alias("runtime"),
-                    "spoken_languages",
-                    F.col("o_orderstatus").alias("status"), F.lit(None).cast("string").alias("tagline"),
-                    F.concat(F.lit("Movie "), k.cast("string")).alias("title"),
-                    F.lit(False).alias("video"), F.lit(0.0).alias("vote_average"),
-                    F.lit(0).alias("vote_count"), "cast", "keywords"))
-
-
-def movies_whole(spark, d) -> DataFrame:
+    order = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    items = (_items(spark, d).where(F.col("l_orderkey").isNotNull())
+             .select(F.col("l_orderkey").alias("_k"), F.struct(*needed).alias("_i")))
+    both = items.unionByName(o.where(F.col("o_orderkey").isNotNull()).select(F.col("o_orderkey").alias("_k"), order.alias("_o")),
+                             allowMissingColumns=True)
+    met = (both.repartition("_k").groupBy("_k")
+           .agg(F.collect_list("_o").alias("_os"), F.collect_list("_i").alias("_items"))
+           .select(F.explode("_os").alias("_o"), "_items"))
+    none = F.array().cast(met.schema["_items"].dataType)
+    return met.unionByName(o.where(F.col("o_orderkey").isNull()).select(order.alias("_o"), none.alias("_items")))
+
+
+def metadata_columns(rows: DataFrame, lists=tuple(LISTS)) -> DataFrame:
+    """movies_metadata-shaped rows of ``order_items``; ``lists`` as given there."""
+    o = {c: F.col(f"_o.{c}") for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")}
+    k, total = o["o_orderkey"], o["o_totalprice"]
+    out = [F.lit(False).alias("adult"), F.lit(None).cast("string").alias("belongs_to_collection"),
+           F.floor(total).cast("int").alias("budget"),
+           "genres", F.concat(F.lit("site/"), k.cast("string")).alias("homepage"),
+           k.cast("int").alias("id"),
+           imdb_id(k, o["o_orderpriority"], o["o_orderstatus"]).alias("imdb_id"),
+           F.lit("en").alias("original_language"),
+           F.concat(F.lit("Order "), k.cast("string")).alias("original_title"),
+           F.concat(o["o_orderpriority"], F.lit('\n"'), o["o_orderstatus"],
+                    F.lit('", said '), o["o_custkey"].cast("string")).alias("overview"),
+           (total / 1000).alias("popularity"),
+           F.concat(F.lit("/"), k.cast("string"), F.lit(".jpg")).alias("poster_path"),
+           "production_companies", "production_countries",
+           F.to_date(o["o_orderdate"]).alias("release_date"),
+           F.floor(total * 10000).cast("bigint").alias("revenue"),
+           (F.lit(90.0) + total % 60).alias("runtime"),
+           "spoken_languages",
+           o["o_orderstatus"].alias("status"), F.lit(None).cast("string").alias("tagline"),
+           F.concat(F.lit("Movie "), k.cast("string")).alias("title"),
+           F.lit(False).alias("video"), F.lit(0.0).alias("vote_average"),
+           F.lit(0).alias("vote_count"), "cast", "keywords"]
+    columns = [_as_list(c) if isinstance(c, str) else c for c in out if not isinstance(c, str) or c in lists]
+    return rows.select(*columns)
+
+
+def metadata_text(spark, d, lists=tuple(LISTS)) -> DataFrame:
+    """movies_metadata-shaped rows (one per order) with literal-list text columns, of
+    which only ``lists`` are built."""
+    return metadata_columns(order_items(spark, d, lists), lists)
+
+
+def movies_whole(spark, d, lists=tuple(LISTS)) -> DataFrame:
     """Metadata with the deny list applied and the id prefix cut."""
     from ..functions.fixed import DENY_IMDB_IDS
     from ..operators.clean import deny_and_strip
-    return deny_and_strip(metadata_text(spark, d), "imdb_id", DENY_IMDB_IDS)
+    return deny_and_strip(metadata_text(spark, d, lists), "imdb_id", DENY_IMDB_IDS)
 
 
 def credits_text(spark, d) -> DataFrame:
-    return metadata_text(spark, d).select("cast", F.lit(None).cast("string").alias("crew"), "id")
+    return metadata_text(spark, d, ("cast",)).select("cast", F.lit(None).cast("string").alias("crew"), "id")
 
 
 def keywords_text(spark, d) -> DataFrame:
-    return metadata_text(spark, d).select("id", "keywords")
+    return metadata_text(spark, d, ("keywords",)).select("id", "keywords")
 
 
 def file_sources(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

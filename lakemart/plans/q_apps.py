@@ -133,7 +133,7 @@ def _genre_mart(spark, d, land: bool = True):
     # movies, bridge and dimension all derive from the same parsed metadata:
     # land the three columns they need once instead of re-deriving it per branch
     ent = N.ENTITIES["genres"]
-    meta = NS.movies_whole(spark, d).select("id", "imdb_id", ent.column)
+    meta = NS.movies_whole(spark, d, (ent.column,)).select("id", "imdb_id", ent.column)
     if land:
         meta = cut_lineage(meta, "genre-meta")
     rows = N.explode_entities(meta, ent)

@@ -143,7 +143,7 @@ def prj_split_list(spark, d):
 
 @query("prj_deny_strip")
 def prj_deny_strip(spark, d):
-    m = clean.deny_and_strip(NS.metadata_text(spark, d), "imdb_id", DENY_IMDB_IDS)
+    m = clean.deny_and_strip(NS.metadata_text(spark, d, ("keywords",)), "imdb_id", DENY_IMDB_IDS)
     return m.select("id", "imdb_id")
 
 

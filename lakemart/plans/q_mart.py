@@ -20,7 +20,7 @@ def _source(spark, d, ent: N.Entity):
         return NS.credits_text(spark, d)
     if ent.source == "keywords":
         return NS.keywords_text(spark, d)
-    return movies_whole(spark, d)
+    return movies_whole(spark, d, (ent.column,))
 
 
 @query("nest_repair")

@@ -62,3 +62,15 @@ def test_silent_users_is_an_anti_join_without_expand(plans):
 def test_metadata_fixture_shuffles_line_items_once_before_the_aggregate(plans):
     text, s = plans["nest_dim_genres"]
     assert "REPARTITION_BY_COL" in text and s["shuffles"] <= 3
+
+
+def test_metadata_texts_are_built_after_the_last_exchange(spark):
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as on side tables too large to broadcast
+    try:
+        text = plan_text(Q["nest_repair"](spark, SF01))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert "collect_list" in text and "collect_list(concat" not in text
+    above = text.split("\n\n")[0].split(" Exchange (")[0]             # what runs once orders and items have met
+    assert "ObjectHashAggregate" in above and " Sort (" not in above and "REPARTITION_BY_COL" in text
