@@ -19,9 +19,43 @@ from ..functions.text import is_number, tokens
 from .ranking import top_k_per_group
 
 
-def tokenize(df: DataFrame, text: str = "Text", mode: str = "strict", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per token (with its position) of each document."""
-    return df.select(*keep, F.posexplode(tokens(text, mode)).alias("pos", "token"))
+def tokenize(df: DataFrame, text: str = "Text", mode: str = "strict", keep: Sequence[str] = (),
+             counted: bool = False) -> DataFrame:
+    """One row per token (with its position) of each document; with ``counted`` one
+    row per distinct token of each document row: its number ``n`` and its first and last
+    position, found inside the row (tokens sorted with their positions, then runs)."""
+    if not counted:
+        return df.select(*keep, F.posexplode(tokens(text, mode)).alias("pos", "token"))
+    n = F.size("_s")
+    opens = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("_s", i)["t"] != F.get("_s", i - 1)["t"]))
+
+    def run(p, j):
+        end = F.coalesce(F.get("_o", j + 1), n)
+        return F.struct(F.get("_s", p)["t"].alias("token"), (end - p).cast("bigint").alias("n"),
+                        F.get("_s", p)["p"].alias("first_pos"), F.get("_s", end - 1)["p"].alias("last_pos"))
+
+    rows = df.select(*keep, tokens(text, mode).alias("_t"))
+    for name, step in [("_s", F.sort_array(F.transform("_t", lambda t, i: F.struct(t.alias("t"), i.alias("p"))))),
+                       ("_o", F.when(n > 0, opens)), ("_r", F.transform("_o", run))]:
+        rows = rows.withColumn(name, step)
+    # the outer form: see ``keywords``
+    return rows.select(*keep, F.explode_outer("_r").alias("r")).where("r is not null").select(*keep, "r.*")
+
+
+def token_counts(df: DataFrame, doc: str = "ArticleID", text: str = "Text", mode: str = "strict") -> DataFrame:
+    """(doc, token, n, first_pos, last_pos): every token of every document.
+
+    A document is counted inside its row, and only where rows share an id (a NULL id
+    is one too) their counts are added up.  So the ids are counted first (eager, ids
+    alone are read); tokens of the other documents are never exchanged."""
+    shared = df.groupBy(doc).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(F.col(doc).alias("_shared"))
+    if shared.isEmpty():
+        return tokenize(df, text, mode, [doc], counted=True)
+    same = F.col(doc).eqNullSafe(F.col("_shared"))
+    once = tokenize(df.join(shared, same, "left_anti"), text, mode, [doc], counted=True)
+    again = tokenize(df.join(shared, same, "left_semi"), text, mode, [doc], counted=True)
+    return once.unionByName(again.groupBy(doc, "token").agg(
+        F.sum("n").alias("n"), F.min("first_pos").alias("first_pos"), F.max("last_pos").alias("last_pos")))
 
 
 def stopword_frame(spark: SparkSession, words: Sequence[str] = STOPWORDS) -> DataFrame:

@@ -34,9 +34,7 @@ def text_tokens(spark, d):
 @query("text_token_counts")
 def text_token_counts(spark, d):
     # every token of every document with its number and first and last position
-    t = TX.tokenize(S.news(spark, d), keep=["ArticleID"])
-    return t.groupBy("ArticleID", "token").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"),
-                                               F.max("pos").alias("last_pos"))
+    return TX.token_counts(S.news(spark, d))
 
 
 @query("text_keywords")
