@@ -93,45 +93,50 @@ CREDITS_SCHEMA = StructType([StructField("cast", StringType()), StructField("cre
 KEYWORDS_SCHEMA = StructType([StructField("id", IntegerType()), StructField("keywords", StringType())])
 
 
-def _one_csv(df, schema: StructType, name: str) -> str:
-    """One CSV file, as the original sources are: header, every field quoted."""
+#: records of one part file: what one task has to read of an unsplittable file
+CSV_RECORDS = 50_000
+
+
+def _csv_files(df, schema: StructType, name: str) -> str:
+    """A folder of CSV part files, each with a header and every field quoted.  Every
+    task writes its own rows, in compressed files of bounded length."""
     text = df.select(*[F.col(f.name).cast("string").alias(f.name) for f in schema.fields])
     path = scratch_path(df.sparkSession, f"landing-{name}")
-    (text.repartition(1).write.option("header", True).option("quote", '"').option("escape", '"')
-     .option("quoteAll", True).csv(path))
+    (text.write.option("header", True).option("quote", '"').option("escape", '"').option("quoteAll", True)
+     .option("maxRecordsPerFile", CSV_RECORDS).option("compression", "gzip").csv(path))
     return path
 
 
 def metadata_csv(spark, d) -> str:
-    """The movie metadata file: quoted fields with embedded newlines, quotes and
+    """The movie metadata files: quoted fields with embedded newlines, quotes and
     commas; revenue can exceed int."""
     from .nested_standins import metadata_text
-    return _one_csv(metadata_text(spark, d), METADATA_SCHEMA, "metadata")
+    return _csv_files(metadata_text(spark, d), METADATA_SCHEMA, "metadata")
 
 
 def metadata_read(spark, d):
-    """The metadata file read with its schema: a field its type cannot hold is NULL."""
+    """The metadata files read with their schema: a field its type cannot hold is NULL."""
     from ..sources.readers import read_csv_multiline
     return read_csv_multiline(spark, metadata_csv(spark, d), METADATA_SCHEMA)
 
 
 def movies_read(spark, d):
-    """The file read, deny-listed and with the id prefix cut."""
+    """The files read, deny-listed and with the id prefix cut."""
     from ..functions.fixed import DENY_IMDB_IDS
     from ..operators.clean import deny_and_strip
     return deny_and_strip(metadata_read(spark, d), "imdb_id", DENY_IMDB_IDS)
 
 
 def movie_files(spark, d):
-    """(movies, credits, keywords): the three files written, each one file, and read;
-    the fixture's rows are derived once for all three."""
-    from .nested_standins import metadata_text
+    """(movies, credits, keywords): the three sources written as files and read; the
+    fixture's orders and items are landed once for all three, as narrow values."""
+    from .nested_standins import metadata_columns, order_items
     from ..functions.fixed import DENY_IMDB_IDS
     from ..operators.clean import deny_and_strip
     from ..session import cut_lineage
     from ..sources.readers import read_csv_multiline
-    rows = cut_lineage(metadata_text(spark, d), "metadata-rows").withColumn("crew", F.lit(None).cast("string"))
+    rows = metadata_columns(cut_lineage(order_items(spark, d), "metadata-rows")).withColumn("crew", F.lit(None).cast("string"))
     movies, credits, keywords = (
-        read_csv_multiline(spark, _one_csv(rows, schema, name), schema)
+        read_csv_multiline(spark, _csv_files(rows, schema, name), schema)
         for schema, name in ((METADATA_SCHEMA, "metadata"), (CREDITS_SCHEMA, "credits"), (KEYWORDS_SCHEMA, "keywords")))
     return deny_and_strip(movies, "imdb_id", DENY_IMDB_IDS), credits, keywords
