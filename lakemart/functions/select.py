@@ -55,8 +55,9 @@ def cuts(df: DataFrame, order: Sequence[str], ranks: Sequence[int], total: int |
     """The ``Cut`` at each 1-based rank of ``order`` (NULLs first); ranks must be
     between 1 and the number of rows.
 
-    Eager.  ``df`` is evaluated once for the count (unless ``total`` is given), twice
-    per round and large range (sample, counts) and once to fetch all small ranges; a round cuts every open range by
+    Eager.  ``df`` is evaluated once for the count (unless ``total`` is given), and a
+    round once to fetch all small ranges and twice (sample, counts) for all large ones
+    together; a round cuts every open range by
     about ``SPLITTERS``, so ``n`` rows take ``log(n / FETCH) / log(SPLITTERS)`` rounds
     (none up to ``FETCH`` rows, one up to a million, three up to ten billion).  The
     driver sees at most ``2 * SAMPLED`` sampled keys a round and range, and the distinct
@@ -88,39 +89,57 @@ def cuts(df: DataFrame, order: Sequence[str], ranks: Sequence[int], total: int |
                             found[r] = Cut(tuple(row["k"]), at, row["count"])
                     at += row["count"]
         open_ranges = []
-        for low, high, below, rows, wanted in large:
-            inside = keys.where(_inside(low, high, types))
-            sample = inside.where(F.rand(seed) < SAMPLED / rows).limit(2 * SAMPLED).groupBy("k").count().orderBy("k").collect()
-            seen, step, points = 0, max(1, sum(r["count"] for r in sample) // (SPLITTERS + 1)), []
-            for i, row in enumerate(sample):
-                heavy = row["count"] >= 2 * step
-                if heavy or seen // step != (seen + row["count"]) // step:
-                    points.append(tuple(row["k"]))
-                    if heavy and i + 1 < len(sample):
-                        points.append(tuple(sample[i + 1]["k"]))   # so that a heavy key is a range of its own
-                seen += row["count"]
-            points = [p for p in dict.fromkeys(points) if p != low]
-            if not points:                              # the sample shows one key only: split it off
-                least = low if low is not None else tuple(inside.agg(F.min("k").alias("k")).first()["k"])
-                after = inside.where(F.col("k") > _literal(least, types)).agg(F.min("k").alias("k")).first()["k"]
-                if after is None:
-                    key = tuple(inside.agg(F.min("k").alias("k")).first()["k"])
+        if large:
+            # a range's sample and counts go by its number; ranges hold no key in common
+            at_range = F.coalesce(*[F.when(_inside(low, high, types), F.lit(i)) for i, (low, high, *_) in enumerate(large)])
+            inside = keys.withColumn("r", at_range).where(F.col("r").isNotNull())
+            share = F.element_at(F.array(*[F.lit(SAMPLED / rows) for *_, rows, _ in large]), F.col("r") + 1)
+            sampled: list[list] = [[] for _ in large]
+            for row in (inside.where(F.rand(seed) < share).limit(2 * SAMPLED * len(large))
+                        .groupBy("r", "k").count().orderBy("r", "k").collect()):
+                sampled[row["r"]].append(row)
+            split = [_points(keys, r, sample, types) for r, sample in zip(large, sampled)]
+            counts = {}
+            if any(split):
+                bucket = F.coalesce(*[F.when(F.col("r") == i, _bucket(F.col("k"), [_literal(p, types) for p in points]))
+                                      for i, points in enumerate(split) if points])
+                counts = {(r["r"], r["b"]): r["count"] for r in inside.groupBy("r", bucket.alias("b")).count().collect()}
+            for i, ((low, high, below, rows, wanted), points) in enumerate(zip(large, split)):
+                if not points:                          # the range is one key
+                    key = tuple(keys.where(_inside(low, high, types)).agg(F.min("k").alias("k")).first()["k"])
                     found.update({r: Cut(key, below, rows) for r in wanted})
                     continue
-                points = [tuple(after)]
-            marks = [_literal(p, types) for p in points]
-            counts = {r["b"]: r["count"] for r in inside.groupBy(_bucket(F.col("k"), marks).alias("b")).count().collect()}
-            edges, at = [low, *points, high], below
-            for b in range(len(points) + 1):
-                n = counts.get(b, 0)
-                here = [r for r in wanted if at < r <= at + n]
-                if here:
-                    open_ranges.append((edges[b], edges[b + 1], at, n, here))
-                at += n
+                edges, at = [low, *points, high], below
+                for b in range(len(points) + 1):
+                    n = counts.get((i, b), 0)
+                    here = [r for r in wanted if at < r <= at + n]
+                    if here:
+                        open_ranges.append((edges[b], edges[b + 1], at, n, here))
+                    at += n
         seed += 1
     return [found[r] for r in ranks]
 
 
+def _points(keys: DataFrame, open_range: tuple, sample: list, types) -> list[tuple]:
+    """The splitters of an open range from its sample; none if it is one key."""
+    low, high, *_ = open_range
+    seen, step, points = 0, max(1, sum(r["count"] for r in sample) // (SPLITTERS + 1)), []
+    for i, row in enumerate(sample):
+        heavy = row["count"] >= 2 * step
+        if heavy or seen // step != (seen + row["count"]) // step:
+            points.append(tuple(row["k"]))
+            if heavy and i + 1 < len(sample):
+                points.append(tuple(sample[i + 1]["k"]))   # so that a heavy key is a range of its own
+        seen += row["count"]
+    points = [p for p in dict.fromkeys(points) if p != low]
+    if points:
+        return points
+    inside = keys.where(_inside(low, high, types))         # the sample shows one key only: split it off
+    least = low if low is not None else tuple(inside.agg(F.min("k").alias("k")).first()["k"])
+    after = inside.where(F.col("k") > _literal(least, types)).agg(F.min("k").alias("k")).first()["k"]
+    return [] if after is None else [tuple(after)]
+
+
 def _inside(low, high, types) -> Column:
     key = F.col("k")
     out = F.lit(True)

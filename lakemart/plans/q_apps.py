@@ -154,14 +154,19 @@ def label_pairs_all(spark, d):
     return LB.label_pairs(*_genre_mart(spark, d, land=False), n=None)
 
 
+def _sharded(spark, d):
+    # the cuts are found by evaluating the pairs several times: their joins run once
+    return LB.assign_shards(cut_lineage(_all_pairs(spark, d), "label-pairs"), SHARDS)
+
+
 @query("label_shards")
 def label_shards(spark, d):
-    return LB.assign_shards(_all_pairs(spark, d), SHARDS)
+    return _sharded(spark, d)
 
 
 @query("label_fetch_plan")
 def label_fetch_plan(spark, d):
-    return LB.fetch_plan(LB.assign_shards(_all_pairs(spark, d), SHARDS))
+    return LB.fetch_plan(_sharded(spark, d))
 
 
 @query("label_dictionary")

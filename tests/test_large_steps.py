@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from lakemart.functions import select as S
 from lakemart.plans import landing as L
 from lakemart.session import local_path
 from lakemart.sources.readers import read_csv_multiline
@@ -21,3 +22,15 @@ def test_metadata_files_are_of_bounded_length(spark, monkeypatch):
     got = read_csv_multiline(spark, path, L.CREDITS_SCHEMA)
     assert sorted(r.id for r in got.collect()) == list(range(1000))
     assert {(r.cast, r.crew) for r in got.collect()} == {("[]", 'a\n"b",')}
+
+
+def test_open_ranges_share_their_passes(spark, monkeypatch):
+    monkeypatch.setattr(S, "SPLITTERS", 7)
+    monkeypatch.setattr(S, "SAMPLED", 100)
+    monkeypatch.setattr(S, "FETCH", 50)
+    seen = spark.sparkContext.accumulator(0)
+    rdd = spark.sparkContext.parallelize(range(4000), 2).map(lambda i: (seen.add(1), (f"k{i:05d}",))[1])
+    df = spark.createDataFrame(rdd, "a string")
+    ranks = [500, 1000, 1500, 2000, 2500, 3000, 3500]
+    assert [c.key[0] for c in S.cuts(df, ["a"], ranks, 4000)] == [f"k{r - 1:05d}" for r in ranks]
+    assert seen.value <= 4000 * 14                        # a few rounds of at most three passes, not of two a range
