@@ -32,6 +32,9 @@ most two per key and 2^20 entries of a task, so a hot key stays small; it comes
 a bitmap of fixed size, where an equal hash only adds a candidate that a later exact
 step drops.
 
+Disk: a step's tables are dropped, and its shuffle files swept, before the next large step
+writes, so the most that lies there is one step's, not the sum of all.
+
 Hot paragraphs are one narrow row per occurrence; counts and minima are taken with
 map-side aggregation, and joins back to occurrences are on a unique key, which the
 adaptive skew join splits.
@@ -56,7 +59,7 @@ from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 from . import words as W
 from .collocations import bitmap, has
 from .components import components
-from .scratch import drop, land, written
+from .scratch import drop, land, sweep, written
 from .set_join import prefix_pairs, verified
 
 MIN_WORDS, NEAR_WORDS, RUN_WORDS = 4, 12, 30
@@ -144,11 +147,13 @@ def _bands(u: Units, bands: int, rows: int, seeds: np.ndarray):
     fresh = np.ones(len(h), bool)
     fresh[1:] = (h[order][1:] != h[order][:-1]) | (owner[1:] != owner[:-1])     # owner is sorted
     n = np.bincount(owner[fresh], minlength=len(which)).astype(np.int32)
-    keys = np.zeros((bands, len(which)), U)
+    keys, value = np.zeros((bands, len(which)), U), np.empty_like(h)
     with np.errstate(over="ignore"):
         for b in range(bands):
             for r in range(rows):
-                low = np.minimum.reduceat(W.mix(h ^ seeds[b * rows + r]), starts)
+                seed = seeds[b * rows + r]
+                np.multiply(np.bitwise_xor(h, seed, out=value), seed | U(1), out=value)     # h is mixed already
+                low = np.minimum.reduceat(value, starts)
                 keys[b] = W.mix(keys[b] * U(31) + low)
             keys[b] = W.mix(keys[b] + U(b))
     return keys, u.hash[which], n
@@ -268,11 +273,30 @@ def _slide(values: np.ndarray, n: int, best) -> np.ndarray:
     return best(values[:len(values) - (n - width)], values[n - width:])
 
 
-def marks(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
+def seeds_of(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of every run of ``SEED`` words inside one text: hashes of runs of
+    1, 2, 4 and more words, each from two of the last, make up those of ``SEED``."""
+    n = len(words) - SEED + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, U)
+    weight = W.stream(25, 2 * SEED.bit_length()) | U(1)
+    run, width, done, total = words.hash, 1, 0, np.zeros(n, U)
+    with np.errstate(over="ignore"):
+        for level in range(SEED.bit_length()):
+            if SEED & width:
+                total = total * weight[2 * level] + run[done:done + n]
+                done += width
+            if 2 * width <= SEED:
+                run, width = run[:-width] * weight[2 * level + 1] + run[width:], 2 * width
+        at = np.flatnonzero(words.doc[:n] == words.doc[SEED - 1:])
+        return at, W.mix(total[at])
+
+
+def marks(words: W.Words, seeds: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(first word, hash) of the marks of a chunk's texts: in every run of
     ``PASSAGE`` words the ``SEED``-word window of the smallest hash."""
     span = PASSAGE - SEED + 1
-    at, h = words.windows(SEED)
+    at, h = seeds
     if len(at) < span:
         return np.zeros(0, np.int64), np.zeros(0, U)
     low = _slide(h, span, np.minimum)
@@ -291,7 +315,7 @@ def _mark_keys(bits: int):
                 code = _code(W.mix(batch.column(0).to_numpy().view(U)) * U(31) + batch.column(1).to_numpy().view(U))
             for start, part in W.chunks(batch.column(2).to_pylist()):
                 words = W.Words(part, W.BY_ALNUM)
-                at, h = marks(words)
+                at, h = marks(words, seeds_of(words))
                 yield from packed.add(h, code[start + words.doc[at]])
         yield from packed.flush()
     return run
@@ -302,7 +326,8 @@ def _passage_windows(bits: int, shared):
         for batch in batches:
             for start, part in W.chunks(batch.column(2).to_pylist()):
                 words = W.Words(part, W.BY_ALNUM)
-                p, h = marks(words)
+                at, seeds = seeds_of(words)
+                p, h = marks(words, (at, seeds))
                 p = p[has(shared.value, short(h, bits))]
                 if not len(p):
                     continue
@@ -313,9 +338,8 @@ def _passage_windows(bits: int, shared):
                 i = i[words.doc[i] == words.doc[i + PASSAGE - 1]]
                 if not len(i):
                     continue
-                at, h = words.windows(SEED)
                 seed = np.zeros(len(words), U)
-                seed[at] = h
+                seed[at] = seeds
                 weight = W.stream(51, 3) | U(1)
                 with np.errstate(over="ignore"):
                     node = W.mix(seed[i] * weight[0] + seed[i + SEED] * weight[1] + words.hash[i + 2 * SEED] * weight[2])
@@ -360,6 +384,7 @@ def _passages(texts: DataFrame, bits: int) -> DataFrame:
     shared = _shared_keys(texts.mapInArrow(_mark_keys(bits), PACKED))
     windows, windows_path = land(texts.mapInArrow(_passage_windows(bits, shared), "d bigint, h bigint, first int, node bigint"),
                                  "passage-windows")
+    sweep(spark)
     heads = (windows.groupBy("node").agg(F.min(F.struct("d", "h", "first")).alias("head"), F.max(F.struct("d", "h")).alias("last"))
              .where(F.struct("head.d", "head.h") < F.col("last"))
              .select("node", F.col("head.d").alias("hd"), F.col("head.h").alias("hh"), F.col("head.first").alias("hat")))
@@ -368,6 +393,7 @@ def _passages(texts: DataFrame, bits: int) -> DataFrame:
     begins = F.when(F.col("hat") - F.lag("hat", 1, -2).over(order) > 1, F.col("hat"))
     heads = heads.withColumn("new", begins).withColumn("c", F.xxhash64("hd", "hh", F.last("new", True).over(order))).drop("new")
     heads, heads_path = land(heads, "passage-heads")
+    sweep(spark)
     kept = (F.col("d") == F.col("hd")) & (F.col("h") == F.col("hh")) & (F.col("first") == F.col("hat"))
     found = windows.join(heads, "node").select("d", "h", "first", "c", kept.alias("kept"))
     order = Window.partitionBy("d", "h", "c", "kept").orderBy("first")
@@ -377,6 +403,7 @@ def _passages(texts: DataFrame, bits: int) -> DataFrame:
     runs, _ = land(runs, "passages")
     for path in (windows_path, heads_path):
         drop(spark, path)
+    sweep(spark)
     size = runs.select("c", "d", "h").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
     return runs.join(size, "c").select("d", "h", "a", "b", "c", "docs", "kept")
 
@@ -428,18 +455,22 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, percent: int, bands: i
     with written() as paths:
         units, rest = _find(texts, percent, bands, rows, run_words)
         units, units_path = land(units, "paragraph-rows")
+        _keep(docs.sparkSession, paths, units_path)
         rest, rest_path = land(rest(units), "passage-rows")
-        for path in [p for p in paths if p not in (units_path, rest_path)]:
-            drop(docs.sparkSession, path)
+        _keep(docs.sparkSession, paths, units_path, rest_path)
     return units.unionByName(rest)
 
 
-def _find(texts: DataFrame, percent: int, bands: int, rows: int, run_words: int):
-    spark = texts.sparkSession
-    units, units_path = land(texts.mapInArrow(_units, "d bigint, h bigint, unit int, first int, words int, node bigint"), "paragraphs")
-    n_words = units.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    bits = max(LEAST_BITS, min(24, (n_words // PART_ENTRIES).bit_length()))
+def _keep(spark, paths: list[str], *keep: str) -> None:
+    """Drop the folders ``paths`` but for ``keep``, and what their steps have shuffled."""
+    for path in [p for p in paths if p not in keep]:
+        drop(spark, path)
+    sweep(spark)
 
+
+def _groups(texts: DataFrame, bits: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """(node, component) of the paragraphs that are linked to others."""
+    spark = texts.sparkSession
     only = texts.select("text")
     shared = _shared_keys(only.mapInArrow(_band_keys(bands, rows, bits), PACKED))
     entries, entries_path = land(only.mapInArrow(_band_entries(bands, rows, bits, shared), "key bigint, node bigint, n int"), "paragraph-keys")
@@ -447,6 +478,7 @@ def _find(texts: DataFrame, percent: int, bands: int, rows: int, run_words: int)
             .where("l.node < z").select("key", F.col("l.node").alias("a"), F.col("l.n").alias("na")))
     members, members_path = land(entries.join(lead, "key").distinct(), "paragraph-members")
     drop(spark, entries_path)
+    sweep(spark)
     close = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
     stars, _ = land(members.where("node > a").where(close).select("a", F.col("node").alias("b")).distinct(), "paragraph-stars")
     ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
@@ -462,7 +494,18 @@ def _find(texts: DataFrame, percent: int, bands: int, rows: int, run_words: int)
     sets = _sets_of(rest.select("node"), texts)
     across = prefix_pairs(rest, sets, percent).join(stars, ["a", "b"], "left_anti")
     known = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    groups, _ = land(components(known.unionByName(verified(across, sets, percent))), "paragraph-components")
+    return components(known.unionByName(verified(across, sets, percent)))
+
+
+def _find(texts: DataFrame, percent: int, bands: int, rows: int, run_words: int):
+    spark = texts.sparkSession
+    units, units_path = land(texts.mapInArrow(_units, "d bigint, h bigint, unit int, first int, words int, node bigint"), "paragraphs")
+    n_words = units.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    bits = max(LEAST_BITS, min(24, (n_words // PART_ENTRIES).bit_length()))
+
+    with written() as paths:
+        groups, groups_path = land(_groups(texts, bits, percent, bands, rows), "paragraph-components")
+        _keep(spark, paths, groups_path)
 
     # a node's own reach; nodes seen in one document only matter if they are linked
     reach, reach_path = land(units.groupBy("node").agg(F.min(F.struct("d", "h", "unit")).alias("head"),
@@ -474,8 +517,9 @@ def _find(texts: DataFrame, percent: int, bands: int, rows: int, run_words: int)
     repeated = (alone.select("node", F.col("node").alias("c"), "head")
                 .unionByName(groups.join(size, "component").select("node", F.col("component").alias("c"), "head")))
     hits, _ = land(units.join(repeated, "node").distinct(), "paragraph-repeated")
-    for path in (units_path, reach_path):
+    for path in (units_path, reach_path, groups_path):
         drop(spark, path)
+    sweep(spark)
     docs = hits.select("c", "d", "h").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("docs"))
     order = Window.partitionBy("d", "h").orderBy("unit")
     runs = (hits.withColumn("new", (F.col("unit") - F.lag("unit", 1, -2).over(order) > 1).cast("int"))
