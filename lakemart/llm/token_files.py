@@ -6,18 +6,18 @@ followed the two ids before it (order 2), the id before it (order 1), and the id
 that leads the block so far (order 0), each with a confidence.  An adaptive
 probability per order and confidence says how often such a prediction is right,
 and adaptive weights mix the three orders into one distribution over "equals this
-prediction" and an escape.  An escaped id is coded by its bit length (adaptive
-counts) and its remaining bits.  A carry-less range coder (64-bit state, 32-bit
+prediction" and an escape.  An escaped id is coded by its bit length (counts that
+adapt every ``REFRESH`` ids) and its remaining bits.  A carry-less range coder (64-bit state, 32-bit
 words) turns the intervals into bytes.
 
 Blocks of ``BLOCK`` ids start from an empty model, so any block decodes alone, and
 carry the CRC-32 of their ids.  A task codes many blocks in lockstep: step ``t``
-codes id ``t`` of all of them with numpy.
+codes id ``t`` of all of them with numpy, the three orders in one array.
 
 File format.  Documents are written in ascending id order, cut into parts by id
 (one shuffle, approximate percentiles as cuts) and inside a part into *segments*
 of whole documents, about ``SEGMENT`` ids each (a longer document is its own
-segment).  A segment is one binary: ``CMX1``, counts, document ids, lengths, the
+segment).  A segment is one binary: ``CMX2``, counts, document ids, lengths, the
 blocks' word counts and checksums, then the blocks.  Segments are stored as rows
 ``(part, segment, n_ids, payload)`` of Parquet files, so that writing is
 committed by Spark and survives lost executors.
@@ -47,6 +47,7 @@ LANES = 2048                    # blocks that are coded together
 SLOTS1, SLOTS2 = 1024, 2048     # context tables of a block
 CONF = 8
 CLASSES = 17                    # bit lengths 0..16 of an escaped id
+REFRESH = 32                    # ids of a block between two looks at its class counts
 MAX_PARTS = 4096
 CACHE = 800_000
 GROUP = 500                     # texts that are tokenized together
@@ -58,6 +59,30 @@ END = 0
 
 # ---- tokenizer ------------------------------------------------------------------
 
+#: white space but the plain space
+WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+ASCII_WHITE = [c for c in WHITE if c.isascii()]
+
+
+def spaced_out(text: str) -> bool:
+    """Whether every space stands between two characters that are no white space."""
+    if text[:1] == " " or text[-1:] == " " or "  " in text:
+        return False
+    return not any(c in text and (c + " " in text or " " + c in text) for c in (ASCII_WHITE if text.isascii() else WHITE))
+
+
+class Pieces(dict):
+    """Numbers of pieces; one that is asked for first gets the next number and is listed in ``new``."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        self.new.append(piece)
+        return n
+
+
 class Ids:
     """Ids of texts, equal to encoding each whole text, with a cache of its pieces.
 
@@ -67,7 +92,6 @@ class Ids:
     no space and take none beside them, so no cut changes one.  The cache holds the pieces
     that follow such a space, by their text behind it."""
 
-    EDGE = re.compile(r"\s | \s|^ | $")
     SAFE = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, path: str):
@@ -80,7 +104,7 @@ class Ids:
         self._reset()
 
     def _reset(self):
-        self.known: dict[str, int] = {}
+        self.known = Pieces()
         self.table = np.zeros(0, np.uint32)
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -89,39 +113,39 @@ class Ids:
 
     def _learn(self, pieces: list[str]):
         """Encode new pieces, many in one call: each starts with the only space in it."""
-        plain = [p for p in pieces if " " not in p]
-        other = [p for p in pieces if " " in p]
+        plain = [i for i, p in enumerate(pieces) if " " not in p]
+        other = [i for i, p in enumerate(pieces) if " " in p]
+        order, ids, size = [], [], []
         for first in range(0, len(plain), 4096):
             group = plain[first:first + 4096]
-            got = np.array(self._encode(" " + " ".join(group)), np.uint32)
+            got = np.array(self._encode(" " + " ".join([pieces[i] for i in group])), np.uint32)
             at = np.flatnonzero(self.spaced[got])
             if len(at) == len(group) and at[0] == 0:
-                self._add(group, got, np.diff(np.append(at, len(got))))
+                order += group
+                ids.append(got)
+                size.append(np.diff(np.append(at, len(got))))
             else:
                 other += group
-        if other:
-            got = [self._encode(" " + p) for p in other]
-            self._add(other, np.array([i for g in got for i in g], np.uint32), np.array([len(g) for g in got], np.int64))
-
-    def _add(self, pieces: list[str], ids: np.ndarray, size: np.ndarray):
-        n = len(self.start)
-        self.known.update(zip(pieces, range(n, n + len(pieces))))
-        self.start = np.concatenate((self.start, len(self.table) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
-        self.table = np.concatenate((self.table, ids))
+        for i in other:
+            ids.append(np.array(self._encode(" " + pieces[i]), np.uint32))
+            size.append(np.array([len(ids[-1])]))
+        lengths, order = np.concatenate(size).astype(np.int64), np.array(order + other, np.int64)
+        start, size = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        start[order], size[order] = len(self.table) + np.cumsum(lengths) - lengths, lengths
+        self.start, self.size = np.concatenate((self.start, start)), np.concatenate((self.size, size))
+        self.table = np.concatenate((self.table, *ids))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        split = [(self.SAFE.split(t) if self.EDGE.search(t) else t.split(" ")) for t in texts]
+        split = [(t.split(" ") if spaced_out(t) else self.SAFE.split(t)) for t in texts]
         heads = self.tokenizer.encode_batch_fast([p[0] for p in split], add_special_tokens=False)
         rest = [p[1:] for p in split]
-        new = set().union(*rest) - self.known.keys()
-        if new:
-            if len(self.known) + len(new) > CACHE:
-                self._reset()
-                new = set().union(*rest)
-            self._learn(list(new))
+        if len(self.known) > CACHE:
+            self._reset()
         which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(rest)), np.int64, sum(map(len, rest)))
+        if self.known.new:
+            new, self.known.new = self.known.new, []
+            self._learn(new)
         size = self.size[which]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
@@ -143,69 +167,86 @@ def tokenizer(path: str) -> Ids:
 # ---- coder ----------------------------------------------------------------------
 
 class _Model:
-    """The mixed id model of ``n`` blocks side by side.
+    """The mixed id model of ``n`` blocks side by side; a first axis of 3 holds the orders.
 
-    A context slot holds ``id * 8 + confidence``; ``cum`` holds cumulative counts of
-    the bit-length classes, one column per block."""
+    A context slot holds ``id * 8 + confidence``; ``cdf`` holds the cumulative shares of
+    the bit-length classes out of ``SHARES``, one column per block."""
 
     def __init__(self, n: int):
-        self.lane = np.arange(n)
-        self.base = [self.lane, self.lane * SLOTS1, self.lane * SLOTS2]
-        self.slot = [np.zeros(n, np.int32), np.zeros(n * SLOTS1, np.int32), np.zeros(n * SLOTS2, np.int32)]
+        self.n, self.lane = n, np.arange(n)
+        self.base = np.stack((self.lane, n + self.lane * SLOTS1, n * (1 + SLOTS1) + self.lane * SLOTS2))
+        self.at = self.base.copy()
+        self.slot = np.zeros(n * (1 + SLOTS1 + SLOTS2), np.int32)
         self.right = np.tile(((np.arange(CONF) + 0.5) / (CONF + 4.0)).astype(np.float32), 3 * n)
-        self.cells = [self.lane * (3 * CONF) + k * CONF for k in range(3)]
-        self.weight = [np.full(n, w, np.float32) for w in (0.2, 0.3, 0.5)]
-        self.cum = np.tile(np.arange(CLASSES + 1, dtype=np.int32)[:, None], (1, n))
+        self.cells = (np.arange(3 * n) * CONF).reshape(3, n)
+        self.weight = np.repeat(np.array([[0.2], [0.3], [0.5]], np.float32), n, axis=1)
+        self.counts = np.ones((CLASSES, n), np.uint32)
+        self.cdf = np.zeros((CLASSES + 1, n), np.uint16)
+        self.flat = self.cdf.reshape(-1)
+        self._share()
         self.h1, self.h2 = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
 
+    def _share(self):
+        cum = np.cumsum(self.counts, axis=0, dtype=np.uint32)
+        self.cdf[1:] = cum * np.uint32(SHARES) // cum[-1]
+
+    def count(self, key: np.ndarray):
+        """Learn the classes of escaped ids, given as ``class * n + lane``."""
+        if len(key):
+            self.counts += np.bincount(key, minlength=CLASSES * self.n).reshape(CLASSES, self.n).astype(np.uint32)
+            self._share()
+
     def predict(self):
         """(guesses, frequencies) of orders 0, 1, 2 out of 65536; equal guesses are merged upwards."""
-        self.at = [self.base[0], self.base[1] + (self.h1 >> np.uint32(22)),
-                   self.base[2] + (((self.h1 ^ self.h2) * np.uint32(3266489917)) >> np.uint32(21))]
-        held = [s[a] for s, a in zip(self.slot, self.at)]
-        self.guess = g = [v >> 3 for v in held]
-        self.sure = [v & 7 for v in held]
-        self.cell = [c + v for c, v in zip(self.cells, self.sure)]
-        self.prob = [self.right[c] for c in self.cell]
-        m0, m1, m2 = (w * p * np.float32(60000.0) for w, p in zip(self.weight, self.prob))
+        np.add(self.base[1], self.h1 >> np.uint32(22), out=self.at[1])
+        np.add(self.base[2], ((self.h1 ^ self.h2) * np.uint32(3266489917)) >> np.uint32(21), out=self.at[2])
+        self.held = self.slot.take(self.at)
+        self.sure = self.held & 7
+        self.guess = g = self.held >> 3
+        self.cell = self.cells + self.sure
+        self.prob = self.right.take(self.cell)
+        m = self.weight * self.prob
+        m *= np.float32(60000.0)
         same12, same02, same01 = g[1] == g[2], g[0] == g[2], g[0] == g[1]
-        zero = np.float32(0)
-        m2 = m2 + np.where(same12, m1, zero) + np.where(same02, m0, zero)
-        m1 = np.where(same12, zero, m1 + np.where(same01, m0, zero))
-        m0 = np.where(same02 | same01, zero, m0)
-        return g, [m.astype(np.int64) for m in (m0, m1, m2)]
+        m[2] += m[1] * same12 + m[0] * same02
+        m[1] += m[0] * same01
+        m[1] *= ~same12
+        m[0] *= ~(same02 | same01)
+        return g, m.astype(np.uint32)
 
-    def bounds(self, esc: np.ndarray, cls: np.ndarray):
-        """Interval of a bit-length class inside the escape's share."""
-        tot = self.cum[CLASSES]
-        return esc * self.cum[cls, self.lane] // tot, esc * self.cum[cls + 1, self.lane] // tot
+    def bounds(self, esc: np.ndarray, key: np.ndarray):
+        """Interval of a bit-length class (given as ``class * n + lane``) inside the escape's share."""
+        return (esc * self.flat.take(key)) >> _SHIFT, (esc * self.flat.take(key + self.n)) >> _SHIFT
 
     def classes(self, esc: np.ndarray, value: np.ndarray) -> np.ndarray:
         """The class whose interval holds ``value``."""
-        upto = ((value + 1) * self.cum[CLASSES] + esc - 1) // esc - 1
-        return np.minimum((self.cum[1:] <= upto).sum(axis=0), CLASSES - 1)
-
-    def learn(self, x: np.ndarray, cls: np.ndarray):
-        """``cls`` is the class of an escaped id, or CLASSES."""
-        hits = [g == x for g in self.guess]
-        votes = [np.where(h, p, np.float32(0)) + np.float32(0.02) for h, p in zip(hits, self.prob)]
-        scale = np.float32(0.05) / (votes[0] + votes[1] + votes[2])
-        fresh = x * 8 + 1
-        for k in range(3):
-            self.right[self.cell[k]] = self.prob[k] + (hits[k] - self.prob[k]) * np.float32(0.0625)
-            self.weight[k] = self.weight[k] * np.float32(0.95) + votes[k] * scale
-            sure = np.where(hits[k], _UP[self.sure[k]], _DOWN[self.sure[k]])
-            self.slot[k][self.at[k]] = np.where(sure, self.guess[k] * 8 + sure, fresh)
-        self.cum += _STEP[:, cls]
+        upto = ((((value + np.uint32(1)) << _SHIFT) - np.uint32(1)) // esc).astype(np.uint16)
+        return np.add.reduce((self.cdf[1:CLASSES] <= upto).view(np.uint8), axis=0, dtype=np.uint8)
+
+    def learn(self, x: np.ndarray, hits: np.ndarray):
+        """``hits``: which guesses are ``x``."""
+        p = self.prob
+        self.right[self.cell] = p + (hits - p) * np.float32(0.0625)
+        votes = p * hits
+        votes += np.float32(0.02)
+        self.weight *= np.float32(0.95)
+        self.weight += votes * (np.float32(0.05) / (votes[0] + votes[1] + votes[2]))
+        sure = _NEXT.take(self.sure + hits * np.int32(CONF))
+        new = self.held - self.sure + sure
+        np.copyto(new, x * 8 + 1, where=sure == 0)
+        self.slot[self.at] = new
         self.h2 = (self.h1 << np.uint32(7)) | (self.h1 >> np.uint32(25))
         self.h1 = x.astype(np.uint32) * np.uint32(2654435761)
 
 
-_UP = np.minimum(np.arange(CONF, dtype=np.int32) + 1, CONF - 1)
-_DOWN = np.where(np.arange(CONF) <= 1, 0, np.arange(CONF) >> 1).astype(np.int32)     # 0: replace the guess
-#: what a class adds to the cumulative counts (nothing for CLASSES)
-_STEP = (np.arange(CLASSES + 1)[:, None] > np.arange(CLASSES + 1)[None, :]).astype(np.int32)
+SHARES, _SHIFT = 1 << 15, np.uint32(15)
+#: confidence after a miss (0: the guess is replaced) and, from CONF on, after a hit
+_NEXT = np.concatenate((np.where(np.arange(CONF) <= 1, 0, np.arange(CONF) >> 1),
+                        np.minimum(np.arange(CONF) + 1, CONF - 1))).astype(np.int32)
+#: bit length of an id; first id and raw bits of a class
 _LENGTH = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.int64)
+_FIRST = np.concatenate(([0], 1 << np.arange(CLASSES - 1))).astype(np.uint32)
+_RAW = np.maximum(np.arange(CLASSES) - 1, 0).astype(np.uint8)
 
 
 class _Out:
@@ -214,7 +255,9 @@ class _Out:
 
     def __init__(self, n: int, length: int):
         self.low, self.size = np.zeros(n, U), np.full(n, FULL, U)
-        self.words, self.count = np.zeros((n, 2 * length + 8), np.uint32), np.zeros(n, np.int64)
+        self.words = np.zeros((n, length + 8), np.uint32)         # a step gives a word at most
+        self.flat, self.begin = self.words.reshape(-1), np.arange(n) * (length + 8)
+        self.at = self.begin.copy()
 
     def put(self, start, width, value, bits):
         """Narrow to [start, start + width) of 65536 parts, then to ``value`` of ``2 ** bits``."""
@@ -225,14 +268,15 @@ class _Out:
         rows = np.flatnonzero(size < WORD)
         if len(rows):
             l, s = low[rows], size[rows]
-            self.words[rows, self.count[rows]] = (l >> U(32)).astype(np.uint32)
-            self.count[rows] += 1
+            at = self.at[rows]
+            self.flat[at] = l >> U(32)
+            self.at[rows] = at + 1
             self.low[rows], self.size[rows] = l << U(32), _refilled(l, s)
 
     def close(self):
         for shift in (32, 0):
-            self.words[np.arange(len(self.low)), self.count] = (self.low >> U(shift)).astype(np.uint32)
-            self.count += 1
+            self.flat[self.at] = (self.low >> U(shift)) & LOW32
+            self.at += 1
 
 
 def _refilled(low, size):
@@ -252,7 +296,7 @@ class _In:
 
     def peek(self):
         self.part = self.size >> U(16)
-        return np.minimum((self.code - self.low) // self.part, U(65535)).astype(np.int64)
+        return np.minimum((self.code - self.low) // self.part, U(65535)).astype(np.uint32)
 
     def take(self, start, width, bits):
         """The raw value behind the interval."""
@@ -268,7 +312,7 @@ class _In:
             self.low[rows], self.size[rows] = l << U(32), _refilled(l, s)
             self.code[rows] = (self.code[rows] << U(32)) | self.words[np.minimum(self.at[rows], len(self.words) - 1)]
             self.at[rows] += 1
-        return value.astype(np.int64)
+        return value.astype(np.uint32)
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[list[bytes], int]:
@@ -282,29 +326,27 @@ def encode_blocks(ids: np.ndarray) -> tuple[list[bytes], int]:
     for first in range(0, n, LANES):
         rows = np.ascontiguousarray(grid[first:first + LANES].T)
         model, out = _Model(rows.shape[1]), _Out(rows.shape[1], length)
-        for x in rows:
-            g, (f0, f1, f2) = model.predict()
-            by2 = (g[2] == x) & (f2 > 0)
-            by1 = (g[1] == x) & (f1 > 0)            # a merged guess has frequency 0
-            by0 = (g[0] == x) & (f0 > 0)
-            escaped = ~(by2 | by1 | by0)
-            f21 = f2 + f1
-            front = f21 + f0
-            cls = _LENGTH[x]
-            a, b = model.bounds(65536 - front, cls)
-            start = np.where(escaped, front + a, np.where(by2, 0, np.where(by1, f2, f21)))
-            width = np.where(escaped, b - a, np.where(by2, f2, np.where(by1, f1, f0)))
-            bits = np.where(escaped, _RAW[cls], 0)
-            out.put(start, width, x & ((1 << bits) - 1), bits)
-            model.learn(x, np.where(escaped, cls, CLASSES))
+        for t in range(0, length, REFRESH):
+            some = rows[t:t + REFRESH]
+            cls = _LENGTH[some]
+            key, escaped = cls * model.n + model.lane, np.empty(some.shape, bool)
+            for x, k, low, bits, esc in zip(some, key, some - _FIRST[cls].view(np.int32), _RAW[cls], escaped):
+                g, f = model.predict()
+                hits = g == x
+                by = hits & (f > 0)                 # a merged guess has frequency 0
+                np.logical_not(by[0] | by[1] | by[2], out=esc)
+                f21 = f[2] + f[1]
+                front = f21 + f[0]
+                a, b = model.bounds(np.uint32(65536) - front, k)
+                own = f * by
+                out.put(by[1] * f[2] + by[0] * f21 + esc * (front + a), own[0] + own[1] + own[2] + esc * (b - a), low * esc, bits * esc)
+                model.learn(x, hits)
+            model.count(key[escaped])
         out.close()
-        blocks += [w[:c].tobytes() for w, c in zip(out.words, out.count)]
+        blocks += [w[:c].tobytes() for w, c in zip(out.words, (out.at - out.begin).tolist())]
     return blocks, length
 
 
-_RAW = np.maximum(np.arange(CLASSES + 1) - 1, 0)
-
-
 def decode_blocks(words: np.ndarray, counts: np.ndarray, length: int) -> np.ndarray:
     """(blocks, length) ids of blocks that stand one after the other in ``words``."""
     starts = np.cumsum(counts) - counts
@@ -313,30 +355,35 @@ def decode_blocks(words: np.ndarray, counts: np.ndarray, length: int) -> np.ndar
         s = starts[first:first + LANES]
         model, coded = _Model(len(s)), _In(words, s)
         grid = np.zeros((length, len(s)), np.int32)
-        for t in range(length):
-            g, (f0, f1, f2) = model.predict()
-            value = coded.peek()
-            f21 = f2 + f1
-            front = f21 + f0
-            esc = 65536 - front
-            by2, by1, escaped = value < f2, value < f21, value >= front
-            cls = np.where(escaped, model.classes(esc, value - front), 0)
-            a, b = model.bounds(esc, cls)
-            start = np.where(escaped, front + a, np.where(by2, 0, np.where(by1, f2, f21)))
-            width = np.where(escaped, b - a, np.where(by2, f2, np.where(by1, f1, f0)))
-            bits = np.where(escaped, _RAW[cls], 0)
-            rest = coded.take(start, width, bits)
-            x = np.where(escaped, np.where(cls > 0, (1 << bits) + rest, 0),
-                         np.where(by2, g[2], np.where(by1, g[1], g[0]))).astype(np.int32)
-            model.learn(x, np.where(escaped, cls, CLASSES))
-            grid[t] = x
+        for t in range(0, length, REFRESH):
+            some = grid[t:t + REFRESH]
+            key, escaped = np.empty(some.shape, np.int64), np.empty(some.shape, bool)
+            for x, k, esc in zip(some, key, escaped):
+                g, f = model.predict()
+                value = coded.peek()
+                f21 = f[2] + f[1]
+                front = f21 + f[0]
+                share = np.uint32(65536) - front
+                by2, by21 = value < f[2], value < f21
+                by1 = by2 ^ by21
+                np.greater_equal(value, front, out=esc)
+                by0 = ~(by21 | esc)
+                cls = model.classes(share, (value - front) * esc) * esc
+                np.add(cls * np.int64(model.n), model.lane, out=k)
+                a, b = model.bounds(share, k)
+                start = by1 * f[2] + by0 * f21 + esc * (front + a)
+                width = by2 * f[2] + by1 * f[1] + by0 * f[0] + esc * (b - a)
+                rest = coded.take(start, width, _RAW.take(cls))
+                x[:] = by2 * g[2] + by1 * g[1] + by0 * g[0] + (esc * (_FIRST.take(cls) + rest)).view(np.int32)
+                model.learn(x, g == x)
+            model.count(key[escaped])
         out[first:first + LANES] = grid.T
     return out
 
 
 # ---- segments -------------------------------------------------------------------
 
-MAGIC = b"CMX1"
+MAGIC = b"CMX2"
 
 
 def pack(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
