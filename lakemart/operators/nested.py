@@ -7,6 +7,7 @@ movie table's left join to per-movie vote aggregates.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from ..functions.nested import parse_array
 from ..functions.order import global_index
-from ..session import landed, remove
+from ..session import landed, landed_parts, remove
 from . import facts
 
 
@@ -117,8 +118,8 @@ class StarSchema(dict):
         super().__init__()
         self.spark, self.folders = spark, []
 
-    def land(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-        out, path = landed(df, name, by)
+    def land(self, df: DataFrame | dict[str, DataFrame], name: str, by: str | None = None) -> DataFrame:
+        out, path = landed_parts(df, by, name) if by else landed(df, name)
         self.folders.append(path)
         return out
 
@@ -128,19 +129,25 @@ class StarSchema(dict):
 
 
 def star_schema(metadata: DataFrame, credits: DataFrame, keywords: DataFrame,
-                ratings: DataFrame) -> StarSchema:
+                ratings: DataFrame, landed_source: Callable[[str], None] | None = None) -> StarSchema:
     """The 14 mart tables.  ``metadata`` must already be deny-filtered.
 
-    Per source one write: all its list columns are parsed in one pass into one tagged
-    table partitioned by entity, and the dimension and bridge of an entity read its
-    partition alone.  The movie columns of the metadata are landed beside it, so that
-    its files are parsed once."""
+    Per source one tagged table partitioned by entity: every list column is parsed once,
+    into its entity's partition, and the dimension and bridge of an entity read that
+    partition alone.  The columns of the metadata are landed beside it, so that its files
+    are parsed once.  ``landed_source`` is told the name of each source that no table
+    reads any more, so that its owner can drop its files."""
     out = StarSchema(metadata.sparkSession)
     lists = [e.column for e in ENTITIES.values() if e.source == "metadata"]
+    ended = landed_source or (lambda source: None)
     metadata = out.land(metadata.select(*dict.fromkeys([*MOVIE_COLUMNS, *lists])), "metadata")
+    ended("metadata")
     for source, rows in {"metadata": metadata, "credits": credits, "keywords": keywords}.items():
         entities = {name: e for name, e in ENTITIES.items() if e.source == source}
-        tagged = out.land(tagged_entities(rows, entities), f"entities-{source}", by="entity")
+        tagged = out.land({name: tagged_entities(rows, {name: e}) for name, e in entities.items()},
+                          f"entities-{source}", by="entity")
+        if source != "metadata":
+            ended(source)
         for name, ent in entities.items():
             rows_of = entity_rows(tagged, name, ent)
             out[f"{name}_ext"] = dimension(rows_of, ent)

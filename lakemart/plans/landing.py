@@ -14,7 +14,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, S
                                StructField, StructType)
 
 from . import standins as S
-from ..session import scratch_path
+from ..session import ended_shuffles_go, scratch_path
 
 
 def ratings_text(spark, d) -> str:
@@ -93,6 +93,9 @@ CREDITS_SCHEMA = StructType([StructField("cast", StringType()), StructField("cre
 KEYWORDS_SCHEMA = StructType([StructField("id", IntegerType()), StructField("keywords", StringType())])
 
 
+#: parts of the orders whose items are exchanged one after the other
+ORDER_PARTS = 4
+
 #: records of one part file: what one task has to read of an unsplittable file
 CSV_RECORDS = 50_000
 
@@ -102,8 +105,9 @@ def _csv_files(df, schema: StructType, name: str) -> str:
     task writes its own rows, in compressed files of bounded length."""
     text = df.select(*[F.col(f.name).cast("string").alias(f.name) for f in schema.fields])
     path = scratch_path(df.sparkSession, f"landing-{name}")
-    (text.write.option("header", True).option("quote", '"').option("escape", '"').option("quoteAll", True)
-     .option("maxRecordsPerFile", CSV_RECORDS).option("compression", "gzip").csv(path))
+    with ended_shuffles_go(df.sparkSession):
+        (text.write.option("header", True).option("quote", '"').option("escape", '"').option("quoteAll", True)
+         .option("maxRecordsPerFile", CSV_RECORDS).option("compression", "gzip").csv(path))
     return path
 
 
@@ -127,16 +131,31 @@ def movies_read(spark, d):
     return deny_and_strip(metadata_read(spark, d), "imdb_id", DENY_IMDB_IDS)
 
 
-def movie_files(spark, d):
+def movie_files(spark, d, folders: dict[str, str] | None = None):
     """(movies, credits, keywords): the three sources written as files and read; the
-    fixture's orders and items are landed once for all three, as narrow values."""
-    from .nested_standins import metadata_columns, order_items
+    fixture's orders and items are landed once for all three, as narrow values, and go
+    when the files are there.  ``folders`` receives the folder of each source.
+
+    The exchanges that look up the items' values end before those by order begin, and the
+    latter follow one another, a part of the orders at a time: their shuffle files, the
+    largest of the whole job, are never on disk together.  No task can start in the midst
+    of a compressed file, so each file is parsed by the task that reads it and no text is
+    exchanged."""
+    from .nested_standins import item_values, metadata_columns, order_items
     from ..functions.fixed import DENY_IMDB_IDS
     from ..operators.clean import deny_and_strip
-    from ..session import cut_lineage
+    from ..session import landed, landed_parts, remove
     from ..sources.readers import read_csv_multiline
-    rows = metadata_columns(cut_lineage(order_items(spark, d), "metadata-rows")).withColumn("crew", F.lit(None).cast("string"))
-    movies, credits, keywords = (
-        read_csv_multiline(spark, _csv_files(rows, schema, name), schema)
-        for schema, name in ((METADATA_SCHEMA, "metadata"), (CREDITS_SCHEMA, "credits"), (KEYWORDS_SCHEMA, "keywords")))
+    items, items_path = landed(item_values(spark, d), "metadata-items")
+    parts = {str(i): order_items(spark, d, items=items, part=(i, ORDER_PARTS)).withColumn("_part", F.lit(str(i)))
+             for i in range(ORDER_PARTS)}
+    met, path = landed_parts(parts, "_part", "metadata-rows")
+    remove(spark, items_path)
+    rows = metadata_columns(met).withColumn("crew", F.lit(None).cast("string"))
+    schemas = {"metadata": METADATA_SCHEMA, "credits": CREDITS_SCHEMA, "keywords": KEYWORDS_SCHEMA}
+    written = {name: _csv_files(rows, schema, name) for name, schema in schemas.items()}
+    remove(spark, path)
+    if folders is not None:
+        folders.update(written)
+    movies, credits, keywords = (read_csv_multiline(spark, written[name], schema, split=False) for name, schema in schemas.items())
     return deny_and_strip(movies, "imdb_id", DENY_IMDB_IDS), credits, keywords

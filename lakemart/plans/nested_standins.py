@@ -42,13 +42,14 @@ def _items(spark, d) -> DataFrame:
     li = S.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     p = S.table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size")
     s = S.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    # the narrower side table first: where part is too large to broadcast, its names move once less
+    return li.join(s, li.l_suppkey == s.s_suppkey).join(p, li.l_partkey == p.p_partkey)
+
+
+def _places(spark, d) -> DataFrame:
     n = S.table(spark, d, "nation")   # 25 rows by definition
     r = S.table(spark, d, "region")   # 5 rows by definition
-    # the narrower side table first: where part is too large to broadcast, its names move once less
-    return (li.join(s, li.l_suppkey == s.s_suppkey)
-            .join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-            .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-            .join(p, li.l_partkey == p.p_partkey))
+    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_regionkey", "r_name")
 
 
 # List column -> the line item columns that its elements are built from.
@@ -92,23 +93,48 @@ def _as_list(name: str) -> Column:
     return F.when(F.size("_items") > 0, F.concat(F.lit("["), F.array_join(elements, ", "), F.lit("]"))).alias(name)
 
 
-def order_items(spark, d, lists=tuple(LISTS)) -> DataFrame:
+def item_values(spark, d, lists=tuple(LISTS)) -> DataFrame:
+    """(_k, _i): the line items by order key, with the values that move to their order as
+    far as ``lists`` need them.  A supplier's nation and region are looked up there."""
+    places = _places(spark, d).columns
+    moved = [c for c in _needed(lists) if c not in places]
+    return (_items(spark, d).where(F.col("l_orderkey").isNotNull())
+            .select(F.col("l_orderkey").alias("_k"), F.struct(*moved, "s_nationkey").alias("_i")))
+
+
+def _needed(lists) -> list[str]:
+    return list(dict.fromkeys(c for name in lists for c in LISTS[name]))
+
+
+def order_items(spark, d, lists=tuple(LISTS), items: DataFrame | None = None,
+                part: tuple[int, int] = (0, 1)) -> DataFrame:
     """(_o, _items): every order with its line items, as far as ``lists`` need them.
 
     Orders and items meet in one exchange by order key and are grouped there as narrow
     values: the texts, several times as wide, are built after it row by row, so that no
-    exchange, join or sort has them.  Orders without a key have no items and stay out
-    of the exchange."""
-    needed = list(dict.fromkeys(c for name in lists for c in LISTS[name]))
+    exchange, join or sort has them.  An item whose supplier has no nation or region is no
+    item.  Orders without a key have no items and stay out of the exchange.
+
+    ``items`` are the ``item_values`` of the lists, where they are at hand.  ``part``
+    (i, n) takes the orders of part i of n, by the hash of their key; those without a key
+    are in part 0."""
+    i, n = part
+    places = _places(spark, d)
     o = S.table(spark, d, "orders")
     order = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    items = (_items(spark, d).where(F.col("l_orderkey").isNotNull())
-             .select(F.col("l_orderkey").alias("_k"), F.struct(*needed).alias("_i")))
+    items = item_values(spark, d, lists) if items is None else items
     both = items.unionByName(o.where(F.col("o_orderkey").isNotNull()).select(F.col("o_orderkey").alias("_k"), order.alias("_o")),
                              allowMissingColumns=True)
-    met = (both.repartition("_k").groupBy("_k")
+    if n > 1:   # another hash than that of the exchange, whose partitions else were hit by one part each
+        both = both.where(F.pmod(F.xxhash64("_k"), F.lit(n)) == i)
+    item = F.struct(*[F.col(c) if c in places.columns else F.col(f"_i.{c}") for c in _needed(lists)])
+    met = (both.repartition("_k").join(F.broadcast(places), F.col("_i.s_nationkey") == F.col("n_nationkey"), "left")
+           .where(F.col("_i").isNull() | F.col("n_nationkey").isNotNull())
+           .select("_k", "_o", F.when(F.col("_i").isNotNull(), item).alias("_i")).groupBy("_k")
            .agg(F.collect_list("_o").alias("_os"), F.collect_list("_i").alias("_items"))
            .select(F.explode("_os").alias("_o"), "_items"))
+    if i:
+        return met
     none = F.array().cast(met.schema["_items"].dataType)
     return met.unionByName(o.where(F.col("o_orderkey").isNull()).select(order.alias("_o"), none.alias("_items")))
 
@@ -162,11 +188,11 @@ def keywords_text(spark, d) -> DataFrame:
     return metadata_text(spark, d, ("keywords",)).select("id", "keywords")
 
 
-def file_sources(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def file_sources(spark, d, folders: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(movies, credits, keywords, ratings) of the star schema, the first three read
-    from their files."""
+    from their files, whose ``folders`` are given by source name."""
     from .landing import movie_files
-    return (*movie_files(spark, d), ratings_raw(spark, d))
+    return (*movie_files(spark, d, folders), ratings_raw(spark, d))
 
 
 def ratings_raw(spark, d) -> DataFrame:

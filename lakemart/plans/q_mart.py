@@ -9,6 +9,7 @@ from . import nested_standins as NS
 from .registry import query, r4
 from ..functions.nested import parse_array
 from ..operators import clean, facts, nested as N
+from ..session import cut_lineage, remove
 from ..sources import readers as R
 
 
@@ -81,10 +82,13 @@ def mart_movies(spark, d):
 
 @query("mart_star_counts")
 def mart_star_counts(spark, d):
-    star = N.star_schema(*NS.file_sources(spark, d))
+    folders = {}
+    star = N.star_schema(*NS.file_sources(spark, d, folders), landed_source=lambda source: remove(spark, folders[source]))
     # (sources.sinks.save_star_schema writes the same 14 tables as external tables)
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+    # a table's count is landed before the next one starts, so that one table's shuffle is on disk at a time
+    parts = [cut_lineage(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows"), "star-count")
              for name, df in star.items()]
+    star.release()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
